@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+Loads arrive as one directory of delimited text per batch date and are
+published whole; there is no stream, watermark or streaming state to model.
+A scheduler runs ``saltkv.plans.job`` once per batch date.
+"""
