@@ -19,7 +19,7 @@ from saltkv.operators import layout as L
 from saltkv.operators import lookup as LK
 from saltkv.operators.merge import latest_wins
 from saltkv.plans import fixtures as FX
-from saltkv.plans.job import load_batch
+from saltkv.plans.job import load_batch, load_rows
 from saltkv.session import scratch_path
 from saltkv.sources import delimited as D
 from saltkv.sources import store as ST
@@ -64,12 +64,304 @@ def q_document_row_keys(spark, sf_dir):
     return t.select("id", "salt", "prefix", "row_key")
 
 
+def q_opinion_wide_row_keys(spark, sf_dir):
+    t = _keyed(FX.opinion_wide_rows(spark, sf_dir), FX.OPINION)
+    return t.select("id", "buss_no", "business_type", "salt", "prefix", "row_key")
+
+
+# ------------------------------------------------------------ delimited text
+
+SEP = D.COL_SEP
+
+
+def _export(spark, df, name, cols=None, check=True) -> str:
+    path = scratch_path(spark, name)
+    D.write_delimited(df, path, cols, check=check)
+    return path
+
+
+def q_delimited_roundtrip(spark, sf_dir):
+    """documents -> delimited text (0x10 records, 0x01 fields) -> parsed rows."""
+    path = _export(spark, FX.multiline_rows(spark, sf_dir), "in-multiline")
+    return D.read_batch(spark, FX.MULTILINE, path=path).rows
+
+
+def q_delimited_failfast(spark, sf_dir):
+    path = _export(spark, FX.check_rows(spark, sf_dir), "in-check-ff")
+    return D.read_batch(spark, FX.CHECK, path=path, mode="failfast").rows
+
+
+def _short_every_7th(spark, sf_dir) -> str:
+    base = FX.check_rows(spark, sf_dir)
+    k = F.col("id").cast("long")
+    full = F.concat_ws(SEP, *[F.col(c) for c in FX.CHECK.cols])
+    short = F.concat_ws(SEP, "id", "check_id", "rule_no")
+    lines = base.select(F.when(k % 7 == 0, short).otherwise(full).alias("line"))
+    return _export(spark, lines, "in-check-short", ["line"], check=False)
+
+
+def q_parsed_rows(spark, sf_dir):
+    """Permissive parse of a batch where every 7th record is cut short: the rest."""
+    return D.read_batch(spark, FX.CHECK, path=_short_every_7th(spark, sf_dir)).rows
+
+
+def q_rejected_rows(spark, sf_dir):
+    """... and the short records, with their field counts."""
+    rej = D.read_batch(spark, FX.CHECK, path=_short_every_7th(spark, sf_dir)).rejected
+    return rej.select(F.split(F.col("value"), SEP).getItem(0).alias("id"), "n_fields")
+
+
+# ------------------------------------------------------------ layout
+
+
+def q_salt_partition_counts(spark, sf_dir):
+    t = L.partition_by_salt(check_table(spark, sf_dir), FX.CHECK.pre_regions)
+    return (
+        t.select(F.spark_partition_id().alias("partition_id"), "salt")
+        .groupBy("partition_id", "salt").agg(F.count(F.lit(1)).alias("n_rows"))
+    )
+
+
+def q_partition_sorted_rank(spark, sf_dir):
+    t = L.sort_within(L.partition_by_salt(check_table(spark, sf_dir), FX.CHECK.pre_regions))
+    return t.select("salt", "row_key", "id", L.partition_ordinal().alias("rank_in_salt"))
+
+
+def q_dedup_in_load(spark, sf_dir):
+    t = _keyed(FX.duplicate_rows(spark, sf_dir), FX.DUPLICATES)
+    return L.dedup_in_load(t, FX.DUPLICATES.cols)
+
+
+# ------------------------------------------------------------ cells
+
+
+def q_to_cells(spark, sf_dir):
+    return C.to_cells(check_table(spark, sf_dir), FX.CHECK.cols, FX.CHECK.cf)
+
+
+def q_from_cells(spark, sf_dir):
+    cells = C.to_cells(check_table(spark, sf_dir), FX.CHECK.cols, FX.CHECK.cf)
+    return C.from_cells(cells, CHECK_FIELDS, family=FX.CHECK.cf)
+
+
+def q_binary_cells_roundtrip(spark, sf_dir):
+    cells = C.to_cells(FX.opinion_rows(spark, sf_dir).transform(lambda d: _keyed(d, FX.OPINION)), FX.OPINION.cols)
+    back = C.from_binary_cells(C.to_binary_cells(cells))
+    return C.from_cells(back, OPINION_FIELDS)
+
+
+# ------------------------------------------------------------ versions
+
+
+def _versions(spark, sf_dir, n_loads):
+    loads = FX.check_loads(spark, sf_dir, n_loads)
+    keyed = [_keyed(d, FX.CHECK).withColumn("load_ts", F.lit(i + 1).cast("long")) for i, d in enumerate(loads)]
+    allv = keyed[0]
+    for d in keyed[1:]:
+        allv = allv.unionByName(d)
+    return latest_wins(allv, [*FX.CHECK.cols, "remarks"])
+
+
+def q_latest_wins(spark, sf_dir):
+    return _versions(spark, sf_dir, 2)
+
+
+def q_latest_wins_added_column(spark, sf_dir):
+    return _versions(spark, sf_dir, 3)
+
+
+# ------------------------------------------------------------ the published store
+
+_PUBLISHED: dict = {}
+
+
+def _published(spark, sf_dir, name, spec, rows_fn, via_text=True) -> str:
+    """Publish a layout once per session and input and return its table
+    directory.  ``via_text``: export each batch as dated delimited text and run
+    the load job on it; otherwise load the DataFrames (NULL = not written)."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _PUBLISHED:
+        root = scratch_path(spark, f"store-{name}")
+        inputs = scratch_path(spark, f"in-{name}")
+        batches = rows_fn(spark, sf_dir)
+        batches = batches if isinstance(batches, list) else [batches]
+        for i, rows in enumerate(batches):
+            s = spec.with_(cols=tuple(rows.columns), input_path_prefix=inputs)
+            if via_text:
+                date = f"2024-01-{i + 1:02d}"
+                D.write_delimited(rows, f"{inputs}/{date}", list(rows.columns))
+                res = load_batch(spark, s, date, root, load_ts=i + 1)
+            else:
+                res = load_rows(spark, s, rows, root, load_ts=i + 1)
+        _PUBLISHED[key] = res.table_dir
+    return _PUBLISHED[key]
+
+
+def check_dir(spark, sf_dir) -> str:
+    return _published(spark, sf_dir, "check", FX.CHECK, FX.check_rows)
+
+
+def opinion_dir(spark, sf_dir) -> str:
+    return _published(spark, sf_dir, "opinion", FX.OPINION, FX.opinion_rows)
+
+
+def published_check(spark, sf_dir) -> DataFrame:
+    return ST.current(spark, check_dir(spark, sf_dir), FX.CHECK.cols)
+
+
+def published_opinion(spark, sf_dir) -> DataFrame:
+    return ST.current(spark, opinion_dir(spark, sf_dir), FX.OPINION.cols)
+
+
+def published_opinion_wide(spark, sf_dir) -> DataFrame:
+    d = _published(spark, sf_dir, "opinion_wide", FX.OPINION, FX.opinion_wide_rows)
+    return ST.current(spark, d, FX.OPINION.cols)
+
+
+def q_load_job(spark, sf_dir):
+    t = published_check(spark, sf_dir)
+    return t.select("salt", "prefix", "row_key", *FX.CHECK.cols)
+
+
+def q_published_three_loads(spark, sf_dir):
+    d = _published(spark, sf_dir, "check3", FX.CHECK, lambda s, p: FX.check_loads(s, p, 3), via_text=False)
+    t = ST.current(spark, d, [*FX.CHECK.cols, "remarks"])
+    return t.select("salt", "prefix", "row_key", *FX.CHECK.cols, "remarks", "load_ts")
+
+
+# ------------------------------------------------------------ lookups
+
+
+def _top_key(df, cols):
+    order = [F.desc("n")] + [F.asc(c) for c in cols]
+    return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).orderBy(*order).first()
+
+
+def q_lookup_check(spark, sf_dir):
+    """The busiest customer's rows, by point lookup on the published table."""
+    top = _top_key(FX.check_rows(spark, sf_dir), ["check_id"])
+    return LK.lookup(published_check(spark, sf_dir), FX.CHECK, top["check_id"], CHECK_FIELDS, keep_row_key=True)
+
+
+def q_lookup_opinion(spark, sf_dir):
+    top = _top_key(FX.opinion_rows(spark, sf_dir), ["buss_no", "business_type"])
+    key = {"buss_no": top["buss_no"], "business_type": top["business_type"]}
+    return LK.lookup(published_opinion(spark, sf_dir), FX.OPINION, key, OPINION_FIELDS, keep_row_key=True)
+
+
+def _collision_table(spark, sf_dir):
+    return _keyed(FX.collision_rows(spark, sf_dir), FX.COLLISION)
+
+
+def _collision_requests(spark, sf_dir):
+    return FX.collision_rows(spark, sf_dir).select(F.col("id").alias("req_id"), "k1", "k2")
+
+
+def q_lookup_collision(spark, sf_dir):
+    """Every customer looked up by (custkey, nationkey): concatenation matches."""
+    return LK.batch_lookup(_collision_table(spark, sf_dir), FX.COLLISION, _collision_requests(spark, sf_dir))
+
+
+def q_lookup_collision_exact(spark, sf_dir):
+    return LK.batch_lookup(_collision_table(spark, sf_dir), FX.COLLISION, _collision_requests(spark, sf_dir), exact=True)
+
+
+def q_scan_range(spark, sf_dir):
+    return LK.scan_range(published_check(spark, sf_dir), FX.CHECK, "08", "1c", columns=["f:id"])
+
+
+def q_scan_prefix(spark, sf_dir):
+    top = _top_key(FX.check_rows(spark, sf_dir), ["check_id"])
+    _, prefix, _ = LK.key_literals(FX.CHECK, top["check_id"])
+    return LK.scan_prefix(published_check(spark, sf_dir), FX.CHECK, prefix, columns=["f:id", "f:rule_no"])
+
+
+def q_scan_limit(spark, sf_dir):
+    return LK.scan_limit(published_check(spark, sf_dir), FX.CHECK, 6, columns=list(FX.CHECK.cols))
+
+
+def _customer_requests(spark, sf_dir, with_null=False):
+    c = FX.read(spark, sf_dir, "customer")
+    key = F.col("c_custkey").cast("string")
+    if with_null:
+        key = F.when(F.col("c_nationkey") == 0, F.lit(None).cast("string")).otherwise(key)
+    known = c.select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("req_id"), key.alias("check_id"))
+    missing = c.select(
+        F.concat(F.lit("m"), F.col("c_custkey").cast("string")).alias("req_id"),
+        (F.col("c_custkey") + 100000000).cast("string").alias("check_id"),
+    )
+    return known.unionByName(missing)
+
+
+def q_batch_lookup(spark, sf_dir):
+    return LK.batch_lookup(published_check(spark, sf_dir), FX.CHECK, _customer_requests(spark, sf_dir), fields=CHECK_FIELDS)
+
+
+def q_batch_envelope(spark, sf_dir):
+    reqs = _customer_requests(spark, sf_dir, with_null=True)
+    return LK.batch_envelope(published_check(spark, sf_dir), FX.CHECK, reqs, fields=CHECK_FIELDS)
+
+
+def _pair_requests(spark, sf_dir):
+    e = FX.read(spark, sf_dir, "events")
+    pairs = e.select(F.col("user_id").cast("string").alias("buss_no"), F.col("event_type").alias("business_type")).distinct()
+    known = pairs.select(F.concat_ws("/", "buss_no", "business_type").alias("req_id"), "buss_no", "business_type")
+    missing = pairs.select(
+        F.concat_ws("/", F.lit("x"), "buss_no", "business_type").alias("req_id"),
+        "buss_no", F.concat(F.col("business_type"), F.lit("_none")).alias("business_type"),
+    )
+    return known.unionByName(missing)
+
+
+def q_batch_lookup_opinion(spark, sf_dir):
+    return LK.batch_lookup(published_opinion_wide(spark, sf_dir), FX.OPINION, _pair_requests(spark, sf_dir), fields=OPINION_FIELDS)
+
+
+def q_batch_envelope_opinion(spark, sf_dir):
+    return LK.batch_envelope(published_opinion_wide(spark, sf_dir), FX.OPINION, _pair_requests(spark, sf_dir), fields=OPINION_FIELDS)
+
+
+def q_list_tables(spark, sf_dir):
+    """Register the published check and opinion tables in a fresh namespace and list it."""
+    ns = "ns_" + scratch_path(spark, "ns").rsplit("-", 1)[1]
+    ST.create_table(spark, FX.CHECK.with_(namespace=ns), check_dir(spark, sf_dir))
+    ST.create_table(spark, FX.OPINION.with_(namespace=ns), opinion_dir(spark, sf_dir))
+    return ST.list_tables(spark, ns)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "row_keys": q_row_keys,
     "row_keys_mod10": q_row_keys_mod10,
     "row_keys_mod12": q_row_keys_mod12,
     "composite_row_keys": q_composite_row_keys,
+    "opinion_wide_row_keys": q_opinion_wide_row_keys,
     "document_row_keys": q_document_row_keys,
+    "delimited_roundtrip": q_delimited_roundtrip,
+    "delimited_failfast": q_delimited_failfast,
+    "parsed_rows": q_parsed_rows,
+    "rejected_rows": q_rejected_rows,
+    "salt_partition_counts": q_salt_partition_counts,
+    "partition_sorted_rank": q_partition_sorted_rank,
+    "dedup_in_load": q_dedup_in_load,
+    "to_cells": q_to_cells,
+    "from_cells": q_from_cells,
+    "binary_cells_roundtrip": q_binary_cells_roundtrip,
+    "latest_wins": q_latest_wins,
+    "latest_wins_added_column": q_latest_wins_added_column,
+    "load_job": q_load_job,
+    "published_three_loads": q_published_three_loads,
+    "lookup_check": q_lookup_check,
+    "lookup_opinion": q_lookup_opinion,
+    "lookup_collision": q_lookup_collision,
+    "lookup_collision_exact": q_lookup_collision_exact,
+    "scan_range": q_scan_range,
+    "scan_prefix": q_scan_prefix,
+    "scan_limit": q_scan_limit,
+    "batch_lookup": q_batch_lookup,
+    "batch_envelope": q_batch_envelope,
+    "batch_lookup_opinion": q_batch_lookup_opinion,
+    "batch_envelope_opinion": q_batch_envelope_opinion,
+    "list_tables": q_list_tables,
 }
 
 
@@ -111,12 +403,84 @@ MULTILINE_SRC = (
 )
 
 
+OPINION_WIDE_SRC = (
+    "SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS buss_no, "
+    "event_type AS business_type, props AS approval_opinion FROM events"
+)
+COLLISION_SRC = (
+    "SELECT CAST(c_custkey AS VARCHAR) AS id, CAST(c_custkey AS VARCHAR) AS k1, "
+    "CAST(c_nationkey AS VARCHAR) AS k2, c_name AS name FROM customer"
+)
+DUP_SRC = (
+    "SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id, "
+    "CAST(l_orderkey AS VARCHAR) AS key, CAST(l_partkey AS VARCHAR) AS partkey, "
+    "CAST(l_suppkey AS VARCHAR) AS suppkey, l_returnflag AS returnflag, l_linestatus AS linestatus, "
+    "strftime(l_shipdate, '%Y-%m-%d') AS shipdate FROM lineitem"
+)
+CHECK_COLS = ("id", "check_id", "rule_no", "rule_type", "rule_desc")
+OPINION_COLS = ("id", "buss_no", "business_type", "approval_opinion")
+
+
 def _check_keyed(n: int = 3) -> str:
     return f"SELECT *, {_keys_sql('check_id', 'id', n)} FROM ({CHECK_SRC})"
 
 
-def _opinion_keyed(n: int = 3) -> str:
-    return f"SELECT *, {_keys_sql('(buss_no || business_type)', 'id', n)} FROM ({OPINION_SRC})"
+def _opinion_keyed(n: int = 3, src: str = OPINION_SRC) -> str:
+    return f"SELECT *, {_keys_sql('(buss_no || business_type)', 'id', n)} FROM ({src})"
+
+
+def _fields(names, have, alias: str = "") -> str:
+    """Fixed result schema: stored columns by name, the rest NULL."""
+    a = f"{alias}." if alias else ""
+    return ", ".join(f"{a}{c}" if c in have else f"NULL::VARCHAR AS {c}" for c in names)
+
+
+def _cols(names, alias: str = "") -> str:
+    a = f"{alias}." if alias else ""
+    return ", ".join(f"{a}{c}" for c in names)
+
+
+def _versions_sql(n_loads: int) -> str:
+    k = f"CAST(id AS BIGINT)"
+    loads = [
+        f"SELECT salt, prefix, row_key, 1::BIGINT AS v, id, check_id, rule_no, rule_type, rule_desc, "
+        f"NULL::VARCHAR AS remarks FROM k",
+        f"SELECT salt, prefix, row_key, 2::BIGINT, id, check_id, NULL, lower(rule_type) || '2', "
+        f"CASE WHEN {k} % 2 = 0 THEN '' ELSE NULL END, NULL FROM k WHERE {k} % 3 = 0",
+        f"SELECT salt, prefix, row_key, 3::BIGINT, id, check_id, NULL, NULL, NULL, 'r' || id "
+        f"FROM k WHERE {k} % 5 = 0",
+    ][:n_loads]
+    merged = ", ".join(f"arg_max({c}, v) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in (*CHECK_COLS, "remarks"))
+    return (
+        f"WITH k AS ({_check_keyed(3)}), l AS ({' UNION ALL '.join(loads)}) "
+        f"SELECT salt, prefix, row_key, {merged}, max(v) AS load_ts FROM l GROUP BY salt, prefix, row_key"
+    )
+
+
+_TOP_CHECK = "SELECT check_id FROM k GROUP BY check_id ORDER BY count(*) DESC, check_id ASC LIMIT 1"
+_TOP_OPINION = (
+    "SELECT buss_no || business_type AS qk FROM k GROUP BY buss_no, business_type "
+    "ORDER BY count(*) DESC, buss_no ASC, business_type ASC LIMIT 1"
+)
+
+_CUSTOMER_REQS = (
+    "SELECT 'c' || CAST(c_custkey AS VARCHAR) AS req_id, {known} AS check_id FROM customer "
+    "UNION ALL SELECT 'm' || CAST(c_custkey AS VARCHAR), CAST(c_custkey + 100000000 AS VARCHAR) FROM customer"
+)
+_PAIR_REQS = (
+    "WITH p AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS buss_no, event_type AS business_type FROM events) "
+    "SELECT buss_no || '/' || business_type AS req_id, buss_no, business_type FROM p UNION ALL "
+    "SELECT 'x/' || buss_no || '/' || business_type, buss_no, business_type || '_none' FROM p"
+)
+
+
+def _envelope_sql(bad: str) -> str:
+    return (
+        f"CASE WHEN {bad} THEN 'E' ELSE 'S' END AS rtn_sts, "
+        f"CASE WHEN {bad} THEN '-1' ELSE '0' END AS rtn_code, "
+        f"CASE WHEN {bad} THEN '系统查询异常' ELSE '交易成功' END AS rtn_msg, "
+        "'475' AS sys_code"
+    )
 
 
 ORACLE: dict[str, str] = {
@@ -124,7 +488,88 @@ ORACLE: dict[str, str] = {
     "row_keys_mod10": f"SELECT id, check_id, salt, prefix, row_key FROM ({_check_keyed(10)})",
     "row_keys_mod12": f"SELECT id, check_id, salt, prefix, row_key FROM ({_check_keyed(12)})",
     "composite_row_keys": f"SELECT id, buss_no, business_type, salt, prefix, row_key FROM ({_opinion_keyed(3)})",
+    "opinion_wide_row_keys": (
+        f"SELECT id, buss_no, business_type, salt, prefix, row_key FROM ({_opinion_keyed(3, OPINION_WIDE_SRC)})"
+    ),
     "document_row_keys": f"SELECT id, {_keys_sql('value', 'id', 10)} FROM ({MULTILINE_SRC})",
+    # A delimited file has no NULL: an unwritten value reads back as ''.
+    "delimited_roundtrip": (
+        "SELECT coalesce(id, '') AS id, coalesce(key, '') AS key, coalesce(lang, '') AS lang, "
+        f"coalesce(value, '') AS value FROM ({MULTILINE_SRC})"
+    ),
+    "delimited_failfast": f"SELECT {_cols(CHECK_COLS)} FROM ({CHECK_SRC})",
+    "parsed_rows": f"SELECT {_cols(CHECK_COLS)} FROM ({CHECK_SRC}) WHERE CAST(id AS BIGINT) % 7 <> 0",
+    "rejected_rows": f"SELECT id, 3 AS n_fields FROM ({CHECK_SRC}) WHERE CAST(id AS BIGINT) % 7 = 0",
+    "salt_partition_counts": (
+        f"SELECT salt AS partition_id, salt, count(*) AS n_rows FROM ({_check_keyed(3)}) GROUP BY salt"
+    ),
+    "partition_sorted_rank": (
+        "SELECT salt, row_key, id, row_number() OVER (PARTITION BY salt ORDER BY row_key) AS rank_in_salt "
+        f"FROM ({_check_keyed(3)})"
+    ),
+    "dedup_in_load": (
+        "SELECT salt, prefix, row_key, id, key, partkey, suppkey, returnflag, linestatus, shipdate FROM ("
+        "SELECT *, row_number() OVER (PARTITION BY row_key ORDER BY id DESC, key DESC, partkey DESC, "
+        "suppkey DESC, returnflag DESC, linestatus DESC, shipdate DESC) AS rn "
+        f"FROM (SELECT *, {_keys_sql('key', 'id', 3)} FROM ({DUP_SRC}))) WHERE rn = 1"
+    ),
+    "to_cells": f"WITH k AS ({_check_keyed(3)}) " + " UNION ALL ".join(
+        f"SELECT row_key, 'f' AS family, '{c}' AS qualifier, {c} AS value FROM k WHERE {c} IS NOT NULL"
+        for c in CHECK_COLS
+    ),
+    "from_cells": f"SELECT row_key, {_fields(CHECK_FIELDS, CHECK_COLS)} FROM ({_check_keyed(3)})",
+    "binary_cells_roundtrip": f"SELECT row_key, {_fields(OPINION_FIELDS, OPINION_COLS)} FROM ({_opinion_keyed(3)})",
+    "latest_wins": _versions_sql(2),
+    "latest_wins_added_column": _versions_sql(3),
+    "load_job": f"SELECT salt, prefix, row_key, {_cols(CHECK_COLS)} FROM ({_check_keyed(3)})",
+    "published_three_loads": _versions_sql(3),
+    "lookup_check": (
+        f"WITH k AS ({_check_keyed(3)}) SELECT row_key, {_fields(CHECK_FIELDS, CHECK_COLS)} "
+        f"FROM k WHERE check_id = ({_TOP_CHECK})"
+    ),
+    "lookup_opinion": (
+        f"WITH k AS ({_opinion_keyed(3)}) SELECT row_key, {_fields(OPINION_FIELDS, OPINION_COLS)} "
+        f"FROM k WHERE buss_no || business_type = ({_TOP_OPINION})"
+    ),
+    "lookup_collision": (
+        f"WITH t AS (SELECT *, {_keys_sql('(k1 || k2)', 'id', 3)} FROM ({COLLISION_SRC})), "
+        f"r AS (SELECT id AS req_id, k1, k2 FROM ({COLLISION_SRC})) "
+        "SELECT r.req_id, t.row_key, t.id, t.k1, t.k2, t.name FROM r JOIN t ON r.k1 || r.k2 = t.k1 || t.k2"
+    ),
+    "lookup_collision_exact": (
+        f"WITH t AS (SELECT *, {_keys_sql('(k1 || k2)', 'id', 3)} FROM ({COLLISION_SRC})), "
+        f"r AS (SELECT id AS req_id, k1, k2 FROM ({COLLISION_SRC})) "
+        "SELECT r.req_id, t.row_key, t.id, t.k1, t.k2, t.name FROM r JOIN t ON r.k1 = t.k1 AND r.k2 = t.k2"
+    ),
+    "scan_range": f"SELECT row_key, id FROM ({_check_keyed(3)}) WHERE row_key >= '08' AND row_key < '1c'",
+    "scan_prefix": (
+        f"WITH k AS ({_check_keyed(3)}) SELECT row_key, id, rule_no FROM k "
+        f"WHERE starts_with(row_key, (SELECT max(prefix) FROM k WHERE check_id = ({_TOP_CHECK})))"
+    ),
+    "scan_limit": f"SELECT row_key, {_cols(CHECK_COLS)} FROM ({_check_keyed(3)}) ORDER BY row_key LIMIT 6",
+    "batch_lookup": (
+        f"WITH k AS ({_check_keyed(3)}), r AS ({_CUSTOMER_REQS.format(known='CAST(c_custkey AS VARCHAR)')}) "
+        f"SELECT r.req_id, k.row_key, {_fields(CHECK_FIELDS, CHECK_COLS, 'k')} FROM r JOIN k ON r.check_id = k.check_id"
+    ),
+    "batch_envelope": (
+        f"WITH k AS ({_check_keyed(3)}), "
+        f"r AS ({_CUSTOMER_REQS.format(known='CASE WHEN c_nationkey = 0 THEN NULL ELSE CAST(c_custkey AS VARCHAR) END')}), "
+        "c AS (SELECT check_id, count(*) AS n FROM k GROUP BY check_id) "
+        f"SELECT r.req_id, {_envelope_sql('r.check_id IS NULL')}, "
+        "CASE WHEN r.check_id IS NULL THEN NULL ELSE coalesce(c.n, 0) END AS n_data "
+        "FROM r LEFT JOIN c ON r.check_id = c.check_id"
+    ),
+    "batch_lookup_opinion": (
+        f"WITH t AS ({_opinion_keyed(3, OPINION_WIDE_SRC)}), r AS ({_PAIR_REQS}) "
+        f"SELECT r.req_id, t.row_key, {_fields(OPINION_FIELDS, OPINION_COLS, 't')} FROM r JOIN t "
+        "ON r.buss_no || r.business_type = t.buss_no || t.business_type"
+    ),
+    "batch_envelope_opinion": (
+        f"WITH t AS ({_opinion_keyed(3, OPINION_WIDE_SRC)}), r AS ({_PAIR_REQS}), "
+        "c AS (SELECT buss_no || business_type AS qk, count(*) AS n FROM t GROUP BY 1) "
+        f"SELECT r.req_id, {_envelope_sql('false')}, coalesce(c.n, 0) AS n_data "
+        "FROM r LEFT JOIN c ON r.buss_no || r.business_type = c.qk"
+    ),
 }
 
 

@@ -43,42 +43,31 @@ class LoadResult:
     load_dir: str
 
 
-def keyed_rows(spark: SparkSession, spec: TableSpec, batch_date: str | None = None, path: str | None = None,
-               mode: str = "permissive", dedup: bool = True, hash_method: str = "reflect",
-               record_sep: str = RECORD_SEP, col_sep: str = COL_SEP):
-    """Parsed rows of a batch with ``salt``, ``prefix``, ``row_key`` (before layout)."""
-    batch = read_batch(spark, spec, batch_date, path=path, mode=mode, record_sep=record_sep, col_sep=col_sep)
-    keyed = add_row_keys(batch.rows, spec.query_key, spec.uniq_col, spec.pre_regions, hash_method)
-    if dedup:
-        keyed = dedup_in_load(keyed, spec.cols)
-    return keyed
-
-
-def load_batch(
+def load_rows(
     spark: SparkSession,
     spec: TableSpec,
-    batch_date: str | None = None,
+    rows,
     store_root: str | None = None,
     *,
-    path: str | None = None,
     load_ts: int | None = None,
-    mode: str = "permissive",
     dedup: bool = True,
     files_per_bucket: int | None = None,
     exact_partitioner: bool = False,
     bloom_filter: bool = False,
     hash_method: str = "reflect",
-    record_sep: str = RECORD_SEP,
-    col_sep: str = COL_SEP,
 ) -> LoadResult:
-    """Read one dated batch, key it, lay it out, stage it and publish it.
+    """Key, lay out, stage and publish a DataFrame of string rows as one load.
 
-    ``dedup=False`` trusts the unique column and saves one shuffle.
-    ``load_ts`` defaults to the wall clock in milliseconds.
+    A NULL value means "not written by this load": the column keeps its older
+    value when the table is read.  ``dedup=False`` trusts the unique column and
+    saves one shuffle.  ``load_ts`` defaults to the wall clock in milliseconds.
     """
     ts = int(load_ts) if load_ts is not None else new_load_ts()
     table_dir = table_location(spec, store_root)
-    keyed = keyed_rows(spark, spec, batch_date, path, mode, dedup, hash_method, record_sep, col_sep)
+    value_cols = [c for c in rows.columns]
+    keyed = add_row_keys(rows, spec.query_key, spec.uniq_col, spec.pre_regions, hash_method)
+    if dedup:
+        keyed = dedup_in_load(keyed, value_cols)
     laid = layout_for_write(keyed, spec, files_per_bucket, exact_partitioner)
     if spec.hfile_path_prefix and store_root is None:
         stage_dir = f"{spec.hfile_path_prefix.rstrip('/')}/{ts}"
@@ -90,6 +79,24 @@ def load_batch(
     return LoadResult(table_dir, ts, load_dir)
 
 
+def load_batch(
+    spark: SparkSession,
+    spec: TableSpec,
+    batch_date: str | None = None,
+    store_root: str | None = None,
+    *,
+    path: str | None = None,
+    mode: str = "permissive",
+    record_sep: str = RECORD_SEP,
+    col_sep: str = COL_SEP,
+    **kw,
+) -> LoadResult:
+    """The load job: read one dated delimited batch and publish it as a load
+    (keyword options as in ``load_rows``)."""
+    batch = read_batch(spark, spec, batch_date, path=path, mode=mode, record_sep=record_sep, col_sep=col_sep)
+    return load_rows(spark, spec, batch.rows, store_root, **kw)
+
+
 # Jobs runnable by name from the command line.
 JOBS = {"load": load_batch}
 
