@@ -323,9 +323,10 @@ def q_batch_envelope_opinion(spark, sf_dir):
 
 def q_list_tables(spark, sf_dir):
     """Register the published check and opinion tables in a fresh namespace and list it."""
-    ns = "ns_" + scratch_path(spark, "ns").rsplit("-", 1)[1]
-    ST.create_table(spark, FX.CHECK.with_(namespace=ns), check_dir(spark, sf_dir))
-    ST.create_table(spark, FX.OPINION.with_(namespace=ns), opinion_dir(spark, sf_dir))
+    loc = scratch_path(spark, "ns")
+    ns = "ns_" + loc.rsplit("-", 1)[1]
+    ST.create_table(spark, FX.CHECK.with_(namespace=ns), check_dir(spark, sf_dir), namespace_location=loc)
+    ST.create_table(spark, FX.OPINION.with_(namespace=ns), opinion_dir(spark, sf_dir), namespace_location=loc)
     return ST.list_tables(spark, ns)
 
 

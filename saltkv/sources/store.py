@@ -169,10 +169,12 @@ def create_namespace(spark: SparkSession, namespace: str, location: str | None =
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{namespace}`{loc}")
 
 
-def create_table(spark: SparkSession, spec: TableSpec, table_dir: str, value_cols=None, bloom_filter: bool = False) -> str:
-    """Register the table (partitioned by ``load_ts, salt``) in the catalog."""
+def create_table(spark: SparkSession, spec: TableSpec, table_dir: str, value_cols=None, bloom_filter: bool = False,
+                 namespace_location: str | None = None) -> str:
+    """Register the table (partitioned by ``load_ts, salt``) in the catalog and
+    pick up its published loads."""
     cols = list(value_cols or spec.cols)
-    create_namespace(spark, spec.namespace)
+    create_namespace(spark, spec.namespace, namespace_location)
     ddl_cols = ", ".join([f"`{c}` STRING" for c in (*cols, *KEY_FIELDS)] + [f"`{VERSION}` BIGINT", "`salt` INT"])
     opts = ", ".join(f"'{k}' '{v}'" for k, v in write_options(bloom_filter).items())
     name = f"`{spec.namespace}`.`{spec.table_name}`"
@@ -180,6 +182,7 @@ def create_table(spark: SparkSession, spec: TableSpec, table_dir: str, value_col
         f"CREATE TABLE IF NOT EXISTS {name} ({ddl_cols}) USING parquet "
         f"OPTIONS ({opts}) PARTITIONED BY ({VERSION}, salt) LOCATION '{table_dir}'"
     )
+    spark.sql(f"MSCK REPAIR TABLE {name}")
     return name
 
 

@@ -1,0 +1,82 @@
+import glob
+import os
+
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from saltkv.operators import layout as L
+from saltkv.plans import fixtures as FX
+from saltkv.plans.inspect import count_exchanges
+from conftest import SF_SMALL, local_path
+
+
+def test_salt_partitioner_maps_salt_to_partition(spark):
+    t = L.partition_by_salt(E.check_table(spark, SF_SMALL), 3)
+    got = t.select(F.spark_partition_id().alias("p"), "salt").distinct().collect()
+    assert all(r.p == r.salt for r in got)
+    assert t.rdd.getNumPartitions() == 3
+
+
+def test_null_salt_goes_to_partition_zero(spark):
+    df = spark.createDataFrame([(None, "k"), (2, "x")], "salt int, row_key string")
+    got = dict((r.row_key, r.p) for r in L.partition_by_salt(df, 3).select("row_key", F.spark_partition_id().alias("p")).collect())
+    assert got == {"k": 0, "x": 2}
+
+
+def test_salt_from_row_key(spark):
+    df = spark.createDataFrame([("2abc",), ("10x",)], "row_key string")
+    assert [r.s for r in df.select(L.salt_from_row_key().alias("s")).collect()] == [2, 1]
+
+
+def test_sort_within_partitions(spark):
+    t = L.sort_within(L.partition_by_salt(E.check_table(spark, SF_SMALL), 3))
+    rows = t.select("salt", "row_key", F.spark_partition_id().alias("p")).collect()
+    for p in range(3):
+        keys = [r.row_key for r in rows if r.p == p]
+        assert keys == sorted(keys, key=lambda s: s.encode())
+
+
+def _written_files(path):
+    return sorted(glob.glob(os.path.join(local_path(path), "salt=*", "*.parquet")))
+
+
+def test_cluster_for_write_files_sorted_one_salt(spark, tmp):
+    t = E.check_table(spark, "/root/testdata/sf0.01")
+    out = tmp("layout")
+    L.cluster_for_write(t, 3, files_per_bucket=4).write.partitionBy("salt").parquet(out)
+    files = _written_files(out)
+    assert len(files) >= 3 * 2
+    total = 0
+    for f in files:
+        keys = pq.read_table(f, columns=["row_key"]).column("row_key").to_pylist()
+        assert keys == sorted(keys, key=lambda s: s.encode()), f
+        salt = int(f.split("salt=")[1].split("/")[0])
+        assert all(k.startswith(str(salt)) for k in keys)
+        total += len(keys)
+    assert total == 15000
+
+
+def test_hot_key_is_spread_over_tasks(spark):
+    # One query key holding a third of all rows must not land in one task.
+    base = FX.check_rows(spark, "/root/testdata/sf0.01")
+    hot = base.withColumn("check_id", F.when(F.col("id").cast("long") % 3 == 0, F.lit("HOT")).otherwise(F.col("check_id")))
+    t = E._keyed(hot, FX.CHECK)
+    laid = L.cluster_for_write(t, 3, files_per_bucket=8)
+    per_task = laid.where(F.col("check_id") == "HOT").groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) > 1
+    assert max(r["count"] for r in per_task) < 5000 / 2
+
+
+def test_dedup_is_partial_aggregate_then_one_shuffle(spark):
+    t = E._keyed(FX.duplicate_rows(spark, SF_SMALL), FX.DUPLICATES)
+    d = L.dedup_in_load(t, FX.DUPLICATES.cols)
+    assert d.count() == t.select("row_key").distinct().count()
+    assert count_exchanges(d) == 1
+
+
+def test_partition_ordinal(spark):
+    df = spark.range(0, 10, 1, 2).select(L.partition_ordinal().alias("o"), F.spark_partition_id().alias("p"))
+    rows = df.collect()
+    for p in (0, 1):
+        assert [r.o for r in rows if r.p == p] == list(range(1, 6))
