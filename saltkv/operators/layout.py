@@ -48,6 +48,17 @@ def sort_within(df: DataFrame, cells: bool = False) -> DataFrame:
     return df.sortWithinPartitions(*keys)
 
 
+def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin an input that arrives in fewer partitions than there are
+    cores (one unsplittable file, one Parquet row group), so the per-row key
+    work is not done by a single task.  A large input already has more splits
+    than cores and passes through unchanged."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def files_per_bucket_for(spark, n: int) -> int:
     """Default tasks per salt: enough for ``spark.sql.shuffle.partitions`` tasks in total."""
     total = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

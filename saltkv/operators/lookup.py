@@ -158,7 +158,8 @@ def batch_lookup(
     Requests whose single key is NULL match nothing (their envelope is an
     error).  ``broadcast_requests=None`` counts the requests and broadcasts
     them when they fit the broadcast threshold; the count also yields the
-    salts asked for, which become a partition filter on the table.
+    salts asked for, which become a partition filter on the table.  Beyond
+    the threshold both sides shuffle on ``(salt, prefix)``.
     """
     spark = table.sparkSession
     key_cols = list(key_cols or spec.query_key)
@@ -177,8 +178,14 @@ def batch_lookup(
     t = table
     if salts is not None and len(salts) < spec.pre_regions:
         t = t.where(F.col("salt").isin(salts) if salts else F.lit(False))
-    right = F.broadcast(req) if broadcast_requests else req
-    m = t.join(right, ["salt", "prefix"], "inner")
+    # The semi join on the distinct keys is pushed by Catalyst below a
+    # latest-wins merge (salt and prefix are its grouping keys), so only the
+    # versions of requested keys are merged; the inner join then fans the
+    # matches out to the requests.
+    keys = req.select("salt", "prefix").distinct()
+    hint = F.broadcast if broadcast_requests else (lambda d: d)
+    matched = t.join(hint(keys), ["salt", "prefix"], "left_semi")
+    m = matched.join(hint(req), ["salt", "prefix"], "inner")
     if exact:
         for c, r in renamed.items():
             m = m.where(F.col(c) == F.coalesce(F.col(r).cast("string"), F.lit(NULL_TEXT)))

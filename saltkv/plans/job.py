@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 from ..functions.keys import add_row_keys
-from ..operators.layout import dedup_in_load
+from ..operators.layout import dedup_in_load, spread_small_input
 from ..session import DEFAULT_CONF, scratch_path
 from ..sources.delimited import COL_SEP, RECORD_SEP, read_batch
 from ..sources.spec import TableSpec, apply_job_conf, load_job_conf, load_spec
@@ -55,16 +55,21 @@ def load_rows(
     exact_partitioner: bool = False,
     bloom_filter: bool = False,
     hash_method: str = "reflect",
+    spread: bool = True,
 ) -> LoadResult:
     """Key, lay out, stage and publish a DataFrame of string rows as one load.
 
     A NULL value means "not written by this load": the column keeps its older
     value when the table is read.  ``dedup=False`` trusts the unique column and
     saves one shuffle.  ``load_ts`` defaults to the wall clock in milliseconds.
+    ``spread`` round-robins an input with fewer partitions than cores before
+    the key work (a shuffle follows anyway; large inputs are never touched).
     """
     ts = int(load_ts) if load_ts is not None else new_load_ts()
     table_dir = table_location(spec, store_root)
     value_cols = [c for c in rows.columns]
+    if spread:
+        rows = spread_small_input(rows)
     keyed = add_row_keys(rows, spec.query_key, spec.uniq_col, spec.pre_regions, hash_method)
     if dedup:
         keyed = dedup_in_load(keyed, value_cols)

@@ -31,13 +31,31 @@ class DelimitedBatch:
     rejected: DataFrame
 
 
+# Characters with a meaning in a Java regex.
+_REGEX_META = ".$|()[]{}^?*+\\"
+
+
 def _regex_literal(sep: str) -> str:
-    """Java-regex quoting of a literal separator (``split`` takes a regex)."""
+    """Java-regex form of a literal separator (``split`` takes a regex).
+
+    A single plain character is passed as is and an escaped metacharacter as
+    two characters: Java's ``String.split`` splits those without running the
+    regex engine.  Anything longer is quoted.
+    """
+    if len(sep) == 1:
+        return "\\" + sep if sep in _REGEX_META else sep
     if "\\E" in sep:
         return "".join("\\" + ch if not ch.isalnum() else ch for ch in sep)
     return "\\Q" + sep + "\\E"
 
 
+def count_fields(value: Column, col_sep: str) -> Column:
+    """Fields of a record when trailing empty fields are kept: separators + 1.
+    A substring count, much cheaper than splitting."""
+    n_sep = (F.length(value) - F.length(F.replace(value, F.lit(col_sep), F.lit("")))) / F.lit(len(col_sep))
+    return (n_sep + 1).cast("int")
+
+
 def split_record(value: Column, col_sep: str, drop_trailing_empty: bool) -> Column:
     """Split one record into its fields.
 
@@ -91,9 +109,13 @@ def parse_records(
         rows = staged.select(*fields)
         rejected = staged.where(F.lit(False)).select("value", size.alias("n_fields"))
         return DelimitedBatch(rows, rejected)
-    ok = size >= n
-    rows = staged.where(ok).select(*[F.get(F.col("__parts"), i).alias(c) for i, c in enumerate(cols)])
-    rejected = staged.where(~ok).select("value", size.alias("n_fields"))
+    nf = count_fields(F.col("value"), col_sep)
+    rows = (
+        records.where(nf >= n)
+        .select(parts.alias("__parts"))
+        .select(*[F.get(F.col("__parts"), i).alias(c) for i, c in enumerate(cols)])
+    )
+    rejected = records.where(nf < n).select("value", nf.alias("n_fields"))
     return DelimitedBatch(rows, rejected)
 
 
