@@ -321,6 +321,13 @@ def q_batch_envelope_opinion(spark, sf_dir):
     return LK.batch_envelope(published_opinion_wide(spark, sf_dir), FX.OPINION, _pair_requests(spark, sf_dir), fields=OPINION_FIELDS)
 
 
+def q_batch_lookup_versions(spark, sf_dir):
+    """Batch lookup on a table of three loads: only requested keys are merged."""
+    d = _published(spark, sf_dir, "check3", FX.CHECK, lambda s, p: FX.check_loads(s, p, 3), via_text=False)
+    t = ST.current(spark, d, [*FX.CHECK.cols, "remarks"])
+    return LK.batch_lookup(t, FX.CHECK, _customer_requests(spark, sf_dir), fields=CHECK_FIELDS)
+
+
 def q_list_tables(spark, sf_dir):
     """Register the published check and opinion tables in a fresh namespace and list it."""
     loc = scratch_path(spark, "ns")
@@ -362,6 +369,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_envelope": q_batch_envelope,
     "batch_lookup_opinion": q_batch_lookup_opinion,
     "batch_envelope_opinion": q_batch_envelope_opinion,
+    "batch_lookup_versions": q_batch_lookup_versions,
     "list_tables": q_list_tables,
 }
 
@@ -560,6 +568,11 @@ ORACLE: dict[str, str] = {
         "CASE WHEN r.check_id IS NULL THEN NULL ELSE coalesce(c.n, 0) END AS n_data "
         "FROM r LEFT JOIN c ON r.check_id = c.check_id"
     ),
+    "batch_lookup_versions": (
+        f"WITH v AS ({_versions_sql(3)}), r AS ({_CUSTOMER_REQS.format(known='CAST(c_custkey AS VARCHAR)')}) "
+        f"SELECT r.req_id, v.row_key, {_fields(CHECK_FIELDS, (*CHECK_COLS, 'remarks'), 'v')} "
+        "FROM r JOIN v ON r.check_id = v.check_id"
+    ),
     "batch_lookup_opinion": (
         f"WITH t AS ({_opinion_keyed(3, OPINION_WIDE_SRC)}), r AS ({_PAIR_REQS}) "
         f"SELECT r.req_id, t.row_key, {_fields(OPINION_FIELDS, OPINION_COLS, 't')} FROM r JOIN t "

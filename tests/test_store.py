@@ -104,3 +104,16 @@ def test_bloom_filter_option(spark, tmp):
     assert opts["parquet.bloom.filter.enabled#prefix"] == "true"
     res = load_rows(spark, FX.CHECK, FX.check_rows(spark, SF_SMALL), tmp("bloom"), load_ts=5, bloom_filter=True)
     assert ST.current(spark, res.table_dir, FX.CHECK.cols).count() > 0
+
+
+def test_batch_lookup_merges_only_requested_keys(spark, three):
+    from saltkv.operators.lookup import batch_lookup
+
+    cur = ST.current(spark, three, COLS)
+    reqs = spark.createDataFrame([("a", "10"), ("b", "11")], "req_id string, check_id string")
+    q = batch_lookup(cur, FX.CHECK, reqs, fields=COLS)
+    txt = plan_text(q)
+    # The semi join sits under the merge aggregate, right above the scan.
+    agg_at = txt.find("SortAggregate")
+    semi_at = txt.find("LeftSemi")
+    assert 0 <= agg_at < semi_at
