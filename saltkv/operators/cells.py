@@ -3,8 +3,10 @@
 A cell is ``(row_key, family, qualifier, value)``.  A cell exists or it does
 not: a NULL column produces no cell, an empty string does.  ``to_cells`` is one
 ``Expand`` (``unpivot``), no shuffle.  ``from_cells`` groups the cells of a row
-key with conditional aggregates; a row has at most one cell per column, so no
-group is larger than the column count.
+key with conditional ``max`` aggregates.  They are combinable, so repeated
+copies of a cell collapse before the shuffle and no group ever holds more
+than one entry per column.  (A ``collect_list`` form measured ~25% faster on
+unique cells but would gather every copy of a repeated cell in one task.)
 """
 
 from __future__ import annotations
