@@ -321,6 +321,21 @@ def q_batch_envelope_opinion(spark, sf_dir):
     return LK.batch_envelope(published_opinion_wide(spark, sf_dir), FX.OPINION, _pair_requests(spark, sf_dir), fields=OPINION_FIELDS)
 
 
+def q_compacted_three_loads(spark, sf_dir):
+    """Loads 1-2, compaction into a base, load 3: reads equal the uncompacted merge."""
+    key = (spark.sparkContext.applicationId, sf_dir, "check3c")
+    if key not in _PUBLISHED:
+        root = scratch_path(spark, "store-check3c")
+        loads = FX.check_loads(spark, sf_dir, 3)
+        for i, d in enumerate(loads[:2]):
+            res = load_rows(spark, FX.CHECK, d, root, load_ts=i + 1)
+        ST.compact(spark, FX.CHECK, res.table_dir, [*FX.CHECK.cols, "remarks"])
+        load_rows(spark, FX.CHECK, loads[2], root, load_ts=3)
+        _PUBLISHED[key] = res.table_dir
+    t = ST.current(spark, _PUBLISHED[key], [*FX.CHECK.cols, "remarks"])
+    return t.select("salt", "prefix", "row_key", *FX.CHECK.cols, "remarks", "load_ts")
+
+
 def q_batch_lookup_versions(spark, sf_dir):
     """Batch lookup on a table of three loads: only requested keys are merged."""
     d = _published(spark, sf_dir, "check3", FX.CHECK, lambda s, p: FX.check_loads(s, p, 3), via_text=False)
@@ -369,6 +384,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_envelope": q_batch_envelope,
     "batch_lookup_opinion": q_batch_lookup_opinion,
     "batch_envelope_opinion": q_batch_envelope_opinion,
+    "compacted_three_loads": q_compacted_three_loads,
     "batch_lookup_versions": q_batch_lookup_versions,
     "list_tables": q_list_tables,
 }
@@ -532,6 +548,7 @@ ORACLE: dict[str, str] = {
     "latest_wins_added_column": _versions_sql(3),
     "load_job": f"SELECT salt, prefix, row_key, {_cols(CHECK_COLS)} FROM ({_check_keyed(3)})",
     "published_three_loads": _versions_sql(3),
+    "compacted_three_loads": _versions_sql(3),
     "lookup_check": (
         f"WITH k AS ({_check_keyed(3)}) SELECT row_key, {_fields(CHECK_FIELDS, CHECK_COLS)} "
         f"FROM k WHERE check_id = ({_TOP_CHECK})"

@@ -2,13 +2,20 @@
 
 ::
 
-    <table>/load_ts=<millis>/salt=<i>/part-*.parquet     (files sorted by row_key)
+    <table>/load_ts=<millis>/salt=<i>/part-*.parquet            (files sorted by row_key)
+    <table>/_base_<T>/load_ts=<T>/salt=<i>/part-*.parquet       (compacted state as of load T)
 
 A load is first written to a staging directory, outside the table, then
 renamed into the table in one file-system call (atomic on HDFS), so a reader
 sees a load entirely or not at all.  Reading uses an explicit schema, so no
 file footer is opened to infer it; ``load_ts`` and ``salt`` come from the
 directory names and are pruned by partition filters.
+
+``compact`` merges every load up to T into one base, published the same way.
+A reader uses the newest base plus the loads after it; before the base's
+rename it merges all loads.  Both give the same rows, so compaction never
+exposes an intermediate state.  Older loads stay on disk (``as_of`` reads
+before a base still work) until removed by the operator of the store.
 """
 
 from __future__ import annotations
@@ -25,6 +32,8 @@ from .spec import TableSpec
 
 KEY_FIELDS = ("prefix", "row_key")
 VERSION = "load_ts"
+BASE_PREFIX = "_base_"
+ROW_VERSION = "__row_load_ts"
 
 
 def table_location(spec: TableSpec, store_root: str | None = None) -> str:
@@ -87,6 +96,23 @@ def list_loads(spark: SparkSession, table_dir: str) -> list[int]:
     return sorted(out)
 
 
+def list_bases(spark: SparkSession, table_dir: str) -> list[int]:
+    """Versions of the compacted bases of a table, oldest first."""
+    fs, p = _fs(spark, table_dir)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(BASE_PREFIX):
+            out.append(int(name[len(BASE_PREFIX):]))
+    return sorted(out)
+
+
+def base_dir(table_dir: str, ts: int) -> str:
+    return f"{table_dir.rstrip('/')}/{BASE_PREFIX}{int(ts)}"
+
+
 # ----------------------------------------------------------------- write side
 
 
@@ -145,22 +171,72 @@ def read_loads(spark: SparkSession, table_dir: str, value_cols, loads: list[int]
     return spark.read.schema(schema).option("basePath", table_dir).parquet(*paths)
 
 
+def read_base(spark: SparkSession, table_dir: str, value_cols, ts: int) -> DataFrame:
+    """A compacted base; each row carries the version it had when merged."""
+    schema = stored_schema(value_cols)
+    fields = list(schema.fields)
+    fields.insert(len(value_cols) + len(KEY_FIELDS), StructField(ROW_VERSION, LongType(), True))
+    d = base_dir(table_dir, ts)
+    df = spark.read.schema(StructType(fields)).option("basePath", d).parquet(f"{d}/{VERSION}={int(ts)}")
+    return df.withColumn(VERSION, F.coalesce(F.col(ROW_VERSION), F.col(VERSION))).drop(ROW_VERSION)
+
+
 def current(spark: SparkSession, table_dir: str, value_cols, as_of: int | None = None) -> DataFrame:
     """The table as a reader sees it: per row key and column, the newest value.
 
-    With a single load the merge is skipped (no shuffle).  ``as_of`` reads the
-    table as it was when that load was the newest.
+    Reads the newest compacted base (if any, and not newer than ``as_of``)
+    plus the loads after it.  With a single source the merge is skipped (no
+    shuffle).  ``as_of`` reads the table as it was when that load was newest.
     """
     loads = list_loads(spark, table_dir)
+    bases = list_bases(spark, table_dir)
     if as_of is not None:
         loads = [ts for ts in loads if ts <= as_of]
-    df = read_loads(spark, table_dir, value_cols, loads)
-    cols = [c for c in value_cols]
-    if len(loads) <= 1:
+        bases = [ts for ts in bases if ts <= as_of]
+    cols = list(value_cols)
+    parts = []
+    if bases:
+        b = bases[-1]
+        loads = [ts for ts in loads if ts > b]
+        parts.append(read_base(spark, table_dir, cols, b))
+    if loads or not parts:
+        parts.append(read_loads(spark, table_dir, cols, loads))
+    df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    if len(loads) + (1 if bases else 0) <= 1:
         return df.select("salt", *KEY_FIELDS, *cols, VERSION)
     return latest_wins(df, cols)
 
 
+def compact(spark: SparkSession, spec: TableSpec, table_dir: str, value_cols, up_to: int | None = None,
+            files_per_bucket: int | None = None, stage_dir: str | None = None) -> int | None:
+    """Merge every load up to ``up_to`` (default: the newest) into one base.
+
+    The merge is the same newest-wins aggregate a reader runs; the base is
+    laid out like a load (range clustered, sorted, one salt per file), staged,
+    and renamed into place.  Returns the base version, or ``None`` when there
+    is nothing to compact.
+    """
+    loads = list_loads(spark, table_dir)
+    if up_to is not None:
+        loads = [ts for ts in loads if ts <= up_to]
+    if not loads:
+        return None
+    t = loads[-1]
+    if t in list_bases(spark, table_dir):
+        return t
+    merged = current(spark, table_dir, value_cols, as_of=t)
+    cols = list(value_cols)
+    rows = merged.select(*cols, *KEY_FIELDS, F.col(VERSION).alias(ROW_VERSION), "salt")
+    laid = cluster_for_write(rows, spec.pre_regions, files_per_bucket)
+    if stage_dir is None:
+        from ..session import scratch_path
+
+        stage_dir = scratch_path(spark, f"stage-base-{spec.table_name}-{t}")
+    stage_load(laid, stage_dir)
+    rename(spark, stage_dir, f"{base_dir(table_dir, t)}/{VERSION}={t}")
+    return t
+
+
 # ----------------------------------------------------------------- catalog
 
 

@@ -117,3 +117,27 @@ def test_batch_lookup_merges_only_requested_keys(spark, three):
     agg_at = txt.find("SortAggregate")
     semi_at = txt.find("LeftSemi")
     assert 0 <= agg_at < semi_at
+
+
+def test_compaction_keeps_reads_equal(spark, tmp):
+    root = tmp("compact")
+    loads = FX.check_loads(spark, SF_SMALL, 3)
+    # Load 1 is written without the remarks column at all.
+    res = load_rows(spark, FX.CHECK, loads[0].drop("remarks"), root, load_ts=1)
+    load_rows(spark, FX.CHECK, loads[1], root, load_ts=2)
+    d = res.table_dir
+    before2 = sorted(map(tuple, ST.current(spark, d, COLS).collect()))
+    assert ST.compact(spark, FX.CHECK, d, COLS) == 2
+    assert ST.list_bases(spark, d) == [2] and ST.list_loads(spark, d) == [1, 2]
+    after2 = ST.current(spark, d, COLS)
+    assert "Exchange" not in plan_text(after2)  # one base, nothing to merge
+    assert sorted(map(tuple, after2.collect())) == before2
+    load_rows(spark, FX.CHECK, loads[2], root, load_ts=3)
+    ref = tmp("nocompact")
+    for i, x in enumerate(loads):
+        load_rows(spark, FX.CHECK, x, ref, load_ts=i + 1)
+    want = sorted(map(tuple, ST.current(spark, ST.table_location(FX.CHECK, ref), COLS).collect()))
+    assert sorted(map(tuple, ST.current(spark, d, COLS).collect())) == want
+    # Reading as of load 1 ignores the base.
+    assert ST.current(spark, d, COLS, as_of=1).where(F.col("load_ts") > 1).count() == 0
+    assert ST.compact(spark, FX.CHECK, d, COLS, up_to=2) == 2  # already compacted
