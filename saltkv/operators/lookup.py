@@ -43,6 +43,14 @@ ENVELOPE_FIELDS = ("rtn_sts", "rtn_code", "rtn_msg", "sys_code")
 
 INTERNAL = ("salt", "prefix", "row_key", "load_ts")
 
+# Largest answer gathered into one ``data`` array (nested replies only); a
+# larger answer raises and must be read through the flat forms.
+MAX_NESTED_ROWS = 100_000
+
+
+class AnswerTooLargeError(ValueError):
+    """A nested reply would gather more rows into one array than allowed."""
+
 
 class UnknownColumnError(ValueError):
     """The table stores a column the result schema does not have."""
@@ -205,14 +213,16 @@ def batch_envelope(
     fields: Sequence[str] | None = None,
     exact: bool = False,
     nested: bool = False,
+    max_rows: int = MAX_NESTED_ROWS,
 ) -> DataFrame:
     """Response header per request: ``req_id, rtn_sts, rtn_code, rtn_msg,
     sys_code, n_data`` (``n_data`` NULL on error), plus ``data`` if ``nested``.
 
     ``req_id`` must be unique.  A NULL single key, or a table column outside
     the result schema, gives the error envelope.  ``nested=True`` gathers each
-    request's rows into one array in one task: use it only where every answer
-    is known to be small (it is the shape of a single REST reply).
+    request's rows into one array in one task, the shape of a single REST
+    reply: the per-request counts are computed first and an answer above
+    ``max_rows`` raises instead of being gathered (nothing is truncated).
     """
     key_cols = list(key_cols or spec.query_key)
     fields = list(fields or spec.result_fields() or spec.cols)
@@ -230,6 +240,9 @@ def batch_envelope(
         return out
     flat = batch_lookup(table, spec, requests, req_id, key_cols, fields, exact)
     if nested:
+        biggest = flat.groupBy(req_id).count().agg(F.max("count").alias("m")).first()["m"] or 0
+        if biggest > max_rows:
+            raise AnswerTooLargeError(f"a request matches {biggest} rows (> {max_rows}); use batch_lookup")
         per = flat.groupBy(req_id).agg(
             F.count(F.lit(1)).alias("__n"),
             F.array_sort(F.collect_list(F.struct("row_key", *fields))).alias("__d"),
@@ -249,11 +262,14 @@ def _data_type(fields):
     return "array<struct<" + ",".join(f"`{c}`:string" for c in fields) + ">>"
 
 
-def lookup_response(table: DataFrame, spec: TableSpec, key, fields: Sequence[str] | None = None, exact: bool = False) -> DataFrame:
+def lookup_response(table: DataFrame, spec: TableSpec, key, fields: Sequence[str] | None = None, exact: bool = False,
+                    max_rows: int = MAX_NESTED_ROWS) -> DataFrame:
     """The single-request envelope: one row with ``data`` as an array.
 
     Uses the literal-pruned ``lookup`` for the rows, then nests them (one
-    reply, as a REST lookup returns it).
+    reply, as a REST lookup returns it).  The key's rows are counted first
+    (a pruned scan); more than ``max_rows`` raises rather than gathering
+    them into one array.
     """
     spark = table.sparkSession
     fields = list(fields or spec.result_fields() or spec.cols)
@@ -264,6 +280,9 @@ def lookup_response(table: DataFrame, spec: TableSpec, key, fields: Sequence[str
             *[F.lit(v).alias(n) for n, v in zip(ENVELOPE_FIELDS, ERROR)],
             F.lit(None).cast(_data_type(fields)).alias("data"),
         )
+    n = rows.count()
+    if n > max_rows:
+        raise AnswerTooLargeError(f"key matches {n} rows (> {max_rows}); use lookup")
     # A global aggregate returns exactly one row, also when nothing matches.
     return rows.agg(F.array_sort(F.collect_list(F.struct("row_key", *fields))).alias("d")).select(
         *[F.lit(v).alias(n) for n, v in zip(ENVELOPE_FIELDS, SUCCESS)],

@@ -125,3 +125,13 @@ def test_opinion_lookup(spark):
     one = t.select("buss_no", "business_type").first()
     rows = LK.lookup(t, FX.OPINION, {"buss_no": one.buss_no, "business_type": one.business_type}, OPINION_FIELDS).collect()
     assert rows and all(r.buss_no + r.business_type == one.buss_no + one.business_type for r in rows)
+
+
+def test_nested_replies_refuse_oversized_answers(spark, check, hot):
+    with pytest.raises(LK.AnswerTooLargeError):
+        LK.lookup_response(check, FX.CHECK, hot, CHECK_FIELDS, max_rows=1)
+    reqs = spark.createDataFrame([("a", hot)], "req_id string, check_id string")
+    with pytest.raises(LK.AnswerTooLargeError):
+        LK.batch_envelope(check, FX.CHECK, reqs, fields=CHECK_FIELDS, nested=True, max_rows=1)
+    # the flat forms have no bound
+    assert LK.batch_envelope(check, FX.CHECK, reqs, fields=CHECK_FIELDS).first().n_data > 1
