@@ -59,8 +59,20 @@ def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> Data
     return df.repartition(target)
 
 
-def files_per_bucket_for(spark, n: int) -> int:
-    """Default tasks per salt: enough for ``spark.sql.shuffle.partitions`` tasks in total."""
+# Input bytes per written file when the input size is known (text compresses
+# several-fold into Parquet, so files come out well below this).
+TARGET_INPUT_BYTES_PER_FILE = 512 * 1024 * 1024
+
+
+def files_per_bucket_for(spark, n: int, input_bytes: int | None = None) -> int:
+    """Default tasks per salt.
+
+    With a known input size: enough tasks that each handles about
+    ``TARGET_INPUT_BYTES_PER_FILE``, so file count follows data volume.
+    Otherwise: ``spark.sql.shuffle.partitions`` tasks in total.
+    """
+    if input_bytes is not None:
+        return max(1, math.ceil(input_bytes / TARGET_INPUT_BYTES_PER_FILE / n))
     total = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     return max(1, math.ceil(total / n))
 

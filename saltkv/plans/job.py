@@ -28,10 +28,11 @@ from pyspark.sql import SparkSession
 
 from ..functions.keys import add_row_keys
 from ..operators.layout import dedup_in_load, spread_small_input
-from ..session import DEFAULT_CONF, scratch_path
-from ..sources.delimited import COL_SEP, RECORD_SEP, read_batch
+from ..session import DEFAULT_CONF
+from ..sources.delimited import batch_path, read_batch
 from ..sources.spec import TableSpec, apply_job_conf, load_job_conf, load_spec
-from ..sources.store import layout_for_write, new_load_ts, publish_load, stage_load, table_location
+from ..operators.layout import files_per_bucket_for
+from ..sources.store import input_bytes, layout_for_write, new_load_ts, publish_load, stage_load, staging_dir, table_location
 
 log = logging.getLogger("saltkv.job")
 
@@ -77,7 +78,7 @@ def load_rows(
     if spec.hfile_path_prefix and store_root is None:
         stage_dir = f"{spec.hfile_path_prefix.rstrip('/')}/{ts}"
     else:
-        stage_dir = scratch_path(spark, f"stage-{spec.table_name}-{ts}")
+        stage_dir = staging_dir(table_dir, f"load-{ts}")
     stage_load(laid, stage_dir, bloom_filter)
     load_dir = publish_load(spark, stage_dir, table_dir, ts)
     log.info("published %s as %s", spec.qualified_name, load_dir)
@@ -92,13 +93,19 @@ def load_batch(
     *,
     path: str | None = None,
     mode: str = "permissive",
-    record_sep: str = RECORD_SEP,
-    col_sep: str = COL_SEP,
+    record_sep: str | None = None,
+    col_sep: str | None = None,
     **kw,
 ) -> LoadResult:
     """The load job: read one dated delimited batch and publish it as a load
-    (keyword options as in ``load_rows``)."""
-    batch = read_batch(spark, spec, batch_date, path=path, mode=mode, record_sep=record_sep, col_sep=col_sep)
+    (keyword options as in ``load_rows``).  Unless given, the number of files
+    per salt follows the batch's size on disk."""
+    src = path or batch_path(spec, batch_date)
+    record_sep = record_sep if record_sep is not None else spec.record_sep
+    col_sep = col_sep if col_sep is not None else spec.col_sep
+    batch = read_batch(spark, spec, path=src, mode=mode, record_sep=record_sep, col_sep=col_sep)
+    if kw.get("files_per_bucket") is None:
+        kw["files_per_bucket"] = files_per_bucket_for(spark, spec.pre_regions, input_bytes(spark, src))
     return load_rows(spark, spec, batch.rows, store_root, **kw)
 
 

@@ -131,12 +131,15 @@ def read_batch(
     batch_date: str | None = None,
     path: str | None = None,
     mode: str = "permissive",
-    record_sep: str = RECORD_SEP,
-    col_sep: str = COL_SEP,
+    record_sep: str | None = None,
+    col_sep: str | None = None,
 ) -> DelimitedBatch:
-    """Read one dated batch of a table (``path`` overrides the dated path)."""
+    """Read one dated batch of a table (``path`` overrides the dated path;
+    separators default to the table description's)."""
     p = path or batch_path(spec, batch_date)
-    return parse_records(read_text_records(spark, p, record_sep), spec.cols, col_sep, mode)
+    rs = record_sep if record_sep is not None else spec.record_sep
+    cs = col_sep if col_sep is not None else spec.col_sep
+    return parse_records(read_text_records(spark, p, rs), spec.cols, cs, mode)
 
 
 def to_record(df: DataFrame, cols, col_sep: str = COL_SEP, null_as: str = "", check: bool = True) -> Column:

@@ -16,7 +16,8 @@ A table is described by a Java-style ``.properties`` file::
 string.  ``queryKey`` lists the columns whose concatenation is hashed into the
 row key; ``uniqCol`` is appended to make the key unique.  The optional
 ``tablePath`` names the directory of the published table (default:
-``<store root>/<namespace>/<tableName>``).
+``<store root>/<namespace>/<tableName>``); ``recordSepHex`` and ``colSepHex``
+override the separators (hex bytes, default ``10`` and ``01``).
 """
 
 from __future__ import annotations
@@ -72,6 +73,8 @@ class TableSpec:
     input_path_prefix: str | None = None
     hfile_path_prefix: str | None = None
     table_path: str | None = None
+    record_sep: str = hex_to_text(RECORD_SEP_HEX)
+    col_sep: str = hex_to_text(COL_SEP_HEX)
     extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     def __post_init__(self):
@@ -103,6 +106,15 @@ class TableSpec:
     def result_fields(self) -> tuple[str, ...] | None:
         return RESULT_FIELDS.get(self.table_name)
 
+    def row_key_of(self, parts, n: int | None = None) -> str:
+        """Row key of one parsed record (fields in ``cols`` order), in Python.
+        ``n`` overrides the number of salts (e.g. a fixed modulus of 10)."""
+        from ..functions.keys import query_key_py, row_key_py
+
+        idx = self.column_index()
+        qk = query_key_py(parts[idx[c]] for c in self.query_key)
+        return row_key_py(qk, str(parts[idx[self.uniq_col]]), n or self.pre_regions)
+
     def with_(self, **changes) -> "TableSpec":
         d = {k: getattr(self, k) for k in self.__dataclass_fields__}
         d.update(changes)
@@ -134,7 +146,7 @@ def spec_from_properties(props: dict[str, str]) -> TableSpec:
     missing = [k for k in _REQUIRED if props.get(k) in (None, "")]
     if missing:
         raise ValueError(f"table description lacks {missing}")
-    known = set(_REQUIRED) | {"cf", "inputPathPrefix", "hfilePathPrefix", "tablePath"}
+    known = set(_REQUIRED) | {"cf", "inputPathPrefix", "hfilePathPrefix", "tablePath", "recordSepHex", "colSepHex"}
     return TableSpec(
         table_name=props["tableName"],
         namespace=props["namespace"],
@@ -146,6 +158,8 @@ def spec_from_properties(props: dict[str, str]) -> TableSpec:
         input_path_prefix=props.get("inputPathPrefix") or None,
         hfile_path_prefix=props.get("hfilePathPrefix") or None,
         table_path=props.get("tablePath") or None,
+        record_sep=hex_to_text(props.get("recordSepHex") or RECORD_SEP_HEX),
+        col_sep=hex_to_text(props.get("colSepHex") or COL_SEP_HEX),
         extra={k: v for k, v in props.items() if k not in known},
     )
 

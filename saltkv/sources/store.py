@@ -21,6 +21,7 @@ before a base still work) until removed by the operator of the store.
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,6 +114,19 @@ def base_dir(table_dir: str, ts: int) -> str:
     return f"{table_dir.rstrip('/')}/{BASE_PREFIX}{int(ts)}"
 
 
+def staging_dir(table_dir: str, name: str) -> str:
+    """A fresh staging directory inside the table's hidden ``_staging`` folder:
+    on the table's own file system, so the publishing rename never crosses
+    file systems, and skipped by every reader (leading underscore)."""
+    return f"{table_dir.rstrip('/')}/_staging/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes stored under ``path`` (one metadata call, no data read)."""
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
 # ----------------------------------------------------------------- write side
 
 
@@ -228,10 +242,7 @@ def compact(spark: SparkSession, spec: TableSpec, table_dir: str, value_cols, up
     cols = list(value_cols)
     rows = merged.select(*cols, *KEY_FIELDS, F.col(VERSION).alias(ROW_VERSION), "salt")
     laid = cluster_for_write(rows, spec.pre_regions, files_per_bucket)
-    if stage_dir is None:
-        from ..session import scratch_path
-
-        stage_dir = scratch_path(spark, f"stage-base-{spec.table_name}-{t}")
+    stage_dir = stage_dir or staging_dir(table_dir, f"base-{t}")
     stage_load(laid, stage_dir)
     rename(spark, stage_dir, f"{base_dir(table_dir, t)}/{VERSION}={t}")
     return t

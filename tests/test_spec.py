@@ -49,3 +49,25 @@ def test_bad_specs():
 def test_hex_separators():
     assert S.hex_to_text("10") == "\x10"
     assert S.hex_to_text("01") == "\x01"
+
+
+def test_separators_from_hex_properties():
+    base = dict(tableName="t", namespace="n", uniqCol="id", preRegions="3", queryKey="k", cols="id,k")
+    sp = S.spec_from_properties(base)
+    assert (sp.record_sep, sp.col_sep) == ("\x10", "\x01")
+    sp = S.spec_from_properties({**base, "recordSepHex": "0a", "colSepHex": "7c"})
+    assert (sp.record_sep, sp.col_sep) == ("\n", "|")
+
+
+def test_row_key_of_a_record(spark):
+    from pyspark.sql import functions as F
+
+    from saltkv.functions.keys import add_row_keys
+
+    sp = S.load_spec(os.path.join(CONF, "opinion.properties"))
+    parts = ["7-1", "7", "user", "text"]
+    for n in (3, 10):
+        df = spark.createDataFrame([tuple(parts)], sp.schema)
+        want = add_row_keys(df, sp.query_key, sp.uniq_col, n).first().row_key
+        assert sp.row_key_of(parts, n) == want
+    assert sp.row_key_of(parts).startswith(str(sp.row_key_of(parts)[0]))

@@ -141,3 +141,28 @@ def test_compaction_keeps_reads_equal(spark, tmp):
     # Reading as of load 1 ignores the base.
     assert ST.current(spark, d, COLS, as_of=1).where(F.col("load_ts") > 1).count() == 0
     assert ST.compact(spark, FX.CHECK, d, COLS, up_to=2) == 2  # already compacted
+
+
+def test_published_files_sorted_one_salt_and_staging_gone(spark, tmp):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    root = tmp("files")
+    res = load_rows(spark, FX.CHECK, FX.check_rows(spark, "/root/testdata/sf0.01"), root, load_ts=9, files_per_bucket=3)
+    files = sorted(glob.glob(os.path.join(local_path(res.load_dir), "salt=*", "*.parquet")))
+    assert len(files) >= 6
+    for f in files:
+        keys = pq.read_table(f, columns=["row_key"]).column("row_key").to_pylist()
+        assert keys == sorted(keys, key=lambda k: k.encode())
+        assert {k[0] for k in keys} == {f.split("salt=")[1][0]}
+    staging = os.path.join(local_path(res.table_dir), "_staging")
+    assert os.path.isdir(staging) and os.listdir(staging) == []
+
+
+def test_files_follow_input_size(spark):
+    from saltkv.operators.layout import TARGET_INPUT_BYTES_PER_FILE, files_per_bucket_for
+
+    assert files_per_bucket_for(spark, 3, 0) == 1
+    assert files_per_bucket_for(spark, 3, 10 * TARGET_INPUT_BYTES_PER_FILE) == 4
+    assert files_per_bucket_for(spark, 3) == 3  # 8 shuffle partitions in tests
