@@ -8,8 +8,15 @@ recomputed there with a DuckDB form of Java's string hash.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
+# The package lives next to this file; make it importable from any cwd.
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

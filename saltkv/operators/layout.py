@@ -80,12 +80,19 @@ def files_per_bucket_for(spark, n: int, input_bytes: int | None = None) -> int:
 def cluster_for_write(df: DataFrame, n: int, files_per_bucket: int | None = None, cells: bool = False) -> DataFrame:
     """Range-partition on ``(salt, row_key)`` and sort each partition.
 
-    With ``files_per_bucket=1`` and small salts this is close to the exact salt
-    partitioner; larger values split every salt over that many tasks.
+    ``files_per_bucket=k`` fixes ``n * k`` ranges (the load job derives ``k``
+    from the batch's size on disk).  Without it the range exchange uses
+    ``spark.sql.shuffle.partitions`` ranges and AQE merges adjacent small
+    ones up to the advisory partition size, so file count follows data
+    volume; merged ranges stay contiguous, so every file is still one sorted
+    key range.
     """
-    k = files_per_bucket or files_per_bucket_for(df.sparkSession, n)
     keys = ["salt", "row_key"] + (["qualifier"] if cells else [])
-    return df.repartitionByRange(n * k, *keys).sortWithinPartitions(*keys)
+    if files_per_bucket:
+        out = df.repartitionByRange(n * files_per_bucket, *keys)
+    else:
+        out = df.repartitionByRange(*keys)
+    return out.sortWithinPartitions(*keys)
 
 
 def dedup_in_load(df: DataFrame, value_cols, keys=KEY_COLS) -> DataFrame:
