@@ -309,6 +309,14 @@ def q_batch_envelope(spark, sf_dir):
     return LK.batch_envelope(published_check(spark, sf_dir), FX.CHECK, reqs, fields=CHECK_FIELDS)
 
 
+def q_envelope_unknown_cells(spark, sf_dir):
+    """A stored column outside the result schema, written for every 4th order:
+    a request fails only when one of its matched rows holds that cell."""
+    t = check_table(spark, sf_dir)
+    t = t.withColumn("legacy_flag", F.when(F.col("id").cast("long") % 4 == 0, F.lit("x")))
+    return LK.batch_envelope(t, FX.CHECK, _customer_requests(spark, sf_dir), fields=CHECK_FIELDS)
+
+
 def _pair_requests(spark, sf_dir):
     e = FX.read(spark, sf_dir, "events")
     pairs = e.select(F.col("user_id").cast("string").alias("buss_no"), F.col("event_type").alias("business_type")).distinct()
@@ -389,6 +397,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_limit": q_scan_limit,
     "batch_lookup": q_batch_lookup,
     "batch_envelope": q_batch_envelope,
+    "envelope_unknown_cells": q_envelope_unknown_cells,
     "batch_lookup_opinion": q_batch_lookup_opinion,
     "batch_envelope_opinion": q_batch_envelope_opinion,
     "compacted_three_loads": q_compacted_three_loads,
@@ -597,6 +606,14 @@ ORACLE: dict[str, str] = {
         f"SELECT r.req_id, v.row_key, {_fields(CHECK_FIELDS, (*CHECK_COLS, 'remarks'), 'v')} "
         "FROM r JOIN v ON r.check_id = v.check_id"
     ),
+    "envelope_unknown_cells": (
+        f"WITH k AS ({_check_keyed(3)}), r AS ({_CUSTOMER_REQS.format(known='CAST(c_custkey AS VARCHAR)')}), "
+        "c AS (SELECT check_id, count(*) AS n, max(CASE WHEN CAST(id AS BIGINT) % 4 = 0 THEN 1 ELSE 0 END) AS u "
+        "FROM k GROUP BY check_id) "
+        f"SELECT r.req_id, {_envelope_sql('coalesce(c.u, 0) = 1')}, "
+        "CASE WHEN coalesce(c.u, 0) = 1 THEN NULL ELSE coalesce(c.n, 0) END AS n_data "
+        "FROM r LEFT JOIN c ON r.check_id = c.check_id"
+    ),
     "batch_lookup_opinion": (
         f"WITH t AS ({_opinion_keyed(3, OPINION_WIDE_SRC)}), r AS ({_PAIR_REQS}) "
         f"SELECT r.req_id, t.row_key, {_fields(OPINION_FIELDS, OPINION_COLS, 't')} FROM r JOIN t "

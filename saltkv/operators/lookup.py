@@ -70,6 +70,19 @@ def check_fields(df: DataFrame, fields: Sequence[str]) -> None:
         raise UnknownColumnError(f"stored columns outside the result schema: {unknown}")
 
 
+def unknown_columns(df: DataFrame, fields: Sequence[str]) -> list[str]:
+    return [c for c in _value_columns(df) if c not in fields]
+
+
+def unknown_cell_flag(df: DataFrame, fields: Sequence[str]):
+    """True for a row holding a cell (a non-NULL value) in a column outside
+    ``fields``: the rows a fixed-schema reader cannot assemble."""
+    flag = F.lit(False)
+    for c in unknown_columns(df, fields):
+        flag = flag | F.col(c).isNotNull()
+    return flag
+
+
 def project_fields(df: DataFrame, fields: Sequence[str], keep: Sequence[str] = (), check: bool = True) -> DataFrame:
     """Fixed-schema projection: a stored column fills its field, a field never
     written is NULL, a stored column without a field raises before any job."""
@@ -160,6 +173,7 @@ def batch_lookup(
     fields: Sequence[str] | None = None,
     exact: bool = False,
     broadcast_requests: bool | None = None,
+    flag_unknown: bool = False,
 ) -> DataFrame:
     """One row per (request, matching table row): ``req_id, row_key, fields…``.
 
@@ -168,11 +182,15 @@ def batch_lookup(
     them when they fit the broadcast threshold; the count also yields the
     salts asked for, which become a partition filter on the table.  Beyond
     the threshold both sides shuffle on ``(salt, prefix)``.
+
+    A stored column outside ``fields`` raises, unless ``flag_unknown``: then
+    the output gets ``__unknown_cell`` (the row holds a value in such a column).
     """
     spark = table.sparkSession
     key_cols = list(key_cols or spec.query_key)
     fields = list(fields or spec.result_fields() or spec.cols)
-    check_fields(table, fields)
+    if not flag_unknown:
+        check_fields(table, fields)
     renamed = {c: f"__req_{i}" for i, c in enumerate(key_cols)}
     req = request_keys(requests.select(req_id, *key_cols), spec, key_cols)
     req = req.where(~F.col("__bad")).select(req_id, "salt", "prefix", *[F.col(c).alias(r) for c, r in renamed.items()])
@@ -197,7 +215,11 @@ def batch_lookup(
     if exact:
         for c, r in renamed.items():
             m = m.where(F.col(c) == F.coalesce(F.col(r).cast("string"), F.lit(NULL_TEXT)))
-    return project_fields(m, fields, keep=[req_id, "row_key"], check=False)
+    keep = [req_id, "row_key"]
+    if flag_unknown:
+        m = m.withColumn("__unknown_cell", unknown_cell_flag(table, fields))
+        keep.append("__unknown_cell")
+    return project_fields(m, fields, keep=keep, check=False)
 
 
 def _envelope_cols(ok) -> list:
@@ -218,39 +240,29 @@ def batch_envelope(
     """Response header per request: ``req_id, rtn_sts, rtn_code, rtn_msg,
     sys_code, n_data`` (``n_data`` NULL on error), plus ``data`` if ``nested``.
 
-    ``req_id`` must be unique.  A NULL single key, or a table column outside
-    the result schema, gives the error envelope.  ``nested=True`` gathers each
+    ``req_id`` must be unique.  A NULL single key, or a matched row holding a
+    value in a column outside the result schema, gives the error envelope
+    (a request that matches nothing is a success with no rows).  ``nested=True`` gathers each
     request's rows into one array in one task, the shape of a single REST
     reply: the per-request counts are computed first and an answer above
     ``max_rows`` raises instead of being gathered (nothing is truncated).
     """
     key_cols = list(key_cols or spec.query_key)
     fields = list(fields or spec.result_fields() or spec.cols)
-    try:
-        check_fields(table, fields)
-        schema_ok = True
-    except UnknownColumnError:
-        schema_ok = False
     bad = F.col(key_cols[0]).isNull() if len(key_cols) == 1 else F.lit(False)
     head = requests.select(req_id, bad.alias("__bad"))
-    if not schema_ok:
-        out = head.select(req_id, *_envelope_cols(F.lit(False)), F.lit(None).cast("long").alias("n_data"))
-        if nested:
-            out = out.withColumn("data", F.lit(None).cast(_data_type(fields)))
-        return out
-    flat = batch_lookup(table, spec, requests, req_id, key_cols, fields, exact)
+    flat = batch_lookup(table, spec, requests, req_id, key_cols, fields, exact, flag_unknown=True)
+    counts = [F.count(F.lit(1)).alias("__n"), F.max(F.col("__unknown_cell").cast("int")).alias("__u")]
     if nested:
         biggest = flat.groupBy(req_id).count().agg(F.max("count").alias("m")).first()["m"] or 0
         if biggest > max_rows:
             raise AnswerTooLargeError(f"a request matches {biggest} rows (> {max_rows}); use batch_lookup")
-        per = flat.groupBy(req_id).agg(
-            F.count(F.lit(1)).alias("__n"),
-            F.array_sort(F.collect_list(F.struct("row_key", *fields))).alias("__d"),
-        )
-    else:
-        per = flat.groupBy(req_id).agg(F.count(F.lit(1)).alias("__n"))
+        counts.append(F.array_sort(F.collect_list(F.struct("row_key", *fields))).alias("__d"))
+    per = flat.groupBy(req_id).agg(*counts)
     j = head.join(per, req_id, "left")
-    ok = ~F.col("__bad")
+    # An error: a NULL single key, or a matched row holding a cell the result
+    # schema has no field for.
+    ok = ~F.col("__bad") & (F.coalesce(F.col("__u"), F.lit(0)) == 0)
     cols = [req_id, *_envelope_cols(ok), F.when(ok, F.coalesce(F.col("__n"), F.lit(0))).cast("long").alias("n_data")]
     if nested:
         data = F.transform(F.coalesce(F.col("__d"), F.array()), lambda x: F.struct(*[x[c].alias(c) for c in fields]))
@@ -273,13 +285,22 @@ def lookup_response(table: DataFrame, spec: TableSpec, key, fields: Sequence[str
     """
     spark = table.sparkSession
     fields = list(fields or spec.result_fields() or spec.cols)
+    error = spark.range(1).select(
+        *[F.lit(v).alias(n) for n, v in zip(ENVELOPE_FIELDS, ERROR)],
+        F.lit(None).cast(_data_type(fields)).alias("data"),
+    )
     try:
-        rows = lookup(table, spec, key, fields, exact, keep_row_key=True)
-    except (NullKeyError, UnknownColumnError):
-        return spark.range(1).select(
-            *[F.lit(v).alias(n) for n, v in zip(ENVELOPE_FIELDS, ERROR)],
-            F.lit(None).cast(_data_type(fields)).alias("data"),
-        )
+        key_literals(spec, key)
+    except NullKeyError:
+        return error
+    unknown = unknown_columns(table, fields)
+    if unknown:
+        flagged = table.withColumn("__unknown_cell", unknown_cell_flag(table, fields)).drop(*unknown)
+        probe = lookup(flagged, spec, key, [*fields, "__unknown_cell"], exact, keep_row_key=True)
+        if probe.where(F.col("__unknown_cell")).limit(1).count():
+            return error
+        table = table.drop(*unknown)
+    rows = lookup(table, spec, key, fields, exact, keep_row_key=True)
     n = rows.count()
     if n > max_rows:
         raise AnswerTooLargeError(f"key matches {n} rows (> {max_rows}); use lookup")

@@ -55,11 +55,21 @@ def test_response_nests_rows(spark, check, hot):
 
 
 def test_unknown_stored_column(spark, check, hot):
+    odd = check.withColumn("surprise", F.lit("x"))
     with pytest.raises(LK.UnknownColumnError):
-        LK.lookup(check.withColumn("surprise", F.lit("x")), FX.CHECK, hot, CHECK_FIELDS)
-    env = LK.batch_envelope(check.withColumn("surprise", F.lit("x")), FX.CHECK,
-                            spark.createDataFrame([("r1", hot)], "req_id string, check_id string"), fields=CHECK_FIELDS)
-    assert [tuple(r) for r in env.collect()] == [("r1", "E", "-1", LK.ERROR[2], "475", None)]
+        LK.lookup(odd, FX.CHECK, hot, CHECK_FIELDS)
+    reqs = spark.createDataFrame([("r1", hot), ("r2", "no-such-key")], "req_id string, check_id string")
+    env = {r.req_id: tuple(r) for r in LK.batch_envelope(odd, FX.CHECK, reqs, fields=CHECK_FIELDS).collect()}
+    # A matched row holding the unknown cell fails; a request matching nothing succeeds empty.
+    assert env["r1"] == ("r1", "E", "-1", LK.ERROR[2], "475", None)
+    assert env["r2"] == ("r2", "S", "0", LK.SUCCESS[2], "475", 0)
+    # A column that exists but holds no cell (NULL) is no error.
+    empty = check.withColumn("surprise", F.lit(None).cast("string"))
+    assert LK.batch_envelope(empty, FX.CHECK, reqs, fields=CHECK_FIELDS).where("rtn_sts = 'E'").count() == 0
+    assert LK.lookup_response(odd, FX.CHECK, hot, CHECK_FIELDS).first().rtn_sts == "E"
+    assert LK.lookup_response(odd, FX.CHECK, "no-such-key", CHECK_FIELDS).first().rtn_sts == "S"
+    r = LK.lookup_response(empty, FX.CHECK, hot, CHECK_FIELDS).first()
+    assert r.rtn_sts == "S" and len(r.data) > 0
 
 
 def test_composite_collision_and_exact(spark):
