@@ -1,9 +1,10 @@
 """Session helpers: a configured SparkSession and the shared work folder.
 
-Everything this library writes outside a user-given path (staged loads,
-lineage cuts, scratch tables of the registered queries) goes below the
-folder the cluster names in ``spark.checkpoint.dir``: a shared file system
-that survives the loss of any executor.  A machine-local temporary folder is
+Everything this library writes outside a table's own directory (the input
+batches and stores that the registered queries and the bench build from the
+driver's tables) goes below the folder the cluster names in
+``spark.checkpoint.dir``: a shared file system that survives the loss of any
+executor.  Loads are staged inside their table (``_staging``).  A machine-local temporary folder is
 used only when that setting is absent *and* Spark runs in local mode, as in
 tests; on a cluster a missing setting is an error.
 """
@@ -54,9 +55,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path below the shared folder."""
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def cut_lineage(df):
-    """Reliable checkpoint (written to the shared folder), never a local one."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)

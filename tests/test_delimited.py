@@ -92,3 +92,32 @@ def test_export_refuses_separator_in_value(spark, tmp):
     df2 = spark.createDataFrame([("1", f"x{R}y", "z")], "a string, b string, c string")
     with pytest.raises(Exception, match="record separator"):
         D.write_delimited(df2, tmp("bad2"))
+
+
+def _java_split(s: str, sep: str) -> list[str]:
+    """Java String.split(literal, 0): split, then drop trailing empty strings;
+    an input without any separator is returned whole (also when empty)."""
+    if sep not in s:
+        return [s]
+    parts = s.split(sep)
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def test_failfast_split_equals_java_split_on_random_records(spark):
+    import random
+
+    rnd = random.Random(11)
+    atoms = [C, C, "", "a", "中", "😀", "\n", " ", "xy", "\x10x"[1:]]
+    records = ["".join(rnd.choice(atoms) for _ in range(rnd.randint(0, 8))) for _ in range(400)]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(records)], "i int, value string")
+    got = dict(df.select("i", D.split_record(F.col("value"), C, True).alias("p")).collect())
+    for i, r in enumerate(records):
+        assert got[i] == _java_split(r, C), repr(r)
+    # permissive keeps every field: exactly Python's split
+    keep = dict(df.select("i", D.split_record(F.col("value"), C, False).alias("p")).collect())
+    counts = dict(df.select("i", D.count_fields(F.col("value"), C).alias("n")).collect())
+    for i, r in enumerate(records):
+        assert keep[i] == r.split(C)
+        assert counts[i] == len(r.split(C))
