@@ -32,7 +32,7 @@ from ..session import DEFAULT_CONF
 from ..sources.delimited import batch_path, read_batch
 from ..sources.spec import TableSpec, apply_job_conf, load_job_conf, load_spec
 from ..operators.layout import files_per_bucket_for
-from ..sources.store import input_bytes, layout_for_write, new_load_ts, publish_load, stage_load, staging_dir, table_location
+from ..sources.store import compact, input_bytes, layout_for_write, new_load_ts, publish_load, stage_load, staging_dir, table_location
 
 log = logging.getLogger("saltkv.job")
 
@@ -42,6 +42,8 @@ class LoadResult:
     table_dir: str
     load_ts: int
     load_dir: str
+    # Records the permissive parse set aside (lazy: no job runs unless used).
+    rejected: object = None
 
 
 def load_rows(
@@ -106,11 +108,21 @@ def load_batch(
     batch = read_batch(spark, spec, path=src, mode=mode, record_sep=record_sep, col_sep=col_sep)
     if kw.get("files_per_bucket") is None:
         kw["files_per_bucket"] = files_per_bucket_for(spark, spec.pre_regions, input_bytes(spark, src))
-    return load_rows(spark, spec, batch.rows, store_root, **kw)
+    res = load_rows(spark, spec, batch.rows, store_root, **kw)
+    res.rejected = batch.rejected
+    return res
+
+
+def compact_table(spark: SparkSession, spec: TableSpec, batch_date: str | None = None, store_root: str | None = None, **kw):
+    """Maintenance job: merge every published load into one base (see
+    ``sources.store.compact``).  ``batch_date`` is not used."""
+    table_dir = table_location(spec, store_root)
+    value_cols = kw.pop("value_cols", None) or list(spec.cols)
+    return compact(spark, spec, table_dir, value_cols, files_per_bucket=kw.get("files_per_bucket"))
 
 
 # Jobs runnable by name from the command line.
-JOBS = {"load": load_batch}
+JOBS = {"load": load_batch, "compact": compact_table}
 
 
 def run_job(spark: SparkSession, name: str, spec: TableSpec, batch_date: str, **kw):
@@ -145,12 +157,16 @@ def main(argv: list[str] | None = None) -> int:
     builder = apply_job_conf(builder, {**DEFAULT_CONF, **conf})
     spark = builder.getOrCreate()
     try:
-        res = run_job(
-            spark, args.job, spec, args.batch_date,
-            store_root=args.store_root, path=args.input, mode=args.mode,
-            dedup=not args.no_dedup, files_per_bucket=args.files_per_bucket, load_ts=args.load_ts,
-        )
-        print(res.load_dir)
+        if args.job == "load":
+            res = run_job(
+                spark, args.job, spec, args.batch_date,
+                store_root=args.store_root, path=args.input, mode=args.mode,
+                dedup=not args.no_dedup, files_per_bucket=args.files_per_bucket, load_ts=args.load_ts,
+            )
+            print(res.load_dir)
+        else:
+            print(run_job(spark, args.job, spec, args.batch_date, store_root=args.store_root,
+                          files_per_bucket=args.files_per_bucket))
         return 0
     except Exception:  # noqa: BLE001 - any failure ends the job with status 1
         log.exception("job %s failed for %s %s", args.job, args.table, args.batch_date)

@@ -30,6 +30,22 @@ def test_command_line_load(spark, tmp):
     load_dir = os.path.join(local_path(store), "keyspace", "check", "load_ts=7")
     assert os.path.isdir(os.path.join(load_dir, "salt=0"))
     assert spark.read.parquet(load_dir).count() == FX.check_rows(spark, SF_SMALL).count()
+    p = _run(["-", "compact", "check", "--conf-dir", conf, "--store-root", store, "--master", "local[2]"])
+    assert p.returncode == 0, p.stderr[-2000:]
+    assert os.path.isdir(os.path.join(local_path(store), "keyspace", "check", "_base_7", "load_ts=7"))
+
+
+def test_rejected_records_are_reported(spark, tmp):
+    from saltkv.plans.job import load_batch
+
+    inp = tmp("in-rej")
+    os.makedirs(local_path(inp))
+    with open(os.path.join(local_path(inp), "part-0"), "w") as fh:
+        fh.write("1\x01a\x01x\x01y\x01z\x102\x01b\x10")
+    spec = FX.CHECK.with_(input_path_prefix=None)
+    res = load_batch(spark, spec, path=inp, store_root=tmp("st-rej"), load_ts=1)
+    assert [tuple(r) for r in res.rejected.collect()] == [("2\x01b", 2)]
+    assert spark.read.parquet(res.load_dir).count() == 1
 
 
 def test_command_line_failure_exit_code(tmp):
