@@ -153,14 +153,19 @@ def request_keys(requests: DataFrame, spec: TableSpec, key_cols: Sequence[str] |
     )
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+
+
+def _bytes(text: str) -> int:
+    t = text.strip().lower()
+    num = t.rstrip("kmgb")
+    return int(float(num) * _UNITS[t[len(num):]])
+
+
 def _broadcast_bound(spark: SparkSession, row_bytes: int = 128) -> int:
     """Largest request count that is broadcast: the broadcast byte threshold
-    divided by a generous per-request size."""
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        limit = int(raw)
-    except ValueError:
-        limit = 10485760
+    (``-1`` disables broadcasting) divided by a generous per-request size."""
+    limit = _bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
     return max(0, limit // row_bytes)
 
 
@@ -241,11 +246,13 @@ def batch_envelope(
     sys_code, n_data`` (``n_data`` NULL on error), plus ``data`` if ``nested``.
 
     ``req_id`` must be unique.  A NULL single key, or a matched row holding a
-    value in a column outside the result schema, gives the error envelope
-    (a request that matches nothing is a success with no rows).  ``nested=True`` gathers each
-    request's rows into one array in one task, the shape of a single REST
-    reply: the per-request counts are computed first and an answer above
-    ``max_rows`` raises instead of being gathered (nothing is truncated).
+    value in a column outside the result schema, gives the error envelope (a
+    request that matches nothing is a success with no rows).
+
+    ``nested=True`` gathers each request's rows into one array in one task,
+    the shape of a single REST reply: the per-request counts are computed
+    first and an answer above ``max_rows`` raises instead of being gathered
+    (nothing is truncated).
     """
     key_cols = list(key_cols or spec.query_key)
     fields = list(fields or spec.result_fields() or spec.cols)

@@ -145,3 +145,14 @@ def test_nested_replies_refuse_oversized_answers(spark, check, hot):
         LK.batch_envelope(check, FX.CHECK, reqs, fields=CHECK_FIELDS, nested=True, max_rows=1)
     # the flat forms have no bound
     assert LK.batch_envelope(check, FX.CHECK, reqs, fields=CHECK_FIELDS).first().n_data > 1
+
+
+def test_scan_range_two_digit_salts_equals_brute_force(spark):
+    spec = FX.CHECK.with_(pre_regions=12)
+    t = E._keyed(FX.check_rows(spark, SF_SMALL), spec)
+    for start, stop in (("03", "11"), ("10", "11f"), (None, "02"), ("11", None), ("0a", "0b")):
+        got = sorted(r.row_key for r in LK.scan_range(t, spec, start, stop, ["id"]).collect())
+        want = sorted(r.row_key for r in t.collect() if (start is None or r.row_key >= start) and (stop is None or r.row_key < stop))
+        assert got == want, (start, stop)
+    assert {r.salt for r in t.collect()} <= set(range(12))
+    assert any(r.row_key.startswith("1") for r in t.collect())
