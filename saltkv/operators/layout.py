@@ -48,13 +48,24 @@ def sort_within(df: DataFrame, cells: bool = False) -> DataFrame:
     return df.sortWithinPartitions(*keys)
 
 
+# Inputs with at least this many partitions are never spread: their map stage
+# is already parallel, and an extra full shuffle would cost more than it saves.
+SPREAD_BELOW_PARTITIONS = 64
+
+
 def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin an input that arrives in fewer partitions than there are
-    cores (one unsplittable file, one Parquet row group), so the per-row key
-    work is not done by a single task.  A large input already has more splits
-    than cores and passes through unchanged."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    """Round-robin an input that arrives in very few partitions (one
+    unsplittable file, one Parquet row group, a tiny batch), so the per-row
+    key work is not done by one or two tasks.
+
+    Only inputs with fewer than ``min(cores, 64)`` partitions are spread: on a
+    large cluster a 100 GB batch in 400 splits is already parallel and passes
+    through unchanged.  Round-robin with Spark's sort-before-repartition is
+    deterministic, so a retried task sends every row to the same place.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    target = min_partitions or cores
+    if df.rdd.getNumPartitions() >= min(target, SPREAD_BELOW_PARTITIONS):
         return df
     return df.repartition(target)
 

@@ -53,3 +53,18 @@ def test_command_line_failure_exit_code(tmp):
                  "inputPathPrefix=/nonexistent/in\ncols=id,check_id\n")
     p = _run(["2024-01-01", "load", "check", "--conf-dir", conf, "--store-root", tmp("never"), "--master", "local[1]"])
     assert p.returncode == 1
+
+
+def test_empty_batch_publishes_an_empty_load(spark, tmp):
+    from saltkv.plans.job import load_batch, load_rows
+    from saltkv.sources import store as ST
+
+    inp = local_path(tmp("in-empty"))
+    os.makedirs(inp)
+    open(os.path.join(inp, "part-0"), "w").close()
+    root = tmp("st-empty")
+    load_rows(spark, FX.CHECK, FX.check_rows(spark, SF_SMALL), root, load_ts=1)
+    res = load_batch(spark, FX.CHECK, path=inp, store_root=root, load_ts=2)
+    assert ST.list_loads(spark, res.table_dir) == [1, 2]
+    assert ST.read_loads(spark, res.table_dir, FX.CHECK.cols, [2]).count() == 0
+    assert ST.current(spark, res.table_dir, FX.CHECK.cols).count() == FX.check_rows(spark, SF_SMALL).count()
