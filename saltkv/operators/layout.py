@@ -6,7 +6,8 @@ Two ways to place rows:
   *i* (one task per salt, rows sorted by row key).  It is the parity operator,
   and it is right when every salt is small.
 * ``cluster_for_write`` is the default for loads.  It range-partitions on
-  ``(salt, row_key)`` into ``n * files_per_bucket`` partitions.  Spark samples
+  ``(salt, row_key)``: into ``n * files_per_bucket`` ranges when the input
+  size is known, else into ranges that AQE coalesces by size.  Spark samples
   the keys to set the bounds, so work spreads over many tasks even when one
   query key holds a third of all rows: its row keys differ by the unique
   column, and the bounds fall inside the hot key's range.  Every file is
