@@ -351,6 +351,14 @@ def q_compacted_three_loads(spark, sf_dir):
     return t.select("salt", "prefix", "row_key", *FX.CHECK.cols, "remarks", "load_ts")
 
 
+def q_lookup_check_versions(spark, sf_dir):
+    """Point lookup through the newest-wins merge of three loads (pruned below it)."""
+    d = _published(spark, sf_dir, "check3", FX.CHECK, lambda s, p: FX.check_loads(s, p, 3), via_text=False)
+    t = ST.current(spark, d, [*FX.CHECK.cols, "remarks"])
+    top = _top_key(FX.check_rows(spark, sf_dir), ["check_id"])
+    return LK.lookup(t, FX.CHECK, top["check_id"], CHECK_FIELDS, keep_row_key=True)
+
+
 def q_batch_lookup_versions(spark, sf_dir):
     """Batch lookup on a table of three loads: only requested keys are merged."""
     d = _published(spark, sf_dir, "check3", FX.CHECK, lambda s, p: FX.check_loads(s, p, 3), via_text=False)
@@ -401,6 +409,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_lookup_opinion": q_batch_lookup_opinion,
     "batch_envelope_opinion": q_batch_envelope_opinion,
     "compacted_three_loads": q_compacted_three_loads,
+    "lookup_check_versions": q_lookup_check_versions,
     "batch_lookup_versions": q_batch_lookup_versions,
     "list_tables": q_list_tables,
 }
@@ -601,6 +610,11 @@ ORACLE: dict[str, str] = {
         "CASE WHEN r.check_id IS NULL THEN NULL ELSE coalesce(c.n, 0) END AS n_data "
         "FROM r LEFT JOIN c ON r.check_id = c.check_id"
     ),
+    "lookup_check_versions": (
+        f"WITH k AS ({_check_keyed(3)}), v AS ({_versions_sql(3)}) "
+        f"SELECT v.row_key, {_fields(CHECK_FIELDS, (*CHECK_COLS, 'remarks'), 'v')} FROM v "
+        f"WHERE v.check_id = ({_TOP_CHECK})"
+    ),
     "batch_lookup_versions": (
         f"WITH v AS ({_versions_sql(3)}), r AS ({_CUSTOMER_REQS.format(known='CAST(c_custkey AS VARCHAR)')}) "
         f"SELECT r.req_id, v.row_key, {_fields(CHECK_FIELDS, (*CHECK_COLS, 'remarks'), 'v')} "
