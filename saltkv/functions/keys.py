@@ -125,6 +125,8 @@ def add_row_keys(
 
     The hash is computed in its own projection so that the expensive expression
     runs once per row and the surrounding projections stay in whole-stage codegen.
+    A NULL unique value fails the job: its row key would be NULL and every such
+    row would collapse into one.
     """
     qk = "__qk"
     h = "__h"
@@ -134,7 +136,11 @@ def add_row_keys(
     out = (
         staged.withColumn("salt", s)
         .withColumn("prefix", F.concat(salt_text(F.col("salt"), n), F.md5(F.col(qk))))
-        .withColumn("row_key", F.concat(F.col("prefix"), F.col(uniq_col).cast("string")))
+        .withColumn(
+            "row_key",
+            F.when(F.col(uniq_col).isNull(), F.raise_error(F.lit(f"unique column {uniq_col} is NULL")))
+            .otherwise(F.concat(F.col("prefix"), F.col(uniq_col).cast("string"))),
+        )
     )
     drop = [h] if keep_query_key else [h, qk]
     out = out.drop(*drop)

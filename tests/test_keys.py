@@ -92,3 +92,9 @@ def test_next_prefix():
     assert K.next_prefix("01dbdebfbc84bad48d92aa7c045019e8d") == b"01dbdebfbc84bad48d92aa7c045019e8e"
     assert K.next_prefix("") is None
     assert K.next_prefix("é") == bytes([0xC3, 0xAA])
+
+
+def test_null_unique_value_fails(spark):
+    df = spark.createDataFrame([(None, "k")], "id string, k string")
+    with pytest.raises(Exception, match="unique column id is NULL"):
+        K.add_row_keys(df, ["k"], "id", 3).collect()
