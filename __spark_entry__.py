@@ -129,9 +129,23 @@ def q_salt_partition_counts(spark, sf_dir):
     )
 
 
+def q_salt_subpartition_counts(spark, sf_dir):
+    """Each salt split over k partitions (k from the session's shuffle
+    partitions): every row lands in a partition its salt owns."""
+    n = FX.CHECK.pre_regions
+    k = L.files_per_bucket_for(spark, n)
+    t = L.partition_by_salt(check_table(spark, sf_dir), n, per_salt=k)
+    placed = (F.floor(F.spark_partition_id() / F.lit(k)) == F.col("salt")).cast("int")
+    return t.select("salt", placed.alias("__ok")).groupBy("salt").agg(
+        F.count(F.lit(1)).alias("n_rows"), (F.count(F.lit(1)) - F.sum("__ok")).alias("n_misplaced")
+    )
+
+
 def q_partition_sorted_rank(spark, sf_dir):
-    t = L.sort_within(L.partition_by_salt(check_table(spark, sf_dir), FX.CHECK.pre_regions))
-    return t.select("salt", "row_key", "id", L.partition_ordinal().alias("rank_in_salt"))
+    """Position of each row inside its salt in row-key order, computed without
+    routing a salt through one task."""
+    t = check_table(spark, sf_dir).select("salt", "row_key", "id")
+    return L.rank_within_salt(t, FX.CHECK.pre_regions)
 
 
 def q_dedup_in_load(spark, sf_dir):
@@ -387,6 +401,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parsed_rows": q_parsed_rows,
     "rejected_rows": q_rejected_rows,
     "salt_partition_counts": q_salt_partition_counts,
+    "salt_subpartition_counts": q_salt_subpartition_counts,
     "partition_sorted_rank": q_partition_sorted_rank,
     "dedup_in_load": q_dedup_in_load,
     "to_cells": q_to_cells,
@@ -553,6 +568,9 @@ ORACLE: dict[str, str] = {
     "salt_partition_counts": (
         f"SELECT salt AS partition_id, salt, count(*) AS n_rows FROM ({_check_keyed(3)}) GROUP BY salt"
     ),
+    "salt_subpartition_counts": (
+        f"SELECT salt, count(*) AS n_rows, 0::BIGINT AS n_misplaced FROM ({_check_keyed(3)}) GROUP BY salt"
+    ),
     "partition_sorted_rank": (
         "SELECT salt, row_key, id, row_number() OVER (PARTITION BY salt ORDER BY row_key) AS rank_in_salt "
         f"FROM ({_check_keyed(3)})"

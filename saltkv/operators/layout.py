@@ -24,13 +24,23 @@ from pyspark.sql import functions as F
 KEY_COLS = ("salt", "prefix", "row_key")
 
 
-def partition_by_salt(df: DataFrame, n: int, salt_col: str = "salt") -> DataFrame:
+def partition_by_salt(df: DataFrame, n: int, salt_col: str = "salt", per_salt: int = 1, key: str = "row_key") -> DataFrame:
     """Salt *i* goes to partition *i*; a NULL salt goes to partition 0.
 
     ``repartitionById`` places a row by the value of an int expression without
     hashing it.  A salt >= n would wrap modulo n; salts are built < n.
+
+    ``per_salt=k`` splits every salt over ``k`` partitions: salt *i* owns
+    partitions ``i*k .. i*k+k-1`` and a row picks one by the hash of its row
+    key.  ``k=1`` is the exact one-task-per-salt partitioner; ``k>1`` keeps a
+    hot salt (or a hot query key inside it, whose row keys differ) off a
+    single task.
     """
-    return df.repartitionById(n, F.coalesce(F.col(salt_col), F.lit(0)))
+    s = F.coalesce(F.col(salt_col), F.lit(0))
+    if per_salt <= 1:
+        return df.repartitionById(n, s)
+    sub = F.pmod(F.xxhash64(F.col(key)), F.lit(per_salt))
+    return df.repartitionById(n * per_salt, (s * F.lit(per_salt) + sub).cast("int"))
 
 
 def salt_from_row_key(row_key: str = "row_key", width: int = 1):
@@ -120,6 +130,34 @@ def dedup_in_load(df: DataFrame, value_cols, keys=KEY_COLS) -> DataFrame:
     return df.groupBy(*keys).agg(w).select(*keys, *[F.col("__w")[c].alias(c) for c in value_cols])
 
 
+def rank_within_salt(df: DataFrame, n: int, files_per_bucket: int | None = None, name: str = "rank_in_salt") -> DataFrame:
+    """1-based position of every row inside its salt, in row-key byte order:
+    the order a scan of one salt returns.
+
+    No salt passes through one task.  The rows are range-partitioned on
+    ``(salt, row_key)`` and sorted inside each partition; the layout is pinned
+    with a reliable checkpoint in the shared folder (range bounds sampled
+    from a shuffled input need not repeat between passes).  Then the rows per
+    (partition, salt) are counted into a table bounded by the partition count,
+    each partition's offset inside its salt is summed from it, and the rank
+    is that offset plus the position inside the partition.
+    """
+    from pyspark.sql import Window
+
+    from ..session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)
+    laid = cluster_for_write(df, n, files_per_bucket)
+    pinned = laid.select("*", F.spark_partition_id().alias("__p"), partition_ordinal().alias("__o")).checkpoint(eager=True)
+    counts = pinned.groupBy("__p", "salt").agg(F.count(F.lit(1)).alias("__c"), F.min("__o").alias("__first"))
+    before = Window.partitionBy("salt").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__p", "salt", "__first", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__off"))
+    # At most (#partitions + #salts) rows: a proven bound, so it is broadcast.
+    ranked = pinned.join(F.broadcast(offsets), ["__p", "salt"])
+    rank = (F.col("__off") + F.col("__o") - F.col("__first") + 1).cast("long").alias(name)
+    return ranked.select(*[c for c in df.columns], rank)
+
+
 def partition_ordinal() -> "F.Column":
     """1-based position of a row inside its partition, in the partition's order.
 

@@ -80,3 +80,30 @@ def test_partition_ordinal(spark):
     rows = df.collect()
     for p in (0, 1):
         assert [r.o for r in rows if r.p == p] == list(range(1, 6))
+
+
+def _hot_check(spark, sf):
+    base = FX.check_rows(spark, sf)
+    hot = base.withColumn("check_id", F.when(F.col("id").cast("long") % 3 == 0, F.lit("HOT")).otherwise(F.col("check_id")))
+    return E._keyed(hot, FX.CHECK)
+
+
+def test_rank_within_salt_many_ranges_and_hot_key(spark):
+    t = _hot_check(spark, SF_SMALL).select("salt", "row_key", "id")
+    got = {r.row_key: r.rank_in_salt for r in L.rank_within_salt(t, 3, files_per_bucket=7).collect()}
+    rows = t.collect()
+    want = {}
+    for s in {r.salt for r in rows}:
+        keys = sorted((r.row_key for r in rows if r.salt == s), key=lambda k: k.encode())
+        want.update({k: i + 1 for i, k in enumerate(keys)})
+    assert got == want
+
+
+def test_sub_partitioned_salts(spark):
+    t = _hot_check(spark, "/root/testdata/sf0.01")
+    p = L.partition_by_salt(t, 3, per_salt=4)
+    assert p.rdd.getNumPartitions() == 12
+    rows = p.select("salt", "check_id", F.spark_partition_id().alias("p")).collect()
+    assert all(r.p // 4 == r.salt for r in rows)
+    hot_parts = {r.p for r in rows if r.check_id == "HOT"}
+    assert len(hot_parts) == 4  # the hot key's rows spread over all of its salt's partitions
