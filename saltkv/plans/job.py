@@ -146,6 +146,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--no-dedup", action="store_true")
     ap.add_argument("--files-per-bucket", type=int, default=None)
     ap.add_argument("--load-ts", type=int, default=None)
+    ap.add_argument("--exact-partitioner", action="store_true", help="one task per salt (the reference layout)")
+    ap.add_argument("--bloom-filter", action="store_true", help="Parquet Bloom filter on the key prefix")
     args = ap.parse_args(argv)
 
     spec = load_spec(os.path.join(args.conf_dir, f"{args.table}.properties"))
@@ -162,6 +164,7 @@ def main(argv: list[str] | None = None) -> int:
                 spark, args.job, spec, args.batch_date,
                 store_root=args.store_root, path=args.input, mode=args.mode,
                 dedup=not args.no_dedup, files_per_bucket=args.files_per_bucket, load_ts=args.load_ts,
+                exact_partitioner=args.exact_partitioner, bloom_filter=args.bloom_filter,
             )
             print(res.load_dir)
         else:

@@ -25,10 +25,14 @@ def test_command_line_load(spark, tmp):
     conf = _conf(tmp, "conf", "tableName=check\nnamespace=keyspace\ncf=f\npreRegions=3\nuniqCol=id\nqueryKey=check_id\n"
                  f"inputPathPrefix={inp}\ncols=id,check_id,rule_no,rule_type,rule_desc\n")
     store = tmp("store")
-    p = _run(["2024-01-01", "load", "check", "--conf-dir", conf, "--store-root", store, "--load-ts", "7", "--master", "local[2]"])
+    p = _run(["2024-01-01", "load", "check", "--conf-dir", conf, "--store-root", store, "--load-ts", "7", "--master", "local[2]",
+              "--exact-partitioner", "--bloom-filter"])
     assert p.returncode == 0, p.stderr[-2000:]
     load_dir = os.path.join(local_path(store), "keyspace", "check", "load_ts=7")
     assert os.path.isdir(os.path.join(load_dir, "salt=0"))
+    # the exact partitioner writes one file per salt
+    assert all(len([f for f in os.listdir(os.path.join(load_dir, d)) if f.endswith(".parquet")]) == 1
+               for d in os.listdir(load_dir) if d.startswith("salt="))
     assert spark.read.parquet(load_dir).count() == FX.check_rows(spark, SF_SMALL).count()
     p = _run(["-", "compact", "check", "--conf-dir", conf, "--store-root", store, "--master", "local[2]"])
     assert p.returncode == 0, p.stderr[-2000:]
