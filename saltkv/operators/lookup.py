@@ -183,10 +183,11 @@ def batch_lookup(
     """One row per (request, matching table row): ``req_id, row_key, fields…``.
 
     Requests whose single key is NULL match nothing (their envelope is an
-    error).  ``broadcast_requests=None`` counts the requests and broadcasts
-    them when they fit the broadcast threshold; the count also yields the
-    salts asked for, which become a partition filter on the table.  Beyond
-    the threshold both sides shuffle on ``(salt, prefix)``.
+    error).  ``broadcast_requests=None`` counts the requests and their
+    distinct keys in one pass: each is broadcast when it fits the broadcast
+    threshold, and the salts asked for become a partition filter on the
+    table.  Only when even the distinct keys exceed the threshold does the
+    table shuffle on ``(salt, prefix)``.
 
     A stored column outside ``fields`` raises, unless ``flag_unknown``: then
     the output gets ``__unknown_cell`` (the row holds a value in such a column).
@@ -201,10 +202,16 @@ def batch_lookup(
     req = req.where(~F.col("__bad")).select(req_id, "salt", "prefix", *[F.col(c).alias(r) for c, r in renamed.items()])
 
     salts = None
+    broadcast_keys = broadcast_requests
     if broadcast_requests is None:
-        per_salt = req.groupBy("salt").count().collect()  # at most n rows
-        total = sum(r["count"] for r in per_salt)
-        broadcast_requests = total <= _broadcast_bound(spark)
+        # One pass over the requests: per salt, requests and distinct keys
+        # (at most n rows come back).
+        per_salt = req.groupBy("salt").agg(
+            F.count(F.lit(1)).alias("n"), F.countDistinct("prefix").alias("k")
+        ).collect()
+        bound = _broadcast_bound(spark)
+        broadcast_requests = sum(r["n"] for r in per_salt) <= bound
+        broadcast_keys = sum(r["k"] for r in per_salt) <= bound
         salts = sorted(r["salt"] for r in per_salt)
     t = table
     if salts is not None and len(salts) < spec.pre_regions:
@@ -212,11 +219,12 @@ def batch_lookup(
     # The semi join on the distinct keys is pushed by Catalyst below a
     # latest-wins merge (salt and prefix are its grouping keys), so only the
     # versions of requested keys are merged; the inner join then fans the
-    # matches out to the requests.
+    # matches out to the requests.  The distinct keys are broadcast whenever
+    # they fit, even when the requests do not: then the table never shuffles,
+    # and only the matched rows meet the requests in a shuffle join.
     keys = req.select("salt", "prefix").distinct()
-    hint = F.broadcast if broadcast_requests else (lambda d: d)
-    matched = t.join(hint(keys), ["salt", "prefix"], "left_semi")
-    m = matched.join(hint(req), ["salt", "prefix"], "inner")
+    matched = t.join(F.broadcast(keys) if broadcast_keys else keys, ["salt", "prefix"], "left_semi")
+    m = matched.join(F.broadcast(req) if broadcast_requests else req, ["salt", "prefix"], "inner")
     if exact:
         for c, r in renamed.items():
             m = m.where(F.col(c) == F.coalesce(F.col(r).cast("string"), F.lit(NULL_TEXT)))

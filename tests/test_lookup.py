@@ -156,3 +156,19 @@ def test_scan_range_two_digit_salts_equals_brute_force(spark):
         assert got == want, (start, stop)
     assert {r.salt for r in t.collect()} <= set(range(12))
     assert any(r.row_key.startswith("1") for r in t.collect())
+
+
+def test_many_requests_few_keys_keep_the_table_unshuffled(spark, check, hot):
+    """Requests over the broadcast bound but few distinct keys: the keys are
+    broadcast to the semi join, so the table side is not shuffled."""
+    reqs = spark.range(3000).select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("req_id"),
+                                    F.lit(hot).alias("check_id"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(128 * 1000))  # bound: 1000 requests
+    try:
+        q = LK.batch_lookup(check, FX.CHECK, reqs, fields=CHECK_FIELDS)
+        txt = plan_text(q)
+        assert "LeftSemi, BuildRight" in txt and "BroadcastHashJoin" in txt
+        assert q.count() == 3000 * LK.lookup(check, FX.CHECK, hot).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
