@@ -98,3 +98,18 @@ def test_null_unique_value_fails(spark):
     df = spark.createDataFrame([(None, "k")], "id string, k string")
     with pytest.raises(Exception, match="unique column id is NULL"):
         K.add_row_keys(df, ["k"], "id", 3).collect()
+
+
+def test_reflect_hash_keeps_shuffles_retry_safe(spark):
+    """Catalyst flags ``reflect`` as nondeterministic (so no rewrite moves it),
+    but the shuffle it feeds stays DETERMINATE: a lost executor's map output is
+    recomputed by a plain task retry, with identical keys (a pure function)."""
+    df = spark.range(50).select(F.col("id").cast("string").alias("s"))
+    k = df.select(K.java_string_hash("s").alias("h"), "s").repartition(4, "h")
+    qe = k._jdf.queryExecution()
+    plan = qe.executedPlan()
+    # Unwrap adaptive execution to reach the exchange.
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        plan = plan.initialPlan()
+    assert plan.nodeName() == "Exchange"
+    assert str(plan.shuffleDependency().rdd().outputDeterministicLevel()) == "DETERMINATE"
