@@ -191,3 +191,20 @@ def test_latest_wins_matches_python_model(spark):
             return max(cands)[1] if cands else None
         want[key] = (pick(2), pick(3), max(r[1] for r in mine))
     assert got == want
+
+
+def test_reloading_an_older_batch_date_wins(spark, tmp):
+    """D13: versions are load times, not batch dates."""
+    from saltkv.plans.job import load_batch
+    from saltkv.sources import delimited as D
+
+    inp = tmp("dates")
+    spec = FX.CHECK.with_(input_path_prefix=inp)
+    row = lambda v: spark.createDataFrame([("1", "k", "r", v, "d")], ",".join(f"{c} string" for c in FX.CHECK.cols))
+    D.write_delimited(row("newer-date"), f"{inp}/2024-01-02")
+    D.write_delimited(row("older-date"), f"{inp}/2024-01-01")
+    root = tmp("dates-store")
+    load_batch(spark, spec, "2024-01-02", root)          # wall-clock load_ts
+    res = load_batch(spark, spec, "2024-01-01", root)    # later wall clock, older date
+    cur = ST.current(spark, res.table_dir, FX.CHECK.cols).first()
+    assert cur.rule_type == "older-date"
