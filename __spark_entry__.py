@@ -381,12 +381,12 @@ def q_batch_lookup_versions(spark, sf_dir):
 
 
 def q_list_tables(spark, sf_dir):
-    """Register the published check and opinion tables in a fresh namespace and list it."""
+    """Register the published check and opinion tables in their namespace
+    (the table descriptions' ``keyspace``) and list it as ``namespace:table``."""
     loc = scratch_path(spark, "ns")
-    ns = "ns_" + loc.rsplit("-", 1)[1]
-    ST.create_table(spark, FX.CHECK.with_(namespace=ns), check_dir(spark, sf_dir), namespace_location=loc)
-    ST.create_table(spark, FX.OPINION.with_(namespace=ns), opinion_dir(spark, sf_dir), namespace_location=loc)
-    return ST.list_tables(spark, ns)
+    ST.create_table(spark, FX.CHECK, check_dir(spark, sf_dir), namespace_location=loc)
+    ST.create_table(spark, FX.OPINION, opinion_dir(spark, sf_dir), namespace_location=loc)
+    return ST.list_tables(spark, FX.CHECK.namespace)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -651,6 +651,7 @@ ORACLE: dict[str, str] = {
         f"SELECT r.req_id, t.row_key, {_fields(OPINION_FIELDS, OPINION_COLS, 't')} FROM r JOIN t "
         "ON r.buss_no || r.business_type = t.buss_no || t.business_type"
     ),
+    "list_tables": "SELECT 'keyspace:check' AS qualified_name UNION ALL SELECT 'keyspace:opinion'",
     "batch_envelope_opinion": (
         f"WITH t AS ({_opinion_keyed(3, OPINION_WIDE_SRC)}), r AS ({_PAIR_REQS}), "
         "c AS (SELECT buss_no || business_type AS qk, count(*) AS n FROM t GROUP BY 1) "
