@@ -15,7 +15,7 @@ from .functions.keys import (
     salt_width,
 )
 from .operators.cells import from_cells, to_cells
-from .operators.layout import cluster_for_write, dedup_in_load, partition_by_salt, sort_within
+from .operators.layout import cluster_for_write, dedup_in_load, partition_by_salt, rank_within_salt, sort_within
 from .operators.lookup import (
     batch_envelope,
     batch_lookup,
@@ -27,10 +27,10 @@ from .operators.lookup import (
     scan_range,
 )
 from .operators.merge import latest_wins
-from .plans.job import load_batch
+from .plans.job import compact_table, load_batch, load_rows
 from .session import checkpoint_root, get_session, scratch_path
 from .sources.delimited import read_batch, write_delimited
 from .sources.spec import CHECK_FIELDS, OPINION_FIELDS, TableSpec, load_spec
-from .sources.store import create_table, current, list_tables, publish_load, read_loads, stage_load
+from .sources.store import compact, create_table, current, list_tables, publish_load, read_loads, stage_load
 
 __all__ = [n for n in dir() if not n.startswith("_")]
