@@ -67,11 +67,6 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
-
-
 def rename(spark: SparkSession, src: str, dst: str) -> None:
     """Move ``src`` to ``dst`` in one call; the parent of ``dst`` is created."""
     fs, s = _fs(spark, src)

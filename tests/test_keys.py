@@ -113,3 +113,10 @@ def test_reflect_hash_keeps_shuffles_retry_safe(spark):
         plan = plan.initialPlan()
     assert plan.nodeName() == "Exchange"
     assert str(plan.shuffleDependency().rdd().outputDeterministicLevel()) == "DETERMINATE"
+
+
+def test_hash_sql_text_for_sql_users(spark):
+    strings = _random_strings(60, seed=9)
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(strings)], "i int, s string")
+    got = dict(df.selectExpr("i", f"{K.java_string_hash_sql('s')} AS h").collect())
+    assert all(got[i] == K.java_string_hash_py(s) for i, s in enumerate(strings))

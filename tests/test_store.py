@@ -208,3 +208,28 @@ def test_reloading_an_older_batch_date_wins(spark, tmp):
     res = load_batch(spark, spec, "2024-01-01", root)    # later wall clock, older date
     cur = ST.current(spark, res.table_dir, FX.CHECK.cols).first()
     assert cur.rule_type == "older-date"
+
+
+def test_whole_row_merge_equals_column_merge_when_loads_write_everything(spark):
+    from saltkv.operators.merge import latest_row_wins, latest_wins
+
+    base = E.check_table(spark, SF_SMALL)
+    k = F.col("id").cast("long")
+    v1 = base.withColumn("load_ts", F.lit(1).cast("long"))
+    v2 = base.where(k % 2 == 0).withColumn("rule_type", F.lit("changed")).withColumn("load_ts", F.lit(2).cast("long"))
+    loads = v1.unionByName(v2)
+    cols = list(FX.CHECK.cols)
+    a = sorted(map(tuple, latest_wins(loads, cols).select("row_key", *cols, "load_ts").collect()))
+    b = sorted(map(tuple, latest_row_wins(loads).select("row_key", *cols, "load_ts").collect()))
+    assert a == b
+
+
+def test_refresh_table_picks_up_new_loads(spark, tmp):
+    root = tmp("refresh")
+    res = load_rows(spark, FX.CHECK, FX.check_rows(spark, SF_SMALL), root, load_ts=1)
+    spec = FX.CHECK.with_(namespace="ns_refresh")
+    ST.create_table(spark, spec, res.table_dir, namespace_location=tmp("nsr"))
+    n1 = spark.table("ns_refresh.check").count()
+    load_rows(spark, FX.CHECK, FX.check_rows(spark, SF_SMALL), root, load_ts=2)
+    ST.refresh_table(spark, spec)
+    assert spark.table("ns_refresh.check").count() == 2 * n1
