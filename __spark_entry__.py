@@ -380,6 +380,18 @@ def q_batch_lookup_versions(spark, sf_dir):
     return LK.batch_lookup(t, FX.CHECK, _customer_requests(spark, sf_dir), fields=CHECK_FIELDS)
 
 
+def q_sql_current_view(spark, sf_dir):
+    """The three-load table registered in the catalog and read through its
+    newest-wins SQL view with plain ``spark.sql``."""
+    d = _published(spark, sf_dir, "check3", FX.CHECK, lambda s, p: FX.check_loads(s, p, 3), via_text=False)
+    cols = [*FX.CHECK.cols, "remarks"]
+    spec = FX.CHECK.with_(namespace="keyspace_sql", table_name="check3")
+    ST.create_table(spark, spec, d, cols, namespace_location=scratch_path(spark, "ns-sql"))
+    ST.refresh_table(spark, spec)
+    view = ST.create_current_view(spark, spec, cols)
+    return spark.sql(f"SELECT salt, prefix, row_key, {', '.join(cols)}, load_ts FROM {view}")
+
+
 def q_list_tables(spark, sf_dir):
     """Register the published check and opinion tables in their namespace
     (the table descriptions' ``keyspace``) and list it as ``namespace:table``."""
@@ -426,6 +438,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compacted_three_loads": q_compacted_three_loads,
     "lookup_check_versions": q_lookup_check_versions,
     "batch_lookup_versions": q_batch_lookup_versions,
+    "sql_current_view": q_sql_current_view,
     "list_tables": q_list_tables,
 }
 
@@ -592,6 +605,7 @@ ORACLE: dict[str, str] = {
     "load_job": f"SELECT salt, prefix, row_key, {_cols(CHECK_COLS)} FROM ({_check_keyed(3)})",
     "published_three_loads": _versions_sql(3),
     "compacted_three_loads": _versions_sql(3),
+    "sql_current_view": _versions_sql(3),
     "lookup_check": (
         f"WITH k AS ({_check_keyed(3)}) SELECT row_key, {_fields(CHECK_FIELDS, CHECK_COLS)} "
         f"FROM k WHERE check_id = ({_TOP_CHECK})"

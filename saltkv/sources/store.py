@@ -254,7 +254,8 @@ def create_namespace(spark: SparkSession, namespace: str, location: str | None =
 def create_table(spark: SparkSession, spec: TableSpec, table_dir: str, value_cols=None, bloom_filter: bool = False,
                  namespace_location: str | None = None) -> str:
     """Register the table (partitioned by ``load_ts, salt``) in the catalog and
-    pick up its published loads."""
+    pick up its published loads.  The catalog table holds every stored version
+    (one row per load); ``create_current_view`` adds the newest-wins view."""
     cols = list(value_cols or spec.cols)
     create_namespace(spark, spec.namespace, namespace_location)
     ddl_cols = ", ".join([f"`{c}` STRING" for c in (*cols, *KEY_FIELDS)] + [f"`{VERSION}` BIGINT", "`salt` INT"])
@@ -268,6 +269,28 @@ def create_table(spark: SparkSession, spec: TableSpec, table_dir: str, value_col
     return name
 
 
+def create_current_view(spark: SparkSession, spec: TableSpec, value_cols=None, view_name: str | None = None) -> str:
+    """A SQL view with the newest non-NULL value per row key and column over
+    the catalog table (which itself holds every stored version).
+
+    ``SELECT … FROM <ns>.<table>_current WHERE salt = 1 AND prefix = '…'`` is a
+    pruned point lookup: both filters are grouping keys of the view's
+    aggregate, so Catalyst pushes them to the scan.
+    """
+    cols = list(value_cols or spec.cols)
+    view = view_name or f"{spec.table_name}_current"
+    merged = ", ".join(
+        f"max(CASE WHEN `{c}` IS NOT NULL THEN named_struct('v', `{VERSION}`, 'x', `{c}`) END).x AS `{c}`"
+        for c in cols
+    )
+    spark.sql(
+        f"CREATE OR REPLACE VIEW `{spec.namespace}`.`{view}` AS "
+        f"SELECT salt, prefix, row_key, {merged}, max(`{VERSION}`) AS `{VERSION}` "
+        f"FROM `{spec.namespace}`.`{spec.table_name}` GROUP BY salt, prefix, row_key"
+    )
+    return f"`{spec.namespace}`.`{view}`"
+
+
 def refresh_table(spark: SparkSession, spec: TableSpec) -> None:
     """Make newly published loads visible to catalog readers."""
     spark.sql(f"MSCK REPAIR TABLE `{spec.namespace}`.`{spec.table_name}`")

@@ -233,3 +233,18 @@ def test_refresh_table_picks_up_new_loads(spark, tmp):
     load_rows(spark, FX.CHECK, FX.check_rows(spark, SF_SMALL), root, load_ts=2)
     ST.refresh_table(spark, spec)
     assert spark.table("ns_refresh.check").count() == 2 * n1
+
+
+def test_sql_current_view(spark, tmp, three):
+    from saltkv.functions.keys import prefix_py
+
+    spec = FX.CHECK.with_(namespace="ns_view", table_name="check3v")
+    ST.create_table(spark, spec, three, COLS, namespace_location=tmp("nsv"))
+    view = ST.create_current_view(spark, spec, COLS)
+    want = sorted(map(tuple, ST.current(spark, three, COLS).select("row_key", *COLS, "load_ts").collect()))
+    got = sorted(map(tuple, spark.sql(f"SELECT row_key, {', '.join(COLS)}, load_ts FROM {view}").collect()))
+    assert got == want
+    s, p = prefix_py("10", 3)
+    q = spark.sql(f"SELECT * FROM {view} WHERE salt = {s} AND prefix = '{p}'")
+    assert "salt" in " ".join(partition_filters(q))
+    assert any("prefix" in f for f in pushed_filters(q))
