@@ -350,6 +350,21 @@ def q_batch_envelope_opinion(spark, sf_dir):
     return LK.batch_envelope(published_opinion_wide(spark, sf_dir), FX.OPINION, _pair_requests(spark, sf_dir), fields=OPINION_FIELDS)
 
 
+def _two_text_loads(spark, sf_dir):
+    base = FX.check_rows(spark, sf_dir)
+    k = F.col("id").cast("long")
+    changed = base.where(k % 2 == 0).withColumn("rule_type", F.concat(F.lower("rule_type"), F.lit("2")))
+    return [base, changed]
+
+
+def q_published_text_loads(spark, sf_dir):
+    """Two text loads: NULL-free with unique keys, so the reader merges whole
+    rows (one aggregate) instead of one aggregate per column."""
+    d = _published(spark, sf_dir, "check2t", FX.CHECK, _two_text_loads)
+    t = ST.current(spark, d, FX.CHECK.cols)
+    return t.select("salt", "prefix", "row_key", *FX.CHECK.cols, "load_ts")
+
+
 def q_compacted_three_loads(spark, sf_dir):
     """Loads 1-2, compaction into a base, load 3: reads equal the uncompacted merge."""
     key = (spark.sparkContext.applicationId, sf_dir, "check3c")
@@ -435,6 +450,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "envelope_unknown_cells": q_envelope_unknown_cells,
     "batch_lookup_opinion": q_batch_lookup_opinion,
     "batch_envelope_opinion": q_batch_envelope_opinion,
+    "published_text_loads": q_published_text_loads,
     "compacted_three_loads": q_compacted_three_loads,
     "lookup_check_versions": q_lookup_check_versions,
     "batch_lookup_versions": q_batch_lookup_versions,
@@ -605,6 +621,12 @@ ORACLE: dict[str, str] = {
     "load_job": f"SELECT salt, prefix, row_key, {_cols(CHECK_COLS)} FROM ({_check_keyed(3)})",
     "published_three_loads": _versions_sql(3),
     "compacted_three_loads": _versions_sql(3),
+    "published_text_loads": (
+        "SELECT salt, prefix, row_key, id, check_id, rule_no, "
+        "CASE WHEN CAST(id AS BIGINT) % 2 = 0 THEN lower(rule_type) || '2' ELSE rule_type END AS rule_type, "
+        "rule_desc, CASE WHEN CAST(id AS BIGINT) % 2 = 0 THEN 2 ELSE 1 END::BIGINT AS load_ts "
+        f"FROM ({_check_keyed(3)})"
+    ),
     "sql_current_view": _versions_sql(3),
     "lookup_check": (
         f"WITH k AS ({_check_keyed(3)}) SELECT row_key, {_fields(CHECK_FIELDS, CHECK_COLS)} "

@@ -32,7 +32,7 @@ from ..session import DEFAULT_CONF
 from ..sources.delimited import batch_path, read_batch
 from ..sources.spec import TableSpec, apply_job_conf, load_job_conf, load_spec
 from ..operators.layout import files_per_bucket_for
-from ..sources.store import compact, input_bytes, layout_for_write, new_load_ts, publish_load, stage_load, staging_dir, table_location
+from ..sources.store import compact, input_bytes, write_manifest, layout_for_write, new_load_ts, publish_load, stage_load, staging_dir, table_location
 
 log = logging.getLogger("saltkv.job")
 
@@ -59,6 +59,7 @@ def load_rows(
     bloom_filter: bool = False,
     hash_method: str = "reflect",
     spread: bool = True,
+    no_nulls: bool = False,
 ) -> LoadResult:
     """Key, lay out, stage and publish a DataFrame of string rows as one load.
 
@@ -82,6 +83,7 @@ def load_rows(
     else:
         stage_dir = staging_dir(table_dir, f"load-{ts}")
     stage_load(laid, stage_dir, bloom_filter)
+    write_manifest(spark, stage_dir, list(rows.columns), not no_nulls, unique_keys=dedup)
     load_dir = publish_load(spark, stage_dir, table_dir, ts)
     log.info("published %s as %s", spec.qualified_name, load_dir)
     return LoadResult(table_dir, ts, load_dir)
@@ -108,6 +110,8 @@ def load_batch(
     batch = read_batch(spark, spec, path=src, mode=mode, record_sep=record_sep, col_sep=col_sep)
     if kw.get("files_per_bucket") is None:
         kw["files_per_bucket"] = files_per_bucket_for(spark, spec.pre_regions, input_bytes(spark, src))
+    # Parsed text has no NULL: every field of an accepted record is a string.
+    kw.setdefault("no_nulls", True)
     res = load_rows(spark, spec, batch.rows, store_root, **kw)
     res.rejected = batch.rejected
     return res

@@ -20,6 +20,7 @@ before a base still work) until removed by the operator of the store.
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 
@@ -28,13 +29,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from ..operators.layout import cluster_for_write, partition_by_salt, sort_within
-from ..operators.merge import latest_wins
+from ..operators.merge import latest_row_wins, latest_wins
 from .spec import TableSpec
 
 KEY_FIELDS = ("prefix", "row_key")
 VERSION = "load_ts"
 BASE_PREFIX = "_base_"
 ROW_VERSION = "__row_load_ts"
+MANIFEST = "_manifest.json"
 
 
 def table_location(spec: TableSpec, store_root: str | None = None) -> str:
@@ -92,6 +94,43 @@ def list_loads(spark: SparkSession, table_dir: str) -> list[int]:
     return sorted(out)
 
 
+def write_manifest(spark: SparkSession, load_dir: str, columns, may_have_nulls: bool, unique_keys: bool = True) -> None:
+    """A small JSON file inside a (staged) load: the columns it wrote, whether
+    any value may be NULL and whether its row keys are unique.  Readers of the
+    data skip it (leading underscore); ``current`` uses it to choose the merge."""
+    fs, p = _fs(spark, f"{load_dir.rstrip('/')}/{MANIFEST}")
+    out = fs.create(p, True)
+    body = {"columns": list(columns), "nulls": bool(may_have_nulls), "unique": bool(unique_keys)}
+    try:
+        out.write(bytearray(json.dumps(body).encode()))
+    finally:
+        out.close()
+
+
+def read_manifest(spark: SparkSession, load_dir: str) -> dict | None:
+    fs, p = _fs(spark, f"{load_dir.rstrip('/')}/{MANIFEST}")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        jvm = spark.sparkContext._jvm
+        return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def whole_rows(spark: SparkSession, load_dirs, value_cols) -> bool:
+    """True when every load wrote exactly ``value_cols``, no NULL, and each row
+    key once: then the newest row of a key carries the newest value of every
+    column, and one whole-row aggregate replaces one aggregate per column."""
+    want = sorted(value_cols)
+    for d in load_dirs:
+        m = read_manifest(spark, d)
+        if m is None or m.get("nulls", True) or not m.get("unique", False) or sorted(m.get("columns", [])) != want:
+            return False
+    return True
+
+
 def list_bases(spark: SparkSession, table_dir: str) -> list[int]:
     """Versions of the compacted bases of a table, oldest first."""
     fs, p = _fs(spark, table_dir)
@@ -213,6 +252,11 @@ def current(spark: SparkSession, table_dir: str, value_cols, as_of: int | None =
     df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     if len(loads) + (1 if bases else 0) <= 1:
         return df.select("salt", *KEY_FIELDS, *cols, VERSION)
+    dirs = [f"{table_dir.rstrip('/')}/{VERSION}={ts}" for ts in loads]
+    if bases:
+        dirs.append(f"{base_dir(table_dir, bases[-1])}/{VERSION}={bases[-1]}")
+    if whole_rows(spark, dirs, cols):
+        return latest_row_wins(df).select("salt", *KEY_FIELDS, *cols, VERSION)
     return latest_wins(df, cols)
 
 
@@ -239,6 +283,8 @@ def compact(spark: SparkSession, spec: TableSpec, table_dir: str, value_cols, up
     laid = cluster_for_write(rows, spec.pre_regions, files_per_bucket)
     stage_dir = stage_dir or staging_dir(table_dir, f"base-{t}")
     stage_load(laid, stage_dir)
+    merged_dirs = [f"{table_dir.rstrip('/')}/{VERSION}={ts}" for ts in loads]
+    write_manifest(spark, stage_dir, cols, not whole_rows(spark, merged_dirs, cols))
     rename(spark, stage_dir, f"{base_dir(table_dir, t)}/{VERSION}={t}")
     return t
 
