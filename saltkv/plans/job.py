@@ -32,7 +32,7 @@ from ..session import DEFAULT_CONF
 from ..sources.delimited import batch_path, read_batch
 from ..sources.spec import TableSpec, apply_job_conf, load_job_conf, load_spec
 from ..operators.layout import files_per_bucket_for
-from ..sources.store import compact, input_bytes, write_manifest, layout_for_write, new_load_ts, publish_load, stage_load, staging_dir, table_location
+from ..sources.store import compact, input_bytes, list_bases, list_loads, table_columns, write_manifest, layout_for_write, new_load_ts, publish_load, stage_load, staging_dir, table_location
 
 log = logging.getLogger("saltkv.job")
 
@@ -60,6 +60,7 @@ def load_rows(
     hash_method: str = "reflect",
     spread: bool = True,
     no_nulls: bool = False,
+    compact_after: int | None = None,
 ) -> LoadResult:
     """Key, lay out, stage and publish a DataFrame of string rows as one load.
 
@@ -86,6 +87,11 @@ def load_rows(
     write_manifest(spark, stage_dir, list(rows.columns), not no_nulls, unique_keys=dedup)
     load_dir = publish_load(spark, stage_dir, table_dir, ts)
     log.info("published %s as %s", spec.qualified_name, load_dir)
+    if compact_after:
+        bases = list_bases(spark, table_dir)
+        pending = [t for t in list_loads(spark, table_dir) if not bases or t > bases[-1]]
+        if len(pending) >= compact_after:
+            compact(spark, spec, table_dir, table_columns(spark, table_dir, rows.columns))
     return LoadResult(table_dir, ts, load_dir)
 
 
@@ -121,7 +127,7 @@ def compact_table(spark: SparkSession, spec: TableSpec, batch_date: str | None =
     """Maintenance job: merge every published load into one base (see
     ``sources.store.compact``).  ``batch_date`` is not used."""
     table_dir = table_location(spec, store_root)
-    value_cols = kw.pop("value_cols", None) or list(spec.cols)
+    value_cols = kw.pop("value_cols", None) or table_columns(spark, table_dir, spec.cols)
     return compact(spark, spec, table_dir, value_cols, files_per_bucket=kw.get("files_per_bucket"))
 
 
@@ -152,6 +158,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--load-ts", type=int, default=None)
     ap.add_argument("--exact-partitioner", action="store_true", help="one task per salt (the reference layout)")
     ap.add_argument("--bloom-filter", action="store_true", help="Parquet Bloom filter on the key prefix")
+    ap.add_argument("--compact-after", type=int, default=None, help="compact once this many loads are pending")
     args = ap.parse_args(argv)
 
     spec = load_spec(os.path.join(args.conf_dir, f"{args.table}.properties"))
@@ -169,6 +176,7 @@ def main(argv: list[str] | None = None) -> int:
                 store_root=args.store_root, path=args.input, mode=args.mode,
                 dedup=not args.no_dedup, files_per_bucket=args.files_per_bucket, load_ts=args.load_ts,
                 exact_partitioner=args.exact_partitioner, bloom_filter=args.bloom_filter,
+                compact_after=args.compact_after,
             )
             print(res.load_dir)
         else:

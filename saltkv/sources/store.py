@@ -119,6 +119,24 @@ def read_manifest(spark: SparkSession, load_dir: str) -> dict | None:
         stream.close()
 
 
+def table_columns(spark: SparkSession, table_dir: str, fallback=()) -> list[str]:
+    """Every value column any load (or the newest base) wrote, in order of first
+    appearance, from the manifests; ``fallback`` columns are kept too."""
+    dirs = [f"{table_dir.rstrip('/')}/{VERSION}={ts}" for ts in list_loads(spark, table_dir)]
+    bases = list_bases(spark, table_dir)
+    if bases:
+        dirs.insert(0, f"{base_dir(table_dir, bases[-1])}/{VERSION}={bases[-1]}")
+    out: list[str] = []
+    for d in dirs:
+        for c in (read_manifest(spark, d) or {}).get("columns", []):
+            if c not in out:
+                out.append(c)
+    for c in fallback:
+        if c not in out:
+            out.append(c)
+    return out
+
+
 def whole_rows(spark: SparkSession, load_dirs, value_cols) -> bool:
     """True when every load wrote exactly ``value_cols``, no NULL, and each row
     key once: then the newest row of a key carries the newest value of every

@@ -275,3 +275,24 @@ def test_text_loads_merge_whole_rows(spark, tmp):
     # A DataFrame load may hold NULLs: back to the per-column merge.
     load_rows(spark, FX.CHECK, base, root, load_ts=3)
     assert plan_text(ST.current(spark, res.table_dir, FX.CHECK.cols)).count("CASE WHEN isnotnull") > 0
+
+
+def test_compact_after_keeps_pending_loads_bounded(spark, tmp):
+    root = tmp("auto")
+    base = FX.check_rows(spark, SF_SMALL)
+    for ts in range(1, 6):
+        res = load_rows(spark, FX.CHECK, base.withColumn("rule_no", F.lit(f"v{ts}")), root, load_ts=ts, compact_after=2)
+    assert ST.list_bases(spark, res.table_dir) == [2, 4]
+    cur = ST.current(spark, res.table_dir, FX.CHECK.cols)
+    assert {r.rule_no for r in cur.collect()} == {"v5"}
+
+
+def test_compact_after_keeps_columns_of_older_loads(spark, tmp):
+    root = tmp("auto-cols")
+    base = FX.check_rows(spark, SF_SMALL)
+    load_rows(spark, FX.CHECK, base.withColumn("remarks", F.lit("old")), root, load_ts=1)
+    res = load_rows(spark, FX.CHECK, base, root, load_ts=2, compact_after=2)
+    assert ST.list_bases(spark, res.table_dir) == [2]
+    assert ST.table_columns(spark, res.table_dir) == [*FX.CHECK.cols, "remarks"]
+    cur = ST.current(spark, res.table_dir, COLS)
+    assert {r.remarks for r in cur.collect()} == {"old"}
