@@ -247,13 +247,16 @@ def read_base(spark: SparkSession, table_dir: str, value_cols, ts: int) -> DataF
     return df.withColumn(VERSION, F.coalesce(F.col(ROW_VERSION), F.col(VERSION))).drop(ROW_VERSION)
 
 
-def current(spark: SparkSession, table_dir: str, value_cols, as_of: int | None = None) -> DataFrame:
+def current(spark: SparkSession, table_dir: str, value_cols=None, as_of: int | None = None) -> DataFrame:
     """The table as a reader sees it: per row key and column, the newest value.
 
     Reads the newest compacted base (if any, and not newer than ``as_of``)
     plus the loads after it.  With a single source the merge is skipped (no
     shuffle).  ``as_of`` reads the table as it was when that load was newest.
+    ``value_cols`` defaults to every column the loads' manifests list.
     """
+    if value_cols is None:
+        value_cols = table_columns(spark, table_dir)
     loads = list_loads(spark, table_dir)
     bases = list_bases(spark, table_dir)
     if as_of is not None:

@@ -294,5 +294,6 @@ def test_compact_after_keeps_columns_of_older_loads(spark, tmp):
     res = load_rows(spark, FX.CHECK, base, root, load_ts=2, compact_after=2)
     assert ST.list_bases(spark, res.table_dir) == [2]
     assert ST.table_columns(spark, res.table_dir) == [*FX.CHECK.cols, "remarks"]
+    assert ST.current(spark, res.table_dir).columns == ST.current(spark, res.table_dir, COLS).columns
     cur = ST.current(spark, res.table_dir, COLS)
     assert {r.remarks for r in cur.collect()} == {"old"}
