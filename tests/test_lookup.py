@@ -172,3 +172,15 @@ def test_many_requests_few_keys_keep_the_table_unshuffled(spark, check, hot):
         assert q.count() == 3000 * LK.lookup(check, FX.CHECK, hot).count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_prefix_scan_equals_start_stop_scan(spark, check, hot):
+    """P7: [prefix, next_prefix(prefix)) is exactly the rows starting with prefix."""
+    from saltkv.functions.keys import next_prefix
+
+    _, p, _ = LK.key_literals(FX.CHECK, hot)
+    for prefix in (p, p[:5], p[:1]):
+        stop = next_prefix(prefix).decode("utf-8")
+        a = sorted(r.row_key for r in LK.scan_prefix(check, FX.CHECK, prefix, ["id"]).collect())
+        b = sorted(r.row_key for r in LK.scan_range(check, FX.CHECK, prefix, stop, ["id"]).collect())
+        assert a == b and a
