@@ -113,6 +113,22 @@ def salt_text(salt_col: Column, n: int) -> Column:
     return F.lpad(salt_col.cast("string"), salt_width(n), "0")
 
 
+def add_prefix(df, key_cols: Sequence[str], n: int, hash_method: str = "reflect", keep_query_key: bool = False):
+    """Append ``salt`` (int) and ``prefix`` for the query key ``key_cols``.
+
+    The hash is computed in its own projection so that the expensive expression
+    runs once per row and the surrounding projections stay in whole-stage codegen.
+    """
+    qk, h = "__qk", "__h"
+    staged = df.withColumn(qk, query_key(list(key_cols)))
+    staged = staged.withColumn(h, java_string_hash(F.col(qk), hash_method))
+    out = staged.withColumn("salt", salt(F.col(h), n)).withColumn(
+        "prefix", F.concat(salt_text(F.col("salt"), n), F.md5(F.col(qk)))
+    )
+    out = out.drop(h)
+    return out.withColumnRenamed(qk, "query_key") if keep_query_key else out.drop(qk)
+
+
 def add_row_keys(
     df,
     key_cols: Sequence[str],
@@ -123,30 +139,15 @@ def add_row_keys(
 ):
     """Append ``salt`` (int), ``prefix`` and ``row_key`` columns to ``df``.
 
-    The hash is computed in its own projection so that the expensive expression
-    runs once per row and the surrounding projections stay in whole-stage codegen.
     A NULL unique value fails the job: its row key would be NULL and every such
     row would collapse into one.
     """
-    qk = "__qk"
-    h = "__h"
-    staged = df.withColumn(qk, query_key(list(key_cols)))
-    staged = staged.withColumn(h, java_string_hash(F.col(qk), hash_method))
-    s = salt(F.col(h), n)
-    out = (
-        staged.withColumn("salt", s)
-        .withColumn("prefix", F.concat(salt_text(F.col("salt"), n), F.md5(F.col(qk))))
-        .withColumn(
-            "row_key",
-            F.when(F.col(uniq_col).isNull(), F.raise_error(F.lit(f"unique column {uniq_col} is NULL")))
-            .otherwise(F.concat(F.col("prefix"), F.col(uniq_col).cast("string"))),
-        )
+    out = add_prefix(df, key_cols, n, hash_method, keep_query_key)
+    return out.withColumn(
+        "row_key",
+        F.when(F.col(uniq_col).isNull(), F.raise_error(F.lit(f"unique column {uniq_col} is NULL")))
+        .otherwise(F.concat(F.col("prefix"), F.col(uniq_col).cast("string"))),
     )
-    drop = [h] if keep_query_key else [h, qk]
-    out = out.drop(*drop)
-    if keep_query_key:
-        out = out.withColumnRenamed(qk, "query_key")
-    return out
 
 
 # ---------------------------------------------------------------- Python twins

@@ -23,16 +23,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.keys import (
-    NULL_TEXT,
-    java_string_hash,
-    prefix_py,
-    query_key,
-    query_key_py,
-    salt,
-    salt_text,
-    salt_width,
-)
+from ..functions.keys import NULL_TEXT, add_prefix, prefix_py, query_key_py, salt_width
 from ..sources.spec import TableSpec
 
 # The response envelope.  Status, code, message and system code
@@ -141,16 +132,8 @@ def lookup(
 def request_keys(requests: DataFrame, spec: TableSpec, key_cols: Sequence[str] | None = None, hash_method: str = "reflect") -> DataFrame:
     """Add ``salt``, ``prefix`` and ``__bad`` (a NULL single key) to requests."""
     key_cols = list(key_cols or spec.query_key)
-    n = spec.pre_regions
-    qk = query_key(key_cols)
     bad = F.col(key_cols[0]).isNull() if len(key_cols) == 1 else F.lit(False)
-    staged = requests.withColumn("__bad", bad).withColumn("__qk", qk)
-    staged = staged.withColumn("__h", java_string_hash(F.col("__qk"), hash_method))
-    return (
-        staged.withColumn("salt", salt(F.col("__h"), n))
-        .withColumn("prefix", F.concat(salt_text(F.col("salt"), n), F.md5(F.col("__qk"))))
-        .drop("__h", "__qk")
-    )
+    return add_prefix(requests.withColumn("__bad", bad), key_cols, spec.pre_regions, hash_method)
 
 
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
