@@ -113,12 +113,23 @@ def salt_text(salt_col: Column, n: int) -> Column:
     return F.lpad(salt_col.cast("string"), salt_width(n), "0")
 
 
-def add_prefix(df, key_cols: Sequence[str], n: int, hash_method: str = "reflect", keep_query_key: bool = False):
+# Session setting that picks the hash form everywhere keys are computed:
+# "reflect" (default) or "sql" (for platforms that block ``reflect``).
+HASH_METHOD_CONF = "spark.saltkv.hashMethod"
+
+
+def hash_method_of(df, hash_method: str | None) -> str:
+    return hash_method or df.sparkSession.conf.get(HASH_METHOD_CONF, "reflect")
+
+
+def add_prefix(df, key_cols: Sequence[str], n: int, hash_method: str | None = None, keep_query_key: bool = False):
     """Append ``salt`` (int) and ``prefix`` for the query key ``key_cols``.
 
     The hash is computed in its own projection so that the expensive expression
     runs once per row and the surrounding projections stay in whole-stage codegen.
+    ``hash_method`` defaults to the session's ``spark.saltkv.hashMethod``.
     """
+    hash_method = hash_method_of(df, hash_method)
     qk, h = "__qk", "__h"
     staged = df.withColumn(qk, query_key(list(key_cols)))
     staged = staged.withColumn(h, java_string_hash(F.col(qk), hash_method))
@@ -134,7 +145,7 @@ def add_row_keys(
     key_cols: Sequence[str],
     uniq_col: str,
     n: int,
-    hash_method: str = "reflect",
+    hash_method: str | None = None,
     keep_query_key: bool = False,
 ):
     """Append ``salt`` (int), ``prefix`` and ``row_key`` columns to ``df``.

@@ -129,7 +129,7 @@ def lookup(
     return out if keep_row_key else out.drop("row_key")
 
 
-def request_keys(requests: DataFrame, spec: TableSpec, key_cols: Sequence[str] | None = None, hash_method: str = "reflect") -> DataFrame:
+def request_keys(requests: DataFrame, spec: TableSpec, key_cols: Sequence[str] | None = None, hash_method: str | None = None) -> DataFrame:
     """Add ``salt``, ``prefix`` and ``__bad`` (a NULL single key) to requests."""
     key_cols = list(key_cols or spec.query_key)
     bad = F.col(key_cols[0]).isNull() if len(key_cols) == 1 else F.lit(False)

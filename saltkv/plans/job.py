@@ -57,7 +57,7 @@ def load_rows(
     files_per_bucket: int | None = None,
     exact_partitioner: bool = False,
     bloom_filter: bool = False,
-    hash_method: str = "reflect",
+    hash_method: str | None = None,
     spread: bool = True,
     no_nulls: bool = False,
     compact_after: int | None = None,

@@ -120,3 +120,18 @@ def test_hash_sql_text_for_sql_users(spark):
     df = spark.createDataFrame([(i, s) for i, s in enumerate(strings)], "i int, s string")
     got = dict(df.selectExpr("i", f"{K.java_string_hash_sql('s')} AS h").collect())
     assert all(got[i] == K.java_string_hash_py(s) for i, s in enumerate(strings))
+
+
+def test_session_switch_selects_the_sql_hash(spark):
+    from saltkv.plans.inspect import plan_text
+
+    df = spark.createDataFrame([("1", "abc")], "id string, k string")
+    spark.conf.set(K.HASH_METHOD_CONF, "sql")
+    try:
+        q = K.add_row_keys(df, ["k"], "id", 3)
+        txt = plan_text(q)
+        assert "reflect" not in txt and "aggregate" in txt
+        assert q.first().prefix == K.prefix_py("abc", 3)[1]
+    finally:
+        spark.conf.unset(K.HASH_METHOD_CONF)
+    assert "reflect" in plan_text(K.add_row_keys(df, ["k"], "id", 3))
