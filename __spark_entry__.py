@@ -390,6 +390,13 @@ def q_lookup_check_versions(spark, sf_dir):
     return LK.lookup(t, FX.CHECK, top["check_id"], CHECK_FIELDS, keep_row_key=True)
 
 
+def q_scan_limit_versions(spark, sf_dir):
+    """The first six rows of the three-load table: only candidate keys are merged."""
+    d = _published(spark, sf_dir, "check3", FX.CHECK, lambda s, p: FX.check_loads(s, p, 3), via_text=False)
+    cols = [*FX.CHECK.cols, "remarks"]
+    return ST.first_rows(spark, d, 6, cols).select("row_key", *cols, "load_ts")
+
+
 def q_batch_lookup_versions(spark, sf_dir):
     """Batch lookup on a table of three loads: only requested keys are merged."""
     d = _published(spark, sf_dir, "check3", FX.CHECK, lambda s, p: FX.check_loads(s, p, 3), via_text=False)
@@ -455,6 +462,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "published_text_loads": q_published_text_loads,
     "compacted_three_loads": q_compacted_three_loads,
     "lookup_check_versions": q_lookup_check_versions,
+    "scan_limit_versions": q_scan_limit_versions,
     "batch_lookup_versions": q_batch_lookup_versions,
     "sql_current_view": q_sql_current_view,
     "list_tables": q_list_tables,
@@ -671,6 +679,9 @@ ORACLE: dict[str, str] = {
         f"SELECT v.row_key, {_fields(CHECK_FIELDS, (*CHECK_COLS, 'remarks'), 'v')} FROM v "
         f"WHERE v.check_id = ({_TOP_CHECK})"
     ),
+    "scan_limit_versions": (
+        f"SELECT row_key, {_cols((*CHECK_COLS, 'remarks'))}, load_ts FROM ({_versions_sql(3)}) ORDER BY row_key LIMIT 6"
+    ),
     "batch_lookup_versions": (
         f"WITH v AS ({_versions_sql(3)}), r AS ({_CUSTOMER_REQS.format(known='CAST(c_custkey AS VARCHAR)')}) "
         f"SELECT r.req_id, v.row_key, {_fields(CHECK_FIELDS, (*CHECK_COLS, 'remarks'), 'v')} "

@@ -281,6 +281,32 @@ def current(spark: SparkSession, table_dir: str, value_cols=None, as_of: int | N
     return latest_wins(df, cols)
 
 
+def first_rows(spark: SparkSession, table_dir: str, n: int, value_cols=None) -> DataFrame:
+    """The first ``n`` rows of the newest-wins table in row-key order (a
+    top-n scan) without merging the whole table.
+
+    A load holds each row key at most once, so the first ``n`` keys of the
+    merged table are among the first ``n * sources`` rows of the raw loads
+    (and base).  Those rows are taken with a per-task top-n (no full
+    shuffle), broadcast (a proven bound) into a semi join that Catalyst
+    pushes below the merge, and only their keys are merged.
+    """
+    cur = current(spark, table_dir, value_cols)
+    loads = list_loads(spark, table_dir)
+    bases = list_bases(spark, table_dir)
+    if bases:
+        loads = [ts for ts in loads if ts > bases[-1]]
+    sources = len(loads) + (1 if bases else 0)
+    if sources <= 1:
+        return cur.orderBy("row_key").limit(n)
+    raw = read_loads(spark, table_dir, [], loads).select("row_key")
+    if bases:
+        raw = raw.unionByName(read_base(spark, table_dir, [], bases[-1]).select("row_key"))
+    candidates = raw.orderBy("row_key").limit(n * sources)
+    top = cur.join(F.broadcast(candidates), "row_key", "left_semi").select(*cur.columns)
+    return top.orderBy("row_key").limit(n)
+
+
 def compact(spark: SparkSession, spec: TableSpec, table_dir: str, value_cols, up_to: int | None = None,
             files_per_bucket: int | None = None, stage_dir: str | None = None) -> int | None:
     """Merge every load up to ``up_to`` (default: the newest) into one base.

@@ -297,3 +297,20 @@ def test_compact_after_keeps_columns_of_older_loads(spark, tmp):
     assert ST.current(spark, res.table_dir).columns == ST.current(spark, res.table_dir, COLS).columns
     cur = ST.current(spark, res.table_dir, COLS)
     assert {r.remarks for r in cur.collect()} == {"old"}
+
+
+def test_first_rows_merges_only_candidates(spark, tmp, three):
+    want = [tuple(r) for r in ST.current(spark, three, COLS).orderBy("row_key").limit(7).collect()]
+    q = ST.first_rows(spark, three, 7, COLS)
+    assert [tuple(r) for r in q.collect()] == want
+    txt = plan_text(q)
+    assert 0 <= txt.find("SortAggregate") < txt.find("LeftSemi")
+    # with a compacted base plus a newer load
+    root = tmp("first")
+    loads = FX.check_loads(spark, SF_SMALL, 3)
+    for i, d in enumerate(loads[:2]):
+        res = load_rows(spark, FX.CHECK, d, root, load_ts=i + 1)
+    ST.compact(spark, FX.CHECK, res.table_dir, COLS)
+    load_rows(spark, FX.CHECK, loads[2], root, load_ts=3)
+    want = [tuple(r) for r in ST.current(spark, res.table_dir, COLS).orderBy("row_key").limit(5).collect()]
+    assert [tuple(r) for r in ST.first_rows(spark, res.table_dir, 5, COLS).collect()] == want
