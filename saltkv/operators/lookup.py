@@ -341,12 +341,14 @@ def scan_range(
     stop: str | None = None,
     columns: Sequence[str] | None = None,
     family: str | None = None,
+    ordered: bool = False,
 ) -> DataFrame:
     """Rows with ``start <= row_key < stop`` (either bound optional).
 
     ``columns`` may be given as ``family:qualifier``; a family other than the
     table's raises.  The row-key bounds are pushed to Parquet and the salts
-    they span become a partition filter.
+    they span become a partition filter.  ``ordered=True`` returns the rows in
+    row-key order, as a store scan does (a range-partitioned sort).
     """
     if family is not None and family != spec.cf:
         raise ValueError(f"no column family {family!r} in {spec.qualified_name}")
@@ -361,17 +363,20 @@ def scan_range(
     if hi is not None:
         df = df.where(F.col("salt") <= F.lit(hi))
     cols = _columns(spec, columns)
-    return df.select("row_key", *cols) if cols is not None else df
+    out = df.select("row_key", *cols) if cols is not None else df
+    return out.orderBy("row_key") if ordered else out
 
 
-def scan_prefix(table: DataFrame, spec: TableSpec, prefix: str, columns: Sequence[str] | None = None) -> DataFrame:
+def scan_prefix(table: DataFrame, spec: TableSpec, prefix: str, columns: Sequence[str] | None = None,
+                ordered: bool = False) -> DataFrame:
     """Rows whose row key starts with ``prefix`` (the range [prefix, next_prefix(prefix)))."""
     df = table.where(F.col("row_key").startswith(prefix))
     lo, _ = _salt_bounds(prefix, None, spec.pre_regions)
     if lo is not None:
         df = df.where(F.col("salt") == F.lit(lo))
     cols = _columns(spec, columns)
-    return df.select("row_key", *cols) if cols is not None else df
+    out = df.select("row_key", *cols) if cols is not None else df
+    return out.orderBy("row_key") if ordered else out
 
 
 def scan_limit(table: DataFrame, spec: TableSpec, n: int, columns: Sequence[str] | None = None) -> DataFrame:

@@ -184,3 +184,11 @@ def test_prefix_scan_equals_start_stop_scan(spark, check, hot):
         a = sorted(r.row_key for r in LK.scan_prefix(check, FX.CHECK, prefix, ["id"]).collect())
         b = sorted(r.row_key for r in LK.scan_range(check, FX.CHECK, prefix, stop, ["id"]).collect())
         assert a == b and a
+
+
+def test_ordered_scans(spark, check, hot):
+    keys = [r.row_key for r in LK.scan_range(check, FX.CHECK, "08", "1c", ["id"], ordered=True).collect()]
+    assert keys == sorted(keys, key=lambda k: k.encode()) and keys
+    _, p, _ = LK.key_literals(FX.CHECK, hot)
+    keys = [r.row_key for r in LK.scan_prefix(check, FX.CHECK, p, ["id"], ordered=True).collect()]
+    assert keys == sorted(keys) and keys
