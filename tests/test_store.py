@@ -233,6 +233,9 @@ def test_refresh_table_picks_up_new_loads(spark, tmp):
     load_rows(spark, FX.CHECK, FX.check_rows(spark, SF_SMALL), root, load_ts=2)
     ST.refresh_table(spark, spec)
     assert spark.table("ns_refresh.check").count() == 2 * n1
+    # a load of a registered table refreshes the catalog itself
+    load_rows(spark, spec.with_(table_path=res.table_dir), FX.check_rows(spark, SF_SMALL), None, load_ts=3)
+    assert spark.table("ns_refresh.check").count() == 3 * n1
 
 
 def test_sql_current_view(spark, tmp, three):
