@@ -32,7 +32,7 @@ from ..session import DEFAULT_CONF
 from ..sources.delimited import batch_path, read_batch
 from ..sources.spec import TableSpec, apply_job_conf, load_job_conf, load_spec
 from ..operators.layout import files_per_bucket_for
-from ..sources.store import compact, input_bytes, list_bases, list_loads, refresh_table, table_columns, write_manifest, layout_for_write, new_load_ts, publish_load, stage_load, staging_dir, table_location
+from ..sources.store import compact, input_bytes, list_bases, list_loads, refresh_table, registered_at, table_columns, write_manifest, layout_for_write, new_load_ts, publish_load, stage_load, staging_dir, table_location
 
 log = logging.getLogger("saltkv.job")
 
@@ -87,7 +87,7 @@ def load_rows(
     write_manifest(spark, stage_dir, list(rows.columns), not no_nulls, unique_keys=dedup)
     load_dir = publish_load(spark, stage_dir, table_dir, ts)
     log.info("published %s as %s", spec.qualified_name, load_dir)
-    if spark.catalog.tableExists(f"`{spec.namespace}`.`{spec.table_name}`"):
+    if registered_at(spark, spec, table_dir):
         refresh_table(spark, spec)  # catalog readers see the new load at once
     if compact_after:
         bases = list_bases(spark, table_dir)

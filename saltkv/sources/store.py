@@ -384,6 +384,20 @@ def create_current_view(spark: SparkSession, spec: TableSpec, value_cols=None, v
     return f"`{spec.namespace}`.`{view}`"
 
 
+def _norm_path(p: str) -> str:
+    p = p.rstrip("/")
+    return p[len("file:"):] if p.startswith("file:") else p
+
+
+def registered_at(spark: SparkSession, spec: TableSpec, table_dir: str) -> bool:
+    """Is ``<namespace>.<table>`` a catalog table whose location is ``table_dir``?"""
+    name = f"`{spec.namespace}`.`{spec.table_name}`"
+    if not spark.catalog.tableExists(name):
+        return False
+    loc = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name") == "Location").collect()
+    return bool(loc) and _norm_path(loc[0]["data_type"]) == _norm_path(table_dir)
+
+
 def refresh_table(spark: SparkSession, spec: TableSpec) -> None:
     """Make newly published loads visible to catalog readers."""
     spark.sql(f"MSCK REPAIR TABLE `{spec.namespace}`.`{spec.table_name}`")

@@ -234,6 +234,8 @@ def test_refresh_table_picks_up_new_loads(spark, tmp):
     ST.refresh_table(spark, spec)
     assert spark.table("ns_refresh.check").count() == 2 * n1
     # a load of a registered table refreshes the catalog itself
+    assert ST.registered_at(spark, spec, res.table_dir)
+    assert not ST.registered_at(spark, spec, res.table_dir + "-elsewhere")
     load_rows(spark, spec.with_(table_path=res.table_dir), FX.check_rows(spark, SF_SMALL), None, load_ts=3)
     assert spark.table("ns_refresh.check").count() == 3 * n1
 
