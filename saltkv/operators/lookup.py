@@ -5,8 +5,8 @@
   the prefix equality reaches the Parquet reader (row groups of the sorted
   files are skipped by their min/max).
 * ``batch_lookup``: a DataFrame of requests joined to the table on
-  ``(salt, prefix)``; the request side is broadcast only when its row count is
-  under a bound, else both sides shuffle (AQE splits a hot key's partition).
+  ``(salt, prefix)``; the distinct keys and the requests are each broadcast
+  only when their counts are under a bound, else the joins shuffle.
   Results stay flat, one row per (request, matching row), so no request's
   rows are ever gathered into a single task.
 * ``batch_envelope``: the response header per request (status, code, message,
