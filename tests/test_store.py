@@ -319,3 +319,14 @@ def test_first_rows_merges_only_candidates(spark, tmp, three):
     load_rows(spark, FX.CHECK, loads[2], root, load_ts=3)
     want = [tuple(r) for r in ST.current(spark, res.table_dir, COLS).orderBy("row_key").limit(5).collect()]
     assert [tuple(r) for r in ST.first_rows(spark, res.table_dir, 5, COLS).collect()] == want
+
+
+def test_batch_lookup_without_broadcast_on_merged_table(spark, three):
+    from saltkv.operators.lookup import batch_lookup
+
+    cur = ST.current(spark, three, COLS)
+    reqs = FX.check_rows(spark, SF_SMALL).select(F.concat(F.lit("r"), "id").alias("req_id"), "check_id")
+    a = sorted(map(tuple, batch_lookup(cur, FX.CHECK, reqs, fields=COLS).collect()))
+    q = batch_lookup(cur, FX.CHECK, reqs, fields=COLS, broadcast_requests=False)
+    assert "BroadcastHashJoin" not in plan_text(q)
+    assert sorted(map(tuple, q.collect())) == a and a
