@@ -327,6 +327,11 @@ def test_batch_lookup_without_broadcast_on_merged_table(spark, three):
     cur = ST.current(spark, three, COLS)
     reqs = FX.check_rows(spark, SF_SMALL).select(F.concat(F.lit("r"), "id").alias("req_id"), "check_id")
     a = sorted(map(tuple, batch_lookup(cur, FX.CHECK, reqs, fields=COLS).collect()))
-    q = batch_lookup(cur, FX.CHECK, reqs, fields=COLS, broadcast_requests=False)
-    assert "BroadcastHashJoin" not in plan_text(q)
-    assert sorted(map(tuple, q.collect())) == a and a
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # no broadcast anywhere
+    try:
+        q = batch_lookup(cur, FX.CHECK, reqs, fields=COLS)
+        assert "BroadcastHashJoin" not in plan_text(q)
+        assert sorted(map(tuple, q.collect())) == a and a
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
