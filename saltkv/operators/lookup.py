@@ -162,6 +162,8 @@ def batch_lookup(
     exact: bool = False,
     broadcast_requests: bool | None = None,
     flag_unknown: bool = False,
+    salt_hot_keys: int | None = None,
+    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """One row per (request, matching table row): ``req_id, row_key, fields…``.
 
@@ -174,6 +176,12 @@ def batch_lookup(
 
     A stored column outside ``fields`` raises, unless ``flag_unknown``: then
     the output gets ``__unknown_cell`` (the row holds a value in such a column).
+
+    ``salt_hot_keys=S`` (opt-in) handles hot keys when the distinct keys do
+    not fit a broadcast: keys with at least ``hot_rows`` table rows (the top
+    10,000 at most, broadcast) have their rows spread over ``S`` sub-partitions
+    by row-key hash and their requests replicated ``S`` times; every other
+    key joins as usual.  Each (request, row) pair still meets exactly once.
     """
     spark = table.sparkSession
     key_cols = list(key_cols or spec.query_key)
@@ -206,8 +214,11 @@ def batch_lookup(
     # they fit, even when the requests do not: then the table never shuffles,
     # and only the matched rows meet the requests in a shuffle join.
     keys = req.select("salt", "prefix").distinct()
-    matched = t.join(F.broadcast(keys) if broadcast_keys else keys, ["salt", "prefix"], "left_semi")
-    m = matched.join(F.broadcast(req) if broadcast_requests else req, ["salt", "prefix"], "inner")
+    if salt_hot_keys and salt_hot_keys > 1 and not broadcast_keys:
+        m = _salted_join(t, req, salt_hot_keys, hot_rows)
+    else:
+        matched = t.join(F.broadcast(keys) if broadcast_keys else keys, ["salt", "prefix"], "left_semi")
+        m = matched.join(F.broadcast(req) if broadcast_requests else req, ["salt", "prefix"], "inner")
     if exact:
         for c, r in renamed.items():
             m = m.where(F.col(c) == F.coalesce(F.col(r).cast("string"), F.lit(NULL_TEXT)))
@@ -218,6 +229,25 @@ def batch_lookup(
     return project_fields(m, fields, keep=keep, check=False)
 
 
+MAX_HOT_KEYS = 10_000
+
+
+def _salted_join(table: DataFrame, req: DataFrame, fan: int, hot_rows: int) -> DataFrame:
+    """Shuffle join on ``(salt, prefix, __sub)``: hot keys are split ``fan`` ways."""
+    hot = (
+        table.groupBy("salt", "prefix").agg(F.count(F.lit(1)).alias("__n"))
+        .where(F.col("__n") >= hot_rows).orderBy(F.desc("__n")).limit(MAX_HOT_KEYS)
+        .select("salt", "prefix", F.lit(True).alias("__hot"))
+    )
+    is_hot = F.coalesce(F.col("__hot"), F.lit(False))
+    t = table.join(F.broadcast(hot), ["salt", "prefix"], "left").withColumn(
+        "__sub", F.when(is_hot, F.pmod(F.xxhash64("row_key"), F.lit(fan))).otherwise(F.lit(0)).cast("long")
+    ).drop("__hot")
+    subs = F.when(is_hot, F.sequence(F.lit(0).cast("long"), F.lit(fan - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    r = req.join(F.broadcast(hot), ["salt", "prefix"], "left").withColumn("__sub", F.explode(subs)).drop("__hot")
+    return t.join(r, ["salt", "prefix", "__sub"], "inner").drop("__sub")
+
+
 def _envelope_cols(ok) -> list:
     return [F.when(ok, F.lit(s)).otherwise(F.lit(e)).alias(name) for name, s, e in zip(ENVELOPE_FIELDS, SUCCESS, ERROR)]
 

@@ -192,3 +192,19 @@ def test_ordered_scans(spark, check, hot):
     _, p, _ = LK.key_literals(FX.CHECK, hot)
     keys = [r.row_key for r in LK.scan_prefix(check, FX.CHECK, p, ["id"], ordered=True).collect()]
     assert keys == sorted(keys) and keys
+
+
+def test_salted_hot_keys_give_the_same_rows(spark):
+    base = FX.check_rows(spark, "/root/testdata/sf0.01")
+    hot = base.withColumn("check_id", F.when(F.col("id").cast("long") % 3 == 0, F.lit("HOT")).otherwise(F.col("check_id")))
+    t = E._keyed(hot, FX.CHECK)
+    reqs = hot.select("check_id").distinct().select(F.concat(F.lit("r"), "check_id").alias("req_id"), "check_id")
+    reqs = reqs.unionByName(spark.createDataFrame([("again", "HOT")], "req_id string, check_id string"))
+    want = sorted(map(tuple, LK.batch_lookup(t, FX.CHECK, reqs, fields=FX.CHECK.cols).collect()))
+    q = LK.batch_lookup(t, FX.CHECK, reqs, fields=FX.CHECK.cols, broadcast_requests=False, salt_hot_keys=4, hot_rows=1000)
+    got = q.collect()
+    assert sorted(map(tuple, got)) == want
+    assert sum(1 for r in got if r.check_id == "HOT") == 2 * 5000
+    assert "__sub" in plan_text(q)
+    parts = q.where(F.col("check_id") == "HOT").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts > 1  # the hot key's rows meet the requests in several tasks
