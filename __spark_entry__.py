@@ -710,6 +710,19 @@ ORACLE: dict[str, str] = {
 }
 
 
+# ============================================================ pipeline operators
+
+try:  # the subpackage and the pipeline may be absent; nothing else depends on them
+    import corpus_pipeline
+    from saltkv.llm import queries as _llm
+except ImportError:
+    pass
+else:
+    QUERIES |= _llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    ORACLE |= _llm.ORACLE
+    if corpus_pipeline.ORACLE_SQL:
+        ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 # ============================================================ contract
 
 
