@@ -23,7 +23,14 @@ def q_op10(spark, sf_dir):
     return op10_warc_captures(spark, table(spark, sf_dir, "pages"))
 
 
+def q_op4(spark, sf_dir):
+    from .pii import op4_pii
+
+    return op4_pii(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op4_pii": q_op4,
     "op10_warc_captures": q_op10,
     "op6_token_binary": q_op6,
 }
