@@ -29,8 +29,15 @@ def q_op4(spark, sf_dir):
     return op4_pii(spark, table(spark, sf_dir, "documents"))
 
 
+def q_op5(spark, sf_dir):
+    from .spm import op5_sentencepiece
+
+    return op5_sentencepiece(spark, table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op4_pii": q_op4,
+    "op5_sentencepiece": q_op5,
     "op10_warc_captures": q_op10,
     "op6_token_binary": q_op6,
 }
