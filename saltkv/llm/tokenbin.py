@@ -25,6 +25,7 @@ from __future__ import annotations
 import json
 import re
 import struct
+import unicodedata
 import uuid
 import zlib
 
@@ -37,8 +38,11 @@ from saltkv.session import scratch_path
 from .common import id_text, open_fs
 
 MAGIC = b"SKTOKID1"
-#: Words a worker keeps encoded; the cache starts anew beyond it.  Speed only.
-CACHE_WORDS = 1 << 19
+#: Words a worker keeps encoded (about 150 bytes each).  Beyond it new words are
+#: encoded and forgotten, until as many were; then it starts anew.  Speed only.
+CACHE_WORDS = 1 << 20
+#: Characters whose words are looked up together.
+CHUNK_CHARS = 1 << 20
 _OTHER_SPACE = re.compile("[\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
 _PLAIN_SPACE = re.compile(r"[ \t\r\n]+")
 
@@ -47,53 +51,97 @@ class WordEncoder:
     """Ids of a text whose tokenizer drops white space and never joins words:
     the ids of its words, one after the other, so repeated words are encoded once.
 
-    Unknown words go to the tokenizer in one string, held apart by a special
-    token, which the library cuts out before it does anything else.
+    New words go to the tokenizer in one string, held apart by a control
+    character that has one id; words that hold it go alone.  Most words are
+    letters that the normaliser only lower-cases, and perhaps a stop or comma, which
+    is a word of its own to the tokenizer: their letters go to the same
+    model behind a plainer set-up, which neither normalises nor matches patterns.
     """
 
-    def __init__(self, path: str, separator: str = "<|endoftext|>"):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, separator: str = "\x01"):
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tok = Tokenizer.from_file(path)
-        self.sep, self.sep_id = separator, self.tok.token_to_id(separator)
+        self.tok, self.bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.bare.normalizer = normalizers.Sequence([])
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.sep, (self.sep_id,) = separator, self.tok.encode(separator, add_special_tokens=False).ids
+        byte = [pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(chr(i))[0][0] for i in range(128)]
+        self.bare_sep = byte[ord(separator)]
+        self.letters = self._byte_letters()
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
         self.cache: dict[str, bytes] = {}
+        self.forgotten = 0
+
+    @staticmethod
+    def _byte_letters() -> dict[int, str]:
+        """How the byte-level step spells each Latin letter, lower-cased."""
+        from tokenizers import pre_tokenizers
+
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        return {i: spell(c.lower())[0][0] for i in range(0x250) if (c := chr(i)).isalpha() and len(c.lower()) == 1 and unicodedata.is_normalized("NFC", c)}
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.cache) + len(words) > CACHE_WORDS:
-            self.cache.clear()
-        alone = [w for w in words if self.sep[:2] in w]
-        words = [w for w in words if self.sep[:2] not in w] if alone else words
-        for w in alone:
-            self.cache[w] = self._plain(w)
-        for i in range(0, len(words), 2000):
-            part = words[i : i + 2000]
-            ids = np.array(self.tok.encode(f" {self.sep} ".join(part), add_special_tokens=False).ids, self.dtype)
+    def _encode_apart(self, tok, sep: str, words: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        n = self.dtype.itemsize
+        for i in range(0, len(words), 1000):
+            part = words[i : i + 1000]
+            ids = np.array(tok.encode(f" {sep} ".join(part), add_special_tokens=False).ids, self.dtype)
             cuts = np.flatnonzero(ids == self.sep_id)
-            if len(cuts) != len(part) - 1:  # cannot happen unless the library changes
-                self.cache.update((w, self._plain(w)) for w in part)
-                continue
-            raw, n = ids.tobytes(), self.dtype.itemsize
-            starts = np.concatenate(([0], cuts + 1)) * n
-            ends = np.concatenate((cuts, [len(ids)])) * n
-            self.cache.update(zip(part, (raw[a:b] for a, b in zip(starts.tolist(), ends.tolist()))))
-
-    def encode(self, text: str) -> bytes:
-        words = _PLAIN_SPACE.split(text) if _OTHER_SPACE.search(text) else text.split()
-        out = []
-        for i in range(0, len(words), 100_000):
-            part = words[i : i + 100_000]
-            new = set(part).difference(self.cache)
-            if new:
-                size = len(self.cache)
-                self._learn(list(new))
-                if len(self.cache) < size:  # it started anew
-                    self._learn(list(set(part).difference(self.cache)))
-            out.append(b"".join(map(self.cache.__getitem__, part)))
-        return b"".join(out)
+            if len(cuts) != len(part) - 1:
+                raise RuntimeError("the tokenizer joined words")
+            raw = ids.tobytes()
+            starts, ends = np.concatenate(([0], cuts + 1)) * n, np.concatenate((cuts, [len(ids)])) * n
+            out += [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+        return out
+
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        simple, other, out = {}, [], {}
+        for w in words:
+            stem = w if w[-1] not in ".," else w[:-1]
+            if stem.isalpha() and max(stem) < "\u0250" and "\u0130" not in stem:
+                simple[w] = stem
+            elif self.sep in w:
+                out[w] = self._plain(w)
+            else:
+                other.append(w)
+        out.update(zip(other, self._encode_apart(self.tok, self.sep, other)))
+        stems = list(set(simple.values()))
+        spelt = [x.lower() if x.isascii() else x.translate(self.letters) for x in stems]
+        ids = dict(zip(stems, self._encode_apart(self.bare, self.bare_sep, spelt)))
+        end = {c: self._plain(c) for c in ".,"}
+        out.update((w, ids[x] if len(w) == len(x) else ids[x] + end[w[-1]]) for w, x in simple.items())
+        return out
+
+    def _encode_words(self, texts: list[list[str]]) -> list[bytes]:
+        got = [list(map(self.cache.get, words)) for words in texts]
+        new = {w for ids, words in zip(got, texts) for x, w in zip(ids, words) if x is None}
+        if not new:
+            return list(map(b"".join, got))
+        learnt = self._learn(list(new))
+        out = [b"".join([learnt[w] if x is None else x for x, w in zip(ids, words)]) for ids, words in zip(got, texts)]
+        if len(self.cache) + len(learnt) <= CACHE_WORDS:
+            self.cache.update(learnt)
+        else:
+            self.forgotten += len(learnt)
+            if self.forgotten > CACHE_WORDS:
+                self.cache, self.forgotten = {}, 0
+        return out
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as little-endian bytes of ``dtype``."""
+        out: list[bytes] = []
+        some: list[list[str]] = []
+        size = 0
+        for t in texts:
+            some.append(list(filter(None, _PLAIN_SPACE.split(t))) if _OTHER_SPACE.search(t) else t.split())
+            size += len(t)
+            if size >= CHUNK_CHARS:
+                out += self._encode_words(some)
+                some, size = [], 0
+        return out + self._encode_words(some)
 
 
 _ENCODERS: dict[tuple, WordEncoder] = {}
@@ -258,7 +306,8 @@ def write_token_shards(
         enc, fs_path, out, lo, hi = encoder(tokenizer), None, None, None, None
         end = b"" if end_id is None else np.array([end_id], enc.dtype).tobytes()
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for key, ids in zip(batch.column(0).to_pylist(), enc.encode(texts)):
                 if out is None:
                     fs, root = open_fs(out_dir)
                     fs.create_dir(root, recursive=True)
@@ -266,7 +315,7 @@ def write_token_shards(
                     out = ShardWriter(fs.open_output_stream(fs_path), enc.dtype)
                 if key is not None:
                     lo, hi = key if lo is None else lo, key
-                out.add(key, enc.encode(text or "") + end)
+                out.add(key, ids + end)
         if out is not None:
             import pyarrow as pa
 

@@ -20,18 +20,22 @@ def plain(text):
 
 def test_word_encoder_equals_the_library():
     rng = random.Random(7)
-    pool = list("abcXYZ019'.,-_ \t\n\x0b\x1c\x85\xa0     　éÉßΣςİ́̈한漢😀") + ["<|endoftext|>", "<|", "'s", "ll "]
+    pool = list("abcXYZ019'.,-_ \t\n\x0b\x1c\x85\xa0     　éÉßΣςİ́̈한漢😀") + ["<|endoftext|>", "<|", "'s", "ll ", "\x01", " \x01 "]
     enc, tok = WordEncoder(PATH), Tokenizer.from_file(PATH)
-    for _ in range(1500):
-        t = "".join(rng.choice(pool) for _ in range(rng.randint(0, 60)))
-        assert np.frombuffer(enc.encode(t), enc.dtype).tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
+    for letter in map(chr, range(0x250)):
+        t = f"{letter} a{letter}B. {letter}{letter}, x{letter}.."
+        assert np.frombuffer(enc.encode([t])[0], enc.dtype).tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 60))) for _ in range(1500)]
+    for t, ids in zip(texts, enc.encode(texts)):
+        assert np.frombuffer(ids, enc.dtype).tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
 
 
 def test_word_encoder_with_a_full_cache(monkeypatch):
     monkeypatch.setattr("saltkv.llm.tokenbin.CACHE_WORDS", 5)
+    monkeypatch.setattr("saltkv.llm.tokenbin.CHUNK_CHARS", 10)
     enc = WordEncoder(PATH)
     t = "one two three four five six seven one two"
-    assert [np.frombuffer(enc.encode(x), enc.dtype).tolist() for x in (t, "six " + t)] == [plain(t), plain("six " + t)]
+    assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode([t, "six " + t, ""] * 3)] == [plain(t), plain("six " + t), []] * 3
 
 
 def test_perfect_hash_is_minimal_and_survives_a_dump():
