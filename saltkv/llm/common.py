@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
+import shutil
+import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +14,23 @@ from pyspark.sql import functions as F
 from saltkv.session import scratch_path
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this library to the executors' Python, once a session, unless their
+    search path (``PYTHONPATH``) has it already."""
+    root = Path(__file__).resolve().parents[2]
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED or str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    zipped = shutil.make_archive(f"{tempfile.mkdtemp()}/saltkv-package", "zip", root, "saltkv")
+    spark.sparkContext.addPyFile(zipped)  # the driver serves it; no executor reads that folder
+    _SHIPPED.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -20,6 +40,14 @@ def id_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").cast("string").alias("__text"))
 
 
+def hash_sample(df: DataFrame, by: str, n: int, order: list[str]) -> DataFrame:
+    """The ``n`` rows of ``df`` with the smallest hash of column ``by``.  The
+    limit is found on hashes alone, so that tasks send few whole rows."""
+    h = F.xxhash64(by)
+    last = df.select(h.alias("h")).orderBy("h").limit(n).agg(F.max("h")).first()[0]
+    return df.where(h <= F.lit(last)).orderBy(h, *order).limit(n)
+
+
 def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage
     ends at files that every executor can read again."""

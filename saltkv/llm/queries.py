@@ -35,7 +35,21 @@ def q_op5(spark, sf_dir):
     return op5_sentencepiece(spark, table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
 
 
+def q_op3(spark, sf_dir):
+    from .langid import op3_language_id
+
+    return op3_language_id(spark, table(spark, sf_dir, "documents"))
+
+
+def q_language_id_pages(spark, sf_dir):
+    from .langid import language_id_pages
+
+    return language_id_pages(spark, sf_dir)
+
+
 QUERIES = {
+    "op3_language_id": q_op3,
+    "language_id_pages": q_language_id_pages,
     "op4_pii": q_op4,
     "op5_sentencepiece": q_op5,
     "op10_warc_captures": q_op10,
