@@ -47,7 +47,14 @@ def q_language_id_pages(spark, sf_dir):
     return language_id_pages(spark, sf_dir)
 
 
+def q_op1(spark, sf_dir):
+    from .ngram_join import op1_ngram_jaccard
+
+    return op1_ngram_jaccard(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_ngram_jaccard": q_op1,
     "op3_language_id": q_op3,
     "language_id_pages": q_language_id_pages,
     "op4_pii": q_op4,
