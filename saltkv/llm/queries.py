@@ -53,7 +53,14 @@ def q_op1(spark, sf_dir):
     return op1_ngram_jaccard(spark, table(spark, sf_dir, "documents"))
 
 
+def q_op2(spark, sf_dir):
+    from .e8_dedup import op2_embedding_dedup
+
+    return op2_embedding_dedup(spark, table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op2_embedding_dedup": q_op2,
     "op1_ngram_jaccard": q_op1,
     "op3_language_id": q_op3,
     "language_id_pages": q_language_id_pages,
