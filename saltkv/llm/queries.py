@@ -59,7 +59,14 @@ def q_op2(spark, sf_dir):
     return op2_embedding_dedup(spark, table(spark, sf_dir, "embeddings"))
 
 
+def q_op7(spark, sf_dir):
+    from .decontam import op7_decontamination
+
+    return op7_decontamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op7_decontamination": q_op7,
     "op2_embedding_dedup": q_op2,
     "op1_ngram_jaccard": q_op1,
     "op3_language_id": q_op3,
