@@ -60,6 +60,16 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
 
 
+class KnownWords(dict):
+    """A cache that notes the keys it was asked for and lacks."""
+
+    def __init__(self):
+        self.lacks: dict[str, None] = {}
+
+    def __missing__(self, key):
+        self.lacks[key] = None
+
+
 def open_fs(uri: str):
     """``(pyarrow file system, path)`` of a shared location (file:, hdfs:, s3:...)."""
     from pyarrow import fs

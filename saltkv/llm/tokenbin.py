@@ -28,6 +28,7 @@ import struct
 import unicodedata
 import uuid
 import zlib
+from collections import deque
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -35,18 +36,31 @@ from pyspark.sql import functions as F
 
 from saltkv.session import scratch_path
 
-from .common import id_text, open_fs
+from .common import KnownWords, id_text, open_fs
 
 MAGIC = b"SKTOKID1"
 #: Words a worker keeps encoded (about 150 bytes each).  Beyond it new words are
 #: encoded and forgotten, until as many were; then it starts anew.  Speed only.
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 1 << 19
 #: Characters whose words are looked up together.
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 19
 _OTHER_SPACE = re.compile("[\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
 _PLAIN_SPACE = re.compile(r"[ \t\r\n]+")
 
 
+_TOUCHING = re.compile(r"[^\w\s][^\w\s]|_")
+
+
+def _latin1(t: str) -> bool:
+    if t.isascii():
+        return True
+    try:
+        t.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class WordEncoder:
     """Ids of a text whose tokenizer drops white space and never joins words:
     the ids of its words, one after the other, so repeated words are encoded once.
@@ -69,7 +83,7 @@ class WordEncoder:
         self.bare_sep = byte[ord(separator)]
         self.letters = self._byte_letters()
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cache: dict[str, bytes] = {}
+        self.cache = KnownWords()
         self.forgotten = 0
 
     @staticmethod
@@ -116,27 +130,43 @@ class WordEncoder:
         return out
 
     def _encode_words(self, texts: list[list[str]]) -> list[bytes]:
-        got = [list(map(self.cache.get, words)) for words in texts]
-        new = {w for ids, words in zip(got, texts) for x, w in zip(ids, words) if x is None}
-        if not new:
-            return list(map(b"".join, got))
-        learnt = self._learn(list(new))
-        out = [b"".join([learnt[w] if x is None else x for x, w in zip(ids, words)]) for ids, words in zip(got, texts)]
-        if len(self.cache) + len(learnt) <= CACHE_WORDS:
-            self.cache.update(learnt)
-        else:
-            self.forgotten += len(learnt)
+        get = self.cache.__getitem__
+        for words in texts:
+            deque(map(get, words), 0)  # notes the words that the cache lacks
+        new = self.cache.lacks
+        if new:
+            self.cache.lacks = {}
+            self.cache.update(self._learn(list(new)))
+        out = [b"".join(map(get, words)) for words in texts]
+        if len(self.cache) > CACHE_WORDS:
+            self.forgotten += len(new)
+            for w in new:
+                del self.cache[w]
             if self.forgotten > CACHE_WORDS:
-                self.cache, self.forgotten = {}, 0
+                self.cache, self.forgotten = KnownWords(), 0
         return out
 
+    @staticmethod
+    def words(t: str) -> list[str]:
+        """The text cut where the tokenizer cuts anyway, so that few words are
+        distinct: at plain spaces and, in Latin-1 text whose symbols don't touch,
+        before stops and commas.  Latin-1 text is lower-cased here (there Python's
+        lower case is the tokenizer's)."""
+        if _OTHER_SPACE.search(t):
+            return list(filter(None, _PLAIN_SPACE.split(t)))
+        if "<|" not in t and _latin1(t):
+            t = t.lower()
+            if not _TOUCHING.search(t):
+                t = t.replace(",", " ,").replace(".", " .")
+        return t.split()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian bytes of ``dtype``."""
         out: list[bytes] = []
         some: list[list[str]] = []
         size = 0
         for t in texts:
-            some.append(list(filter(None, _PLAIN_SPACE.split(t))) if _OTHER_SPACE.search(t) else t.split())
+            some.append(self.words(t))
             size += len(t)
             if size >= CHUNK_CHARS:
                 out += self._encode_words(some)
@@ -299,6 +329,11 @@ def write_token_shards(
     for each shard: order, file, documents, ids, key range, ids before it)."""
     spark = docs.sparkSession
 
+    def encoded(enc, batch, rows=500):
+        for i in range(0, batch.num_rows, rows):
+            part = batch.slice(i, rows)
+            yield from zip(part.column(0).to_pylist(), enc.encode([t or "" for t in part.column(1).to_pylist()]))
+
     def write(batches):
         from pyspark import TaskContext
 
@@ -306,8 +341,7 @@ def write_token_shards(
         enc, fs_path, out, lo, hi = encoder(tokenizer), None, None, None, None
         end = b"" if end_id is None else np.array([end_id], enc.dtype).tobytes()
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for key, ids in zip(batch.column(0).to_pylist(), enc.encode(texts)):
+            for key, ids in encoded(enc, batch):
                 if out is None:
                     fs, root = open_fs(out_dir)
                     fs.create_dir(root, recursive=True)
