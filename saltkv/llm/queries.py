@@ -65,7 +65,14 @@ def q_op7(spark, sf_dir):
     return op7_decontamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def q_op8(spark, sf_dir):
+    from .secrets import op8_secrets
+
+    return op8_secrets(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op8_secrets": q_op8,
     "op7_decontamination": q_op7,
     "op2_embedding_dedup": q_op2,
     "op1_ngram_jaccard": q_op1,
