@@ -71,7 +71,14 @@ def q_op8(spark, sf_dir):
     return op8_secrets(spark, table(spark, sf_dir, "documents"))
 
 
+def q_op9(spark, sf_dir):
+    from .toxicity import op9_toxicity
+
+    return op9_toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op9_toxicity": q_op9,
     "op8_secrets": q_op8,
     "op7_decontamination": q_op7,
     "op2_embedding_dedup": q_op2,

@@ -1,0 +1,90 @@
+"""Operator 9: the kernel against its definition, held-out accuracy, misspelt insults."""
+
+import itertools
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+
+from conftest import SF_MID
+from saltkv.llm import toxicity as T
+
+
+def plain_kernel(s, t):
+    total = 0.0
+    for a in itertools.combinations(range(len(s)), T.P):
+        for b in itertools.combinations(range(len(t)), T.P):
+            if all(s[i] == t[j] for i, j in zip(a, b)):
+                total += T.DECAY ** (a[-1] - a[0] + 1 + b[-1] - b[0] + 1)
+    return total
+
+
+def test_kernel_is_its_definition():
+    words = ["idiot", "i", "iidd", "idxiot", "toidi", "aaaa", "éàé", "漢字漢"]
+    for t in words:
+        got = T.subsequence_kernel(T._codes(words), T._codes([t]))
+        assert got.tolist() == pytest.approx([plain_kernel(s, t) for s in words], rel=1e-4)
+
+
+def test_words_share_enough_pairs_or_get_zero():
+    k = T.WordKernel(["idiot", "clown"])
+    v = k(["idiot", "idxiot", "i", "", "unrelated", "clownish"])
+    assert v[0, 0] == pytest.approx(1) and 0.2 < v[1, 0] < 1 and v[5, 1] > 0.2
+    assert not v[2:5].any()
+
+
+def test_sentences():
+    assert T.sentences("One two. Three!\nfour  (five?) six") == [["one", "two."], ["three!"], ["four", "(five?)"], ["six"]]
+    assert T.sentences("an i d i o t here") == [["an", "i", "d", "i", "o", "t", "here"], ["idiot"]]
+    assert T.sentences("") == []
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    docs, labels = (spark.read.parquet(f"{SF_MID}/{t}.parquet") for t in ("documents", "labels"))
+    return T.train_toxicity(docs, labels)
+
+
+def test_held_out_documents(model):
+    text = dict(duckdb.sql(f"select doc_id, text from '{SF_MID}/documents.parquet'").fetchall())
+    label = duckdb.sql(f"select doc_id, toxic from '{SF_MID}/labels.parquet'").fetchall()
+    held = [(k, y) for k, y in label if zlib.crc32(str(k).encode()) % 5 == 0]
+    p = model.scores([text[k] for k, _ in held])
+    y = np.array([y for _, y in held])
+    rank = p.argsort(kind="stable").argsort()
+    auc = (rank[y == 1].sum() - (y == 1).sum() * ((y == 1).sum() - 1) / 2) / ((y == 1).sum() * (y == 0).sum())
+    assert ((p >= 0.5) == (y == 1)).mean() >= 0.95 and auc > 0.75 and (p[y == 0] < 0.5).mean() >= 0.99
+
+
+def test_misspelt_insults(model):
+    marks = model.kernel.landmarks[:8]
+    say = lambda w: f"the of {w} and then"
+    assert (model.scores([say(w) for w in marks]) >= 0.5).all()
+    assert (model.scores([say(".".join(w)) for w in marks]) >= 0.5).all()
+    assert (model.scores([say(" ".join(w)) for w in marks]) >= 0.5).all()
+    assert (model.scores([say(w[:2] + w[1:]) for w in marks]) >= 0.5).mean() >= 0.7
+    assert (model.scores(["", "the of and then", "x" * 100_000, "123 !!!"]) < 0.5).all()
+    assert model.scores(["y" * 5000 + marks[0] + "z" * 5000])[0] >= 0.5  # inside a run without spaces
+
+
+def test_a_full_cache_scores_alike(model, monkeypatch):
+    texts = [f"the {w} of" for w in model.kernel.landmarks] * 3
+    want = model.scores(texts)
+    monkeypatch.setattr(T, "CACHE_WORDS", 3)
+    T._CACHES.clear()
+    assert (model.scores(texts[:5]).tolist() + model.scores(texts[5:]).tolist()) == want.tolist()
+
+
+def test_query_rows_and_edges(spark):
+    from saltkv.llm.queries import q_op9
+
+    docs, labels = (spark.read.parquet(f"{SF_MID}/{t}.parquet") for t in ("documents", "labels"))
+    got = {r.doc_id: r for r in q_op9(spark, SF_MID).collect()}
+    assert len(got) == docs.count()
+    for k, r in got.items():
+        assert r.held_out == (zlib.crc32(str(k).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5)
+    odd = spark.createDataFrame([(1, None), (1, ""), (None, "the"), (2, "a"), (2, "a")], "doc_id long, text string").selectExpr("*", "1 as score", "2 as lang")
+    rows = T.op9_toxicity(spark, odd, labels).collect()
+    assert len(rows) == 5 and len({r.score for r in rows}) == 1  # too few labels: one share for all
+    assert T.op9_toxicity(spark, odd.limit(0), labels).count() == 0
