@@ -8,8 +8,8 @@ fallback, and the decoder.  Texts are cut where no piece can reach across
 distinct unit of a batch is encoded once, in multithreaded batches, and its ids are reused.
 
 Parity.  With ``verify`` (the default) every new unit is also encoded by the
-``sentencepiece`` library and its ids are decoded again; a difference raises.
-As ids of a text are those of its units in order, this covers whole texts.
+``sentencepiece`` library; a difference raises.  As ids of a text are those of its
+units in order, this covers whole texts.
 
 Scale.  Pure map over Arrow batches; the unit cache has a fixed size.
 
@@ -25,21 +25,22 @@ import os
 import re
 import struct
 import zlib
+from collections import deque
 from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_text
+from .common import KnownWords, id_text
 
 MARK = "▁"  # U+2581
 #: Fixed values of the model format: piece types and model types.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Units a worker keeps (about 150 bytes each); beyond it new ones are encoded and forgotten.
-CACHE_UNITS = 1 << 20
-CHUNK_CHARS = 1 << 20
+CACHE_UNITS = 1 << 19
+CHUNK_CHARS = 1 << 19
 
 
 # ------------------------------------------------------------ protobuf
@@ -168,7 +169,8 @@ class PieceCodec:
         self.cuts = m.kind == BPE and m.byte_fallback and not nl and len(byte_nl) == 1 and not m.squeeze and not m.charsmap
         self.cuts = self.cuts and m.dummy_prefix and not any(joins.search(p) for p, _, _ in m.pieces)
         self.dtype = np.dtype("<u2" if len(m.pieces) <= 1 << 16 else "<u4")
-        self.verify, self.cache, self.forgotten = verify, {}, 0
+        self.spelt = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in m.pieces]
+        self.verify, self.cache, self.forgotten = verify, KnownWords(), 0
         if self.cuts:
             from tokenizers import Tokenizer, pre_tokenizers
 
@@ -188,40 +190,39 @@ class PieceCodec:
         marked = [u.replace(" ", MARK) for u in words]
         lines = ["\n".join(marked[i : i + size]) for i in range(0, len(marked), size)]
         out = {"\n": np.array([self.newline], self.dtype).tobytes()}
-        for k, e in enumerate(self.bare.encode_batch_fast(lines, add_special_tokens=False)):
+        got = [e.ids for e in self.bare.encode_batch_fast(lines, add_special_tokens=False)]
+        if self.verify and lines:
+            # behind a newline no dummy prefix can touch a unit: marker, newline, the line's ids
+            for line, ids, other in zip(lines, got, self.sp.encode(["\n" + x for x in lines], num_threads=os.cpu_count() or 1)):
+                if other[2:] != ids:
+                    raise ParityError(f"ids differ in {line!r}")
+        for k, ids in enumerate(got):
             part = words[k * size : (k + 1) * size]
-            ids = np.array(e.ids, self.dtype)
+            ids = np.array(ids, self.dtype)
             cut = np.flatnonzero(ids == self.newline)
             if len(cut) != len(part) - 1:
                 raise ParityError("units were joined")
             raw = ids.tobytes()
             starts, ends = np.concatenate(([0], cut + 1)) * n, np.concatenate((cut, [len(ids)])) * n
             out.update(zip(part, (raw[a:b] for a, b in zip(starts.tolist(), ends.tolist()))))
-        if self.verify and words:
-            # behind a newline no dummy prefix can touch the unit: marker, newline, its ids
-            other = self.sp.encode(["\n" + u for u in words], num_threads=os.cpu_count() or 1)
-            back = self.tok.decode_batch([x[1:] for x in other], skip_special_tokens=False)
-            for u, ids, s in zip(words, other, back):
-                if np.array(ids[2:], self.dtype).tobytes() != out[u]:
-                    raise ParityError(f"ids of {u!r} differ")
-                if s != "\n" + u:
-                    raise ParityError(f"{u!r} decodes to {s!r}")
         return out
 
     def _texts(self, texts: list[str]) -> list[bytes]:
         cut = [_UNIT.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
-        got = [list(map(self.cache.get, units)) for units in cut]
-        new = {u for ids, units in zip(got, cut) for x, u in zip(ids, units) if x is None}
-        if not new:
-            return list(map(b"".join, got))
-        learnt = self._learn(list(new))
-        out = [b"".join([learnt[u] if x is None else x for x, u in zip(ids, units)]) for ids, units in zip(got, cut)]
-        if len(self.cache) + len(learnt) <= CACHE_UNITS:
-            self.cache.update(learnt)
-        else:
-            self.forgotten += len(learnt)
+        get = self.cache.__getitem__
+        for units in cut:
+            deque(map(get, units), 0)  # notes the units that the cache lacks
+        new = self.cache.lacks
+        if new:
+            self.cache.lacks = {}
+            self.cache.update(self._learn(list(new)))
+        out = [b"".join(map(get, units)) for units in cut]
+        if len(self.cache) > CACHE_UNITS:
+            self.forgotten += len(new)
+            for u in new:
+                del self.cache[u]
             if self.forgotten > CACHE_UNITS:
-                self.cache, self.forgotten = {}, 0
+                self.cache, self.forgotten = KnownWords(), 0
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -243,7 +244,17 @@ class PieceCodec:
         return out + self._texts(some)
 
     def decode(self, ids: list[bytes]) -> list[str]:
-        return self.tok.decode_batch([np.frombuffer(x, self.dtype).tolist() for x in ids], skip_special_tokens=False)
+        """The text of each row of ids.  Pieces are joined as bytes; rows whose byte
+        pieces aren't UTF-8 go to the library's decoder, which replaces them."""
+        get, skip, out = self.spelt.__getitem__, int(self.model.dummy_prefix), []
+        for x in ids:
+            own = np.frombuffer(x, self.dtype).tolist()
+            raw = b"".join(map(get, own))
+            try:
+                out.append((raw[1:] if skip and raw[:1] == b" " else raw).decode())
+            except UnicodeDecodeError:
+                out.append(self.tok.decode(own, skip_special_tokens=False))
+        return out
 
 
 _CODECS: dict[tuple, PieceCodec] = {}
@@ -293,10 +304,10 @@ def decode_pieces(docs: DataFrame, model: str, ids_col: str = "ids", out_col: st
     return docs.mapInArrow(run, schema)
 
 
-def op5_sentencepiece(spark: SparkSession, docs: DataFrame, model: str) -> DataFrame:
+def op5_sentencepiece(spark: SparkSession, docs: DataFrame, model: str, with_ids: bool = False) -> DataFrame:
     """Every text encoded and decoded again: ``doc_id, n_tokens, ids_crc32,
     decoded_chars, round_trip`` (the decoded text equals the text, markers read as
-    spaces).  Null texts count as empty."""
+    spaces) and, if asked for, the ids as little-endian binary.  Null texts count as empty."""
     d = id_text(docs, "doc_id", "text").withColumn("__text", F.coalesce("__text", F.lit("")))
 
     def run(batches):
@@ -304,18 +315,19 @@ def op5_sentencepiece(spark: SparkSession, docs: DataFrame, model: str) -> DataF
 
         c = codec(model)
         for batch in batches:
-            for i in range(0, batch.num_rows, 1000):
-                part = batch.slice(i, 1000)
+            for i in range(0, batch.num_rows, 500):
+                part = batch.slice(i, 500)
                 texts = part.column(1).to_pylist()
                 ids = c.encode(texts)
                 back = c.decode(ids)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(x) // c.dtype.itemsize for x in ids], pa.int64()),
+                    [*([pa.array(ids, pa.binary())] if with_ids else []), part.column(0), pa.array([len(x) // c.dtype.itemsize for x in ids], pa.int64()),
                      pa.array([zlib.crc32(np.frombuffer(x, c.dtype).astype("<u4").tobytes()) for x in ids], pa.int64()),
                      pa.array([len(b) for b in back], pa.int64()),
                      pa.array([b == t.replace(MARK, " ") for b, t in zip(back, texts)])],
-                    ["doc_id", "n_tokens", "ids_crc32", "decoded_chars", "round_trip"],
+                    [*(["ids"] if with_ids else []), "doc_id", "n_tokens", "ids_crc32", "decoded_chars", "round_trip"],
                 )
 
     kind = d.schema["__id"].dataType.simpleString()
-    return d.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_crc32 long, decoded_chars long, round_trip boolean")
+    ids = "ids binary, " if with_ids else ""
+    return d.mapInArrow(run, f"{ids}doc_id {kind}, n_tokens long, ids_crc32 long, decoded_chars long, round_trip boolean")

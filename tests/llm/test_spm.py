@@ -44,6 +44,13 @@ def test_random_texts(codec, sp):
     assert codec.decode(ids) == [x.replace("▁", " ") for x in t]
 
 
+def test_any_ids_decode_as_the_library_does(codec):
+    rng = random.Random(6)
+    rows = [[rng.choice((rng.randrange(32_000), rng.randrange(3, 259), 28705)) for _ in range(rng.randint(0, 12))] for _ in range(3000)]
+    got = codec.decode([np.array(r, codec.dtype).tobytes() for r in rows])
+    assert got == codec.tok.decode_batch(rows, skip_special_tokens=False)
+
+
 def test_a_full_cache_and_small_chunks(sp, monkeypatch):
     monkeypatch.setattr(spm, "CACHE_UNITS", 20)
     monkeypatch.setattr(spm, "CHUNK_CHARS", 50)
