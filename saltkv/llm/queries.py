@@ -5,7 +5,8 @@ from __future__ import annotations
 from .common import table
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer's file."""
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -14,7 +15,7 @@ def _tokenizer(name: str) -> str:
 def q_op6(spark, sf_dir):
     from .tokenbin import op6_token_binary
 
-    return op6_token_binary(spark, table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+    return op6_token_binary(spark, table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
 def q_op10(spark, sf_dir):
@@ -32,7 +33,7 @@ def q_op4(spark, sf_dir):
 def q_op5(spark, sf_dir):
     from .spm import op5_sentencepiece
 
-    return op5_sentencepiece(spark, table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
+    return op5_sentencepiece(spark, table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
 def q_op3(spark, sf_dir):
