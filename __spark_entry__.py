@@ -375,13 +375,52 @@ def q_compacted_three_loads(spark, sf_dir):
         loads = FX.check_loads(spark, sf_dir, 3)
         for i, d in enumerate(loads[:2]):
             res = load_rows(spark, FX.CHECK, d, root, load_ts=i + 1)
-        ST.compact(spark, FX.CHECK, res.table_dir, [*FX.CHECK.cols, "remarks"])
+        ST.compact(spark, FX.CHECK, res.table_dir)
         load_rows(spark, FX.CHECK, loads[2], root, load_ts=3)
         _PUBLISHED[key] = res.table_dir
     t = ST.current(spark, _PUBLISHED[key], [*FX.CHECK.cols, "remarks"])
     return t.select("salt", "prefix", "row_key", *FX.CHECK.cols, "remarks", "load_ts")
 
 
+def q_late_load_after_compaction(spark, sf_dir):
+    """Loads 1 and 3, compaction, then load 2 late: nothing of it is lost."""
+    root = scratch_path(spark, "store-late")
+    loads = FX.check_loads(spark, sf_dir, 3)
+    for i in (0, 2):
+        res = load_rows(spark, FX.CHECK, loads[i], root, load_ts=i + 1)
+    ST.compact(spark, FX.CHECK, res.table_dir)
+    load_rows(spark, FX.CHECK, loads[1], root, load_ts=2)
+    t = ST.current(spark, res.table_dir, [*FX.CHECK.cols, "remarks"])
+    return t.select("salt", "prefix", "row_key", *FX.CHECK.cols, "remarks", "load_ts")
+
+
+def q_load_rejects_recorded(spark, sf_dir):
+    """A permissive load of a batch with short records: what was loaded and what was set aside."""
+    root = scratch_path(spark, "store-rejects")
+    res = load_batch(spark, FX.CHECK, path=_short_every_7th(spark, sf_dir), store_root=root, mode="permissive")
+    loaded = ST.current(spark, res.table_dir, FX.CHECK.cols).select("id", F.lit("loaded").alias("outcome"))
+    aside = ST.read_rejected(spark, res.table_dir, res.load_ts)
+    return loaded.unionByName(aside.select(F.split("value", SEP).getItem(0).alias("id"), F.lit("rejected").alias("outcome")))
+
+
+def _dup_loads(spark, sf_dir, n):
+    root = scratch_path(spark, "store-dups")
+    for i in range(n):
+        res = load_rows(spark, FX.DUPLICATES, FX.duplicate_rows(spark, sf_dir), root, load_ts=i + 1, dedup=False)
+    return res.table_dir
+
+
+def q_published_dup_load(spark, sf_dir):
+    """One load that may repeat row keys (``dedup=False``) still reads as one row a key."""
+    t = ST.current(spark, _dup_loads(spark, sf_dir, 1), FX.DUPLICATES.cols)
+    return t.select("salt", "prefix", "row_key", *FX.DUPLICATES.cols)
+
+
+def q_first_rows_dup_loads(spark, sf_dir):
+    """The first six rows over two loads that repeat row keys."""
+    return ST.first_rows(spark, _dup_loads(spark, sf_dir, 2), 6, FX.DUPLICATES.cols).select("row_key", *FX.DUPLICATES.cols, "load_ts")
+
+
 def q_lookup_check_versions(spark, sf_dir):
     """Point lookup through the newest-wins merge of three loads (pruned below it)."""
     d = _published(spark, sf_dir, "check3", FX.CHECK, lambda s, p: FX.check_loads(s, p, 3), via_text=False)
@@ -465,6 +504,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_limit_versions": q_scan_limit_versions,
     "batch_lookup_versions": q_batch_lookup_versions,
     "sql_current_view": q_sql_current_view,
+    "late_load_after_compaction": q_late_load_after_compaction,
+    "load_rejects_recorded": q_load_rejects_recorded,
+    "published_dup_load": q_published_dup_load,
+    "first_rows_dup_loads": q_first_rows_dup_loads,
     "list_tables": q_list_tables,
 }
 
@@ -587,6 +630,11 @@ def _envelope_sql(bad: str) -> str:
     )
 
 
+_DUP_MERGED = (
+    "SELECT salt, prefix, row_key, " + ", ".join(f"max({c}) AS {c}" for c in FX.DUPLICATES.cols)
+    + f" FROM (SELECT *, {_keys_sql('key', 'id', 3)} FROM ({DUP_SRC})) GROUP BY salt, prefix, row_key"
+)
+
 ORACLE: dict[str, str] = {
     "row_keys": f"SELECT id, check_id, salt, prefix, row_key FROM ({_check_keyed(3)})",
     "row_keys_mod10": f"SELECT id, check_id, salt, prefix, row_key FROM ({_check_keyed(10)})",
@@ -638,6 +686,12 @@ ORACLE: dict[str, str] = {
         f"FROM ({_check_keyed(3)})"
     ),
     "sql_current_view": _versions_sql(3),
+    "late_load_after_compaction": _versions_sql(3),
+    "load_rejects_recorded": (
+        f"SELECT id, CASE WHEN CAST(id AS BIGINT) % 7 = 0 THEN 'rejected' ELSE 'loaded' END AS outcome FROM ({CHECK_SRC})"
+    ),
+    "published_dup_load": _DUP_MERGED,
+    "first_rows_dup_loads": f"SELECT * EXCLUDE (salt, prefix), 2::BIGINT AS load_ts FROM ({_DUP_MERGED}) ORDER BY row_key LIMIT 6",
     "lookup_check": (
         f"WITH k AS ({_check_keyed(3)}) SELECT row_key, {_fields(CHECK_FIELDS, CHECK_COLS)} "
         f"FROM k WHERE check_id = ({_TOP_CHECK})"

@@ -344,8 +344,8 @@ def lookup_response(table: DataFrame, spec: TableSpec, key, fields: Sequence[str
 
 def _salt_bounds(start: str | None, stop: str | None, n: int):
     w = salt_width(n)
-    lo = int(start[:w]) if start and len(start) >= w and start[:w].isdigit() else None
-    hi = int(stop[:w]) if stop and len(stop) >= w and stop[:w].isdigit() else None
+    lo = int(start[:w]) if start and len(start) >= w and start[:w].isascii() and start[:w].isdecimal() else None
+    hi = int(stop[:w]) if stop and len(stop) >= w and stop[:w].isascii() and stop[:w].isdecimal() else None
     return lo, hi
 
 

@@ -32,7 +32,10 @@ from ..session import DEFAULT_CONF
 from ..sources.delimited import batch_path, read_batch
 from ..sources.spec import TableSpec, apply_job_conf, load_job_conf, load_spec
 from ..operators.layout import files_per_bucket_for
-from ..sources.store import compact, input_bytes, list_bases, list_loads, refresh_table, registered_at, table_columns, write_manifest, layout_for_write, new_load_ts, publish_load, stage_load, staging_dir, table_location
+from ..sources.store import (
+    REJECTED, compact, input_bytes, layout_for_write, list_loads, new_load_ts, publish_load, read_rejected, refresh_table,
+    registered_at, stage_load, staging_dir, table_location, usable_base, write_manifest,
+)
 
 log = logging.getLogger("saltkv.job")
 
@@ -42,8 +45,9 @@ class LoadResult:
     table_dir: str
     load_ts: int
     load_dir: str
-    # Records the permissive parse set aside (lazy: no job runs unless used).
+    # The records a permissive load set aside (stored inside the load), and their number.
     rejected: object = None
+    n_rejected: int = 0
 
 
 def load_rows(
@@ -61,16 +65,17 @@ def load_rows(
     spread: bool = True,
     no_nulls: bool = False,
     compact_after: int | None = None,
+    rejected=None,
 ) -> LoadResult:
     """Key, lay out, stage and publish a DataFrame of string rows as one load.
 
     A NULL value means "not written by this load": the column keeps its older
     value when the table is read.  ``dedup=False`` trusts the unique column and
-    saves one shuffle.  ``load_ts`` defaults to the wall clock in milliseconds.
+    saves one shuffle.  ``load_ts`` defaults to the wall clock in milliseconds when the load is published.
+    ``rejected`` records are stored inside the load and counted in its manifest.
     ``spread`` round-robins an input with fewer partitions than cores before
     the key work (a shuffle follows anyway; large inputs are never touched).
     """
-    ts = int(load_ts) if load_ts is not None else new_load_ts()
     table_dir = table_location(spec, store_root)
     value_cols = [c for c in rows.columns]
     if spread:
@@ -80,21 +85,27 @@ def load_rows(
         keyed = dedup_in_load(keyed, value_cols)
     laid = layout_for_write(keyed, spec, files_per_bucket, exact_partitioner)
     if spec.hfile_path_prefix and store_root is None:
-        stage_dir = f"{spec.hfile_path_prefix.rstrip('/')}/{ts}"
+        stage_dir = f"{spec.hfile_path_prefix.rstrip('/')}/{load_ts or new_load_ts()}"
     else:
-        stage_dir = staging_dir(table_dir, f"load-{ts}")
+        stage_dir = staging_dir(table_dir, f"load-{load_ts or 'new'}")
     stage_load(laid, stage_dir, bloom_filter)
-    write_manifest(spark, stage_dir, list(rows.columns), not no_nulls, unique_keys=dedup)
-    load_dir = publish_load(spark, stage_dir, table_dir, ts)
+    n_rejected = 0
+    if rejected is not None:
+        rejected.select("value", "n_fields").write.parquet(f"{stage_dir}/{REJECTED}")
+        n_rejected = spark.read.parquet(f"{stage_dir}/{REJECTED}").count()
+    more = {} if rejected is None else {"rejected": n_rejected}
+    write_manifest(spark, stage_dir, list(rows.columns), not no_nulls, unique_keys=dedup, **more)
+    load_dir = publish_load(spark, stage_dir, table_dir, load_ts)
+    ts = int(load_dir.rpartition("=")[2])
     log.info("published %s as %s", spec.qualified_name, load_dir)
     if registered_at(spark, spec, table_dir):
-        refresh_table(spark, spec)  # catalog readers see the new load at once
+        refresh_table(spark, spec, table_dir)  # catalog readers see the new load and its columns at once
     if compact_after:
-        bases = list_bases(spark, table_dir)
-        pending = [t for t in list_loads(spark, table_dir) if not bases or t > bases[-1]]
-        if len(pending) >= compact_after:
-            compact(spark, spec, table_dir, table_columns(spark, table_dir, rows.columns))
-    return LoadResult(table_dir, ts, load_dir)
+        loads = list_loads(spark, table_dir)
+        base = usable_base(spark, table_dir, loads)
+        if len([t for t in loads if not base or t > base[0]]) >= compact_after:
+            compact(spark, spec, table_dir)
+    return LoadResult(table_dir, ts, load_dir, n_rejected=n_rejected)
 
 
 def load_batch(
@@ -104,14 +115,16 @@ def load_batch(
     store_root: str | None = None,
     *,
     path: str | None = None,
-    mode: str = "permissive",
+    mode: str = "failfast",
     record_sep: str | None = None,
     col_sep: str | None = None,
     **kw,
 ) -> LoadResult:
     """The load job: read one dated delimited batch and publish it as a load
-    (keyword options as in ``load_rows``).  Unless given, the number of files
-    per salt follows the batch's size on disk."""
+    (keyword options as in ``load_rows``).  A short record fails the job, unless
+    ``mode="permissive"``: then such records are stored in the load (``read_rejected``) and
+    counted in its manifest.  Unless given, the number of files per salt follows the
+    batch's size on disk."""
     src = path or batch_path(spec, batch_date)
     record_sep = record_sep if record_sep is not None else spec.record_sep
     col_sep = col_sep if col_sep is not None else spec.col_sep
@@ -120,8 +133,8 @@ def load_batch(
         kw["files_per_bucket"] = files_per_bucket_for(spark, spec.pre_regions, input_bytes(spark, src))
     # Parsed text has no NULL: every field of an accepted record is a string.
     kw.setdefault("no_nulls", True)
-    res = load_rows(spark, spec, batch.rows, store_root, **kw)
-    res.rejected = batch.rejected
+    res = load_rows(spark, spec, batch.rows, store_root, rejected=batch.rejected if mode == "permissive" else None, **kw)
+    res.rejected = read_rejected(spark, res.table_dir, res.load_ts)
     return res
 
 
@@ -129,8 +142,7 @@ def compact_table(spark: SparkSession, spec: TableSpec, batch_date: str | None =
     """Maintenance job: merge every published load into one base (see
     ``sources.store.compact``).  ``batch_date`` is not used."""
     table_dir = table_location(spec, store_root)
-    value_cols = kw.pop("value_cols", None) or table_columns(spark, table_dir, spec.cols)
-    return compact(spark, spec, table_dir, value_cols, files_per_bucket=kw.get("files_per_bucket"))
+    return compact(spark, spec, table_dir, files_per_bucket=kw.get("files_per_bucket"))
 
 
 # Jobs runnable by name from the command line.
@@ -154,7 +166,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--store-root", default=None)
     ap.add_argument("--input", default=None, help="override the dated input path")
     ap.add_argument("--master", default=None)
-    ap.add_argument("--mode", default="permissive", choices=["permissive", "failfast"])
+    ap.add_argument("--mode", default="failfast", choices=["failfast", "permissive"],
+                    help="permissive stores short records beside the load instead of failing")
     ap.add_argument("--no-dedup", action="store_true")
     ap.add_argument("--files-per-bucket", type=int, default=None)
     ap.add_argument("--load-ts", type=int, default=None)
@@ -181,6 +194,8 @@ def main(argv: list[str] | None = None) -> int:
                 compact_after=args.compact_after,
             )
             print(res.load_dir)
+            if args.mode == "permissive":
+                print(f"{res.n_rejected} records rejected")
         else:
             print(run_job(spark, args.job, spec, args.batch_date, store_root=args.store_root,
                           files_per_bucket=args.files_per_bucket))

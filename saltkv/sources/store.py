@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from ..operators.layout import cluster_for_write, partition_by_salt, sort_within
+from ..operators.layout import cluster_for_write, files_per_bucket_for, partition_by_salt, sort_within
 from ..operators.merge import latest_row_wins, latest_wins
 from .spec import TableSpec
 
@@ -94,13 +94,14 @@ def list_loads(spark: SparkSession, table_dir: str) -> list[int]:
     return sorted(out)
 
 
-def write_manifest(spark: SparkSession, load_dir: str, columns, may_have_nulls: bool, unique_keys: bool = True) -> None:
+def write_manifest(spark: SparkSession, load_dir: str, columns, may_have_nulls: bool, unique_keys: bool = True, **more) -> None:
     """A small JSON file inside a (staged) load: the columns it wrote, whether
-    any value may be NULL and whether its row keys are unique.  Readers of the
+    any value may be NULL and whether its row keys are unique (``more``: the loads a base
+    merged, the number of rejected records).  Readers of the
     data skip it (leading underscore); ``current`` uses it to choose the merge."""
     fs, p = _fs(spark, f"{load_dir.rstrip('/')}/{MANIFEST}")
     out = fs.create(p, True)
-    body = {"columns": list(columns), "nulls": bool(may_have_nulls), "unique": bool(unique_keys)}
+    body = {"columns": list(columns), "nulls": bool(may_have_nulls), "unique": bool(unique_keys), **more}
     try:
         out.write(bytearray(json.dumps(body).encode()))
     finally:
@@ -120,12 +121,9 @@ def read_manifest(spark: SparkSession, load_dir: str) -> dict | None:
 
 
 def table_columns(spark: SparkSession, table_dir: str, fallback=()) -> list[str]:
-    """Every value column any load (or the newest base) wrote, in order of first
-    appearance, from the manifests; ``fallback`` columns are kept too."""
+    """Every value column any load wrote, in order of first appearance, from the
+    manifests; ``fallback`` columns are kept too."""
     dirs = [f"{table_dir.rstrip('/')}/{VERSION}={ts}" for ts in list_loads(spark, table_dir)]
-    bases = list_bases(spark, table_dir)
-    if bases:
-        dirs.insert(0, f"{base_dir(table_dir, bases[-1])}/{VERSION}={bases[-1]}")
     out: list[str] = []
     for d in dirs:
         for c in (read_manifest(spark, d) or {}).get("columns", []):
@@ -149,8 +147,9 @@ def whole_rows(spark: SparkSession, load_dirs, value_cols) -> bool:
     return True
 
 
-def list_bases(spark: SparkSession, table_dir: str) -> list[int]:
-    """Versions of the compacted bases of a table, oldest first."""
+def _bases(spark: SparkSession, table_dir: str) -> list[tuple[int, int]]:
+    """``(version, number)`` of the compacted bases, oldest first.  A version is
+    compacted again (with the next number) when a load up to it came late."""
     fs, p = _fs(spark, table_dir)
     if not fs.exists(p):
         return []
@@ -158,12 +157,33 @@ def list_bases(spark: SparkSession, table_dir: str) -> list[int]:
     for st in fs.listStatus(p):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith(BASE_PREFIX):
-            out.append(int(name[len(BASE_PREFIX):]))
+            ts, _, k = name[len(BASE_PREFIX):].partition("_")
+            out.append((int(ts), int(k or 0)))
     return sorted(out)
 
 
-def base_dir(table_dir: str, ts: int) -> str:
-    return f"{table_dir.rstrip('/')}/{BASE_PREFIX}{int(ts)}"
+def list_bases(spark: SparkSession, table_dir: str) -> list[int]:
+    """Versions of the compacted bases of a table, oldest first."""
+    return sorted({ts for ts, _ in _bases(spark, table_dir)})
+
+
+def base_dir(table_dir: str, ts: int, number: int = 0) -> str:
+    return f"{table_dir.rstrip('/')}/{BASE_PREFIX}{int(ts)}" + (f"_{number}" if number else "")
+
+
+def usable_base(spark: SparkSession, table_dir: str, loads: list[int]) -> tuple[int, str] | None:
+    """Version and data directory of the newest base that merged every one of
+    ``loads`` up to its version.  A load published after a compaction under a
+    smaller version makes that base unusable: it keeps one version a row, so
+    the late load can't be merged into it."""
+    for ts, k in reversed(_bases(spark, table_dir)):
+        if not loads or ts > loads[-1]:
+            continue
+        d = f"{base_dir(table_dir, ts, k)}/{VERSION}={ts}"
+        merged = (read_manifest(spark, d) or {}).get("loads")
+        if merged is not None and {t for t in loads if t <= ts} <= set(merged):
+            return ts, d
+    return None
 
 
 def staging_dir(table_dir: str, name: str) -> str:
@@ -213,11 +233,31 @@ def stage_load(laid_out: DataFrame, stage_dir: str, bloom_filter: bool = False,
     return stage_dir
 
 
-def publish_load(spark: SparkSession, staged_dir: str, table_dir: str, load_ts: int) -> str:
-    """Adopt a staged load as version ``load_ts`` of the table (one rename)."""
-    target = f"{table_dir.rstrip('/')}/{VERSION}={int(load_ts)}"
-    rename(spark, staged_dir, target)
-    return target
+def publish_load(spark: SparkSession, staged_dir: str, table_dir: str, load_ts: int | None = None) -> str:
+    """Adopt a staged load as version ``load_ts`` of the table (one rename).
+    Without a version it gets the wall clock of this moment, so a load that
+    took long can't fall behind one that overtook it; if that is taken, the next free one."""
+    ts = int(load_ts) if load_ts is not None else new_load_ts()
+    while True:
+        target = f"{table_dir.rstrip('/')}/{VERSION}={ts}"
+        try:
+            rename(spark, staged_dir, target)
+            return target
+        except FileExistsError:
+            if load_ts is not None:
+                raise
+            ts += 1
+
+
+REJECTED = "_rejected"
+
+
+def read_rejected(spark: SparkSession, table_dir: str, load_ts: int) -> DataFrame:
+    """The records that a permissive load set aside: ``value, n_fields``."""
+    d = f"{table_dir.rstrip('/')}/{VERSION}={int(load_ts)}/{REJECTED}"
+    fs, p = _fs(spark, d)
+    schema = "value string, n_fields int"
+    return spark.read.schema(schema).parquet(d) if fs.exists(p) else spark.createDataFrame([], schema)
 
 
 # ----------------------------------------------------------------- read side
@@ -237,45 +277,52 @@ def read_loads(spark: SparkSession, table_dir: str, value_cols, loads: list[int]
     return spark.read.schema(schema).option("basePath", table_dir).parquet(*paths)
 
 
-def read_base(spark: SparkSession, table_dir: str, value_cols, ts: int) -> DataFrame:
+def read_base(spark: SparkSession, data_dir: str, value_cols) -> DataFrame:
     """A compacted base; each row carries the version it had when merged."""
     schema = stored_schema(value_cols)
     fields = list(schema.fields)
     fields.insert(len(value_cols) + len(KEY_FIELDS), StructField(ROW_VERSION, LongType(), True))
-    d = base_dir(table_dir, ts)
-    df = spark.read.schema(StructType(fields)).option("basePath", d).parquet(f"{d}/{VERSION}={int(ts)}")
+    df = spark.read.schema(StructType(fields)).option("basePath", data_dir.rpartition("/")[0]).parquet(data_dir)
     return df.withColumn(VERSION, F.coalesce(F.col(ROW_VERSION), F.col(VERSION))).drop(ROW_VERSION)
 
 
+def _sources(spark: SparkSession, table_dir: str, as_of: int | None = None) -> tuple[list[int], tuple[int, str] | None]:
+    """The loads to read and, if usable, the base that stands for the others."""
+    loads = [ts for ts in list_loads(spark, table_dir) if as_of is None or ts <= as_of]
+    base = usable_base(spark, table_dir, loads)
+    return [ts for ts in loads if not base or ts > base[0]], base
+
+
+def _source_dirs(table_dir: str, loads: list[int], base) -> list[str]:
+    return [f"{table_dir.rstrip('/')}/{VERSION}={ts}" for ts in loads] + ([base[1]] if base else [])
+
+
+def _unique_keys(spark: SparkSession, dirs: list[str]) -> bool:
+    """Does every manifest say that its row keys are unique?"""
+    return all((read_manifest(spark, d) or {}).get("unique", False) for d in dirs)
+
+
 def current(spark: SparkSession, table_dir: str, value_cols=None, as_of: int | None = None) -> DataFrame:
     """The table as a reader sees it: per row key and column, the newest value.
 
-    Reads the newest compacted base (if any, and not newer than ``as_of``)
-    plus the loads after it.  With a single source the merge is skipped (no
-    shuffle).  ``as_of`` reads the table as it was when that load was newest.
+    Reads the newest compacted base that merged every load up to its version (if any, and not
+    newer than ``as_of``) plus the loads after it.  With a single source whose manifest says
+    that row keys are unique the merge is skipped (no shuffle).  ``as_of`` reads the table as it was when that load was newest.
     ``value_cols`` defaults to every column the loads' manifests list.
     """
     if value_cols is None:
         value_cols = table_columns(spark, table_dir)
-    loads = list_loads(spark, table_dir)
-    bases = list_bases(spark, table_dir)
-    if as_of is not None:
-        loads = [ts for ts in loads if ts <= as_of]
-        bases = [ts for ts in bases if ts <= as_of]
+    loads, base = _sources(spark, table_dir, as_of)
     cols = list(value_cols)
     parts = []
-    if bases:
-        b = bases[-1]
-        loads = [ts for ts in loads if ts > b]
-        parts.append(read_base(spark, table_dir, cols, b))
+    if base:
+        parts.append(read_base(spark, base[1], cols))
     if loads or not parts:
         parts.append(read_loads(spark, table_dir, cols, loads))
     df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    if len(loads) + (1 if bases else 0) <= 1:
+    dirs = _source_dirs(table_dir, loads, base)
+    if len(dirs) <= 1 and _unique_keys(spark, dirs):
         return df.select("salt", *KEY_FIELDS, *cols, VERSION)
-    dirs = [f"{table_dir.rstrip('/')}/{VERSION}={ts}" for ts in loads]
-    if bases:
-        dirs.append(f"{base_dir(table_dir, bases[-1])}/{VERSION}={bases[-1]}")
     if whole_rows(spark, dirs, cols):
         return latest_row_wins(df).select("salt", *KEY_FIELDS, *cols, VERSION)
     return latest_wins(df, cols)
@@ -285,54 +332,58 @@ def first_rows(spark: SparkSession, table_dir: str, n: int, value_cols=None) ->
     """The first ``n`` rows of the newest-wins table in row-key order (a
     top-n scan) without merging the whole table.
 
-    A load holds each row key at most once, so the first ``n`` keys of the
-    merged table are among the first ``n * sources`` rows of the raw loads
-    (and base).  Those rows are taken with a per-task top-n (no full
-    shuffle), broadcast (a proven bound) into a semi join that Catalyst
-    pushes below the merge, and only their keys are merged.
+    Sources with unique row keys hold each key at most once, so the first
+    ``n`` keys of the merged table are among the first ``n * sources`` rows of
+    the raw loads (and base).  Those rows are taken with a per-task top-n (no
+    full shuffle) and semi-joined below the merge, so only their keys are
+    merged.  Where a load may repeat keys, the first ``n`` distinct keys are taken instead.
     """
     cur = current(spark, table_dir, value_cols)
-    loads = list_loads(spark, table_dir)
-    bases = list_bases(spark, table_dir)
-    if bases:
-        loads = [ts for ts in loads if ts > bases[-1]]
-    sources = len(loads) + (1 if bases else 0)
-    if sources <= 1:
+    loads, base = _sources(spark, table_dir)
+    dirs = _source_dirs(table_dir, loads, base)
+    unique = _unique_keys(spark, dirs)
+    if len(dirs) <= 1 and unique:
         return cur.orderBy("row_key").limit(n)
     raw = read_loads(spark, table_dir, [], loads).select("row_key")
-    if bases:
-        raw = raw.unionByName(read_base(spark, table_dir, [], bases[-1]).select("row_key"))
-    candidates = raw.orderBy("row_key").limit(n * sources)
-    top = cur.join(F.broadcast(candidates), "row_key", "left_semi").select(*cur.columns)
+    if base:
+        raw = raw.unionByName(read_base(spark, base[1], []).select("row_key"))
+    if not unique:
+        raw = raw.distinct()
+    candidates = raw.orderBy("row_key").limit(n * len(dirs) if unique else n)
+    top = cur.join(candidates, "row_key", "left_semi").select(*cur.columns)
     return top.orderBy("row_key").limit(n)
 
 
-def compact(spark: SparkSession, spec: TableSpec, table_dir: str, value_cols, up_to: int | None = None,
+def compact(spark: SparkSession, spec: TableSpec, table_dir: str, up_to: int | None = None,
             files_per_bucket: int | None = None, stage_dir: str | None = None) -> int | None:
-    """Merge every load up to ``up_to`` (default: the newest) into one base.
+    """Merge every load up to ``up_to`` (default: the newest) into one base,
+    with every column that any of them wrote.
 
     The merge is the same newest-wins aggregate a reader runs; the base is
     laid out like a load (range clustered, sorted, one salt per file), staged,
     and renamed into place.  Returns the base version, or ``None`` when there
     is nothing to compact.
     """
-    loads = list_loads(spark, table_dir)
-    if up_to is not None:
-        loads = [ts for ts in loads if ts <= up_to]
+    loads = [ts for ts in list_loads(spark, table_dir) if up_to is None or ts <= up_to]
     if not loads:
         return None
     t = loads[-1]
-    if t in list_bases(spark, table_dir):
+    base = usable_base(spark, table_dir, loads)
+    if base and base[0] == t:
         return t
-    merged = current(spark, table_dir, value_cols, as_of=t)
-    cols = list(value_cols)
+    cols = table_columns(spark, table_dir, spec.cols)
+    merged = current(spark, table_dir, cols, as_of=t)
     rows = merged.select(*cols, *KEY_FIELDS, F.col(VERSION).alias(ROW_VERSION), "salt")
+    merged_dirs = [f"{table_dir.rstrip('/')}/{VERSION}={ts}" for ts in loads]
+    if files_per_bucket is None:
+        size = sum(input_bytes(spark, d) for d in merged_dirs)
+        files_per_bucket = files_per_bucket_for(spark, spec.pre_regions, size)
     laid = cluster_for_write(rows, spec.pre_regions, files_per_bucket)
     stage_dir = stage_dir or staging_dir(table_dir, f"base-{t}")
     stage_load(laid, stage_dir)
-    merged_dirs = [f"{table_dir.rstrip('/')}/{VERSION}={ts}" for ts in loads]
-    write_manifest(spark, stage_dir, cols, not whole_rows(spark, merged_dirs, cols))
-    rename(spark, stage_dir, f"{base_dir(table_dir, t)}/{VERSION}={t}")
+    write_manifest(spark, stage_dir, cols, not whole_rows(spark, merged_dirs, cols), loads=loads)
+    number = 1 + max((k for ts, k in _bases(spark, table_dir) if ts == t), default=-1)
+    rename(spark, stage_dir, f"{base_dir(table_dir, t, number)}/{VERSION}={t}")
     return t
 
 
@@ -354,6 +405,8 @@ def create_table(spark: SparkSession, spec: TableSpec, table_dir: str, value_col
     ddl_cols = ", ".join([f"`{c}` STRING" for c in (*cols, *KEY_FIELDS)] + [f"`{VERSION}` BIGINT", "`salt` INT"])
     opts = ", ".join(f"'{k}' '{v}'" for k, v in write_options(bloom_filter).items())
     name = f"`{spec.namespace}`.`{spec.table_name}`"
+    if spark.catalog.tableExists(name) and not registered_at(spark, spec, table_dir):
+        spark.sql(f"DROP TABLE {name}")  # an entry for another place; its files stay
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({ddl_cols}) USING parquet "
         f"OPTIONS ({opts}) PARTITIONED BY ({VERSION}, salt) LOCATION '{table_dir}'"
@@ -398,9 +451,19 @@ def registered_at(spark: SparkSession, spec: TableSpec, table_dir: str) -> bool:
     return bool(loc) and _norm_path(loc[0]["data_type"]) == _norm_path(table_dir)
 
 
-def refresh_table(spark: SparkSession, spec: TableSpec) -> None:
-    """Make newly published loads visible to catalog readers."""
-    spark.sql(f"MSCK REPAIR TABLE `{spec.namespace}`.`{spec.table_name}`")
+def refresh_table(spark: SparkSession, spec: TableSpec, table_dir: str | None = None) -> None:
+    """Make newly published loads visible to catalog readers, and (with
+    ``table_dir``) columns that loads added, in the table and its newest-wins view."""
+    name = f"`{spec.namespace}`.`{spec.table_name}`"
+    if table_dir is not None:
+        have = {c.lower() for c in spark.table(name).columns}
+        new = [c for c in table_columns(spark, table_dir) if c.lower() not in have]
+        if new:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{c}` STRING' for c in new)})")
+            view = f"{spec.table_name}_current"
+            if spark.catalog.tableExists(f"`{spec.namespace}`.`{view}`"):
+                create_current_view(spark, spec, table_columns(spark, table_dir, spec.cols), view)
+    spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
 def list_tables(spark: SparkSession, namespace: str) -> DataFrame:

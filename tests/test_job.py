@@ -2,6 +2,8 @@ import os
 import subprocess
 import sys
 
+import pytest
+
 from saltkv.plans import fixtures as FX
 from saltkv.sources import delimited as D
 from conftest import ROOT, SF_SMALL, local_path
@@ -41,14 +43,18 @@ def test_command_line_load(spark, tmp):
 
 def test_rejected_records_are_reported(spark, tmp):
     from saltkv.plans.job import load_batch
+    from saltkv.sources.store import read_manifest
 
     inp = tmp("in-rej")
     os.makedirs(local_path(inp))
     with open(os.path.join(local_path(inp), "part-0"), "w") as fh:
         fh.write("1\x01a\x01x\x01y\x01z\x102\x01b\x10")
     spec = FX.CHECK.with_(input_path_prefix=None)
-    res = load_batch(spark, spec, path=inp, store_root=tmp("st-rej"), load_ts=1)
-    assert [tuple(r) for r in res.rejected.collect()] == [("2\x01b", 2)]
+    with pytest.raises(Exception, match="fewer than 5 fields"):
+        load_batch(spark, spec, path=inp, store_root=tmp("st-ff"), load_ts=1)  # the default
+    res = load_batch(spark, spec, path=inp, store_root=tmp("st-rej"), load_ts=1, mode="permissive")
+    assert [tuple(r) for r in res.rejected.collect()] == [("2\x01b", 2)] and res.n_rejected == 1
+    assert read_manifest(spark, res.load_dir)["rejected"] == 1
     assert spark.read.parquet(res.load_dir).count() == 1
 
 
@@ -135,3 +141,16 @@ def test_load_survives_task_retries(tmp):
         capture_output=True, text=True, timeout=600,
     )
     assert "RESULT True" in p.stdout, (p.stdout[-2000:], p.stderr[-3000:])
+
+
+def test_a_short_record_fails_the_command(tmp):
+    inp = local_path(tmp("in-short"))
+    os.makedirs(f"{inp}/2024-01-01")
+    with open(f"{inp}/2024-01-01/part-0", "w") as fh:
+        fh.write("1\x01a\x102\x10")
+    conf = _conf(tmp, "conf-short", "tableName=check\nnamespace=k\npreRegions=3\nuniqCol=id\nqueryKey=check_id\n"
+                 f"inputPathPrefix={inp}\ncols=id,check_id\n")
+    args = ["2024-01-01", "load", "check", "--conf-dir", conf, "--master", "local[1]", "--store-root"]
+    assert _run([*args, tmp("short-a")]).returncode == 1
+    p = _run([*args, tmp("short-b"), "--mode", "permissive"])
+    assert p.returncode == 0 and "1 records rejected" in p.stdout

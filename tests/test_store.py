@@ -127,7 +127,7 @@ def test_compaction_keeps_reads_equal(spark, tmp):
     load_rows(spark, FX.CHECK, loads[1], root, load_ts=2)
     d = res.table_dir
     before2 = sorted(map(tuple, ST.current(spark, d, COLS).collect()))
-    assert ST.compact(spark, FX.CHECK, d, COLS) == 2
+    assert ST.compact(spark, FX.CHECK, d) == 2
     assert ST.list_bases(spark, d) == [2] and ST.list_loads(spark, d) == [1, 2]
     after2 = ST.current(spark, d, COLS)
     assert "Exchange" not in plan_text(after2)  # one base, nothing to merge
@@ -140,7 +140,7 @@ def test_compaction_keeps_reads_equal(spark, tmp):
     assert sorted(map(tuple, ST.current(spark, d, COLS).collect())) == want
     # Reading as of load 1 ignores the base.
     assert ST.current(spark, d, COLS, as_of=1).where(F.col("load_ts") > 1).count() == 0
-    assert ST.compact(spark, FX.CHECK, d, COLS, up_to=2) == 2  # already compacted
+    assert ST.compact(spark, FX.CHECK, d, up_to=2) == 2  # already compacted
 
 
 def test_published_files_sorted_one_salt_and_staging_gone(spark, tmp):
@@ -315,7 +315,7 @@ def test_first_rows_merges_only_candidates(spark, tmp, three):
     loads = FX.check_loads(spark, SF_SMALL, 3)
     for i, d in enumerate(loads[:2]):
         res = load_rows(spark, FX.CHECK, d, root, load_ts=i + 1)
-    ST.compact(spark, FX.CHECK, res.table_dir, COLS)
+    ST.compact(spark, FX.CHECK, res.table_dir)
     load_rows(spark, FX.CHECK, loads[2], root, load_ts=3)
     want = [tuple(r) for r in ST.current(spark, res.table_dir, COLS).orderBy("row_key").limit(5).collect()]
     assert [tuple(r) for r in ST.first_rows(spark, res.table_dir, 5, COLS).collect()] == want
@@ -335,3 +335,79 @@ def test_batch_lookup_without_broadcast_on_merged_table(spark, three):
         assert sorted(map(tuple, q.collect())) == a and a
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+# ------------------------------------------------------------ loads out of order, repeated keys
+
+
+def _rows(spark, *rows, cols=("id", "check_id", "rule_no")):
+    return spark.createDataFrame([tuple(r) for r in rows], ", ".join(f"{c} string" for c in cols))
+
+
+def _small(**kw):
+    return FX.CHECK.with_(cols=("id", "check_id", "rule_no"), **kw)
+
+
+def _load(spark, root, rows, **kw):
+    from saltkv.plans.job import load_rows
+
+    return load_rows(spark, _small(), rows, root, **kw)
+
+
+def test_a_late_load_after_compaction_is_read(spark, tmp):
+    root = tmp("late")
+    d = _load(spark, root, _rows(spark, ("1", "a", "one"), ("2", "b", "one")), load_ts=1).table_dir
+    _load(spark, root, _rows(spark, ("1", "a", "five")), load_ts=5)
+    assert ST.compact(spark, _small(), d) == 5
+    _load(spark, root, _rows(spark, ("1", "a", "three"), ("3", "c", "three")), load_ts=3)
+    read = lambda: sorted((r.id, r.rule_no, r.load_ts) for r in ST.current(spark, d).collect())
+    want = [("1", "five", 5), ("2", "one", 1), ("3", "three", 3)]
+    assert read() == want
+    assert ST.compact(spark, _small(), d) == 5 and ST.usable_base(spark, d, ST.list_loads(spark, d))[0] == 5
+    assert read() == want and ST.list_bases(spark, d) == [5]
+
+
+def test_repeated_keys_merge_whatever_the_number_of_loads(spark, tmp):
+    root = tmp("dups")
+    rows = [(str(i % 7), "k", f"v{i:02d}") for i in range(16)]
+    want = {str(k): max(r[2] for r in rows if r[0] == str(k)) for k in range(7)}
+    d = _load(spark, root, _rows(spark, *rows), load_ts=1, dedup=False).table_dir
+    read = lambda df: sorted((r.id, r.rule_no) for r in df.collect())
+    for _ in range(2):
+        assert read(ST.current(spark, d)) == sorted(want.items())
+        first = sorted(ST.current(spark, d).collect(), key=lambda r: r.row_key)[:4]
+        assert [r.row_key for r in ST.first_rows(spark, d, 4).collect()] == [r.row_key for r in first]
+        if ST.list_loads(spark, d) == [1]:
+            _load(spark, root, _rows(spark, *rows), load_ts=2, dedup=False)
+    ST.compact(spark, _small(), d)
+    assert read(ST.current(spark, d)) == sorted(want.items())
+
+
+def test_compaction_keeps_every_column(spark, tmp):
+    root = tmp("cols")
+    cols = ("id", "check_id", "rule_no", "remarks")
+    d = _load(spark, root, _rows(spark, ("1", "a", "x", "kept"), cols=cols), load_ts=1).table_dir
+    _load(spark, root, _rows(spark, ("1", "a", "y")), load_ts=2)
+    ST.compact(spark, _small(), d)
+    assert [(r.rule_no, r.remarks) for r in ST.current(spark, d).collect()] == [("y", "kept")]
+
+
+def test_two_loads_in_one_millisecond(spark, tmp, monkeypatch):
+    root = tmp("clock")
+    monkeypatch.setattr(ST, "new_load_ts", lambda: 77)
+    a = _load(spark, root, _rows(spark, ("1", "a", "x")))
+    b = _load(spark, root, _rows(spark, ("2", "a", "x")))
+    assert (a.load_ts, b.load_ts) == (77, 78) and ST.current(spark, a.table_dir).count() == 2
+
+
+def test_a_table_registered_elsewhere_is_registered_anew(spark, tmp):
+    spec = _small(namespace="keyspace_moved", table_name="t")
+    from saltkv.plans.job import load_rows
+
+    for i, root in enumerate((tmp("place-a"), tmp("place-b"))):
+        d = load_rows(spark, spec, _rows(spark, *[(str(k), "a", "x") for k in range(i + 1)]), root, load_ts=1).table_dir
+        ST.create_table(spark, spec, d, namespace_location=tmp("ns-moved"))
+        assert spark.table("keyspace_moved.t").count() == i + 1
+    ST.create_current_view(spark, spec)
+    load_rows(spark, spec, _rows(spark, ("9", "a", "x", "new"), cols=("id", "check_id", "rule_no", "remarks")), root, load_ts=2)
+    assert {r.remarks for r in spark.sql("SELECT remarks FROM keyspace_moved.t_current").collect()} == {None, "new"}

@@ -58,7 +58,7 @@ def main():
     show("Full newest-wins read of three loads", t)
     show("Top-6 rows of the three-load table: candidate keys semi-joined below the merge",
          ST.first_rows(spark, res.table_dir, 6, cols))
-    ST.compact(spark, FX.CHECK, res.table_dir, cols, up_to=3)
+    ST.compact(spark, FX.CHECK, res.table_dir, up_to=3)
     show("Full read after compaction: one base, no merge", ST.current(spark, res.table_dir, cols))
     show("Range scan with column projection", LK.scan_range(t, FX.CHECK, "08", "1c", ["f:id"]))
     spark.stop()
