@@ -325,6 +325,24 @@ def q_batch_envelope(spark, sf_dir):
     return LK.batch_envelope(published_check(spark, sf_dir), FX.CHECK, reqs, fields=CHECK_FIELDS)
 
 
+def q_batch_reply_rows(spark, sf_dir):
+    """The rows of every reply, in order."""
+    return LK.batch_reply_rows(published_check(spark, sf_dir), FX.CHECK, _customer_requests(spark, sf_dir), fields=CHECK_FIELDS)
+
+
+def _hot_orders(spark, sf_dir):
+    """A third of the orders belong to one customer."""
+    rows = FX.check_rows(spark, sf_dir)
+    return rows.withColumn("check_id", F.when(F.col("id").cast("long") % 3 == 0, F.lit("HOT")).otherwise(F.col("check_id")))
+
+
+def q_batch_lookup_hot(spark, sf_dir):
+    """Batch lookup by shuffle joins where one key holds a third of all rows."""
+    t = _keyed(_hot_orders(spark, sf_dir), FX.CHECK)
+    reqs = _customer_requests(spark, sf_dir).unionByName(spark.sql("SELECT 'hot' AS req_id, 'HOT' AS check_id"))
+    return LK.batch_lookup(t, FX.CHECK, reqs, fields=CHECK_FIELDS, broadcast_requests=False, hot_rows=100)
+
+
 def q_envelope_unknown_cells(spark, sf_dir):
     """A stored column outside the result schema, written for every 4th order:
     a request fails only when one of its matched rows holds that cell."""
@@ -495,6 +513,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_limit": q_scan_limit,
     "batch_lookup": q_batch_lookup,
     "batch_envelope": q_batch_envelope,
+    "batch_reply_rows": q_batch_reply_rows,
+    "batch_lookup_hot": q_batch_lookup_hot,
     "envelope_unknown_cells": q_envelope_unknown_cells,
     "batch_lookup_opinion": q_batch_lookup_opinion,
     "batch_envelope_opinion": q_batch_envelope_opinion,
@@ -720,6 +740,17 @@ ORACLE: dict[str, str] = {
         f"WITH k AS ({_check_keyed(3)}), r AS ({_CUSTOMER_REQS.format(known='CAST(c_custkey AS VARCHAR)')}) "
         f"SELECT r.req_id, k.row_key, {_fields(CHECK_FIELDS, CHECK_COLS, 'k')} FROM r JOIN k ON r.check_id = k.check_id"
     ),
+    "batch_reply_rows": (
+        f"WITH k AS ({_check_keyed(3)}), r AS ({_CUSTOMER_REQS.format(known='CAST(c_custkey AS VARCHAR)')}) "
+        "SELECT r.req_id, row_number() OVER (PARTITION BY r.req_id ORDER BY k.row_key) AS pos, "
+        f"{_fields(CHECK_FIELDS, CHECK_COLS, 'k')} FROM r JOIN k ON r.check_id = k.check_id"
+    ),
+    "batch_lookup_hot": (
+        f"WITH h AS (SELECT * REPLACE (CASE WHEN CAST(id AS BIGINT) % 3 = 0 THEN 'HOT' ELSE check_id END AS check_id) FROM ({CHECK_SRC})), "
+        f"k AS (SELECT *, {_keys_sql('check_id', 'id', 3)} FROM h), "
+        f"r AS ({_CUSTOMER_REQS.format(known='CAST(c_custkey AS VARCHAR)')} UNION ALL SELECT 'hot', 'HOT') "
+        f"SELECT r.req_id, k.row_key, {_fields(CHECK_FIELDS, CHECK_COLS, 'k')} FROM r JOIN k ON r.check_id = k.check_id"
+    ),
     "batch_envelope": (
         f"WITH k AS ({_check_keyed(3)}), "
         f"r AS ({_CUSTOMER_REQS.format(known='CASE WHEN c_nationkey = 0 THEN NULL ELSE CAST(c_custkey AS VARCHAR) END')}), "

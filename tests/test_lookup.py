@@ -41,17 +41,18 @@ def test_no_match_and_null_key(spark, check, hot):
     assert LK.lookup(check, FX.CHECK, "no-such-key").count() == 0
     with pytest.raises(LK.NullKeyError):
         LK.lookup(check, FX.CHECK, None)
-    ok = LK.lookup_response(check, FX.CHECK, "no-such-key").first()
-    assert (ok.rtn_sts, ok.rtn_code, ok.sys_code, ok.data) == ("S", "0", "475", [])
-    err = LK.lookup_response(check, FX.CHECK, None).first()
-    assert (err.rtn_sts, err.rtn_code, err.data) == ("E", "-1", None)
+    (ok,) = LK.lookup_response(check, FX.CHECK, "no-such-key").collect()
+    assert (ok.rtn_sts, ok.rtn_code, ok.sys_code, ok.pos) == ("S", "0", "475", None)
+    (err,) = LK.lookup_response(check, FX.CHECK, None).collect()
+    assert (err.rtn_sts, err.rtn_code, err.pos) == ("E", "-1", None)
 
 
-def test_response_nests_rows(spark, check, hot):
-    r = LK.lookup_response(check, FX.CHECK, hot, CHECK_FIELDS).first()
-    assert r.rtn_sts == "S" and r.rtn_msg == LK.SUCCESS[2]
-    assert len(r.data) == LK.lookup(check, FX.CHECK, hot).count()
-    assert list(r.data[0].asDict()) == list(CHECK_FIELDS)
+def test_response_rows_are_in_order(spark, check, hot):
+    got = sorted(LK.lookup_response(check, FX.CHECK, hot, CHECK_FIELDS).collect(), key=lambda r: r.pos)
+    want = LK.lookup(check, FX.CHECK, hot, CHECK_FIELDS).collect()
+    assert {(r.rtn_sts, r.rtn_msg) for r in got} == {("S", LK.SUCCESS[2])}
+    assert [r.pos for r in got] == list(range(1, len(want) + 1))
+    assert [tuple(r)[5:] for r in got] == [tuple(r) for r in want]
 
 
 def test_unknown_stored_column(spark, check, hot):
@@ -69,7 +70,7 @@ def test_unknown_stored_column(spark, check, hot):
     assert LK.lookup_response(odd, FX.CHECK, hot, CHECK_FIELDS).first().rtn_sts == "E"
     assert LK.lookup_response(odd, FX.CHECK, "no-such-key", CHECK_FIELDS).first().rtn_sts == "S"
     r = LK.lookup_response(empty, FX.CHECK, hot, CHECK_FIELDS).first()
-    assert r.rtn_sts == "S" and len(r.data) > 0
+    assert r.rtn_sts == "S" and r.pos is not None
 
 
 def test_composite_collision_and_exact(spark):
@@ -86,15 +87,29 @@ def test_composite_null_part_is_text(spark):
 
 
 def test_batch_envelope_cases(spark, check, hot):
-    reqs = spark.createDataFrame([("a", hot), ("b", None), ("c", "nope"), ("d", hot)], "req_id string, check_id string")
-    env = {r.req_id: r for r in LK.batch_envelope(check, FX.CHECK, reqs, fields=CHECK_FIELDS, nested=True).collect()}
+    reqs = spark.createDataFrame([("a", hot), ("b", None), ("c", "nope"), ("d", hot), ("d", hot)], "req_id string, check_id string")
+    q = LK.batch_envelope(check, FX.CHECK, reqs, fields=CHECK_FIELDS)
     n = LK.lookup(check, FX.CHECK, hot).count()
-    assert (env["a"].rtn_sts, env["a"].n_data, len(env["a"].data)) == ("S", n, n)
-    assert (env["b"].rtn_sts, env["b"].rtn_code, env["b"].n_data, env["b"].data) == ("E", "-1", None, None)
-    assert (env["c"].rtn_sts, env["c"].n_data, env["c"].data) == ("S", 0, [])
-    assert env["d"].n_data == n  # a repeated key gets its rows again
-    ids = [x.id for x in env["a"].data]
-    assert ids == sorted(ids)
+    got = sorted((r.req_id, r.rtn_sts, r.rtn_code, r.n_data) for r in q.collect())
+    # a repeated key, or a repeated req_id, gets its own count
+    assert got == [("a", "S", "0", n), ("b", "E", "-1", None), ("c", "S", "0", 0), ("d", "S", "0", n), ("d", "S", "0", n)]
+    rows = LK.batch_reply_rows(check, FX.CHECK, reqs, fields=CHECK_FIELDS).collect()
+    want = [r.id for r in LK.lookup(check, FX.CHECK, hot).collect()]
+    assert [r.id for r in sorted((r for r in rows if r.req_id == "a"), key=lambda r: r.pos)] == want
+    assert len(rows) == 3 * n and {r.pos for r in rows} == set(range(1, n + 1))
+
+
+def test_envelope_of_a_hot_key_does_not_fan_out(spark):
+    t = E._keyed(spark.range(100_000).selectExpr("cast(id as string) id", "'k' check_id", "'r' rule_no", "'t' rule_type", "'d' rule_desc"), FX.CHECK)
+    reqs = spark.range(10_000).selectExpr("cast(id as string) req_id", "'k' check_id")
+    env = LK.batch_envelope(t, FX.CHECK, reqs, fields=CHECK_FIELDS)
+    assert [tuple(r) for r in env.groupBy("n_data").count().collect()] == [(100_000, 10_000)]
+
+
+def test_wide_requests_are_not_broadcast(spark, check):
+    wide = spark.range(3000).select(F.col("id").cast("string").alias("req_id"), F.repeat(F.lit("x"), 4000).alias("check_id"))
+    assert LK._broadcast_bound(spark) < wide.select(F.sum(LK._row_bytes(wide.columns))).first()[0]
+
 
 
 def test_batch_plan_broadcasts_requests_and_prunes(spark, check, hot):
@@ -137,16 +152,6 @@ def test_opinion_lookup(spark):
     assert rows and all(r.buss_no + r.business_type == one.buss_no + one.business_type for r in rows)
 
 
-def test_nested_replies_refuse_oversized_answers(spark, check, hot):
-    with pytest.raises(LK.AnswerTooLargeError):
-        LK.lookup_response(check, FX.CHECK, hot, CHECK_FIELDS, max_rows=1)
-    reqs = spark.createDataFrame([("a", hot)], "req_id string, check_id string")
-    with pytest.raises(LK.AnswerTooLargeError):
-        LK.batch_envelope(check, FX.CHECK, reqs, fields=CHECK_FIELDS, nested=True, max_rows=1)
-    # the flat forms have no bound
-    assert LK.batch_envelope(check, FX.CHECK, reqs, fields=CHECK_FIELDS).first().n_data > 1
-
-
 def test_scan_range_two_digit_salts_equals_brute_force(spark):
     spec = FX.CHECK.with_(pre_regions=12)
     t = E._keyed(FX.check_rows(spark, SF_SMALL), spec)
@@ -206,5 +211,14 @@ def test_salted_hot_keys_give_the_same_rows(spark):
     assert sorted(map(tuple, got)) == want
     assert sum(1 for r in got if r.check_id == "HOT") == 2 * 5000
     assert "__sub" in plan_text(q)
-    parts = q.where(F.col("check_id") == "HOT").select(F.spark_partition_id().alias("p")).distinct().count()
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():  # the joins must shuffle, and small partitions stay apart
+        spark.conf.set(k, v)
+    try:
+        q = LK.batch_lookup(t, FX.CHECK, reqs, fields=FX.CHECK.cols, salt_hot_keys=4, hot_rows=1000)
+        parts = q.where(F.col("check_id") == "HOT").select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
     assert parts > 1  # the hot key's rows meet the requests in several tasks
