@@ -62,7 +62,7 @@ def load_rows(
     exact_partitioner: bool = False,
     bloom_filter: bool = False,
     hash_method: str | None = None,
-    spread: bool = True,
+    spread: bool = False,
     no_nulls: bool = False,
     compact_after: int | None = None,
     rejected=None,
@@ -74,7 +74,8 @@ def load_rows(
     saves one shuffle.  ``load_ts`` defaults to the wall clock in milliseconds when the load is published.
     ``rejected`` records are stored inside the load and counted in its manifest.
     ``spread`` round-robins an input with fewer partitions than cores before
-    the key work (a shuffle follows anyway; large inputs are never touched).
+    the key work (a shuffle follows anyway); it has to plan the input to know, so only
+    the load job, whose input is files, asks for it.
     """
     table_dir = table_location(spec, store_root)
     value_cols = [c for c in rows.columns]
@@ -133,6 +134,7 @@ def load_batch(
         kw["files_per_bucket"] = files_per_bucket_for(spark, spec.pre_regions, input_bytes(spark, src))
     # Parsed text has no NULL: every field of an accepted record is a string.
     kw.setdefault("no_nulls", True)
+    kw.setdefault("spread", True)
     res = load_rows(spark, spec, batch.rows, store_root, rejected=batch.rejected if mode == "permissive" else None, **kw)
     res.rejected = read_rejected(spark, res.table_dir, res.load_ts)
     return res
