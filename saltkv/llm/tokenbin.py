@@ -115,7 +115,7 @@ class WordEncoder:
         simple, other, out = {}, [], {}
         for w in words:
             stem = w if w[-1] not in ".," else w[:-1]
-            if stem.isalpha() and max(stem) < "\u0250" and "\u0130" not in stem:
+            if stem.isalpha() and (stem.isascii() or max(stem) < "\u0250" and "\u0130" not in stem):
                 simple[w] = stem
             elif self.sep in w:
                 out[w] = self._plain(w)
