@@ -79,17 +79,20 @@ def _block_lanes(h: Column) -> Column:
     return F.transform(blocks, _lanes)
 
 
-def _window_prints(h: Column) -> list[Column]:
-    """Arrays of fingerprints by block, one array for each size."""
-    lanes, out = _block_lanes(h), []
-    for k, size in enumerate(SIZES):
-        out.append(lanes)
-        # a block and the half a window behind it; beyond the end the sum is null
-        lanes = F.zip_with(lanes, F.slice(lanes, (1 << k) + 1, F.greatest(F.size(lanes), F.lit(1))), _add)
+def _with_prints(df: DataFrame) -> DataFrame:
+    """``df`` with, for each size, an array ``f<size>`` of the fingerprints of the windows of
+    ``h`` by block.  Sums stand in columns of their own, so that each is computed once."""
+    df = df.withColumn("l8", _block_lanes(F.col("h")))
+    for k, (half, size) in enumerate(zip(SIZES, SIZES[1:])):
+        # a block and the half window behind it; beyond the end the sum is null
+        behind = F.slice(f"l{half}", (1 << k) + 1, F.greatest(F.size(f"l{half}"), F.lit(1)))
+        df = df.select("*", F.zip_with(f"l{half}", behind, _add).alias(f"l{size}"))
+
     def majority(size):
         return lambda w: _majority(w, size)
 
-    return [F.transform(x, majority(size)) for x, size in zip(out, SIZES)]
+    kept = [c for c in df.columns if c not in {f"l{s}" for s in SIZES}]
+    return df.select(*kept, *[F.transform(f"l{s}", majority(s)).alias(f"f{s}") for s in SIZES])
 
 
 def _keys(prints: list[tuple[Column, int]]) -> Column:
@@ -112,9 +115,8 @@ def item_table(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "t
     b = id_text(benchmark, id_col, text_col).select(F.col("__id").alias("item"), word_hashes(F.col("__text")).alias("h"))
     b = b.where(F.size("h") >= 2 * BLOCK - 1).withColumn("row", F.xxhash64("item", "h")).dropDuplicates(["row"])
     s = b.select("row", F.explode(F.array_distinct(shingle_hashes(F.col("h")))).alias("s"))
-    total = b.agg(F.count(F.lit(1)).alias("items"))
-    df = s.groupBy("s").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(total))  # one row
-    weight = F.log(1 + F.col("items") / F.col("df"))
+    df = s.groupBy("s").agg(F.count(F.lit(1)).alias("df"))
+    weight = F.log(1 + F.lit(b.count()) / F.col("df"))
     s = s.join(df.select("s", weight.alias("w")), "s").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("s", "w"))).alias("shingles"))
     return b.join(s, "row").select("row", "item", "h", F.size("h").alias("n"), "shingles")
 
@@ -125,9 +127,8 @@ def item_windows(items: DataFrame) -> DataFrame:
     best = F.when(n >= 39, F.array(F.lit(32), F.lit(16))).when(n >= 23, F.array(F.lit(16), F.lit(8))).otherwise(F.array(F.lit(8)))
     w = items.select("row", "h", "n", F.explode(best).alias("size"))
     w = w.select("row", "n", "size", "h", F.explode(F.sequence(F.lit(0), n - F.col("size"))).alias("at"))
-    prints = _window_prints(F.slice(F.col("h"), F.col("at") + 1, F.col("size")))
-    first = [F.get(p, F.lit(0)) for p in prints]
-    w = w.select("row", "n", "at", "size", *[f.alias(f"f{s}") for f, s in zip(first, SIZES)])
+    w = _with_prints(w.withColumn("h", F.slice("h", F.col("at") + 1, F.col("size"))))
+    w = w.select("row", "n", "at", "size", *[F.get(f"f{s}", F.lit(0)).alias(f"f{s}") for s in SIZES])
     parts = [w.where(F.col("size") == s).select("row", "n", "at", F.explode(_keys([(F.col(f"f{s}"), s)])).alias("k")) for s in SIZES]
     return reduce(DataFrame.unionByName, parts).select(F.col("k.key").alias("key"), F.col("k.fp").alias("item_fp"), "at", "row", "n")
 
@@ -138,9 +139,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     windows = item_windows(items)
     parts = max(1, -(-windows.count() // BROADCAST_ROWS))
     d = id_text(docs, id_col, text_col).select(F.col("__id").alias("doc"), word_hashes(F.col("__text")).alias("h"))
-    zipped = F.arrays_zip(*[p.alias(f"f{s}") for p, s in zip(_window_prints(F.col("h")), SIZES)])
-    d = d.select("doc", "h", zipped.alias("prints")).select("doc", "h", F.posexplode("prints").alias("block", "p"))
-    d = d.select("doc", "h", "block", F.explode(_keys([(F.col(f"p.f{s}"), s) for s in SIZES])).alias("k"))
+    d = _with_prints(d).select("doc", "h", F.arrays_zip(*[f"f{s}" for s in SIZES]).alias("prints"))
+    # outer generators: of others Spark infers a filter on the array, which it would compute anew below
+    d = d.select("doc", "h", F.posexplode_outer("prints").alias("block", "p"))
+    d = d.select("doc", "h", "block", F.explode_outer(_keys([(F.col(f"p.f{s}"), s) for s in SIZES])).alias("k"))
     d = d.select("doc", "h", "block", F.col("k.key").alias("key"), F.col("k.fp").alias("fp")).where("key is not null")
     out = []
     for part in range(parts):
