@@ -115,12 +115,17 @@ class TextModel:
     def train(cls, texts: list[str], labels: list[str]) -> TextModel:
         langs = sorted(set(labels))
         counts = np.zeros((len(langs), _BUCKETS))
-        data = [np.frombuffer(t.encode(), np.uint8) for t in texts]
-        grams = [_trigrams(d, np.array([len(d)])) for d in data]
-        for (h, ok), lang in zip(grams, labels):
-            counts[langs.index(lang)] += np.bincount(h[ok], minlength=_BUCKETS)
+
+        def grams():  # twice through, rather than all in memory
+            for t, lang in zip(texts, labels):
+                d = np.frombuffer(t.encode(), np.uint8)
+                h, ok = _trigrams(d, np.array([len(d)]))
+                yield h[ok], langs.index(lang)
+
+        for h, k in grams():
+            counts[k] += np.bincount(h, minlength=_BUCKETS)
         logp = np.log((counts + 0.1) / (counts.sum(axis=1, keepdims=True) + 0.1 * _BUCKETS)).astype(np.float32).T
-        own = [logp[h[ok], langs.index(lang)].mean() for (h, ok), lang in zip(grams, labels) if ok.any()]
+        own = [logp[h, k].mean() for h, k in grams() if len(h)]
         # "none of them" lies one unit a trigram below what the least likely labelled texts reach
         return cls(langs, np.ascontiguousarray(logp), float(np.quantile(own, 0.005)) - 1.0 if own else 0.0)
 
