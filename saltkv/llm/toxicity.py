@@ -6,12 +6,15 @@ letters or signs inserted stays close to the insult.  A sentence's
 kernel with a landmark word is the sum over its words.  Landmarks are words of the training sentences;
 the Nystroem map ``K(x, landmarks) K(landmarks, landmarks)^-1/2`` makes the machine linear, so a
 sentence's margin is a sum of one number a word, which workers keep for words they meet again.
-A document scores by its most toxic sentence, through a logistic fit.
+A document scores by its most toxic sentence or run of sentences of at most ``PASSAGE`` words, through a logistic fit.
 
 Training.  On the driver from at most ``TRAIN_DOCS`` labelled documents, by hash of doc_id, none of
-them held out.  Their sentences are labelled by rounds: every sentence of a document
-marked 0 is negative, and of a document marked 1 those with a word typical of such documents, and the one that the machine so far finds most toxic, are
-positive.  Typical words with a letter inserted are added as positive sentences.
+them held out.  Typical of documents marked 1 are words and word beginnings (stems) that stand there more often than chance
+allows for as many as were tried, however weaker than the strongest; the strongest is taken, its words leave
+the count, and so on until none is left, so that all languages and stems are covered and no number bounds the landmarks.
+Sentences and passages are labelled by rounds: all of a document
+marked 0 are negative, and of a document marked 1 those with a word that is ``SURE`` alone, and the one that the machine so far finds most toxic, are
+positive.  Sure words with a letter inserted are added as positive sentences.
 
 Scale.  Scoring is a map over Arrow batches; memory is a batch and ``CACHE_WORDS`` numbers.
 
@@ -26,6 +29,7 @@ doc_id are never inputs of a score.
 from __future__ import annotations
 
 import re
+import sys
 import uuid
 from collections import Counter, deque
 
@@ -36,8 +40,15 @@ from pyspark.sql import functions as F
 from .common import KnownWords, hash_sample
 
 P, DECAY, POWER, GAPS = 3, 0.8, 3, 2
-LANDMARKS, TRAIN_DOCS, NEGATIVES, ROUNDS = 16, 4000, 20_000, 3
+TRAIN_DOCS, ROUNDS, C = 4000, 3, 5.0
+#: What a positive sentence weighs in training; a negative one weighs 1.
+POSITIVE = 3.0
 WINDOW = 24
+CHUNK = 4096  # words compared at once
+#: Words of a run of sentences that score together.
+PASSAGE = 200
+#: Share of a word's sentences in documents marked 1 from which it tells alone.
+SURE = 0.9
 CACHE_WORDS = 1 << 19
 _SPACED = re.compile(r"(?<!\S)[^\W\d_](?:[ .*_-]{1,2}[^\W\d_]){2,}(?!\w)")
 _OTHER = re.compile(r"[\W\d_]+")
@@ -94,10 +105,12 @@ def _pair_bits(codes: np.ndarray, gaps: int) -> np.ndarray:
 class WordKernel:
     """Powered, normalised kernel values of words with the landmarks.  A word gets 0 for a
     landmark unless seven in ten of its neighbouring letters also stand in the word, in this order and with
-    at most ``GAPS`` letters between."""
+    at most ``GAPS`` letters between.  A landmark of ``stems`` is compared with the word's beginnings of
+    as many letters and of up to ``GAPS`` more, and the best counts, so that an ending takes nothing away."""
 
-    def __init__(self, landmarks: list[str]):
+    def __init__(self, landmarks: list[str], stems: frozenset[str] = frozenset()):
         self.landmarks = landmarks
+        self.heads = [range(len(x), len(x) + GAPS + 1) if x in stems else (WINDOW,) for x in landmarks]
         self.codes = [_codes([x]) for x in landmarks]
         self.own = [float(subsequence_kernel(c, c)[0]) for c in self.codes]
         self.bits = np.concatenate([_pair_bits(c, 0) for c in self.codes]) if landmarks else np.zeros((0, 4), np.uint64)
@@ -109,21 +122,27 @@ class WordKernel:
         for i, w in enumerate(words):
             if len(w) >= P:
                 by.setdefault((len(w) + 3) // 4, []).append(i)  # few sizes: shorter words are padded
-        for at in by.values():
+        for at in (x[i : i + CHUNK] for x in by.values() for i in range(0, len(x), CHUNK)):
             own = [words[i] for i in at]
             s = _codes(own)
             bits = _pair_bits(s, GAPS)
-            near = np.stack([np.bitwise_count(bits & x).sum(axis=1) for x in self.bits], axis=1) >= self.least[None]
+            lanes = np.ascontiguousarray(bits.T)
+            near = np.stack([sum(np.bitwise_count(lanes[k] & x[k]).astype(np.int16) for k in range(4)) for x in self.bits], axis=1) >= self.least[None]
             some = np.flatnonzero(near.any(axis=1))
             if not len(some):
                 continue
             s = s[:, some]
-            norm = subsequence_kernel(s, s)
+            norms = {}
             for j, t in enumerate(self.codes):
                 k = np.flatnonzero(near[some, j])
                 if len(k):
-                    v = subsequence_kernel(s[:, k], t) / np.sqrt(norm[k] * self.own[j])
-                    out[np.array(at)[some[k]], j] = np.minimum(v, 1.0) ** POWER
+                    best = np.zeros(len(k))
+                    for size in self.heads[j]:
+                        head = s[:size]
+                        if len(head) not in norms:
+                            norms[len(head)] = np.maximum(subsequence_kernel(head, head), 1e-9)
+                        best = np.maximum(best, subsequence_kernel(head[:, k], t) / np.sqrt(norms[len(head)][k] * self.own[j]))
+                    out[np.array(at)[some[k]], j] = np.minimum(best, 1.0) ** POWER
         return out
 
 
@@ -154,6 +173,16 @@ def sentences(text: str) -> list[list[str]]:
     return out
 
 
+def with_passages(sums: np.ndarray, sizes: list[int]) -> np.ndarray:
+    """Rows of ``sums`` (of sentences of ``sizes`` words), and below them, for each sentence, the sum
+    over the longest run of sentences of at most ``PASSAGE`` words that ends with it."""
+    total = np.concatenate((np.zeros((1, sums.shape[1])), sums.cumsum(axis=0)))
+    words = np.concatenate(([0], np.cumsum(sizes)))
+    end = np.arange(1, len(words))
+    first = np.minimum(np.searchsorted(words, words[1:] - PASSAGE), end - 1)
+    return np.concatenate((sums, total[end] - total[first]))
+
+
 class ToxicModel:
     """Landmarks, the linear machine over the Nystroem map, and the logistic scale."""
 
@@ -170,7 +199,7 @@ class ToxicModel:
         return [max((value[p] for p in x), key=abs, default=0.0) for x in parts]
 
     def margins(self, texts: list[str]) -> list[float]:
-        """The greatest margin of a sentence of each text."""
+        """The greatest margin of a sentence or passage of each text."""
         if self.kernel is None:
             return [0.0] * len(texts)
         known = _known(self.key)
@@ -187,7 +216,9 @@ class ToxicModel:
         out = []
         for t, words, extra in zip(texts, lists, spaced):
             if any(map(get, words)) or extra:
-                out.append(self.bias + max((sum(map(get, s)) for s in sentences(t)), default=0.0))
+                own = sentences(t)
+                sums = np.array([[sum(map(get, s))] for s in own]).reshape(-1, 1)
+                out.append(self.bias + with_passages(sums, [len(s) for s in own]).max(initial=-np.inf if own else 0.0))
             else:
                 out.append(self.bias)
         if len(known) > CACHE_WORDS:
@@ -211,10 +242,9 @@ def _known(key: str) -> KnownWords:
 # ------------------------------------------------------------ training
 
 
-def _svm(x: np.ndarray, y: np.ndarray, c: float = 2000.0) -> tuple[np.ndarray, float]:
-    """Linear squared-hinge machine with balanced classes, by Newton steps on its support."""
+def _svm(x: np.ndarray, y: np.ndarray, share: np.ndarray, c: float = C) -> tuple[np.ndarray, float]:
+    """Linear squared-hinge machine over rows that weigh ``share``, by Newton steps on its support."""
     sign = np.where(y == 1, 1.0, -1.0)
-    share = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y != 1).sum()))
     a = np.hstack((x, np.ones((len(x), 1))))
     w, ridge = np.zeros(a.shape[1]), np.eye(a.shape[1])
     ridge[-1, -1] = 1e-6
@@ -242,11 +272,55 @@ def _constant(y: np.ndarray) -> ToxicModel:
     return ToxicModel(None, None, 0.0, 0.0, float(np.log(p / (1 - p))))
 
 
-def train(texts: list[str], labels: list[int], landmarks: int = LANDMARKS) -> ToxicModel:
+def typical_words(count: list[Counter], n: list[int]) -> tuple[dict[str, bool], frozenset[str]]:
+    """Words and beginnings of words surely over-represented in toxic sentences, strongest first, and whether each is
+    ``SURE`` alone; which of them are beginnings of several words.  ``count``: sentences by word, ``n``: sentences, of clean and toxic documents."""
+    share = n[1] / max(1, n[0] + n[1])
+    stems: dict[str, list[int]] = {}
+    words: dict[str, list[str]] = {}
+    for w, k in count[1].items():
+        for j in range(P, min(len(w), WINDOW) + 1):
+            stems.setdefault(w[:j], [0, 0])[1] += k
+    stems = {w: at for w, at in stems.items() if at[1] >= 4}
+    for w in count[1].keys() | count[0].keys():
+        for j in range(P, min(len(w), WINDOW) + 1):
+            if w[:j] in stems:
+                stems[w[:j]][0] += count[0][w]
+                words.setdefault(w[:j], []).append(w)
+    least = max(3.0, np.sqrt(2 * np.log(max(1, len(stems)))))
+
+    def over(at):  # deviations from the expected count
+        c, k = at
+        odds = np.log((k + 0.5) / (n[1] + 1)) - np.log((c + 0.5) / (n[0] + 1))
+        return (k - (k + c) * share) / np.sqrt((k + c) * share + 1) if k >= 4 and odds > 2 else 0.0
+
+    left = {w: v for w, at in stems.items() if (v := over(at)) >= least}
+    gone: set[str] = set()
+    out: dict[str, bool] = {}
+    several: set[str] = set()
+    while left:
+        best = min(left, key=lambda w: (-left[w], -len(w), w))
+        c, k = stems[best]
+        out[best] = (k + 0.5) / (k + c + 1) >= SURE
+        if sum(count[1][w] > 0 for w in words[best] if w not in gone) > 1:
+            several.add(best)
+        for w in words[best]:  # they leave the count of their other beginnings
+            if w in gone:
+                continue
+            gone.add(w)
+            for j in range(P, min(len(w), WINDOW) + 1):
+                if (at := stems.get(w[:j])) is not None:
+                    at[0] -= count[0][w]
+                    at[1] -= count[1][w]
+        left = {w: v for w in left if (v := over(stems[w])) >= least}
+    return out, frozenset(several)
+
+
+def train(texts: list[str], labels: list[int]) -> ToxicModel:
     y = np.array(labels, float)
     if min((y == 1).sum(), (y == 0).sum()) < 5:
         return _constant(y)
-    sents = [[s for s in ([letters(w) for w in ws] for ws in sentences(t)) if any(s)] or [[""]] for t in texts]
+    sents = [[s for s in ([sys.intern(letters(w)) for w in ws] for ws in sentences(t)) if any(s)] or [[""]] for t in texts]
     # words by distinct sentence, so that copies of a document count once
     seen: list[set] = [set(), set()]
     for own, label in zip(sents, labels):
@@ -254,40 +328,46 @@ def train(texts: list[str], labels: list[int], landmarks: int = LANDMARKS) -> To
     seen[1] -= seen[0]
     count = [Counter(w for s in x for w in set(s) if len(w) >= P) for x in seen]
     n = [len(x) for x in seen]
-    share = n[1] / max(1, n[0] + n[1])
-    odds = {w: np.log((k + 0.5) / (n[1] + 1)) - np.log((count[0][w] + 0.5) / (n[0] + 1)) for w, k in count[1].items()}
-    # surely over-represented in toxic documents: by deviations from the expected count
-    over = {w: (k - (k + count[0][w]) * share) / np.sqrt((k + count[0][w]) * share + 1) for w, k in count[1].items() if k >= 4 and odds[w] > 2}
-    least = max(3.0, 0.3 * max(over.values(), default=0.0))
-    typical = [w for w in sorted(over, key=lambda w: (-over[w], w)) if over[w] >= least and len(w) <= WINDOW][: landmarks * 3 // 4]
+    del seen  # the driver's memory is short
+    typical, stems = typical_words(count, n)
     if not typical:
         return _constant(y)
-    marks = list(typical)
+    sure = [w for w in typical if typical[w]]
+    marks = sure + [w for w in typical if not typical[w]]
     # and the words of clean documents that come closest to those
-    plain = sorted({w for w in count[0] if len(w) <= WINDOW and w not in marks})
-    close = WordKernel(marks)(plain).max(axis=1, initial=0.0) if plain else np.zeros(0)
-    marks += [plain[i] for i in sorted(range(len(plain)), key=lambda i: (-close[i], plain[i]))[: landmarks - len(marks)] if close[i] > 0]
-    kernel = WordKernel(marks)
+    plain = sorted({w for w in count[0] if len(w) <= WINDOW and w not in typical and not w.startswith(tuple(marks))})
+    close = WordKernel(marks, stems)(plain).max(axis=1, initial=0.0) if plain else np.zeros(0)
+    marks += [plain[i] for i in sorted(range(len(plain)), key=lambda i: (-close[i], plain[i]))[: len(typical) // 3 + 1] if close[i] > 0]
+    kernel = WordKernel(marks, stems)
     gram = kernel(marks)
     lam, vec = np.linalg.eigh((gram + gram.T) / 2)
     root = vec @ np.diag(1 / np.sqrt(np.maximum(lam, 1e-3))) @ vec.T
     vocab = sorted({w for own in sents for s in own for w in s})
-    value = dict(zip(vocab, kernel(vocab) @ root))
-    phi = [np.array([sum(value[w] for w in s) for s in own]) for own in sents]
-    lead = [np.array([sum(w in typical for w in s) for s in own]) for own in sents]
+    value = kernel(vocab)
+    some = np.flatnonzero(value.any(axis=1))
+    value = dict(zip([vocab[i] for i in some], value[some] @ root))
+    nothing = np.zeros(len(marks))
+    starts, begins = tuple(typical), tuple(sure)
+    lead = {w: w.startswith(starts) + (len(texts) if begins and w.startswith(begins) else 0) for w in vocab}  # sure ones count most
+    phi = (with_passages(np.array([sum((value[w] for w in s if w in value), nothing) for s in own]), [len(s) for s in own]) for own in sents)
+    phi = [f if label == 1 else (f[f.any(axis=1)], len(f)) for f, label in zip(phi, labels)]
+    lead = [with_passages(np.array([[sum(lead[w] for w in s)] for s in own]), [len(s) for s in own])[:, 0] for own in sents]
+    clean = [f for f, label in zip(phi, labels) if label == 0]
+    empty = sum(k - len(f) for f, k in clean)  # those of clean documents that are nothing, in one row
+    clean = np.concatenate((np.zeros((1, len(marks))), *[f for f, _ in clean]))
+    times = np.concatenate(([empty], np.ones(len(clean) - 1)))
+    phi = [f if label == 1 else None for f, label in zip(phi, labels)]
+    # sure words written with a letter too many are positive sentences of their own
     rng = np.random.default_rng(9)
-    clean = np.concatenate([f for f, label in zip(phi, labels) if label == 0])
-    clean = clean[rng.permutation(len(clean))[:NEGATIVES]]
-    # typical words written with a letter too many are positive sentences of their own
-    made = [w[:i] + chr(97 + int(rng.integers(26))) + w[i:] for w in typical for i in range(1, len(w))]
-    made = kernel([*typical, *made]) @ root
+    made = [w[:i] + chr(97 + int(rng.integers(26))) + w[i:] for w in sure for i in range(1, len(w))]
+    made = kernel([*sure, *made]) @ root
     weight = None
     for _ in range(ROUNDS):
         # a document without any typical word has no sentence to learn from
         bags = [(lead[i], f) for i, f in enumerate(phi) if labels[i] == 1 and lead[i].any()]
-        pick = [f[(k > 0) | (np.arange(len(f)) == (k if weight is None else f @ weight).argmax())] for k, f in bags]
+        pick = [f[(k >= len(texts)) | (np.arange(len(f)) == (k if weight is None else f @ weight).argmax())] for k, f in bags]
         toxic = np.concatenate((made, *pick))
-        weight, bias = _svm(np.concatenate((clean, toxic)), np.concatenate((np.zeros(len(clean)), np.ones(len(toxic)))))
+        weight, bias = _svm(np.concatenate((clean, toxic)), np.concatenate((np.zeros(len(clean)), np.ones(len(toxic)))), np.concatenate((times, np.full(len(toxic), POSITIVE))))
     model = ToxicModel(kernel, root @ weight, bias, 1.0, 0.0)
     model.slope = _slope(np.array(model.margins(texts)), y)
     return model

@@ -87,3 +87,33 @@ def test_query_rows_and_edges(spark):
     rows = T.op9_toxicity(spark, odd, labels).collect()
     assert len(rows) == 5 and len({r.score for r in rows}) == 1  # too few labels: one share for all
     assert T.op9_toxicity(spark, odd.limit(0), labels).count() == 0
+
+
+def test_weaker_words_of_other_languages_are_learnt():
+    rng = np.random.default_rng(1)
+
+    def word(letters):
+        return "".join(rng.choice(list(letters), int(rng.integers(3, 8))))
+
+    def doc(letters, extra):
+        said = [word(letters) for _ in range(40)]
+        for w in extra:
+            said[int(rng.integers(40))] = w
+        return " ".join(w + "." * (i % 10 == 9) for i, w in enumerate(said))
+
+    def stems():
+        return ["vérox" + word("éàèuo")[:4] for _ in range(5)]
+
+    clean = [doc("abcdeht", []) for _ in range(400)] + [doc("éàèuorl", stems()[:1] if k % 10 == 0 else []) for k in range(100)]
+    toxic = [doc("abcdeht", ["scumbag", "moronic"]) for _ in range(150)] + [doc("éàèuorl", stems()) for _ in range(25)]
+    model = T.train(clean + toxic, [0] * len(clean) + [1] * len(toxic))
+    assert {"scumbag", "moronic", "vérox"} <= set(model.kernel.landmarks)
+    found = model.scores([doc("éàèuorl", stems()) for _ in range(40)]) >= 0.5
+    spared = model.scores([doc("éàèuorl", []) for _ in range(40)]) < 0.5
+    assert found.mean() >= 0.8 and spared.mean() >= 0.95
+
+
+def test_passages_are_runs_of_whole_sentences(monkeypatch):
+    monkeypatch.setattr(T, "PASSAGE", 5)
+    got = T.with_passages(np.array([[1.0], [2.0], [4.0], [8.0]]), [2, 3, 9, 1])
+    assert got[:, 0].tolist() == [1, 2, 4, 8, 1, 3, 4, 8]
