@@ -1,27 +1,25 @@
-"""Operator 7: benchmark decontamination by SimHash windows (DataFrame functions only).
-
-A document is cut into blocks of ``BLOCK`` words; 1, 2 or 4 neighbouring blocks are a
-window of 8, 16 or 32 words.  An item's windows of the sizes nearest below its own
-length stand at every word.  As an item of at least ``size + BLOCK - 1`` words holds a whole
-document window wherever it is pasted, an unchanged passage always yields a window
-with an equal fingerprint, and a changed one as long as one window stays close.
-
-1. A window's 64-bit SimHash is the bitwise majority of its words' hashes.  Bits are
-   counted eight at a time, as eight byte lanes of a long.
-2. Multi-index: four 16-bit quarters.  Fingerprints within Hamming distance 3 agree
-   in one quarter, so equality joins on quarters find all of them (``RADIUS``).
-3. A candidate aligns the whole item with the document.  Exact similarity: weight of
-   the item's 5-word shingles that stand there, over the weight of all its
-   shingles; a shingle weighs the logarithm of the inverse share of items that hold it.  It must reach
-   ``SIMILARITY``.
-
-Scale.  Documents are read once and only windows that meet a quarter leave their task;
-nothing is shuffled but verified pairs.  The item windows are broadcast in parts of at most
-``BROADCAST_ROWS`` rows (about 16 MB), so a benchmark of any size is a
+"""Operator 7: benchmark decontamination by rare shingles, exactly (DataFrame functions only).
+
+1. Words are hashed, and all runs of five words of a text are its shingles.  A shingle of an
+   item weighs the logarithm of the inverse share of items that hold it.
+2. An item is contained in a document if the item's shingles that stand in the document (anywhere in
+   it, so that inserted words cost only the shingles they break) reach ``SIMILARITY`` of the
+   weight of all its shingles.
+3. An item's rarest shingles that together weigh more than ``1 - SIMILARITY`` of it are its probes: a document
+   that holds none of them can't reach ``SIMILARITY``.  An equality join of all document shingles with the probes therefore
+   finds every pair, and each pair is verified once, at the first probe of the item that the document holds.
+
+This replaced the search by SimHash windows of 8, 16 and 32 words at every 8th word, which lost changed passages;
+the fingerprints stay below as functions but propose nothing.
+
+Scale.  Documents are read once and only shingles that meet a probe leave their task;
+nothing is shuffled but verified pairs.  The probes are broadcast in parts of about
+``BROADCAST_ROWS`` rows, so a benchmark of any size is a
 number of passes, not a larger broadcast.
 
-Defined cases.  Null and empty texts have no windows.  Words are runs of letters and digits in lower
-case.  Items under ``BLOCK * 2 - 1`` = 15 words are too short to tell from chance and aren't searched.
+Defined cases.  Null and empty texts have no shingles.  Words are runs of letters and digits in lower
+case; in scripts written without spaces each character is a word.  Items of fewer than ``SHINGLE`` words have no shingle, so their similarity isn't
+defined and they aren't found.  Items under ``SHORT`` words weigh their shingles among themselves.
 Repeated rows and ids give one row for each (doc_id, item_id); a null id is a value like any other.  Empty tables give
 no rows.  Extra columns are ignored by ``contaminated`` and kept by ``drop_contaminated``.
 """
@@ -38,8 +36,10 @@ from .common import id_text
 BLOCK, SHINGLE, RADIUS, SIMILARITY = 8, 5, 3, 0.8
 SIZES = (8, 16, 32)
 BROADCAST_ROWS = 200_000
-#: Words that the document's part may stand earlier or later than the item says.
-SLACK = 4
+#: Items of fewer words are a class of their own for weights.
+SHORT = 15
+#: Scripts written without spaces.
+_UNSPACED = r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]"
 _ONES = 0x0101010101010101
 
 
@@ -48,6 +48,7 @@ def _long(x: int) -> Column:
 
 
 def word_hashes(text: Column) -> Column:
+    text = F.when(text.rlike(_UNSPACED), F.regexp_replace(text, f"({_UNSPACED})", " $1 ")).otherwise(text)
     words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     return F.transform(words, lambda w: F.xxhash64(w))
 
@@ -95,14 +96,6 @@ def _with_prints(df: DataFrame) -> DataFrame:
     return df.select(*kept, *[F.transform(f"l{s}", majority(s)).alias(f"f{s}") for s in SIZES])
 
 
-def _keys(prints: list[tuple[Column, int]]) -> Column:
-    """``struct(key, fp)`` of each quarter; size and quarter are part of the key."""
-    return F.array(*[
-        F.struct((F.shiftrightunsigned(fp, 16 * q).bitwiseAND(F.lit(0xFFFF).cast("long")) + F.lit((size * 4 + q) << 16).cast("long")).alias("key"), fp.alias("fp"))
-        for fp, size in prints for q in range(4)
-    ])
-
-
 def shingle_hashes(h: Column) -> Column:
     """Hashes of all runs of five words, as an array."""
     n = F.size(h) - (SHINGLE - 1)
@@ -111,52 +104,50 @@ def shingle_hashes(h: Column) -> Column:
 
 
 def item_table(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``item, h, n, shingles`` (hash and weight of each distinct shingle)."""
+    """``row, item, shingles`` (weight and hash of each distinct shingle, heaviest first) and ``whole`` (their weight)."""
     b = id_text(benchmark, id_col, text_col).select(F.col("__id").alias("item"), word_hashes(F.col("__text")).alias("h"))
-    b = b.where(F.size("h") >= 2 * BLOCK - 1).withColumn("row", F.xxhash64("item", "h")).dropDuplicates(["row"])
-    s = b.select("row", F.explode(F.array_distinct(shingle_hashes(F.col("h")))).alias("s"))
-    df = s.groupBy("s").agg(F.count(F.lit(1)).alias("df"))
-    weight = F.log(1 + F.lit(b.count()) / F.col("df"))
-    s = s.join(df.select("s", weight.alias("w")), "s").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("s", "w"))).alias("shingles"))
-    return b.join(s, "row").select("row", "item", "h", F.size("h").alias("n"), "shingles")
-
-
-def item_windows(items: DataFrame) -> DataFrame:
-    """``key, fp, at, row, n``: quarters of the items' windows at every word."""
-    n = F.col("n")
-    best = F.when(n >= 39, F.array(F.lit(32), F.lit(16))).when(n >= 23, F.array(F.lit(16), F.lit(8))).otherwise(F.array(F.lit(8)))
-    w = items.select("row", "h", "n", F.explode(best).alias("size"))
-    w = w.select("row", "n", "size", "h", F.explode(F.sequence(F.lit(0), n - F.col("size"))).alias("at"))
-    w = _with_prints(w.withColumn("h", F.slice("h", F.col("at") + 1, F.col("size"))))
-    w = w.select("row", "n", "at", "size", *[F.get(f"f{s}", F.lit(0)).alias(f"f{s}") for s in SIZES])
-    parts = [w.where(F.col("size") == s).select("row", "n", "at", F.explode(_keys([(F.col(f"f{s}"), s)])).alias("k")) for s in SIZES]
-    return reduce(DataFrame.unionByName, parts).select(F.col("k.key").alias("key"), F.col("k.fp").alias("item_fp"), "at", "row", "n")
+    b = b.where(F.size("h") >= SHINGLE).withColumn("row", F.xxhash64("item", "h")).dropDuplicates(["row"])
+    b = b.withColumn("short", F.size("h") < SHORT)
+    s = b.select("row", "short", F.explode(F.array_distinct(shingle_hashes(F.col("h")))).alias("s"))
+    df = s.groupBy("short", "s").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(b.groupBy("short").agg(F.count(F.lit(1)).alias("all"))), "short")
+    df = df.select("short", "s", F.log(1 + F.col("all") / F.col("df")).alias("w"))
+    s = s.join(df, ["short", "s"]).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("w", "s")), asc=False).alias("shingles"))
+    return b.join(s, "row").select("row", "item", "shingles", F.aggregate("shingles", F.lit(0.0), lambda a, x: a + x["w"]).alias("whole"))
+
+
+def item_probes(items: DataFrame) -> DataFrame:
+    """``row, probes``: hashes of the fewest heaviest shingles that weigh more than ``1 - SIMILARITY`` of the item."""
+    def before(i):
+        return F.aggregate(F.slice("shingles", F.lit(1), i), F.lit(0.0), lambda a, x: a + x["w"])
+
+    # one in a thousand more than needed, for rounding errors of sums
+    few = F.filter("shingles", lambda x, i: before(i) <= (1 - SIMILARITY + 0.001) * F.col("whole"))
+    return items.select("row", F.transform(few, lambda x: x["s"]).alias("probes"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, item_id, similarity`` of each passage found."""
+    """``doc_id, item_id, similarity`` of each item found."""
     items = item_table(benchmark)
-    windows = item_windows(items)
-    parts = max(1, -(-windows.count() // BROADCAST_ROWS))
+    probes = item_probes(items)
+    count = probes.agg(F.sum(F.size("probes"))).first()[0] or 0
+    parts = max(1, -(-count // BROADCAST_ROWS))
     d = id_text(docs, id_col, text_col).select(F.col("__id").alias("doc"), word_hashes(F.col("__text")).alias("h"))
-    d = _with_prints(d).select("doc", "h", F.arrays_zip(*[f"f{s}" for s in SIZES]).alias("prints"))
-    # outer generators: of others Spark infers a filter on the array, which it would compute anew below
-    d = d.select("doc", "h", F.posexplode_outer("prints").alias("block", "p"))
-    d = d.select("doc", "h", "block", F.explode_outer(_keys([(F.col(f"p.f{s}"), s) for s in SIZES])).alias("k"))
-    d = d.select("doc", "h", "block", F.col("k.key").alias("key"), F.col("k.fp").alias("fp")).where("key is not null")
+    d = d.select("doc", F.array_distinct(shingle_hashes(F.col("h"))).alias("there"))
+    # an outer generator: of others Spark infers a filter on the array, which it would compute anew below
+    d = d.select("doc", "there", F.explode_outer("there").alias("s"))
+    there = F.coalesce("there", F.array().cast("array<bigint>"))  # or Spark infers such a filter from the condition
     out = []
     for part in range(parts):
         own = F.pmod("row", F.lit(parts)) == part
-        near = d.join(F.broadcast(windows.where(own)), "key").where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
-        start = F.col("block") * BLOCK - F.col("at")
-        low = F.greatest(start - SLACK, F.lit(0))
-        found = near.select("doc", "row", F.slice(F.col("h"), low + 1, F.greatest(start + F.col("n") + SLACK - low, F.lit(0))).alias("part"))
-        found = found.join(F.broadcast(items.where(own).select("row", "item", "shingles")), "row")
-        there = shingle_hashes(F.col("part"))
-        weight = F.aggregate(F.filter("shingles", lambda s: F.array_contains(F.col("there"), s["s"])), F.lit(0.0), lambda a, s: a + s["w"])
-        whole = F.aggregate("shingles", F.lit(0.0), lambda a, s: a + s["w"])
-        found = found.withColumn("there", there).select("doc", "item", (weight / whole).alias("similarity"))
-        out.append(found.where(F.round("similarity", 9) >= SIMILARITY))  # sums of logarithms end in rounding errors
+        some = probes.where(own).select("row", "probes", F.explode("probes").alias("s"))
+        met = d.join(F.broadcast(some), "s")
+        # once for each text and item
+        met = met.where(F.col("s") == F.get(F.array_intersect("probes", there), F.lit(0))).select("doc", "row", "there")
+        met = met.join(F.broadcast(items.where(own)), "row")
+        met = met.select("doc", "item", "shingles", "whole", F.array_intersect(F.transform("shingles", lambda x: x["s"]), there).alias("both"))
+        weight = F.aggregate(F.filter("shingles", lambda x: F.array_contains(F.col("both"), x["s"])), F.lit(0.0), lambda a, x: a + x["w"])
+        met = met.select("doc", "item", (weight / F.col("whole")).alias("similarity"))
+        out.append(met.where(F.round("similarity", 9) >= SIMILARITY))  # sums of logarithms end in rounding errors
     pairs = reduce(DataFrame.unionByName, out).groupBy("doc", "item").agg(F.max("similarity").alias("similarity"))
     return pairs.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), F.round("similarity", 6).alias("similarity"))
 

@@ -141,3 +141,55 @@ def test_the_documents_table(spark):
         own = shingles(words(t))
         want |= {(d, k) for k, s in sets if s and len(s & own) >= 0.8 * len(s)}
     assert {(r.doc_id, r.item_id) for r in q_op7(spark, SF_MID).collect()} == want
+
+
+def whole(docs, items, least=5):
+    """``{(doc, item)}`` by all shingles of a document, wherever they stand."""
+    items = [(k, words(t)) for k, t in items]
+    sets = [(k, shingles(w), len(w) < 15) for k, w in items if len(w) >= least]
+    out = set()
+    for k, own, short in sets:
+        same = [x for _, x, y in sets if y == short]
+        weight = {s: math.log(1 + len(same) / sum(s in x for x in same)) for s in own}
+        for d, t in docs:
+            if round(sum(weight[s] for s in own & shingles(words(t))) / sum(weight.values()), 9) >= 0.8:
+                out.add((d, k))
+    return out
+
+
+def numbered(rng, n):
+    return [f"w{rng.randrange(3000)}" for _ in range(n)]
+
+
+def test_changed_passages_are_all_found(spark):
+    rng = random.Random(5)
+    items = [(i, " ".join(numbered(rng, n))) for i, n in enumerate([15, 16, 22, 23, 39, 41, 60] * 4)]
+    docs = []
+    for i, (_, t) in enumerate(items):
+        for lead in range(8):
+            w = t.split()
+            w[rng.choice((0, -1, 1, -2))] = "changed"
+            docs.append((100 * i + lead, " ".join(numbered(rng, 20 + lead) + w + numbered(rng, 20))))
+    want = whole(docs, items)
+    assert len(want) > 150 and {(r.doc_id, r.item_id) for r in run(spark, docs, items)} == want
+
+
+def test_inserted_words_do_not_hide_a_passage(spark):
+    rng = random.Random(6)
+    items = [(1, " ".join(numbered(rng, 60))), (2, " ".join(numbered(rng, 39)))]
+    docs = []
+    for k, t in items:
+        w = t.split()
+        docs += [(10 * k + j, " ".join(w[: len(w) // 2] + numbered(rng, j) + w[len(w) // 2 :])) for j in (1, 8, 9)]
+    docs.append((99, " ".join(items[0][1].split()[:30] + numbered(rng, 15) + items[0][1].split()[30:])))
+    want = whole(docs, items)
+    assert len(want) == 7 and {(r.doc_id, r.item_id) for r in run(spark, docs, items)} == want
+
+
+def test_short_items_and_unspaced_scripts_are_found(spark):
+    rng = random.Random(7)
+    short = [(n, " ".join(numbered(rng, n))) for n in (5, 8, 11, 14)]
+    docs = [(n, " ".join(numbered(rng, 30)) + " " + t + " " + " ".join(numbered(rng, 30))) for n, t in short] + [(50, " ".join(numbered(rng, 90)))]
+    assert {(r.doc_id, r.item_id) for r in run(spark, docs, short)} == {(n, n) for n, _ in short}
+    han = "天地玄黄宇宙洪荒日月盈昃辰宿列张"
+    assert [(r.doc_id, r.item_id) for r in run(spark, [(1, "前文" + han + "后文"), (2, "寒来暑往秋收冬藏")], [(7, han)])] == [(1, 7)]
