@@ -78,7 +78,28 @@ def q_op9(spark, sf_dir):
     return op9_toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def q_op11(spark, sf_dir):
+    from .vp_clusters import op11_centroid_clusters
+
+    return op11_centroid_clusters(spark, table(spark, sf_dir, "embeddings"))
+
+
+def q_op12(spark, sf_dir):
+    from .partition_ann import op12_learned_partitions
+
+    return op12_learned_partitions(spark, table(spark, sf_dir, "embeddings"))
+
+
+def q_op13(spark, sf_dir):
+    from .collocations import op13_collocations
+
+    return op13_collocations(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op11_centroid_clusters": q_op11,
+    "op12_learned_partitions": q_op12,
+    "op13_collocations": q_op13,
     "op9_toxicity": q_op9,
     "op8_secrets": q_op8,
     "op7_decontamination": q_op7,
@@ -104,4 +125,38 @@ SELECT page_id, payload_bytes,
 FROM d
 """
 
-ORACLE: dict[str, str] = {"op10_warc_captures": _OP10}
+
+
+def _op11(k: int = 16, rounds: int = 3) -> str:
+    """Clustering in integers: components as rows, a pair of steps for each round."""
+    def nearest(n):
+        return f"""
+d{n} AS (SELECT r.rid, c.c, sum((r.x - c.x) * (r.x - c.x)) AS d FROM v r JOIN c{n} c USING (i) GROUP BY ALL),
+a{n} AS (SELECT rid, min(struct_pack(d := d, c := c)) AS b FROM d{n} GROUP BY rid)"""
+
+    def moved(n):
+        return f"""
+m{n} AS (SELECT a.b.c AS c, v.i, CAST(sum(v.x) AS HUGEINT) AS s, CAST(count(*) AS HUGEINT) AS n FROM a{n - 1} a JOIN v USING (rid) GROUP BY ALL),
+c{n} AS (SELECT c.c, c.i, CASE WHEN m.n IS NULL THEN c.x ELSE CAST((m.s - (((m.s % m.n) + m.n) % m.n)) // m.n AS BIGINT) END AS x
+  FROM c{n - 1} c LEFT JOIN m{n} m USING (c, i))"""
+
+    steps = [nearest(0)]
+    for n in range(1, rounds + 1):
+        steps += [moved(n), nearest(n)]
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')), x) AS rid, vec_id, x
+  FROM (SELECT vec_id, list_transform(embedding, lambda e: CAST(floor(64 * CAST(e AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+        WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64)),
+v AS (SELECT rid, unnest(range(1, 65)) AS i, unnest(x) AS x FROM kept),
+c0 AS (SELECT rid - 1 AS c, i, x FROM v WHERE rid <= {k}),
+{",".join(steps)},
+sha AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS h FROM c{rounds} GROUP BY c),
+o AS (SELECT k.vec_id, CAST(a.b.c AS INTEGER) AS cluster, CAST(a.b.d AS BIGINT) AS distance FROM a{rounds} a JOIN kept k USING (rid))
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, h AS centroid_sha256
+FROM o JOIN sha ON sha.c = o.cluster
+"""
+
+
+ORACLE: dict[str, str] = {"op10_warc_captures": _OP10, "op11_centroid_clusters": _op11()}
