@@ -57,7 +57,7 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 class KnownWords(dict):

@@ -159,4 +159,28 @@ FROM o JOIN sha ON sha.c = o.cluster
 """
 
 
-ORACLE: dict[str, str] = {"op10_warc_captures": _OP10, "op11_centroid_clusters": _op11()}
+_OP13 = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS t
+  FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(t, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+g AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+h AS (SELECT lang, m, array_to_string(list_slice(ws, i, i + m - 1), ' ') AS phrase FROM g, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE i + m - 1 <= len(ws)),
+f AS (SELECT lang, m, phrase, count(*) AS a FROM h GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, a, string_split(phrase, ' ') AS ws FROM f WHERE m >= 2 AND a >= 30),
+k AS (SELECT *, unnest(range(1, m)) AS k FROM c),
+s AS (
+  SELECT k.lang, k.phrase, k.a, k.k, x.a AS l, y.a AS r, CAST(2000000 * CAST(k.a AS HUGEINT) // (x.a + y.a) AS BIGINT) AS score FROM k
+  JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(list_slice(k.ws, 1, k.k), ' ')
+  JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(list_slice(k.ws, k.k + 1, k.m), ' ')),
+b AS (SELECT lang, phrase, a, min(struct_pack(score := score, k := k, l := l, r := r)) AS c FROM s GROUP BY ALL),
+u AS (SELECT lang, a, ws, m, unnest(range(1, m)) AS i FROM c WHERE m >= 3),
+v AS (SELECT lang, a, ws, m, i, unnest(range(2, m)) AS j FROM u),
+held AS (SELECT lang, array_to_string(list_slice(ws, i, i + j - 1), ' ') AS phrase, max(a) AS longer FROM v WHERE i + j - 1 <= m GROUP BY ALL),
+o AS (SELECT b.* FROM b LEFT JOIN held USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * b.a),
+q AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY c.score DESC, a DESC, phrase) AS rank FROM o)
+SELECT lang, rank, phrase, a, c.l AS l, c.r AS r, n, c.score AS score FROM q JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+ORACLE: dict[str, str] = {"op13_collocations": _OP13, "op10_warc_captures": _OP10, "op11_centroid_clusters": _op11()}
