@@ -230,10 +230,7 @@ def _routed(shared, routes: Routes):
             names, first = np.unique(route[order], return_index=True)
             rows = []
             for r, own in zip(names.tolist(), np.split(order, first[1:])):
-                there, local = np.unique(w[:, own], return_inverse=True)
-                there, local = (there, local.reshape(DEPTH, -1)) if there[0] == 0 else (np.concatenate(([0], there)), local.reshape(DEPTH, -1) + 1)
-                kind = np.uint16 if len(there) < 1 << 16 else np.uint32
-                rows.append((lang, r, [numbers.words[i] for i in there[1:]], local.astype(kind).tobytes(), count[own].astype(np.uint32).tobytes()))
+                rows.append((lang, r, *packed(w[:, own], count[own], numbers.words)))
                 if len(rows) == 256:
                     yield _blocks(rows)
                     rows = []
@@ -243,7 +240,26 @@ def _routed(shared, routes: Routes):
     return send
 
 
-_BLOCK = [("lang", pa.binary()), ("route", pa.int64()), ("words", pa.list_(pa.binary())), ("w", pa.binary()), ("n", pa.binary())]
+def packed(w: np.ndarray, count: np.ndarray, names: list[bytes]) -> tuple[int, int, int, bytes]:
+    """Suffixes as ``(size, bytes of the words, suffixes, block)``: the words once, and byte by byte the suffixes' numbers
+    of them (0: end) and the counts, compressed."""
+    there, local = np.unique(w, return_inverse=True)
+    local = local.reshape(w.shape) + (1 if there[0] else 0)
+    words = b" ".join(names[i] for i in there if i)
+    columns = [np.frombuffer(x.astype("<u4").tobytes(), np.uint8).reshape(-1, 4).T for x in (*local, count)]
+    block = words + b"".join(c.tobytes() for c in columns)
+    return len(block), len(words), w.shape[1], pa.compress(block, codec="zstd", asbytes=True)
+
+
+def unpacked(size: int, n_words: int, n: int, block: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """``(words, numbers, counts)`` of a block."""
+    block = pa.decompress(block, decompressed_size=size, codec="zstd", asbytes=True)
+    columns = np.frombuffer(block, np.uint8, offset=n_words).reshape(DEPTH + 1, 4, n)
+    columns = np.ascontiguousarray(columns.transpose(0, 2, 1)).view("<u4").reshape(DEPTH + 1, n)
+    return block[:n_words].split(b" "), columns[:DEPTH], columns[DEPTH]
+
+
+_BLOCK = [("lang", pa.binary()), ("route", pa.int64()), ("size", pa.int64()), ("n_words", pa.int64()), ("n", pa.int64()), ("block", pa.binary())]
 
 
 def _blocks(rows) -> pa.RecordBatch:
@@ -261,23 +277,23 @@ def frequent_prefixes(w: np.ndarray, weight: np.ndarray, least: int, partial: in
     while todo:
         lo, hi, depth = todo.pop()
         own = pointers[lo:hi]
-        key = w[depth, own]
-        pivot = np.sort(key[:: max(1, len(key) // 9)])[len(key[:: max(1, len(key) // 9)]) // 2]
-        less, more = key < pivot, key > pivot
-        parts = own[less], own[~(less | more)], own[more]
-        pointers[lo:hi] = np.concatenate(parts)
-        a, b = lo + len(parts[0]), hi - len(parts[2])
-        for start, end, rows in ((lo, a, parts[0]), (b, hi, parts[2])):
-            # with one column to go or more, no prefix in here weighs more than all of it
-            if len(rows) and (depth < partial or weight[rows].sum() >= least):
+        key, heavy = w[depth].take(own), weight.take(own)
+        some = np.sort(key[:: max(1, len(key) // 9)])
+        pivot = some[len(some) // 2]
+        less, same = key < pivot, key == pivot
+        more = ~(less | same)
+        a, b = lo + int(np.count_nonzero(less)), hi - int(np.count_nonzero(more))
+        pointers[lo:hi] = np.concatenate((own[less], own[same], own[more]))
+        for start, end, rows in ((lo, a, less), (b, hi, more)):
+            # no prefix in here weighs more than all of it
+            if start < end and (depth < partial or heavy[rows].sum() >= least):
                 todo.append((start, end, depth))
         if pivot == 0:
             continue  # these suffixes have ended
-        count = int(weight[parts[1]].sum())
-        words = depth + 1
+        count, words = int(heavy[same].sum()), depth + 1
         if count >= least or words <= partial:
             if words >= 2:
-                yield int(parts[1][0]), words, count
+                yield int(pointers[a]), words, count
             if words < DEPTH:
                 todo.append((a, b, words))
 
@@ -287,12 +303,11 @@ def _sorted(routes: Routes, least: int):
         lang, route = key[0].as_py(), key[1].as_py()
         names: dict[bytes, int] = {}
         parts, weights = [], []
-        for words, w, n in zip(blocks.column("words"), blocks.column("w"), blocks.column("n")):
-            words = words.as_py()
+        for row in zip(*(blocks.column(k) for k, _ in _BLOCK[2:])):
+            words, w, n = unpacked(*(x.as_py() for x in row))
             to = np.fromiter([0, *(names.setdefault(x, len(names) + 1) for x in words)], np.int32, len(words) + 1)
-            kind = np.uint16 if len(to) < 1 << 16 else np.uint32
-            parts.append(to[np.frombuffer(w.as_buffer(), kind).reshape(DEPTH, -1)])
-            weights.append(np.frombuffer(n.as_buffer(), np.uint32))
+            parts.append(to[w])
+            weights.append(n)
         w, weight = np.concatenate(parts, axis=1), np.concatenate(weights).astype(np.int64)
         del parts, weights
         text = [b"", *names]
@@ -322,7 +337,7 @@ def candidate_phrases(docs: DataFrame, least: int = LEAST, text_col: str = "text
     total = loads.where("kind = 1").agg(F.sum("n")).first()[0] or 0
     routes = Routes(max(1, -(-total // ROUTE)), *hot)
     shared = spark.sparkContext.broadcast(frequent_bits(words, least))
-    blocks = d.mapInArrow(_routed(shared, routes), "lang binary, route long, words array<binary>, w binary, n binary")
+    blocks = d.mapInArrow(_routed(shared, routes), "lang binary, route long, size long, n_words long, n long, block binary")
     found = blocks.groupBy("lang", "route").applyInArrow(_sorted(routes, least), "lang binary, phrase binary, words int, a long")
     found = found.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
     return words, written(found, "phrase-candidates")
