@@ -21,14 +21,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saltkv.functions.keys import add_row_keys
+from saltkv.operators import bucketed as BK
 from saltkv.operators import cells as C
 from saltkv.operators import layout as L
 from saltkv.operators import lookup as LK
 from saltkv.operators.merge import latest_wins
+from saltkv.operators.ranges import scan_ranges
 from saltkv.plans import fixtures as FX
+from saltkv.plans import job as J
+from saltkv.plans import sql_functions as SQLF
 from saltkv.plans.job import load_batch, load_rows
 from saltkv.session import scratch_path
 from saltkv.sources import delimited as D
+from saltkv.sources import merged as MG
 from saltkv.sources import store as ST
 from saltkv.sources.spec import CHECK_FIELDS, OPINION_FIELDS
 
@@ -122,13 +127,18 @@ def q_rejected_rows(spark, sf_dir):
 
 
 def q_salt_partition_counts(spark, sf_dir):
-    """The exact salt partitioner: rows are counted per salt first (a
-    combinable aggregate), then each salt's count row goes through the
-    partitioner, so the mapping salt -> partition is checked without moving
-    every row through one task per salt."""
-    counts = check_table(spark, sf_dir).groupBy("salt").agg(F.count(F.lit(1)).alias("n_rows"))
-    placed = L.partition_by_salt(counts, FX.CHECK.pre_regions)
-    return placed.select(F.spark_partition_id().alias("partition_id"), "salt", "n_rows")
+    """The exact salt partitioner on the table's rows: where each salt's rows landed."""
+    placed = L.partition_by_salt(check_table(spark, sf_dir).select("salt", "row_key"), FX.CHECK.pre_regions)
+    return placed.select(F.spark_partition_id().alias("partition_id"), "salt").groupBy("partition_id", "salt").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def q_key_fallbacks(spark, sf_dir):
+    """Rows without a salt go to partition 0, bare row keys by the salt they begin with."""
+    k = F.col("id").cast("long")
+    t = check_table(spark, sf_dir).select("id", "row_key", "salt")
+    bare = L.salt_from_row_key("row_key", 1)
+    t = t.withColumn("salt", F.when(k % 5 == 0, F.lit(None)).when(k % 7 == 0, bare).otherwise(F.col("salt")).cast("int"))
+    return L.partition_by_salt(t, FX.CHECK.pre_regions).select("id", "salt", F.spark_partition_id().alias("partition_id"))
 
 
 def q_salt_subpartition_counts(spark, sf_dir):
@@ -173,6 +183,29 @@ def q_binary_cells_roundtrip(spark, sf_dir):
     return C.from_cells(back, OPINION_FIELDS)
 
 
+def q_cells_open(spark, sf_dir):
+    """Cells with qualifiers that no schema declares: a customer's orders by month, and the
+    declared ``status``; the newest order of a cell wins."""
+    o = FX.read(spark, sf_dir, "orders")
+    who = F.col("o_custkey").cast("string").alias("row_key")
+    month = o.select(who, F.concat(F.lit("m"), F.month("o_orderdate")).alias("qualifier"), F.col("o_orderpriority").alias("value"), F.col("o_orderkey").alias("v"))
+    status = o.select(who, F.lit("status").alias("qualifier"), F.col("o_orderstatus").alias("value"), F.col("o_orderkey").alias("v"))
+    rows = C.from_cells_open(month.unionByName(status), ["status", "never"], version="v")
+    pairs = F.transform(F.map_entries("others"), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return rows.select("row_key", "status", "never", F.array_join(F.array_sort(pairs), ",").alias("others"))
+
+
+def q_java_order_rank(spark, sf_dir):
+    """Positions of the documents' first lines in Java's string order, with characters on both sides of the surrogates."""
+    d = FX.read(spark, sf_dir, "documents")
+    i = F.col("doc_id") % 4
+    lead = F.when(i == 0, F.lit("\U0001F600")).when(i == 1, F.lit("\uE000")).when(i == 2, F.lit("\uFFFD")).otherwise(F.lit("z"))
+    t = d.select("doc_id", F.concat(lead, F.substring_index("text", "\n", 1)).alias("row_key"), F.lit(0).alias("salt"))
+    # the rank's own key is text, so the units stand in it as hex; ties go to the smaller id
+    key = F.concat(F.hex(L.java_order("row_key")), F.lit("/"), F.lpad(F.col("doc_id").cast("string"), 20, "0"))
+    return L.rank_within_salt(t.select("salt", key.alias("row_key"), "doc_id"), 1, name="pos").select("doc_id", "pos")
+
+
 # ------------------------------------------------------------ versions
 
 
@@ -343,6 +376,127 @@ def q_batch_lookup_hot(spark, sf_dir):
     return LK.batch_lookup(t, FX.CHECK, reqs, fields=CHECK_FIELDS, broadcast_requests=False, hot_rows=100)
 
 
+def _bucketed(spark, sf_dir, rows, name, **kw) -> str:
+    """The keyed rows as a bucketed table, once per session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _PUBLISHED:
+        table = f"{name}_{len(_PUBLISHED)}"
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"DROP TABLE IF EXISTS {table}_hot")
+        _PUBLISHED[key] = BK.bucket_table(spark, _keyed(rows, FX.CHECK), table, scratch_path(spark, name), 16, **kw)
+    return _PUBLISHED[key]
+
+
+def q_batch_lookup_bucketed(spark, sf_dir):
+    """Batch lookup on a bucketed copy: only the requests move."""
+    name = _bucketed(spark, sf_dir, FX.check_rows(spark, sf_dir), "saltkv_check_buckets")
+    return BK.batch_lookup_bucketed(spark, name, FX.CHECK, _customer_requests(spark, sf_dir), fields=CHECK_FIELDS)
+
+
+def q_batch_lookup_bucketed_hot(spark, sf_dir):
+    """... where a third of the rows have one key: it is dealt over several buckets."""
+    name = _bucketed(spark, sf_dir, _hot_orders(spark, sf_dir), "saltkv_hot_buckets", hot_rows=100, fan=8)
+    reqs = _customer_requests(spark, sf_dir).unionByName(spark.sql("SELECT 'hot' AS req_id, 'HOT' AS check_id"))
+    return BK.batch_lookup_bucketed(spark, name, FX.CHECK, reqs, fields=CHECK_FIELDS, hot_rows=100)
+
+
+def q_batch_lookup_prefiltered(spark, sf_dir):
+    """Few of the table's keys are asked for, by more keys than may be broadcast: a Bloom filter of the requested prefixes
+    drops the other rows before the shuffle."""
+    reqs = _customer_requests(spark, sf_dir).where(F.col("check_id").endswith("7"))
+    return LK.batch_lookup(published_check(spark, sf_dir), FX.CHECK, reqs, fields=CHECK_FIELDS, broadcast_requests=False)
+
+
+def q_scan_ranges(spark, sf_dir):
+    """Many row-key ranges at once: a narrow one for every customer, and open ones for every nation."""
+    c, n = FX.read(spark, sf_dir, "customer"), FX.read(spark, sf_dir, "nation")
+    lead = F.concat((F.col("c_custkey") % 3).cast("string"), F.substring(F.md5(F.col("c_custkey").cast("string")), 1, 3))
+    narrow = c.select(F.concat(F.lit("c"), "c_custkey").alias("req_id"), lead.alias("start"), F.concat(F.substring(lead, 1, 3), F.lit("g")).alias("stop"))
+    k = F.col("n_nationkey")
+    at = F.concat((k % 3).cast("string"), F.lower(F.hex(k % 16)))
+    wide = n.select(
+        F.concat(F.lit("n"), "n_nationkey").alias("req_id"), F.when(k % 5 != 0, at).alias("start"),
+        F.when(k % 4 != 0, F.concat((k % 3).cast("string"), F.lit("8f"))).alias("stop"),
+    )
+    return scan_ranges(published_check(spark, sf_dir), FX.CHECK, narrow.unionByName(wide), columns=["f:id", "f:rule_type"])
+
+
+def _sql_spec(spark, sf_dir):
+    """The published check table with its newest-wins view and the SQL functions over it."""
+    spec = FX.CHECK.with_(namespace="keyspace_fn", table_name="check_fn")
+    ST.create_table(spark, spec, check_dir(spark, sf_dir), namespace_location=scratch_path(spark, "ns-fn"))
+    SQLF.create_functions(spark, spec, ST.create_current_view(spark, spec))
+    return spec
+
+
+def q_sql_row_keys(spark, sf_dir):
+    """Salt, prefix and row key by SQL functions."""
+    _sql_spec(spark, sf_dir)
+    FX.check_rows(spark, sf_dir).createOrReplaceTempView("saltkv_check_rows")
+    return spark.sql(
+        "SELECT id, check_id, keyspace_fn.check_fn_salt(check_id) AS salt, keyspace_fn.check_fn_prefix(check_id) AS prefix, "
+        "keyspace_fn.check_fn_row_key(check_id, id) AS row_key FROM saltkv_check_rows"
+    )
+
+
+def q_sql_lookup(spark, sf_dir):
+    """The busiest customer's rows by the table function, with a literal key."""
+    _sql_spec(spark, sf_dir)
+    top = _top_key(FX.check_rows(spark, sf_dir), ["check_id"])["check_id"]
+    return spark.sql("SELECT * FROM check_fn_lookup(:key)", {"key": top})
+
+
+def q_sql_lookup_lateral(spark, sf_dir):
+    """The table function for every request of a table: Catalyst turns it into a hash join."""
+    _sql_spec(spark, sf_dir)
+    _customer_requests(spark, sf_dir, with_null=True).createOrReplaceTempView("saltkv_requests")
+    return spark.sql("SELECT r.req_id, l.row_key, l.id, l.rule_type FROM saltkv_requests r, LATERAL check_fn_lookup(r.check_id) l")
+
+
+def q_sql_range(spark, sf_dir):
+    _sql_spec(spark, sf_dir)
+    return spark.sql("SELECT row_key, id FROM check_fn_range('08', '1c')")
+
+
+def q_described_job(spark, sf_dir):
+    """The load job as its command line describes it: table by name, its .properties and .conf files, the arguments;
+    the published table in the description's schema, with its resources."""
+    inputs = _export(spark, FX.opinion_rows(spark, sf_dir), "in-described")
+    args = J.arguments().parse_args(["2024-01-01", "load", "opinion", "--input", inputs, "--store-root", scratch_path(spark, "store-described"), "--load-ts", "5"])
+    spec, conf = J.described(args)
+    res = J.run_described(spark, args, spec)
+    t = ST.current(spark, res.table_dir, spec.cols)
+    rows = t.select(*spec.cols).to(spec.schema)
+    settings = [F.lit(conf[f"spark.executor.{k}"]).alias(f"executor_{k}") for k in ("instances", "cores", "memory")]
+    return rows.select("*", F.lit(spec.qualified_name).alias("table_name"), F.lit(res.load_ts).cast("long").alias("load_ts"), *settings)
+
+
+def q_load_counts(spark, sf_dir):
+    """Numbers of loaded and rejected rows, as the load's own writes observed them."""
+    res = load_batch(spark, FX.CHECK, path=_short_every_7th(spark, sf_dir), store_root=scratch_path(spark, "store-counts"), mode="permissive")
+    m = ST.read_manifest(spark, res.load_dir)
+    t = ST.current(spark, res.table_dir, FX.CHECK.cols)
+    return t.agg(F.count(F.lit(1)).alias("n_read")).select("n_read", F.lit(m["loaded"]).cast("long").alias("n_loaded"), F.lit(m["rejected"]).cast("long").alias("n_rejected"))
+
+
+def q_lookup_response(spark, sf_dir):
+    """The answers to three single requests: the busiest customer, one that has no rows, and no key."""
+    top = _top_key(FX.check_rows(spark, sf_dir), ["check_id"])["check_id"]
+    t = published_check(spark, sf_dir)
+    answers = [LK.lookup_response(t, FX.CHECK, k, CHECK_FIELDS).withColumn("req_id", F.lit(r)) for r, k in (("top", top), ("none", "-"), ("null", None))]
+    return answers[0].unionByName(answers[1]).unionByName(answers[2])
+
+
+def q_list_tables_by_priority(spark, sf_dir):
+    """A table for each order priority in the data, registered and listed."""
+    loc = scratch_path(spark, "ns-priority")
+    names = FX.read(spark, sf_dir, "orders").select(F.regexp_replace(F.lower("o_orderpriority"), "[^a-z0-9]+", "_").alias("n")).distinct().collect()
+    for r in names:
+        spec = FX.CHECK.with_(namespace="keyspace_priority", table_name=f"orders_{r.n}")
+        ST.create_table(spark, spec, ST.table_location(spec, loc), namespace_location=loc)
+    return ST.list_tables(spark, "keyspace_priority")
+
+
 def q_envelope_unknown_cells(spark, sf_dir):
     """A stored column outside the result schema, written for every 4th order:
     a request fails only when one of its matched rows holds that cell."""
@@ -386,29 +540,28 @@ def q_published_text_loads(spark, sf_dir):
 
 
 def q_compacted_three_loads(spark, sf_dir):
-    """Loads 1-2, compaction into a base, load 3: reads equal the uncompacted merge."""
+    """Loads 1-2 folded into the merged copy, then load 3: it equals the merge of all loads."""
     key = (spark.sparkContext.applicationId, sf_dir, "check3c")
     if key not in _PUBLISHED:
         root = scratch_path(spark, "store-check3c")
         loads = FX.check_loads(spark, sf_dir, 3)
         for i, d in enumerate(loads[:2]):
             res = load_rows(spark, FX.CHECK, d, root, load_ts=i + 1)
-        ST.compact(spark, FX.CHECK, res.table_dir)
-        load_rows(spark, FX.CHECK, loads[2], root, load_ts=3)
+        MG.upsert_loads(spark, FX.CHECK, res.table_dir)
+        load_rows(spark, FX.CHECK, loads[2], root, load_ts=3, upsert=True)
         _PUBLISHED[key] = res.table_dir
-    t = ST.current(spark, _PUBLISHED[key], [*FX.CHECK.cols, "remarks"])
+    t = MG.merged(spark, _PUBLISHED[key], [*FX.CHECK.cols, "remarks"])
     return t.select("salt", "prefix", "row_key", *FX.CHECK.cols, "remarks", "load_ts")
 
 
 def q_late_load_after_compaction(spark, sf_dir):
-    """Loads 1 and 3, compaction, then load 2 late: nothing of it is lost."""
+    """Loads 1 and 3 folded, then load 2 late (and load 3 a second time): nothing of it is lost."""
     root = scratch_path(spark, "store-late")
     loads = FX.check_loads(spark, sf_dir, 3)
-    for i in (0, 2):
-        res = load_rows(spark, FX.CHECK, loads[i], root, load_ts=i + 1)
-    ST.compact(spark, FX.CHECK, res.table_dir)
-    load_rows(spark, FX.CHECK, loads[1], root, load_ts=2)
-    t = ST.current(spark, res.table_dir, [*FX.CHECK.cols, "remarks"])
+    for i in (0, 2, 1):
+        res = load_rows(spark, FX.CHECK, loads[i], root, load_ts=i + 1, upsert=True)
+    MG.upsert_loads(spark, FX.CHECK, res.table_dir, [3])
+    t = MG.merged(spark, res.table_dir, [*FX.CHECK.cols, "remarks"])
     return t.select("salt", "prefix", "row_key", *FX.CHECK.cols, "remarks", "load_ts")
 
 
@@ -529,6 +682,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "published_dup_load": q_published_dup_load,
     "first_rows_dup_loads": q_first_rows_dup_loads,
     "list_tables": q_list_tables,
+    "key_fallbacks": q_key_fallbacks,
+    "cells_open": q_cells_open,
+    "java_order_rank": q_java_order_rank,
+    "batch_lookup_bucketed": q_batch_lookup_bucketed,
+    "batch_lookup_bucketed_hot": q_batch_lookup_bucketed_hot,
+    "batch_lookup_prefiltered": q_batch_lookup_prefiltered,
+    "scan_ranges": q_scan_ranges,
+    "sql_row_keys": q_sql_row_keys,
+    "sql_lookup": q_sql_lookup,
+    "sql_lookup_lateral": q_sql_lookup_lateral,
+    "sql_range": q_sql_range,
+    "described_job": q_described_job,
+    "load_counts": q_load_counts,
+    "lookup_response": q_lookup_response,
+    "list_tables_by_priority": q_list_tables_by_priority,
 }
 
 
@@ -785,6 +953,70 @@ ORACLE: dict[str, str] = {
         f"SELECT r.req_id, t.row_key, {_fields(OPINION_FIELDS, OPINION_COLS, 't')} FROM r JOIN t "
         "ON r.buss_no || r.business_type = t.buss_no || t.business_type"
     ),
+    "key_fallbacks": (
+        "SELECT id, CASE WHEN CAST(id AS BIGINT) % 5 = 0 THEN NULL ELSE salt END AS salt, "
+        f"CASE WHEN CAST(id AS BIGINT) % 5 = 0 THEN 0 ELSE salt END AS partition_id FROM ({_check_keyed(3)})"
+    ),
+    "cells_open": (
+        "WITH c AS (SELECT CAST(o_custkey AS VARCHAR) AS row_key, 'm' || month(o_orderdate) AS q, arg_max(o_orderpriority, o_orderkey) AS v "
+        "FROM orders GROUP BY ALL), s AS (SELECT CAST(o_custkey AS VARCHAR) AS row_key, arg_max(o_orderstatus, o_orderkey) AS status FROM orders GROUP BY ALL) "
+        "SELECT row_key, any_value(status) AS status, NULL::VARCHAR AS never, string_agg(q || '=' || v, ',' ORDER BY q || '=' || v) AS others "
+        "FROM c JOIN s USING (row_key) GROUP BY row_key"
+    ),
+    "java_order_rank": (
+        # code points above U+FFFF sort as surrogates: below U+E000
+        "WITH t AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN chr(128512) WHEN 1 THEN chr(57344) WHEN 2 THEN chr(65533) ELSE 'z' END || "
+        "string_split(text, chr(10))[1] AS k FROM documents), "
+        "u AS (SELECT doc_id, list_transform(string_split(k, ''), lambda c: CASE WHEN unicode(c) > 65535 "
+        "THEN CAST(55296 + ((unicode(c) - 65536) >> 10) AS BIGINT) * 65536 + 56320 + ((unicode(c) - 65536) & 1023) ELSE CAST(unicode(c) AS BIGINT) * 65536 END) AS k FROM t) "
+        "SELECT doc_id, row_number() OVER (ORDER BY k, doc_id) AS pos FROM u"
+    ),
+    "batch_lookup_bucketed": (
+        f"WITH k AS ({_check_keyed(3)}), r AS ({_CUSTOMER_REQS.format(known='CAST(c_custkey AS VARCHAR)')}) "
+        f"SELECT r.req_id, k.row_key, {_fields(CHECK_FIELDS, CHECK_COLS, 'k')} FROM r JOIN k ON r.check_id = k.check_id"
+    ),
+    "batch_lookup_bucketed_hot": (
+        f"WITH h AS (SELECT * REPLACE (CASE WHEN CAST(id AS BIGINT) % 3 = 0 THEN 'HOT' ELSE check_id END AS check_id) FROM ({CHECK_SRC})), "
+        f"k AS (SELECT *, {_keys_sql('check_id', 'id', 3)} FROM h), "
+        f"r AS ({_CUSTOMER_REQS.format(known='CAST(c_custkey AS VARCHAR)')} UNION ALL SELECT 'hot', 'HOT') "
+        f"SELECT r.req_id, k.row_key, {_fields(CHECK_FIELDS, CHECK_COLS, 'k')} FROM r JOIN k ON r.check_id = k.check_id"
+    ),
+    "batch_lookup_prefiltered": (
+        f"WITH k AS ({_check_keyed(3)}), r AS ({_CUSTOMER_REQS.format(known='CAST(c_custkey AS VARCHAR)')}) "
+        f"SELECT r.req_id, k.row_key, {_fields(CHECK_FIELDS, CHECK_COLS, 'k')} FROM r JOIN k ON r.check_id = k.check_id WHERE r.check_id LIKE '%7'"
+    ),
+    "scan_ranges": (
+        f"WITH k AS ({_check_keyed(3)}), l AS (SELECT 'c' || c_custkey AS req_id, (c_custkey % 3) || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 3) AS start FROM customer), "
+        "r AS (SELECT req_id, start, substr(start, 1, 3) || 'g' AS stop FROM l UNION ALL "
+        "SELECT 'n' || n_nationkey, CASE WHEN n_nationkey % 5 <> 0 THEN (n_nationkey % 3) || lower(hex(n_nationkey % 16)) END, "
+        "CASE WHEN n_nationkey % 4 <> 0 THEN (n_nationkey % 3) || '8f' END FROM nation) "
+        "SELECT r.req_id, k.row_key, k.id, k.rule_type FROM r JOIN k ON (r.start IS NULL OR k.row_key >= r.start) AND (r.stop IS NULL OR k.row_key < r.stop)"
+    ),
+    "sql_row_keys": f"SELECT id, check_id, salt, prefix, row_key FROM ({_check_keyed(3)})",
+    "sql_lookup": f"WITH k AS ({_check_keyed(3)}) SELECT row_key, {_cols(CHECK_COLS)} FROM k WHERE check_id = ({_TOP_CHECK})",
+    "sql_lookup_lateral": (
+        f"WITH k AS ({_check_keyed(3)}), "
+        f"r AS ({_CUSTOMER_REQS.format(known='CASE WHEN c_nationkey = 0 THEN NULL ELSE CAST(c_custkey AS VARCHAR) END')}) "
+        "SELECT r.req_id, k.row_key, k.id, k.rule_type FROM r JOIN k ON r.check_id = k.check_id"
+    ),
+    "sql_range": f"SELECT row_key, id FROM ({_check_keyed(3)}) WHERE row_key >= '08' AND row_key < '1c'",
+    "described_job": (
+        f"SELECT {_cols(OPINION_COLS)}, 'keyspace:opinion' AS table_name, 5::BIGINT AS load_ts, '3' AS executor_instances, "
+        f"'4' AS executor_cores, '6G' AS executor_memory FROM ({OPINION_SRC})"
+    ),
+    "load_counts": (
+        "SELECT count(*) FILTER (WHERE o_orderkey % 7 <> 0) AS n_read, count(*) FILTER (WHERE o_orderkey % 7 <> 0) AS n_loaded, "
+        "count(*) FILTER (WHERE o_orderkey % 7 = 0) AS n_rejected FROM orders"
+    ),
+    "lookup_response": (
+        f"WITH k AS ({_check_keyed(3)}) SELECT 'top' AS req_id, {_envelope_sql('false')}, row_number() OVER (ORDER BY row_key) AS pos, "
+        f"{_fields(CHECK_FIELDS, CHECK_COLS)} FROM k WHERE check_id = ({_TOP_CHECK}) UNION ALL "
+        f"SELECT 'none', {_envelope_sql('false')}, NULL, {_fields(CHECK_FIELDS, ())} UNION ALL "
+        f"SELECT 'null', {_envelope_sql('true')}, NULL, {_fields(CHECK_FIELDS, ())}"
+    ),
+    "list_tables_by_priority": (
+        "SELECT DISTINCT 'keyspace_priority:orders_' || regexp_replace(lower(o_orderpriority), '[^a-z0-9]+', '_', 'g') AS qualified_name FROM orders"
+    ),
     "list_tables": "SELECT 'keyspace:check' AS qualified_name UNION ALL SELECT 'keyspace:opinion'",
     "batch_envelope_opinion": (
         f"WITH t AS ({_opinion_keyed(3, OPINION_WIDE_SRC)}), r AS ({_PAIR_REQS}), "

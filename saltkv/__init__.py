@@ -27,10 +27,13 @@ from .operators.lookup import (
     scan_range,
 )
 from .operators.merge import latest_wins
-from .plans.job import compact_table, load_batch, load_rows
+from .operators.bucketed import batch_lookup_bucketed, bucket_table, lookup_bucketed
+from .operators.ranges import scan_ranges
+from .plans.job import load_batch, load_rows, upsert_table
 from .session import checkpoint_root, get_session, scratch_path
 from .sources.delimited import read_batch, write_delimited
 from .sources.spec import CHECK_FIELDS, OPINION_FIELDS, TableSpec, load_spec
-from .sources.store import compact, create_table, current, list_tables, publish_load, read_loads, stage_load
+from .sources.merged import merged, upsert_loads
+from .sources.store import create_table, current, list_tables, publish_load, read_loads, stage_load
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -63,6 +63,28 @@ def from_cells(
     return rows.select(*keys, *fields)
 
 
+def from_cells_open(
+    cells: DataFrame,
+    fields: Sequence[str],
+    keys: Sequence[str] = ("row_key",),
+    version: str | None = None,
+    others: str = "others",
+) -> DataFrame:
+    """Cells whose qualifiers aren't all declared, as rows: the fixed columns ``fields`` and a map ``others`` of
+    every other qualifier to its value (empty if there is none).
+
+    Copies of a cell combine first, by (key, qualifier) and before anything moves on; what a row then gathers is one entry for each of
+    its qualifiers.  The newest value wins with ``version``, else the largest.  A cell without a value doesn't exist.
+    """
+    value = F.struct(F.col(version).alias("v"), F.col("value").alias("x")) if version else F.struct(F.col("value").alias("x"))
+    one = cells.where(F.col("value").isNotNull()).groupBy(*keys, "qualifier").agg(F.max(value)["x"].alias("value"))
+    q = F.col("qualifier")
+    fixed = [F.max(F.when(q == F.lit(c), F.col("value"))).alias(c) for c in fields]
+    entries = F.collect_list(F.when(~q.isin(list(fields)) if fields else F.lit(True), F.struct("qualifier", "value")))
+    rows = one.groupBy(*keys).agg(*fixed, F.map_from_entries(F.array_sort(entries)).alias(others))
+    return rows.select(*keys, *fields, others)
+
+
 def to_binary_cells(cells: DataFrame) -> DataFrame:
     """The byte view of cells (UTF-8), as a store client receives them."""
     return cells.select(

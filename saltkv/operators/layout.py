@@ -59,6 +59,21 @@ def sort_within(df: DataFrame, cells: bool = False) -> DataFrame:
     return df.sortWithinPartitions(*keys)
 
 
+def java_order(c: str):
+    """A binary column that sorts like Java compares strings: by UTF-16 code units.
+
+    Byte order (the default everywhere) is code point order.  They differ where a supplementary
+    character (a surrogate pair, units D800-DFFF) meets one of U+E000-U+FFFF.
+    """
+    return F.encode(F.col(c), "UTF-16BE")
+
+
+def sort_within_java(df: DataFrame, cells: bool = False) -> DataFrame:
+    """``sort_within`` in Java's string order."""
+    keys = ["row_key"] + (["qualifier"] if cells else [])
+    return df.sortWithinPartitions("salt", *[java_order(k) for k in keys])
+
+
 # Inputs with at least this many partitions are never spread: their map stage
 # is already parallel, and an extra full shuffle would cost more than it saves.
 SPREAD_BELOW_PARTITIONS = 64

@@ -25,9 +25,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import NULL_TEXT, add_prefix, prefix_py, query_key_py, salt_width
-from ..session import scratch_path
 from ..sources.spec import TableSpec
 from .layout import rank_within_salt
+from .prefilter import prefilter
+from .skew import salted_join
 
 # The response envelope.  Status, code, message and system code
 # of a successful and of a failed lookup.
@@ -161,6 +162,7 @@ def batch_lookup(
     flag_unknown: bool = False,
     salt_hot_keys: int = 16,
     hot_rows: int = 100_000,
+    bloom: bool = True,
 ) -> DataFrame:
     """One row per (request, matching table row): ``req_id, row_key, fields…``.
 
@@ -170,7 +172,9 @@ def batch_lookup(
     broadcast threshold, and the salts asked for become a partition filter on
     the table.  ``broadcast_requests=False`` never broadcasts; ``True`` still
     checks.  Only when even the distinct keys exceed the threshold does the
-    table shuffle on ``(salt, prefix)``.
+    table shuffle on ``(salt, prefix)``; then a Bloom filter of the requested
+    prefixes (``prefilter``; ``bloom=False`` leaves it out) drops the rows that
+    match nothing before the shuffle, and hot keys are split.
 
     A stored column outside ``fields`` raises, unless ``flag_unknown``: then
     the output gets ``__unknown_cell`` (the row holds a value in such a column).
@@ -192,7 +196,7 @@ def batch_lookup(
 
     # At most n rows come back: bytes of requests and of distinct keys by salt.
     per_salt = req.groupBy("salt", "prefix").agg(F.sum(_row_bytes(req.columns)).alias("b")).groupBy("salt").agg(
-        F.sum("b").alias("b"), F.sum(_row_bytes(["salt", "prefix"])).alias("k")
+        F.sum("b").alias("b"), F.sum(_row_bytes(["salt", "prefix"])).alias("k"), F.count(F.lit(1)).alias("n")
     ).collect()
     bound = 0 if broadcast_requests is False else _broadcast_bound(spark)
     small_requests = sum(r["b"] for r in per_salt) <= bound
@@ -208,11 +212,14 @@ def batch_lookup(
     # they fit, even when the requests do not: then the table never shuffles,
     # and only the matched rows meet the requests in a shuffle join.
     keys = req.select("salt", "prefix").distinct()
-    matched = t.join(F.broadcast(keys) if small_keys else keys, ["salt", "prefix"], "left_semi")
+    on = ["salt", "prefix"]
     if small_requests:
-        m = matched.join(F.broadcast(req), ["salt", "prefix"], "inner")
+        m = t.join(F.broadcast(keys), on, "left_semi").join(F.broadcast(req), on, "inner")
+    elif small_keys:
+        m = salted_join(t.join(F.broadcast(keys), on, "left_semi"), req, on, "row_key", req_id, salt_hot_keys, hot_rows)
     else:
-        m = _salted_join(matched, req, max(1, salt_hot_keys), hot_rows)
+        # no semi join: it would move a hot key whole.  The filter takes its place.
+        m = salted_join(prefilter(t, keys, sum(r["n"] for r in per_salt)) if bloom else t, req, on, "row_key", req_id, salt_hot_keys, hot_rows)
     if exact:
         for c, r in renamed.items():
             m = m.where(F.col(c) == F.coalesce(F.col(r).cast("string"), F.lit(NULL_TEXT)))
@@ -223,29 +230,6 @@ def batch_lookup(
     return project_fields(m, fields, keep=keep, check=False)
 
 
-def _salted_join(matched: DataFrame, req: DataFrame, fan: int, hot_rows: int) -> DataFrame:
-    """Shuffle join on ``(salt, prefix, __sub)``.  Keys with many rows, or many
-    requests, are split ``fan`` ways on that side and copied on the other.
-    Which keys is decided once, from both sides' counts, and written, so both
-    sides read the same set."""
-    on = ["salt", "prefix"]
-    rows = matched.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows"))
-    asks = req.groupBy(*on).agg(F.count(F.lit(1)).alias("__asks"))
-    hot = rows.join(asks, on).where(F.greatest("__rows", "__asks") >= hot_rows)
-    path = scratch_path(matched.sparkSession, "hot-keys")
-    hot.select(*on, (F.col("__rows") >= F.col("__asks")).alias("__wide")).write.parquet(path)
-    hot = matched.sparkSession.read.schema("salt int, prefix string, __wide boolean").parquet(path)
-    every = F.sequence(F.lit(0).cast("long"), F.lit(fan - 1).cast("long"))
-
-    def spread(df, own, split):
-        one = F.array(F.pmod(F.xxhash64(own), F.lit(fan)).cast("long"))
-        subs = F.when(F.col("__wide").isNull(), F.array(F.lit(0).cast("long"))).when(F.col("__wide") == split, one).otherwise(every)
-        return df.join(hot, on, "left").withColumn("__sub", F.explode(subs)).drop("__wide")
-
-    req_id = req.columns[0]
-    return spread(matched, "row_key", True).join(spread(req, req_id, False), [*on, "__sub"], "inner").drop("__sub")
-
-
 def _envelope_cols(ok) -> list:
     return [F.when(ok, F.lit(s)).otherwise(F.lit(e)).alias(name) for name, s, e in zip(ENVELOPE_FIELDS, SUCCESS, ERROR)]
 

@@ -24,7 +24,8 @@ import os
 import sys
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.keys import add_row_keys
 from ..operators.layout import dedup_in_load, spread_small_input
@@ -33,9 +34,10 @@ from ..sources.delimited import batch_path, read_batch
 from ..sources.spec import TableSpec, apply_job_conf, load_job_conf, load_spec
 from ..operators.layout import files_per_bucket_for
 from ..sources.store import (
-    REJECTED, compact, input_bytes, layout_for_write, list_loads, new_load_ts, publish_load, read_rejected, refresh_table,
-    registered_at, stage_load, staging_dir, table_location, usable_base, write_manifest,
+    REJECTED, input_bytes, layout_for_write, new_load_ts, publish_load, read_rejected, refresh_table,
+    registered_at, stage_load, staging_dir, table_location, write_manifest,
 )
+from ..sources.merged import upsert_loads
 
 log = logging.getLogger("saltkv.job")
 
@@ -45,9 +47,11 @@ class LoadResult:
     table_dir: str
     load_ts: int
     load_dir: str
-    # The records a permissive load set aside (stored inside the load), and their number.
+    # The records a permissive load set aside (stored inside the load), and the numbers of
+    # rows loaded and set aside, as the writes themselves observed them.
     rejected: object = None
     n_rejected: int = 0
+    n_loaded: int = 0
 
 
 def load_rows(
@@ -64,7 +68,7 @@ def load_rows(
     hash_method: str | None = None,
     spread: bool = False,
     no_nulls: bool = False,
-    compact_after: int | None = None,
+    upsert: bool = False,
     rejected=None,
 ) -> LoadResult:
     """Key, lay out, stage and publish a DataFrame of string rows as one load.
@@ -72,7 +76,8 @@ def load_rows(
     A NULL value means "not written by this load": the column keeps its older
     value when the table is read.  ``dedup=False`` trusts the unique column and
     saves one shuffle.  ``load_ts`` defaults to the wall clock in milliseconds when the load is published.
-    ``rejected`` records are stored inside the load and counted in its manifest.
+    ``rejected`` records are stored inside the load; loaded and rejected rows are counted by the writes
+    (``Observation``) and noted in its manifest.  ``upsert`` folds the load into the table's merged copy.
     ``spread`` round-robins an input with fewer partitions than cores before
     the key work (a shuffle follows anyway); it has to plan the input to know, so only
     the load job, whose input is files, asks for it.
@@ -89,24 +94,22 @@ def load_rows(
         stage_dir = f"{spec.hfile_path_prefix.rstrip('/')}/{load_ts or new_load_ts()}"
     else:
         stage_dir = staging_dir(table_dir, f"load-{load_ts or 'new'}")
-    stage_load(laid, stage_dir, bloom_filter)
-    n_rejected = 0
+    loaded, aside = Observation(), Observation()
+    stage_load(laid.observe(loaded, F.count(F.lit(1)).alias("n")), stage_dir, bloom_filter)
+    n_loaded, n_rejected = loaded.get["n"], 0
     if rejected is not None:
-        rejected.select("value", "n_fields").write.parquet(f"{stage_dir}/{REJECTED}")
-        n_rejected = spark.read.parquet(f"{stage_dir}/{REJECTED}").count()
-    more = {} if rejected is None else {"rejected": n_rejected}
+        rejected.select("value", "n_fields").observe(aside, F.count(F.lit(1)).alias("n")).write.parquet(f"{stage_dir}/{REJECTED}")
+        n_rejected = aside.get["n"]
+    more = {"loaded": n_loaded} if rejected is None else {"loaded": n_loaded, "rejected": n_rejected}
     write_manifest(spark, stage_dir, list(rows.columns), not no_nulls, unique_keys=dedup, **more)
     load_dir = publish_load(spark, stage_dir, table_dir, load_ts)
     ts = int(load_dir.rpartition("=")[2])
     log.info("published %s as %s", spec.qualified_name, load_dir)
     if registered_at(spark, spec, table_dir):
         refresh_table(spark, spec, table_dir)  # catalog readers see the new load and its columns at once
-    if compact_after:
-        loads = list_loads(spark, table_dir)
-        base = usable_base(spark, table_dir, loads)
-        if len([t for t in loads if not base or t > base[0]]) >= compact_after:
-            compact(spark, spec, table_dir)
-    return LoadResult(table_dir, ts, load_dir, n_rejected=n_rejected)
+    if upsert:
+        upsert_loads(spark, spec, table_dir, [ts])
+    return LoadResult(table_dir, ts, load_dir, n_rejected=n_rejected, n_loaded=n_loaded)
 
 
 def load_batch(
@@ -140,15 +143,14 @@ def load_batch(
     return res
 
 
-def compact_table(spark: SparkSession, spec: TableSpec, batch_date: str | None = None, store_root: str | None = None, **kw):
-    """Maintenance job: merge every published load into one base (see
-    ``sources.store.compact``).  ``batch_date`` is not used."""
-    table_dir = table_location(spec, store_root)
-    return compact(spark, spec, table_dir, files_per_bucket=kw.get("files_per_bucket"))
+def upsert_table(spark: SparkSession, spec: TableSpec, batch_date: str | None = None, store_root: str | None = None, load_ts: int | None = None, **_):
+    """Maintenance job: fold the published loads (or the one given) into the table's merged copy
+    (``sources.merged``).  ``batch_date`` is not used."""
+    return upsert_loads(spark, spec, table_location(spec, store_root), None if load_ts is None else [load_ts])
 
 
 # Jobs runnable by name from the command line.
-JOBS = {"load": load_batch, "compact": compact_table}
+JOBS = {"load": load_batch, "upsert": upsert_table}
 
 
 def run_job(spark: SparkSession, name: str, spec: TableSpec, batch_date: str, **kw):
@@ -159,7 +161,7 @@ def run_job(spark: SparkSession, name: str, spec: TableSpec, batch_date: str, **
     return job(spark, spec, batch_date, **kw)
 
 
-def main(argv: list[str] | None = None) -> int:
+def arguments() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="saltkv-job", description="Run a table job for one batch date.")
     ap.add_argument("batch_date")
     ap.add_argument("job", choices=sorted(JOBS))
@@ -175,11 +177,32 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--load-ts", type=int, default=None)
     ap.add_argument("--exact-partitioner", action="store_true", help="one task per salt (the reference layout)")
     ap.add_argument("--bloom-filter", action="store_true", help="Parquet Bloom filter on the key prefix")
-    ap.add_argument("--compact-after", type=int, default=None, help="compact once this many loads are pending")
-    args = ap.parse_args(argv)
+    ap.add_argument("--upsert", action="store_true", help="fold the load into the table's merged copy")
+    return ap
 
+
+def described(args) -> tuple[TableSpec, dict[str, str]]:
+    """The table description and the job's resource settings that the arguments name."""
     spec = load_spec(os.path.join(args.conf_dir, f"{args.table}.properties"))
-    conf = load_job_conf(os.path.join(args.conf_dir, f"{args.table}.conf"))
+    return spec, load_job_conf(os.path.join(args.conf_dir, f"{args.table}.conf"))
+
+
+def run_described(spark: SparkSession, args, spec: TableSpec):
+    """The job that the arguments name, on a given session."""
+    if args.job == "load":
+        return run_job(
+            spark, args.job, spec, args.batch_date,
+            store_root=args.store_root, path=args.input, mode=args.mode,
+            dedup=not args.no_dedup, files_per_bucket=args.files_per_bucket, load_ts=args.load_ts,
+            exact_partitioner=args.exact_partitioner, bloom_filter=args.bloom_filter,
+            upsert=args.upsert,
+        )
+    return run_job(spark, args.job, spec, args.batch_date, store_root=args.store_root, load_ts=args.load_ts)
+
+
+def main(argv: list[str] | None = None) -> int:
+    args = arguments().parse_args(argv)
+    spec, conf = described(args)
     builder = SparkSession.builder.appName(f"{args.job}-{args.table}-{args.batch_date}")
     if args.master:
         builder = builder.master(args.master)
@@ -187,20 +210,13 @@ def main(argv: list[str] | None = None) -> int:
     builder = apply_job_conf(builder, {**DEFAULT_CONF, **conf})
     spark = builder.getOrCreate()
     try:
+        res = run_described(spark, args, spec)
         if args.job == "load":
-            res = run_job(
-                spark, args.job, spec, args.batch_date,
-                store_root=args.store_root, path=args.input, mode=args.mode,
-                dedup=not args.no_dedup, files_per_bucket=args.files_per_bucket, load_ts=args.load_ts,
-                exact_partitioner=args.exact_partitioner, bloom_filter=args.bloom_filter,
-                compact_after=args.compact_after,
-            )
             print(res.load_dir)
             if args.mode == "permissive":
                 print(f"{res.n_rejected} records rejected")
         else:
-            print(run_job(spark, args.job, spec, args.batch_date, store_root=args.store_root,
-                          files_per_bucket=args.files_per_bucket))
+            print(res)
         return 0
     except Exception:  # noqa: BLE001 - any failure ends the job with status 1
         log.exception("job %s failed for %s %s", args.job, args.table, args.batch_date)

@@ -3,7 +3,6 @@
 ::
 
     <table>/load_ts=<millis>/salt=<i>/part-*.parquet            (files sorted by row_key)
-    <table>/_base_<T>/load_ts=<T>/salt=<i>/part-*.parquet       (compacted state as of load T)
 
 A load is first written to a staging directory, outside the table, then
 renamed into the table in one file-system call (atomic on HDFS), so a reader
@@ -11,11 +10,8 @@ sees a load entirely or not at all.  Reading uses an explicit schema, so no
 file footer is opened to infer it; ``load_ts`` and ``salt`` come from the
 directory names and are pruned by partition filters.
 
-``compact`` merges every load up to T into one base, published the same way.
-A reader uses the newest base plus the loads after it; before the base's
-rename it merges all loads.  Both give the same rows, so compaction never
-exposes an intermediate state.  Older loads stay on disk (``as_of`` reads
-before a base still work) until removed by the operator of the store.
+A reader merges the loads newest-wins.  ``sources.merged`` keeps a merged copy of
+a table by upserts, where reading many loads costs too much.
 """
 
 from __future__ import annotations
@@ -34,8 +30,6 @@ from .spec import TableSpec
 
 KEY_FIELDS = ("prefix", "row_key")
 VERSION = "load_ts"
-BASE_PREFIX = "_base_"
-ROW_VERSION = "__row_load_ts"
 MANIFEST = "_manifest.json"
 
 
@@ -96,8 +90,7 @@ def list_loads(spark: SparkSession, table_dir: str) -> list[int]:
 
 def write_manifest(spark: SparkSession, load_dir: str, columns, may_have_nulls: bool, unique_keys: bool = True, **more) -> None:
     """A small JSON file inside a (staged) load: the columns it wrote, whether
-    any value may be NULL and whether its row keys are unique (``more``: the loads a base
-    merged, the number of rejected records).  Readers of the
+    any value may be NULL and whether its row keys are unique (``more``: the numbers of loaded and rejected records).  Readers of the
     data skip it (leading underscore); ``current`` uses it to choose the merge."""
     fs, p = _fs(spark, f"{load_dir.rstrip('/')}/{MANIFEST}")
     out = fs.create(p, True)
@@ -147,45 +140,6 @@ def whole_rows(spark: SparkSession, load_dirs, value_cols) -> bool:
     return True
 
 
-def _bases(spark: SparkSession, table_dir: str) -> list[tuple[int, int]]:
-    """``(version, number)`` of the compacted bases, oldest first.  A version is
-    compacted again (with the next number) when a load up to it came late."""
-    fs, p = _fs(spark, table_dir)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(BASE_PREFIX):
-            ts, _, k = name[len(BASE_PREFIX):].partition("_")
-            out.append((int(ts), int(k or 0)))
-    return sorted(out)
-
-
-def list_bases(spark: SparkSession, table_dir: str) -> list[int]:
-    """Versions of the compacted bases of a table, oldest first."""
-    return sorted({ts for ts, _ in _bases(spark, table_dir)})
-
-
-def base_dir(table_dir: str, ts: int, number: int = 0) -> str:
-    return f"{table_dir.rstrip('/')}/{BASE_PREFIX}{int(ts)}" + (f"_{number}" if number else "")
-
-
-def usable_base(spark: SparkSession, table_dir: str, loads: list[int]) -> tuple[int, str] | None:
-    """Version and data directory of the newest base that merged every one of
-    ``loads`` up to its version.  A load published after a compaction under a
-    smaller version makes that base unusable: it keeps one version a row, so
-    the late load can't be merged into it."""
-    for ts, k in reversed(_bases(spark, table_dir)):
-        if not loads or ts > loads[-1]:
-            continue
-        d = f"{base_dir(table_dir, ts, k)}/{VERSION}={ts}"
-        merged = (read_manifest(spark, d) or {}).get("loads")
-        if merged is not None and {t for t in loads if t <= ts} <= set(merged):
-            return ts, d
-    return None
-
-
 def staging_dir(table_dir: str, name: str) -> str:
     """A fresh staging directory inside the table's hidden ``_staging`` folder:
     on the table's own file system, so the publishing rename never crosses
@@ -233,20 +187,36 @@ def stage_load(laid_out: DataFrame, stage_dir: str, bloom_filter: bool = False,
     return stage_dir
 
 
+def claim_version(spark: SparkSession, table_dir: str, ts: int, owner: str) -> bool:
+    """Take a version for one writer: an exclusive create, which the file system grants once.  A rename alone doesn't
+    exclude: two writers may both find the target missing, and the second rename would land inside the first's."""
+    fs, p = _fs(spark, f"{table_dir.rstrip('/')}/_claims/{int(ts)}")
+    try:
+        out = fs.create(p, False)
+    except Exception as e:  # the JVM's FileAlreadyExistsException, in one of its classes
+        if "AlreadyExists" in str(e) or "already exists" in str(e).lower():
+            return False
+        raise
+    try:
+        out.write(bytearray(owner.encode()))
+    finally:
+        out.close()
+    return True
+
+
 def publish_load(spark: SparkSession, staged_dir: str, table_dir: str, load_ts: int | None = None) -> str:
-    """Adopt a staged load as version ``load_ts`` of the table (one rename).
+    """Adopt a staged load as version ``load_ts`` of the table: an exclusive claim of the version, then one rename.
     Without a version it gets the wall clock of this moment, so a load that
     took long can't fall behind one that overtook it; if that is taken, the next free one."""
     ts = int(load_ts) if load_ts is not None else new_load_ts()
     while True:
         target = f"{table_dir.rstrip('/')}/{VERSION}={ts}"
-        try:
+        if claim_version(spark, table_dir, ts, staged_dir):
             rename(spark, staged_dir, target)
             return target
-        except FileExistsError:
-            if load_ts is not None:
-                raise
-            ts += 1
+        if load_ts is not None:
+            raise FileExistsError(f"{target}: version {ts} is published or claimed (see {table_dir.rstrip('/')}/_claims)")
+        ts += 1
 
 
 REJECTED = "_rejected"
@@ -277,24 +247,8 @@ def read_loads(spark: SparkSession, table_dir: str, value_cols, loads: list[int]
     return spark.read.schema(schema).option("basePath", table_dir).parquet(*paths)
 
 
-def read_base(spark: SparkSession, data_dir: str, value_cols) -> DataFrame:
-    """A compacted base; each row carries the version it had when merged."""
-    schema = stored_schema(value_cols)
-    fields = list(schema.fields)
-    fields.insert(len(value_cols) + len(KEY_FIELDS), StructField(ROW_VERSION, LongType(), True))
-    df = spark.read.schema(StructType(fields)).option("basePath", data_dir.rpartition("/")[0]).parquet(data_dir)
-    return df.withColumn(VERSION, F.coalesce(F.col(ROW_VERSION), F.col(VERSION))).drop(ROW_VERSION)
-
-
-def _sources(spark: SparkSession, table_dir: str, as_of: int | None = None) -> tuple[list[int], tuple[int, str] | None]:
-    """The loads to read and, if usable, the base that stands for the others."""
-    loads = [ts for ts in list_loads(spark, table_dir) if as_of is None or ts <= as_of]
-    base = usable_base(spark, table_dir, loads)
-    return [ts for ts in loads if not base or ts > base[0]], base
-
-
-def _source_dirs(table_dir: str, loads: list[int], base) -> list[str]:
-    return [f"{table_dir.rstrip('/')}/{VERSION}={ts}" for ts in loads] + ([base[1]] if base else [])
+def _load_dirs(table_dir: str, loads: list[int]) -> list[str]:
+    return [f"{table_dir.rstrip('/')}/{VERSION}={ts}" for ts in loads]
 
 
 def _unique_keys(spark: SparkSession, dirs: list[str]) -> bool:
@@ -305,22 +259,16 @@ def _unique_keys(spark: SparkSession, dirs: list[str]) -> bool:
 def current(spark: SparkSession, table_dir: str, value_cols=None, as_of: int | None = None) -> DataFrame:
     """The table as a reader sees it: per row key and column, the newest value.
 
-    Reads the newest compacted base that merged every load up to its version (if any, and not
-    newer than ``as_of``) plus the loads after it.  With a single source whose manifest says
-    that row keys are unique the merge is skipped (no shuffle).  ``as_of`` reads the table as it was when that load was newest.
+    With a single load whose manifest says that row keys are unique the merge is skipped (no
+    shuffle).  ``as_of`` reads the table as it was when that load was newest.
     ``value_cols`` defaults to every column the loads' manifests list.
     """
     if value_cols is None:
         value_cols = table_columns(spark, table_dir)
-    loads, base = _sources(spark, table_dir, as_of)
+    loads = [ts for ts in list_loads(spark, table_dir) if as_of is None or ts <= as_of]
     cols = list(value_cols)
-    parts = []
-    if base:
-        parts.append(read_base(spark, base[1], cols))
-    if loads or not parts:
-        parts.append(read_loads(spark, table_dir, cols, loads))
-    df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    dirs = _source_dirs(table_dir, loads, base)
+    df = read_loads(spark, table_dir, cols, loads)
+    dirs = _load_dirs(table_dir, loads)
     if len(dirs) <= 1 and _unique_keys(spark, dirs):
         return df.select("salt", *KEY_FIELDS, *cols, VERSION)
     if whole_rows(spark, dirs, cols):
@@ -332,21 +280,19 @@ def first_rows(spark: SparkSession, table_dir: str, n: int, value_cols=None) ->
     """The first ``n`` rows of the newest-wins table in row-key order (a
     top-n scan) without merging the whole table.
 
-    Sources with unique row keys hold each key at most once, so the first
-    ``n`` keys of the merged table are among the first ``n * sources`` rows of
-    the raw loads (and base).  Those rows are taken with a per-task top-n (no
+    Loads with unique row keys hold each key at most once, so the first
+    ``n`` keys of the merged table are among the first ``n * loads`` rows of
+    the raw loads.  Those rows are taken with a per-task top-n (no
     full shuffle) and semi-joined below the merge, so only their keys are
     merged.  Where a load may repeat keys, the first ``n`` distinct keys are taken instead.
     """
     cur = current(spark, table_dir, value_cols)
-    loads, base = _sources(spark, table_dir)
-    dirs = _source_dirs(table_dir, loads, base)
+    loads = list_loads(spark, table_dir)
+    dirs = _load_dirs(table_dir, loads)
     unique = _unique_keys(spark, dirs)
     if len(dirs) <= 1 and unique:
         return cur.orderBy("row_key").limit(n)
     raw = read_loads(spark, table_dir, [], loads).select("row_key")
-    if base:
-        raw = raw.unionByName(read_base(spark, base[1], []).select("row_key"))
     if not unique:
         raw = raw.distinct()
     candidates = raw.orderBy("row_key").limit(n * len(dirs) if unique else n)
@@ -354,39 +300,6 @@ def first_rows(spark: SparkSession, table_dir: str, n: int, value_cols=None) ->
     return top.orderBy("row_key").limit(n)
 
 
-def compact(spark: SparkSession, spec: TableSpec, table_dir: str, up_to: int | None = None,
-            files_per_bucket: int | None = None, stage_dir: str | None = None) -> int | None:
-    """Merge every load up to ``up_to`` (default: the newest) into one base,
-    with every column that any of them wrote.
-
-    The merge is the same newest-wins aggregate a reader runs; the base is
-    laid out like a load (range clustered, sorted, one salt per file), staged,
-    and renamed into place.  Returns the base version, or ``None`` when there
-    is nothing to compact.
-    """
-    loads = [ts for ts in list_loads(spark, table_dir) if up_to is None or ts <= up_to]
-    if not loads:
-        return None
-    t = loads[-1]
-    base = usable_base(spark, table_dir, loads)
-    if base and base[0] == t:
-        return t
-    cols = table_columns(spark, table_dir, spec.cols)
-    merged = current(spark, table_dir, cols, as_of=t)
-    rows = merged.select(*cols, *KEY_FIELDS, F.col(VERSION).alias(ROW_VERSION), "salt")
-    merged_dirs = [f"{table_dir.rstrip('/')}/{VERSION}={ts}" for ts in loads]
-    if files_per_bucket is None:
-        size = sum(input_bytes(spark, d) for d in merged_dirs)
-        files_per_bucket = files_per_bucket_for(spark, spec.pre_regions, size)
-    laid = cluster_for_write(rows, spec.pre_regions, files_per_bucket)
-    stage_dir = stage_dir or staging_dir(table_dir, f"base-{t}")
-    stage_load(laid, stage_dir)
-    write_manifest(spark, stage_dir, cols, not whole_rows(spark, merged_dirs, cols), loads=loads)
-    number = 1 + max((k for ts, k in _bases(spark, table_dir) if ts == t), default=-1)
-    rename(spark, stage_dir, f"{base_dir(table_dir, t, number)}/{VERSION}={t}")
-    return t
-
-
 # ----------------------------------------------------------------- catalog
 
 
@@ -402,6 +315,8 @@ def create_table(spark: SparkSession, spec: TableSpec, table_dir: str, value_col
     (one row per load); ``create_current_view`` adds the newest-wins view."""
     cols = list(value_cols or spec.cols)
     create_namespace(spark, spec.namespace, namespace_location)
+    fs, p = _fs(spark, table_dir)
+    fs.mkdirs(p)  # a table may be created before its first load
     ddl_cols = ", ".join([f"`{c}` STRING" for c in (*cols, *KEY_FIELDS)] + [f"`{VERSION}` BIGINT", "`salt` INT"])
     opts = ", ".join(f"'{k}' '{v}'" for k, v in write_options(bloom_filter).items())
     name = f"`{spec.namespace}`.`{spec.table_name}`"

@@ -36,9 +36,9 @@ def test_command_line_load(spark, tmp):
     assert all(len([f for f in os.listdir(os.path.join(load_dir, d)) if f.endswith(".parquet")]) == 1
                for d in os.listdir(load_dir) if d.startswith("salt="))
     assert spark.read.parquet(load_dir).count() == FX.check_rows(spark, SF_SMALL).count()
-    p = _run(["-", "compact", "check", "--conf-dir", conf, "--store-root", store, "--master", "local[2]"])
+    p = _run(["-", "upsert", "check", "--conf-dir", conf, "--store-root", store, "--master", "local[2]"])
     assert p.returncode == 0, p.stderr[-2000:]
-    assert os.path.isdir(os.path.join(local_path(store), "keyspace", "check", "_base_7", "load_ts=7"))
+    assert os.path.isdir(os.path.join(local_path(store), "keyspace", "check", "_merged", "salt=0"))
 
 
 def test_rejected_records_are_reported(spark, tmp):

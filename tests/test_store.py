@@ -8,6 +8,7 @@ from saltkv.operators.lookup import lookup
 from saltkv.plans import fixtures as FX
 from saltkv.plans.inspect import partition_filters, plan_text, pushed_filters
 from saltkv.plans.job import load_rows
+from saltkv.sources import merged as MG
 from saltkv.sources import store as ST
 from conftest import SF_SMALL, local_path
 
@@ -119,28 +120,47 @@ def test_batch_lookup_merges_only_requested_keys(spark, three):
     assert 0 <= agg_at < semi_at
 
 
-def test_compaction_keeps_reads_equal(spark, tmp):
-    root = tmp("compact")
+def test_the_merged_copy_equals_the_merge(spark, tmp):
+    root = tmp("merged")
     loads = FX.check_loads(spark, SF_SMALL, 3)
     # Load 1 is written without the remarks column at all.
     res = load_rows(spark, FX.CHECK, loads[0].drop("remarks"), root, load_ts=1)
     load_rows(spark, FX.CHECK, loads[1], root, load_ts=2)
     d = res.table_dir
-    before2 = sorted(map(tuple, ST.current(spark, d, COLS).collect()))
-    assert ST.compact(spark, FX.CHECK, d) == 2
-    assert ST.list_bases(spark, d) == [2] and ST.list_loads(spark, d) == [1, 2]
-    after2 = ST.current(spark, d, COLS)
-    assert "Exchange" not in plan_text(after2)  # one base, nothing to merge
-    assert sorted(map(tuple, after2.collect())) == before2
-    load_rows(spark, FX.CHECK, loads[2], root, load_ts=3)
-    ref = tmp("nocompact")
-    for i, x in enumerate(loads):
-        load_rows(spark, FX.CHECK, x, ref, load_ts=i + 1)
-    want = sorted(map(tuple, ST.current(spark, ST.table_location(FX.CHECK, ref), COLS).collect()))
-    assert sorted(map(tuple, ST.current(spark, d, COLS).collect())) == want
-    # Reading as of load 1 ignores the base.
-    assert ST.current(spark, d, COLS, as_of=1).where(F.col("load_ts") > 1).count() == 0
-    assert ST.compact(spark, FX.CHECK, d, up_to=2) == 2  # already compacted
+    MG.upsert_loads(spark, FX.CHECK, d)
+    copy = MG.merged(spark, d, COLS)
+    assert "Exchange" not in plan_text(copy)  # nothing to merge
+    assert sorted(map(tuple, copy.collect())) == sorted(map(tuple, ST.current(spark, d, COLS).collect()))
+    load_rows(spark, FX.CHECK, loads[2], root, load_ts=3, upsert=True)
+    want = sorted(map(tuple, ST.current(spark, d, COLS).collect()))
+    assert sorted(map(tuple, MG.merged(spark, d, COLS).collect())) == want
+    MG.upsert_loads(spark, FX.CHECK, d, [2, 1])  # again, and out of order
+    assert sorted(map(tuple, MG.merged(spark, d, COLS).collect())) == want
+    MG.upsert_loads(spark, FX.CHECK, d, rebuild=True)
+    assert sorted(map(tuple, MG.merged(spark, d, COLS).collect())) == want
+
+
+def test_an_upsert_rewrites_only_touched_partitions(spark, tmp):
+    import glob
+    import os
+
+    root = tmp("touched")
+    base = FX.check_rows(spark, SF_SMALL)
+    d = load_rows(spark, FX.CHECK, base, root, load_ts=1, upsert=True).table_dir
+    files = lambda: set(glob.glob(f"{local_path(MG.merged_dir(d))}/salt=*/slice=*/*.parquet"))
+    before = files()
+    one = base.orderBy("id").limit(1).withColumn("rule_no", F.lit("new"))
+    load_rows(spark, FX.CHECK, one, root, load_ts=2)
+    touched = MG.upsert_loads(spark, FX.CHECK, d, [2])
+    assert len(touched) == 1
+    changed = {os.path.dirname(f) for f in before ^ files()}
+    assert len(changed) == 1 and changed.pop().endswith(touched[0])
+    assert MG.merged(spark, d, COLS).where("rule_no = 'new'").count() == 1
+    # salt and prefix prune the copy like the table itself
+    from saltkv.operators.lookup import lookup
+    key = base.first().check_id
+    got = lookup(MG.merged(spark, d, FX.CHECK.cols), FX.CHECK, key, FX.CHECK.cols)
+    assert "salt" in partition_filters(got)[0]
 
 
 def test_published_files_sorted_one_salt_and_staging_gone(spark, tmp):
@@ -271,7 +291,8 @@ def test_text_loads_merge_whole_rows(spark, tmp):
     root = tmp("wr-store")
     load_batch(spark, spec, "d1", root, load_ts=1)
     res = load_batch(spark, spec, "d2", root, load_ts=2)
-    assert ST.read_manifest(spark, res.load_dir) == {"columns": list(FX.CHECK.cols), "nulls": False, "unique": True}
+    m = ST.read_manifest(spark, res.load_dir)
+    assert m.pop("loaded") == res.n_loaded > 0 and m == {"columns": list(FX.CHECK.cols), "nulls": False, "unique": True}
     cur = ST.current(spark, res.table_dir, FX.CHECK.cols)
     txt = plan_text(cur)
     assert "CASE WHEN isnotnull" not in txt and "max(struct(" in txt  # one whole-row aggregate
@@ -282,26 +303,15 @@ def test_text_loads_merge_whole_rows(spark, tmp):
     assert plan_text(ST.current(spark, res.table_dir, FX.CHECK.cols)).count("CASE WHEN isnotnull") > 0
 
 
-def test_compact_after_keeps_pending_loads_bounded(spark, tmp):
-    root = tmp("auto")
-    base = FX.check_rows(spark, SF_SMALL)
-    for ts in range(1, 6):
-        res = load_rows(spark, FX.CHECK, base.withColumn("rule_no", F.lit(f"v{ts}")), root, load_ts=ts, compact_after=2)
-    assert ST.list_bases(spark, res.table_dir) == [2, 4]
-    cur = ST.current(spark, res.table_dir, FX.CHECK.cols)
-    assert {r.rule_no for r in cur.collect()} == {"v5"}
-
-
-def test_compact_after_keeps_columns_of_older_loads(spark, tmp):
+def test_upsert_keeps_columns_of_older_loads(spark, tmp):
     root = tmp("auto-cols")
     base = FX.check_rows(spark, SF_SMALL)
-    load_rows(spark, FX.CHECK, base.withColumn("remarks", F.lit("old")), root, load_ts=1)
-    res = load_rows(spark, FX.CHECK, base, root, load_ts=2, compact_after=2)
-    assert ST.list_bases(spark, res.table_dir) == [2]
+    load_rows(spark, FX.CHECK, base.withColumn("remarks", F.lit("old")), root, load_ts=1, upsert=True)
+    res = load_rows(spark, FX.CHECK, base, root, load_ts=2, upsert=True)
     assert ST.table_columns(spark, res.table_dir) == [*FX.CHECK.cols, "remarks"]
-    assert ST.current(spark, res.table_dir).columns == ST.current(spark, res.table_dir, COLS).columns
-    cur = ST.current(spark, res.table_dir, COLS)
-    assert {r.remarks for r in cur.collect()} == {"old"}
+    cur = MG.merged(spark, res.table_dir)
+    assert cur.columns == ST.current(spark, res.table_dir).columns
+    assert {(r.remarks, r.load_ts) for r in cur.collect()} == {("old", 2)}
 
 
 def test_first_rows_merges_only_candidates(spark, tmp, three):
@@ -310,15 +320,6 @@ def test_first_rows_merges_only_candidates(spark, tmp, three):
     assert [tuple(r) for r in q.collect()] == want
     txt = plan_text(q)
     assert 0 <= txt.find("SortAggregate") < txt.find("LeftSemi")
-    # with a compacted base plus a newer load
-    root = tmp("first")
-    loads = FX.check_loads(spark, SF_SMALL, 3)
-    for i, d in enumerate(loads[:2]):
-        res = load_rows(spark, FX.CHECK, d, root, load_ts=i + 1)
-    ST.compact(spark, FX.CHECK, res.table_dir)
-    load_rows(spark, FX.CHECK, loads[2], root, load_ts=3)
-    want = [tuple(r) for r in ST.current(spark, res.table_dir, COLS).orderBy("row_key").limit(5).collect()]
-    assert [tuple(r) for r in ST.first_rows(spark, res.table_dir, 5, COLS).collect()] == want
 
 
 def test_batch_lookup_without_broadcast_on_merged_table(spark, three):
@@ -354,17 +355,30 @@ def _load(spark, root, rows, **kw):
     return load_rows(spark, _small(), rows, root, **kw)
 
 
-def test_a_late_load_after_compaction_is_read(spark, tmp):
+def test_a_late_load_is_merged(spark, tmp):
     root = tmp("late")
-    d = _load(spark, root, _rows(spark, ("1", "a", "one"), ("2", "b", "one")), load_ts=1).table_dir
-    _load(spark, root, _rows(spark, ("1", "a", "five")), load_ts=5)
-    assert ST.compact(spark, _small(), d) == 5
-    _load(spark, root, _rows(spark, ("1", "a", "three"), ("3", "c", "three")), load_ts=3)
-    read = lambda: sorted((r.id, r.rule_no, r.load_ts) for r in ST.current(spark, d).collect())
-    want = [("1", "five", 5), ("2", "one", 1), ("3", "three", 3)]
-    assert read() == want
-    assert ST.compact(spark, _small(), d) == 5 and ST.usable_base(spark, d, ST.list_loads(spark, d))[0] == 5
-    assert read() == want and ST.list_bases(spark, d) == [5]
+    d = _load(spark, root, _rows(spark, ("1", "a", "one"), ("2", "b", "one")), load_ts=1, upsert=True).table_dir
+    _load(spark, root, _rows(spark, ("1", "a", "five")), load_ts=5, upsert=True)
+    _load(spark, root, _rows(spark, ("1", "a", "three"), ("3", "c", "three"), ("2", "b", "")), load_ts=3, upsert=True)
+    read = lambda df: sorted((r.id, r.rule_no, r.load_ts) for r in df.collect())
+    want = [("1", "five", 5), ("2", "", 3), ("3", "three", 3)]
+    assert read(MG.merged(spark, d)) == want == read(ST.current(spark, d))
+
+
+def test_loads_count_themselves(spark, tmp):
+    res = _load(spark, tmp("counts"), _rows(spark, ("1", "a", "x"), ("1", "a", "x"), ("2", "a", "x")), load_ts=1)
+    assert res.n_loaded == 2 and ST.read_manifest(spark, res.load_dir)["loaded"] == 2
+    empty = _load(spark, tmp("counts0"), spark.createDataFrame([], "id string, check_id string, rule_no string"), load_ts=1)
+    assert empty.n_loaded == 0
+
+
+def test_a_claimed_version_is_not_published_twice(spark, tmp):
+    root = tmp("claims")
+    d = _load(spark, root, _rows(spark, ("1", "a", "x")), load_ts=1).table_dir
+    assert ST.claim_version(spark, d, 7, "another writer")
+    with pytest.raises(FileExistsError):
+        _load(spark, root, _rows(spark, ("2", "a", "x")), load_ts=7)
+    assert ST.list_loads(spark, d) == [1] and not ST.claim_version(spark, d, 1, "x")
 
 
 def test_repeated_keys_merge_whatever_the_number_of_loads(spark, tmp):
@@ -379,17 +393,8 @@ def test_repeated_keys_merge_whatever_the_number_of_loads(spark, tmp):
         assert [r.row_key for r in ST.first_rows(spark, d, 4).collect()] == [r.row_key for r in first]
         if ST.list_loads(spark, d) == [1]:
             _load(spark, root, _rows(spark, *rows), load_ts=2, dedup=False)
-    ST.compact(spark, _small(), d)
-    assert read(ST.current(spark, d)) == sorted(want.items())
-
-
-def test_compaction_keeps_every_column(spark, tmp):
-    root = tmp("cols")
-    cols = ("id", "check_id", "rule_no", "remarks")
-    d = _load(spark, root, _rows(spark, ("1", "a", "x", "kept"), cols=cols), load_ts=1).table_dir
-    _load(spark, root, _rows(spark, ("1", "a", "y")), load_ts=2)
-    ST.compact(spark, _small(), d)
-    assert [(r.rule_no, r.remarks) for r in ST.current(spark, d).collect()] == [("y", "kept")]
+    MG.upsert_loads(spark, _small(), d)
+    assert read(MG.merged(spark, d)) == sorted(want.items())
 
 
 def test_two_loads_in_one_millisecond(spark, tmp, monkeypatch):

@@ -19,6 +19,7 @@ from saltkv.plans.inspect import plan_text  # noqa: E402
 from saltkv.plans.job import load_rows  # noqa: E402
 from saltkv.session import get_session, scratch_path  # noqa: E402
 from saltkv.sources import delimited as D  # noqa: E402
+from saltkv.sources import merged as MG
 from saltkv.sources import store as ST  # noqa: E402
 from saltkv.sources.spec import CHECK_FIELDS  # noqa: E402
 
@@ -58,8 +59,8 @@ def main():
     show("Full newest-wins read of three loads", t)
     show("Top-6 rows of the three-load table: candidate keys semi-joined below the merge",
          ST.first_rows(spark, res.table_dir, 6, cols))
-    ST.compact(spark, FX.CHECK, res.table_dir, up_to=3)
-    show("Full read after compaction: one base, no merge", ST.current(spark, res.table_dir, cols))
+    MG.upsert_loads(spark, FX.CHECK, res.table_dir)
+    show("Full read of the merged copy: no merge", MG.merged(spark, res.table_dir, cols))
     show("Range scan with column projection", LK.scan_range(t, FX.CHECK, "08", "1c", ["f:id"]))
     spark.stop()
 
