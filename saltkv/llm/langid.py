@@ -29,14 +29,14 @@ Extra columns are ignored; ``keep_identified`` keeps them.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import hash_sample, table, written
+from .common import ship_package, table, written
 
 UND = "und"
-#: Labelled documents (the first by hash of id) that train the text model.
-TRAIN_DOCS = 2000
+#: Labelled texts of each label (the first by hash) that train the text model.
+TRAIN_DOCS = 500
 TEXT_WEIGHT = 200
 #: Pseudo-counts with which a domain smooths its hosts, and all rows the domains.
 HOST_KAPPA, DOMAIN_KAPPA = 20.0, 20.0
@@ -111,24 +111,6 @@ class TextModel:
     def __init__(self, langs: list[str], logp: np.ndarray, und: float):
         self.langs, self.logp, self.und = langs, logp, und
 
-    @classmethod
-    def train(cls, texts: list[str], labels: list[str]) -> TextModel:
-        langs = sorted(set(labels))
-        counts = np.zeros((len(langs), _BUCKETS))
-
-        def grams():  # twice through, rather than all in memory
-            for t, lang in zip(texts, labels):
-                d = np.frombuffer(t.encode(), np.uint8)
-                h, ok = _trigrams(d, np.array([len(d)]))
-                yield h[ok], langs.index(lang)
-
-        for h, k in grams():
-            counts[k] += np.bincount(h, minlength=_BUCKETS)
-        logp = np.log((counts + 0.1) / (counts.sum(axis=1, keepdims=True) + 0.1 * _BUCKETS)).astype(np.float32).T
-        own = [logp[h, k].mean() for h, k in grams() if len(h)]
-        # "none of them" lies one unit a trigram below what the least likely labelled texts reach
-        return cls(langs, np.ascontiguousarray(logp), float(np.quantile(own, 0.005)) - 1.0 if own else 0.0)
-
     def score(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Counted trigrams and log-likelihoods of each text."""
         n = np.zeros(len(offsets) - 1, np.int64)
@@ -145,11 +127,63 @@ class TextModel:
         return n, ll
 
 
-def train_text_model(docs: DataFrame, n_docs: int = TRAIN_DOCS, id_col="doc_id", text_col="text", lang_col="lang") -> TextModel:
-    """From the ``n_docs`` labelled rows with the smallest hash of their id."""
-    d = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l")).where("t is not null and l is not null")
-    rows = hash_sample(d, "i", n_docs, ["i", "t"]).collect()
-    return TextModel.train([r.t for r in rows], [r.l for r in rows])
+def training_rows(docs: DataFrame, per_label: int = TRAIN_DOCS, text_col="text", lang_col="lang") -> DataFrame:
+    """``l, t``: of every label that occurs in the table about ``per_label`` rows (all, if it has fewer), those with the
+    smallest hash of their text.  Limits are found on hashes alone."""
+    d = docs.select(F.col(lang_col).cast("string").alias("l"), F.col(text_col).cast("string").alias("t")).where("t is not null and l is not null")
+    d = d.withColumn("h", F.xxhash64("t"))
+    first = Window.partitionBy("l").orderBy("h")
+    # of copies one counts, and one is taken: a group of copies can't fill the sample
+    last = d.select("l", "h").distinct().withColumn("r", F.row_number().over(first)).where(F.col("r") <= per_label).groupBy("l").agg(F.max("h").alias("last"))
+    return d.join(F.broadcast(last), "l").where(F.col("h") <= F.col("last")).dropDuplicates(["l", "h"]).select("l", "t")  # a row for each label
+
+
+def train_text_model(docs: DataFrame, per_label: int = TRAIN_DOCS, id_col="doc_id", text_col="text", lang_col="lang") -> TextModel:
+    """The label set is that of all rows; each label's trigrams are counted on executors over its ``training_rows``.
+    The driver gets numbers only: a count for each label and trigram bucket, and a level for each training row."""
+    spark = docs.sparkSession
+    rows = written(training_rows(docs, per_label, text_col, lang_col), "language-samples")
+
+    def counted(batches):
+        import pyarrow as pa
+
+        per: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for lang, text in zip(batch.column("l").to_pylist(), batch.column("t")):
+                d = np.frombuffer(text.as_py().encode("utf-8", "surrogatepass"), np.uint8)
+                h, ok = _trigrams(d, np.array([len(d)]))
+                own = per.setdefault(lang, np.zeros(_BUCKETS, np.int64))
+                own += np.bincount(h[ok], minlength=_BUCKETS)
+        for lang, own in per.items():
+            b = np.flatnonzero(own)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(b), pa.string()), pa.array(b.astype(np.int32)), pa.array(own[b])], ["l", "b", "n"])
+
+    langs = sorted(r.l for r in rows.select("l").distinct().collect())
+    at = {lang: k for k, lang in enumerate(langs)}
+    counts = np.zeros((len(langs), _BUCKETS))
+    got = rows.mapInArrow(counted, "l string, b int, n long").groupBy("l", "b").agg(F.sum("n").alias("n")).toArrow()
+    counts[[at[x] for x in got.column("l").to_pylist()], got.column("b").to_numpy()] = got.column("n").to_numpy()
+    logp = np.log((counts + 0.1) / (counts.sum(axis=1, keepdims=True) + 0.1 * _BUCKETS)).astype(np.float32).T
+    logp = np.ascontiguousarray(logp)
+    shared = spark.sparkContext.broadcast((at, logp))
+
+    def levels(batches):
+        import pyarrow as pa
+
+        at, logp = shared.value
+        for batch in batches:
+            own = []
+            for lang, text in zip(batch.column("l").to_pylist(), batch.column("t")):
+                d = np.frombuffer(text.as_py().encode("utf-8", "surrogatepass"), np.uint8)
+                h, ok = _trigrams(d, np.array([len(d)]))
+                if ok.any():
+                    own.append(float(logp[h[ok], at[lang]].mean()))
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.float64())], ["x"])
+
+    own = rows.mapInArrow(levels, "x double").toArrow().column("x").to_numpy() if langs else np.empty(0)
+    shared.destroy()
+    # "none of them" lies one unit a trigram below what the least likely labelled texts reach
+    return TextModel(langs, logp, float(np.quantile(own, 0.005)) - 1.0 if len(own) else 0.0)
 
 
 # ------------------------------------------------------------ evidence
@@ -271,26 +305,30 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
 def document_rows(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Documents as evidence: ``source`` is the host, markup may declare a language
     (the label column ``lang`` is training data, never evidence)."""
-    declared = F.regexp_extract("text", r"(?i)<html[^>]{0,200}\slang=[\"']?([A-Za-z]+)", 1)
+    declared = F.regexp_extract("text", r"(?i)<html[^<>]*\slang=[\"']?([A-Za-z]+)", 1)
     return docs.select(F.col(id_col).alias("id"), "text", F.col("source").alias("host"), F.nullif(declared, F.lit("")).alias("declared"))
 
 
 def page_rows(pages: DataFrame) -> DataFrame:
     """Pages as evidence: tags, scripts and styles are no text."""
     bare = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[a-z#0-9]{1,8};", " ")
-    declared = F.regexp_extract("html", r"(?i)<html[^>]{0,200}\slang=[\"']?([A-Za-z]+)", 1)
+    declared = F.regexp_extract("html", r"(?i)<html[^<>]*\slang=[\"']?([A-Za-z]+)", 1)
     host = F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
     return pages.select(F.col("page_id").alias("id"), bare.alias("text"), host.alias("host"), F.nullif(declared, F.lit("")).alias("declared"))
 
 
 def keep_identified(docs: DataFrame, model: TextModel, least: float = 0.5) -> DataFrame:
     """``docs``, all columns, without those whose language is ``und`` or less
-    sure than ``least``.  A null doc_id goes, as no verdict can be joined to it;
-    rows that share a doc_id stay or go by their own text's verdict only if all agree
-    (one rejected row rejects the id)."""
-    verdict = identify(document_rows(docs), model)
-    gone = verdict.where((F.col("lang") == UND) | (F.col("confidence") < least)).select(F.col("id").alias("doc_id")).distinct()
-    return docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").select(*docs.columns)
+    sure than ``least``.  Every row goes by its own verdict: it is joined by a 128-bit hash of id, text and source, so a
+    null doc_id or one that rows share matters to no other row."""
+    part = [F.hex(F.xxhash64("doc_id", "text", "source", F.lit(k))) for k in (0, 1)]
+    marked = docs.withColumn("__row", F.concat(part[0], F.lit("-"), part[1]))
+    verdict = identify(document_rows(marked, "__row"), model)
+    gone = verdict.where((F.col("lang") == UND) | (F.col("confidence") < least)).select(F.col("id").alias("__row")).distinct()
+    # equal rows share a hash: any deal over the copies of the verdicts does
+    gone = gone.select("__row", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("__deal"))
+    marked = marked.withColumn("__deal", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+    return marked.join(gone, ["__row", "__deal"], "left_anti").select(*docs.columns)
 
 
 def op3_language_id(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ characters: one of random strings, one of ordinary words and identifiers.  It is
 as ``random`` if the mean log-likelihood ratio of its transitions passes a threshold.
 
 Training.  The labelled samples come from the documents: values of base matches are
-random strings, words of ``TRAIN_DOCS`` documents (the first by hash of id) that touch no base match are ordinary.  Transitions are
+random strings, words of ``TRAIN_DOCS`` texts (the first by hash) that are left without their base matches are ordinary.  Transitions are
 counted by grouped aggregation; the table (64 characters squared) and the score quantiles that set the threshold
 are all that reaches the driver.
 
@@ -24,17 +24,23 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hash_sample, id_text
+from .common import id_text, written
 
 KINDS = ("assign", "access", "hex", "random")
 LEAST = 20
 TRAIN_DOCS = 5000
+SAMPLE_TASKS = 64
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _N = len(_ALPHABET)
 
 _ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 _ACCESS = r"AKIA[A-Z0-9]+"
 _HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
+#: What a base rule accepts, wherever it stands.
+_BASE = (
+    r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{8,}"""
+    r"|AKIA[A-Z0-9]{12,}|(?<![0-9a-f])[0-9a-f]{32,}"
+)
 _RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}"
 
 
@@ -96,14 +102,22 @@ class SecretModel:
         return F.aggregate(pairs, F.lit(0.0), lambda a, i: a + F.get(table, i)) / F.nullif(F.size(pairs), F.lit(0))
 
 
-def train_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_docs: int = TRAIN_DOCS) -> SecretModel:
+def training_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_docs: int = TRAIN_DOCS) -> DataFrame:
+    """``s, y``: values of base matches of all documents (1), and words of at least six characters of ``n_docs`` sample
+    texts without their base matches (0).  The sample is dealt over ``SAMPLE_TASKS`` tasks; a text that rows share counts once."""
     d = id_text(docs, id_col, text_col).where(F.col("__text").isNotNull())
     base = d.where(F.col("__text").rlike(f"{_ASSIGN}|{_ACCESS}|{_HEX}")).select(F.explode(base_spans(F.col("__text"))).alias("s"))
     random = base.select(F.when(F.col("s.kind") == "assign", F.col("s.g")).otherwise(F.col("s.s")).alias("s"), F.lit(1).alias("y"))
-    sample = hash_sample(d, "__id", n_docs, ["__id", "__text"]).withColumn("base", base_spans(F.col("__text")))
-    words = _spans(F.col("__text"), _RUN % 6, "random")
-    plain = sample.select(F.explode(F.filter(words, lambda w: _apart(w, F.col("base")))).alias("w")).select(F.col("w.s").alias("s"), F.lit(0).alias("y"))
-    rows = random.unionByName(plain)
+    h = F.xxhash64("__text")
+    last = d.select(h.alias("h")).distinct().orderBy("h").limit(n_docs).agg(F.max("h")).first()[0]
+    sample = d.select("__text", h.alias("h")).where(F.col("h") <= F.lit(last)).dropDuplicates(["h"]).repartition(SAMPLE_TASKS, "h")
+    rest = F.regexp_replace("__text", _BASE, "\n")  # no word of a match remains
+    plain = sample.select(F.explode(F.regexp_extract_all(rest, F.lit(_RUN % 6), F.lit(0))).alias("s"), F.lit(0).alias("y"))
+    return written(random.unionByName(plain), "secret-strings")
+
+
+def train_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_docs: int = TRAIN_DOCS) -> SecretModel:
+    rows = training_strings(docs, id_col, text_col, n_docs)
     pairs = rows.select("y", F.explode(_transitions(F.col("s"))).alias("i")).groupBy("y", "i").agg(F.count(F.lit(1)).alias("n"))
     counts = np.full((2, _N * _N), 0.5)
     for r in pairs.collect():  # at most 2 * 67 * 67 rows
