@@ -9,8 +9,8 @@ Spark's dynamic partition overwrite; all others stay as they are.  Every value c
 (``<column>__v``), so a merge is the newest (version, value) pair of each column, whatever the order of the loads: a late
 load under an older version fills only what no newer load wrote, and merging a load twice changes nothing.
 
-Slices.  A salt is divided by the first ``slice_digits`` hex digits of the key's hash (16 ** digits slices), so that a small load rewrites small
-partitions.  The number of partitions is bounded by salts x slices, and so is the list of touched ones that comes to the driver.
+Slices.  A salt is divided by the first ``slice_digits`` hex digits of the key's hash (16 ** digits slices; none by default), so that a small load
+into a large table rewrites small partitions.  The number of partitions is bounded by salts x slices, and so is the list of touched ones that comes to the driver.
 
 Recovery.  The loads remain the truth.  The overwrite replaces one partition directory after another when all tasks have
 finished; if the driver is lost in between, the same ``upsert_loads`` is run again (``rebuild=True`` starts from every load).
@@ -71,7 +71,7 @@ def upsert_loads(
     spec: TableSpec,
     table_dir: str,
     loads: list[int] | None = None,
-    slice_digits: int = 1,
+    slice_digits: int = 0,
     rebuild: bool = False,
 ) -> list[str]:
     """Fold published loads (default: all) into the merged copy; returns the partitions it wrote.
