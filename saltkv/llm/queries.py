@@ -115,13 +115,14 @@ QUERIES = {
 
 _OP10 = """
 WITH p AS (SELECT page_id, coalesce(url, 'urn:none') AS target_uri, coalesce(html, '') AS h FROM pages),
-d AS (SELECT page_id, target_uri, strlen(h) AS payload_bytes, sha1(h) AS hx, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+d AS (SELECT page_id, target_uri, strlen(h) AS payload_bytes, sha1(h) AS hx, max(page_id) OVER (PARTITION BY h) AS top,
+  row_number() OVER (PARTITION BY h ORDER BY page_id DESC NULLS LAST, target_uri DESC) AS nth FROM p)
 SELECT page_id, payload_bytes,
   array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     CAST(1 + ((CAST('0x' || substr(hx, CAST(1 + 5 * (i // 4) AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) AS BIGINT), 1)), '')
     AS payload_digest,
-  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to, target_uri
+  CASE WHEN nth = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN nth = 1 THEN NULL ELSE top END AS refers_to, target_uri
 FROM d
 """
 

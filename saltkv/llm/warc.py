@@ -7,19 +7,21 @@ list of archives into one row a record; ``assemble_captures`` joins the records
 of a transaction through their concurrent-to identifiers and emits one nested
 row for each capture.
 
-Scale.  Which page is the response of a payload is decided on 60-byte rows
-(digest, page) by a combinable maximum.  Only digests held by two pages or more
-return to the pages; they are copied ``SALTS`` times and the pages spread over the
-copies, so a payload held by a third of all pages doesn't meet in one task.
+Scale.  Which page is the response of a payload is decided on narrow rows
+(digest, page, url) by combinable aggregates.  Equal rows are counted, never gathered.  Only digests held by two pages or more
+return to those rows; they are copied ``SALTS`` times and the pages spread over the
+copies, so a payload held by a third of all pages doesn't meet in one task.  Payloads move once, to the task that
+writes their response, one of each group of equal rows from each task; a revisit needs its digest and length alone.  Rows
+repeated often are numbered in runs of ``RUN``, spread over the tasks.
 Tasks stream records to archives of ``roll_bytes`` with a name for each attempt;
 only names that successful attempts return are read.  A reader holds one record.
 
 Defined cases.  Null html is an empty payload, and empty payloads revisit each other like
 any other.  A null url is the URI ``urn:none``; a null page_id is allowed (its
 capture has a null page_id, and it never is the response while another
-page has the payload).  Rows equal in page_id, url and html are
-one capture.  Rows that share a page_id but not the rest are captures of their
-own.  Equal payloads with equal page_ids: the greatest record id responds.  An
+page has the payload).  Every row is a capture of its own, whether rows share
+a page_id, or page_id, url and html.  Equal payloads with equal page_ids: the greatest url responds, one row of it, and
+the others revisit that row.  An
 empty table writes nothing and reads as no rows.  Extra columns are ignored.
 Records whose transaction has no response or revisit form a row with a
 null ``record_type``.
@@ -44,6 +46,7 @@ from saltkv.session import scratch_path
 from .common import open_fs, written
 
 SALTS = 16
+RUN = 10_000
 ROLL_BYTES = 64 << 20
 _DATE = "2024-01-01T00:00:00Z"  # pages carry no fetch time
 _URI = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)([^#]*)")
@@ -71,12 +74,12 @@ def _one_line(s: str) -> str:
     return " ".join(s.split()) or "urn:none"
 
 
-def transaction(rid: str, page_id: int | None, url: str | None, payload: bytes, refers_to: str | None) -> list[bytes]:
-    """The three records of one page, as bytes."""
+def transaction(rid: str, page_id: int | None, url: str | None, sha1: bytes, size: int, payload: bytes | None, refers_to: str | None) -> list[bytes]:
+    """The three records of one page, as bytes; a revisit needs no payload."""
     uri = _one_line(url or "urn:none")
     host, path = _URI.match(uri).groups(default="") if _URI.match(uri) else ("", "")
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-    digest = ("WARC-Payload-Digest", f"sha1:{base32_sha1(payload)}")
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
+    digest = ("WARC-Payload-Digest", f"sha1:{base64.b32encode(sha1).decode()}")
     target, kind = ("WARC-Target-URI", uri), ("Content-Type", "application/http; msgtype=response")
     ask = f"GET {path if path.startswith('/') else '/' + path} HTTP/1.1\r\nHost: {host}\r\n\r\n".encode()
     concurrent = ("WARC-Concurrent-To", f"<{rid}>")
@@ -98,15 +101,30 @@ def write_warc(pages: DataFrame, out_dir: str, roll_bytes: int = ROLL_BYTES) ->
     spark = pages.sparkSession
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("html"))
-    p = p.withColumn("sha1", F.sha1(F.encode("html", "UTF-8")))
+    p = p.withColumn("sha1", F.sha1(F.encode("html", "UTF-8"))).withColumn("size", F.octet_length("html"))
     rid = F.concat(F.lit("urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("none")), F.lit(":"),
                    F.substring(F.sha1(F.concat_ws("|", F.coalesce("url", F.lit("")), "sha1")), 1, 20))
-    p = p.withColumn("rid", rid).withColumn("salt", F.pmod(F.xxhash64("rid"), F.lit(SALTS)))
-    held = p.groupBy("sha1").agg(F.max(F.struct("page_id", "rid")).alias("top"), F.min(F.struct("page_id", "rid")).alias("low"))
+    p = p.withColumn("rid", rid)
+    about = ["rid", "page_id", "url", "sha1", "size"]
+    kinds = p.groupBy(*about).agg(F.count(F.lit(1)).alias("copies")).withColumn("salt", F.pmod(F.xxhash64("rid"), F.lit(SALTS)))
+    who = F.struct("page_id", "url", "rid")
+    held = kinds.groupBy("sha1").agg(F.max(who).alias("top"), F.min(who).alias("low"))
     shared = held.where("top != low").select("sha1", F.col("top.rid").alias("first"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
-    rows = p.join(shared, ["sha1", "salt"], "left").select(
-        "rid", "page_id", "url", "html", F.when(F.col("first") != F.col("rid"), F.col("first")).alias("refers_to")
-    )
+    kinds = written(kinds.join(shared, ["sha1", "salt"], "left").withColumn("first", F.coalesce("first", "rid")), "warc-kinds")
+
+    responds = F.col("rid") == F.col("first")
+    bodies = p.groupBy("rid").agg(F.first("html").alias("html"))  # one of each group of equal rows from each task
+    responses = kinds.where(responds).join(bodies, "rid").select(*about, "html", F.lit(None).cast("string").alias("refers_to"))
+    # copy 0 of a row that responds is the response
+    again = kinds.withColumn("from", F.when(responds, 1).otherwise(0).cast("long")).where("copies > from").withColumn("to", F.col("copies") - 1)
+    few = again.where(F.col("copies") <= RUN)
+    runs = again.where(F.col("copies") > RUN).withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("to") / RUN))))
+    runs = runs.withColumn("from", F.greatest("from", F.col("run") * RUN)).withColumn("to", F.least("to", F.col("run") * RUN + RUN - 1))
+    runs = runs.where(F.col("from") <= F.col("to")).repartition("rid", "run").drop("run")
+    copy = few.unionByName(runs).withColumn("copy", F.explode(F.sequence("from", "to")))
+    name = F.when(F.col("copy") == 0, F.col("rid")).otherwise(F.concat("rid", F.lit(":"), F.col("copy").cast("string")))
+    revisits = copy.select(name.alias("rid"), *about[1:], F.lit(None).cast("string").alias("html"), F.col("first").alias("refers_to"))
+    rows = responses.unionByName(revisits)
 
     def write(batches):
         import pyarrow as pa
@@ -124,7 +142,9 @@ def write_warc(pages: DataFrame, out_dir: str, roll_bytes: int = ROLL_BYTES) ->
                     fs.create_dir(root, recursive=True)
                     name, at = f"part-{uuid.uuid4().hex}.warc.gz", [0, 0]
                     out = fs.open_output_stream(f"{root}/{name}", compression=None)
-                for raw in transaction(row[0], row[1], row[2], row[3].encode("utf-8", "surrogatepass"), row[4]):
+                rid, page_id, url, sha1, size, html, refers_to = row
+                body = None if html is None else html.encode("utf-8", "surrogatepass")
+                for raw in transaction(rid, page_id, url, bytes.fromhex(sha1), size, body, refers_to):
                     member = gzip.compress(raw, 6, mtime=0)  # one member for each record, as readers expect
                     out.write(member)
                     at = [at[0] + 1, at[1] + len(member)]
