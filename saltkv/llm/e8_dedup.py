@@ -9,8 +9,9 @@ vectors that meet are verified by cosine in double precision; those of 0.9 or mo
 With one block a pair at cosine 0.9 meets in one table with probability over 0.6, so four
 tables find over 0.97 of such pairs and nearly all closer ones (``tests`` measure it against
 brute force).  Cells hold ``N / 170`` vectors a block; ``layout`` adds a block for
-every factor of 100 beyond 400,000 vectors, and tables to hold the recall, so
-that cells stay small at any size.
+every factor of 100 beyond 400,000 vectors, up to four, and as many tables as the measured chance to meet
+in one (``MEET``) asks for, so that the recall holds at any size.  Beyond four blocks' worth of vectors cells grow and are
+verified in more blocks.
 
 Copies and clusters.  Bitwise equal vectors are one class with a multiplicity.  A
 cell with many vectors is verified in blocks of ``BLOCK`` by ``BLOCK`` (matrix products in
@@ -37,12 +38,15 @@ from .components import components
 
 COSINE = 0.9
 SCALE, PROBES, TABLES, BLOCK, SALTS = 0.5, 4, 4, 2048, 16
+#: For 1 to 4 blocks, the chance that a pair at cosine 0.9 meets in one table (measured, rounded down).
+MEET = (0.6, 0.36, 0.18, 0.065)
 
 
 def layout(n: int) -> tuple[int, int]:
     """``(blocks, tables)`` for ``n`` vectors."""
     blocks = 1 if n <= 400_000 else 1 + math.ceil(math.log(n / 400_000, 100))
-    return blocks, TABLES if blocks == 1 else math.ceil(math.log(0.03) / math.log(1 - 0.6**blocks))
+    blocks = min(blocks, len(MEET))
+    return blocks, TABLES if blocks == 1 else math.ceil(math.log(0.03) / math.log(1 - MEET[blocks - 1]))
 
 
 # ------------------------------------------------------------ the lattice

@@ -59,13 +59,14 @@ def pairs_at(cos, n, dim, rng):
     return u, cos * u + np.sqrt(1 - cos**2) * w
 
 
-@pytest.mark.parametrize("blocks", [1, 2])
+@pytest.mark.parametrize("blocks", [1, 2, 3, 4])
 def test_recall_of_the_index(blocks):
     rng = np.random.default_rng(3)
-    tables = E.TABLES if blocks == 1 else E.layout(40_000_000)[1]
+    tables = E.layout(400_000 * 100 ** (blocks - 1))[1]
+    n = 2000 if blocks < 3 else 500
     for cos, least in ((0.901, 0.9), (0.95, 0.97), (0.98, 0.99)):
-        u, v = pairs_at(cos, 2000, 64, rng)
-        met = np.zeros(2000, bool)
+        u, v = pairs_at(cos, n, 64, rng)
+        met = np.zeros(n, bool)
         for t in range(tables):
             cu, cv = E.cells(u, t, blocks), E.cells(v, t, blocks)
             met |= (cu == cv[:, :1]).any(axis=1) | (cv == cu[:, :1]).any(axis=1)
