@@ -1,23 +1,25 @@
-"""Operator 7: benchmark decontamination by rare shingles, exactly (DataFrame functions only).
+"""Operator 7: benchmark decontamination by SimHash windows (DataFrame functions only).
 
-1. Words are hashed, and all runs of five words of a text are its shingles.  A shingle of an
+1. Words are hashed.  A window of ``SHINGLE`` words, the size of the shortest item that has a similarity, stands at every word of every
+   text; its fingerprint holds the bits set in most of its words' hashes.  All runs of five words of a text are its shingles; a shingle of an
    item weighs the logarithm of the inverse share of items that hold it.
-2. An item is contained in a document if the item's shingles that stand in the document (anywhere in
-   it, so that inserted words cost only the shingles they break) reach ``SIMILARITY`` of the
-   weight of all its shingles.
-3. An item's rarest shingles that together weigh more than ``1 - SIMILARITY`` of it are its probes: a document
-   that holds none of them can't reach ``SIMILARITY``.  An equality join of all document shingles with the probes therefore
-   finds every pair, and each pair is verified once, at the first probe of the item that the document holds.
-
-This replaced the search by SimHash windows of 8, 16 and 32 words at every 8th word, which lost changed passages;
-the fingerprints stay below as functions but propose nothing.
-
-Scale.  Documents are read once and only shingles that meet a probe leave their task;
-nothing is shuffled but verified pairs.  The probes are broadcast in parts of about
+2. An item's heaviest windows that together weigh more than ``1 - SIMILARITY`` of it propose it: a passage that holds none of them
+   can't reach ``SIMILARITY``.
+3. Fingerprints of ``BITS`` bits are cut into ``RADIUS + 1`` blocks.  Two within ``RADIUS`` bits agree in a block, so an equality join on
+   (block, its bits) finds all of them; a pair counts at its first common block.
+   Of matches that follow each other as in the item, the first stands for all.
+4. Around each match the document's words within ``REACH`` item lengths on either side are compared exactly: the item is contained if the
+   shingles that stand there reach ``SIMILARITY`` of the weight of all its shingles.  Inserted words cost only the shingles they break.
+
+Windows as long as the item itself don't serve: one changed word in 15 moves the fingerprint by five bits in the mean, and passages of
+similarity over 0.8 lie beyond any radius that blocks can index.  At the size of a shingle every such passage holds a window at distance 0.
+
+Scale.  Documents are read once; fingerprints are a dozen bit operations a word inside generated code, and only words around matches leave
+it.  Nothing is shuffled but verified pairs.  The windows of items are broadcast in parts of about
 ``BROADCAST_ROWS`` rows, so a benchmark of any size is a
-number of passes, not a larger broadcast.
+number of passes, not a larger broadcast.  Work is linear in the texts' lengths, and in an item's for each unbroken run of it.
 
-Defined cases.  Null and empty texts have no shingles.  Words are runs of letters and digits in lower
+Defined cases.  Null and empty texts have no windows.  Very long texts are searched whole.  Words are runs of letters and digits in lower
 case; in scripts written without spaces each character is a word.  Items of fewer than ``SHINGLE`` words have no shingle, so their similarity isn't
 defined and they aren't found.  Items under ``SHORT`` words weigh their shingles among themselves.
 Repeated rows and ids give one row for each (doc_id, item_id); a null id is a value like any other.  Empty tables give
@@ -28,23 +30,18 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import id_text
+from .common import id_text, written
 
-BLOCK, SHINGLE, RADIUS, SIMILARITY = 8, 5, 3, 0.8
-SIZES = (8, 16, 32)
+SHINGLE, BITS, RADIUS, SIMILARITY, REACH = 5, 64, 3, 0.8, 2
+BLOCKS = RADIUS + 1
 BROADCAST_ROWS = 200_000
 #: Items of fewer words are a class of their own for weights.
 SHORT = 15
 #: Scripts written without spaces.
 _UNSPACED = r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]"
-_ONES = 0x0101010101010101
-
-
-def _long(x: int) -> Column:
-    return F.lit(x - (1 << 64) if x >= 1 << 63 else x).cast("long")
 
 
 def word_hashes(text: Column) -> Column:
@@ -53,47 +50,37 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _lanes(block: Column) -> Column:
-    """Bit counts of eight word hashes: lane ``j`` counts bits j, j+8, ... in its bytes."""
-    def lane(j):
-        return reduce(lambda a, b: a + b, [F.shiftrightunsigned(block[t], j).bitwiseAND(_long(_ONES)) for t in range(BLOCK)])
-
-    return F.struct(*[lane(j).alias(f"l{j}") for j in range(8)])
-
-
-def _add(a: Column, b: Column) -> Column:
-    return F.struct(*[(a[f"l{j}"] + b[f"l{j}"]).alias(f"l{j}") for j in range(8)])
+def fingerprint(words: list[Column]) -> Column:
+    """The SimHash of five word hashes: bits set in three or more.  Two adders count the bits of all 64 places at
+    once: ``ones + 2 * (c1 + c2)``."""
+    a, b, c, d, e = words
 
+    def add(x, y, z):
+        return x.bitwiseXOR(y).bitwiseXOR(z), x.bitwiseAND(y).bitwiseOR(x.bitwiseXOR(y).bitwiseAND(z))
 
-def _majority(lanes: Column, size: int) -> Column:
-    """The SimHash: bits set in more than half of the words.  A count over that half
-    carries into its lane's seventh bit (counts are at most 32, so never further)."""
-    over = _long((63 - size // 2) * _ONES)
-    bit = [F.shiftleft(F.shiftrightunsigned((lanes[f"l{j}"] + over).bitwiseAND(_long(0x40 * _ONES)), 6), j) for j in range(8)]
-    return reduce(lambda a, b: a.bitwiseOR(b), bit)
+    s, c1 = add(a, b, c)
+    ones, c2 = add(s, d, e)
+    return c1.bitwiseAND(c2).bitwiseOR(c1.bitwiseXOR(c2).bitwiseAND(ones))
 
 
-def _block_lanes(h: Column) -> Column:
-    n = F.floor(F.size(h) / BLOCK).cast("int")
-    starts = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    blocks = F.transform(starts, lambda b: F.slice(h, b * BLOCK + 1, F.lit(BLOCK)))
-    return F.transform(blocks, _lanes)
+def block_key(f: Column, block: Column) -> Column:
+    """One block of a fingerprint with its number."""
+    wide = BITS // BLOCKS
+    bits = F.call_function("shiftrightunsigned", f, block * wide).bitwiseAND(F.lit((1 << wide) - 1).cast("long"))
+    return F.call_function("shiftleft", block.cast("long"), F.lit(wide)).bitwiseOR(bits)
 
 
-def _with_prints(df: DataFrame) -> DataFrame:
-    """``df`` with, for each size, an array ``f<size>`` of the fingerprints of the windows of
-    ``h`` by block.  Sums stand in columns of their own, so that each is computed once."""
-    df = df.withColumn("l8", _block_lanes(F.col("h")))
-    for k, (half, size) in enumerate(zip(SIZES, SIZES[1:])):
-        # a block and the half window behind it; beyond the end the sum is null
-        behind = F.slice(f"l{half}", (1 << k) + 1, F.greatest(F.size(f"l{half}"), F.lit(1)))
-        df = df.select("*", F.zip_with(f"l{half}", behind, _add).alias(f"l{size}"))
+def first_common_block(f: Column, g: Column) -> Column:
+    x = f.bitwiseXOR(g)
+    out = F.lit(BLOCKS)
+    for k in reversed(range(BLOCKS)):
+        wide = BITS // BLOCKS
+        out = F.when(F.shiftrightunsigned(x, wide * k).bitwiseAND(F.lit((1 << wide) - 1).cast("long")) == 0, F.lit(k)).otherwise(out)
+    return out
 
-    def majority(size):
-        return lambda w: _majority(w, size)
 
-    kept = [c for c in df.columns if c not in {f"l{s}" for s in SIZES}]
-    return df.select(*kept, *[F.transform(f"l{s}", majority(s)).alias(f"f{s}") for s in SIZES])
+def _window(i: Column) -> list[Column]:
+    return [F.get("h", i + k) for k in range(SHINGLE)]
 
 
 def shingle_hashes(h: Column) -> Column:
@@ -103,50 +90,56 @@ def shingle_hashes(h: Column) -> Column:
     return F.transform(at, lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(SHINGLE)]))
 
 
-def item_table(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``row, item, shingles`` (weight and hash of each distinct shingle, heaviest first) and ``whole`` (their weight)."""
+def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """``row, item, n, s, f, at, w, before, whole``: each distinct shingle of each item, its fingerprint, first place and weight, the weight of
+    heavier ones and of all."""
     b = id_text(benchmark, id_col, text_col).select(F.col("__id").alias("item"), word_hashes(F.col("__text")).alias("h"))
     b = b.where(F.size("h") >= SHINGLE).withColumn("row", F.xxhash64("item", "h")).dropDuplicates(["row"])
-    b = b.withColumn("short", F.size("h") < SHORT)
-    s = b.select("row", "short", F.explode(F.array_distinct(shingle_hashes(F.col("h")))).alias("s"))
+    b = b.select("row", "item", "h", F.size("h").alias("n"), (F.size("h") < SHORT).alias("short"))
+    at = b.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - SHINGLE)))
+    own = _window(F.col("i"))
+    s = at.select("row", "item", "n", "short", "i", F.xxhash64(*own).alias("s"), fingerprint(own).alias("f"))
+    s = s.groupBy("row", "item", "n", "short", "s", "f").agg(F.min("i").alias("at"))
     df = s.groupBy("short", "s").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(b.groupBy("short").agg(F.count(F.lit(1)).alias("all"))), "short")
     df = df.select("short", "s", F.log(1 + F.col("all") / F.col("df")).alias("w"))
-    s = s.join(df, ["short", "s"]).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("w", "s")), asc=False).alias("shingles"))
-    return b.join(s, "row").select("row", "item", "shingles", F.aggregate("shingles", F.lit(0.0), lambda a, x: a + x["w"]).alias("whole"))
-
-
-def item_probes(items: DataFrame) -> DataFrame:
-    """``row, probes``: hashes of the fewest heaviest shingles that weigh more than ``1 - SIMILARITY`` of the item."""
-    def before(i):
-        return F.aggregate(F.slice("shingles", F.lit(1), i), F.lit(0.0), lambda a, x: a + x["w"])
-
-    # one in a thousand more than needed, for rounding errors of sums
-    few = F.filter("shingles", lambda x, i: before(i) <= (1 - SIMILARITY + 0.001) * F.col("whole"))
-    return items.select("row", F.transform(few, lambda x: x["s"]).alias("probes"))
+    heavy = Window.partitionBy("row").orderBy(F.desc("w"), "s")
+    s = s.join(df, ["short", "s"]).withColumn("before", F.coalesce(F.sum("w").over(heavy.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
+    return s.withColumn("whole", F.sum("w").over(heavy.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).drop("short")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, item_id, similarity`` of each item found."""
-    items = item_table(benchmark)
-    probes = item_probes(items)
-    count = probes.agg(F.sum(F.size("probes"))).first()[0] or 0
-    parts = max(1, -(-count // BROADCAST_ROWS))
+    windows = written(item_windows(benchmark), "decontam-windows")
+    # one in a thousand more than needed, for rounding errors of sums
+    probes = windows.where(F.col("before") <= (1 - SIMILARITY + 0.001) * F.col("whole"))
+    ahead = Window.partitionBy("row").orderBy("at")
+    probes = probes.withColumn("back", F.col("at") - F.lag("at").over(ahead)).withColumn("s_back", F.lag("s").over(ahead))
+    parts = max(1, -(-probes.count() * BLOCKS // BROADCAST_ROWS))
+    # shingles of one weight together, so that the comparison is a few set operations
+    classes = windows.groupBy("row", "item", "whole", "w").agg(F.collect_list("s").alias("of"))
+    classes = classes.groupBy("row", "item", "whole").agg(F.collect_list(F.struct("w", "of")).alias("classes"))
     d = id_text(docs, id_col, text_col).select(F.col("__id").alias("doc"), word_hashes(F.col("__text")).alias("h"))
-    d = d.select("doc", F.array_distinct(shingle_hashes(F.col("h"))).alias("there"))
     # an outer generator: of others Spark infers a filter on the array, which it would compute anew below
-    d = d.select("doc", "there", F.explode_outer("there").alias("s"))
-    there = F.coalesce("there", F.array().cast("array<bigint>"))  # or Spark infers such a filter from the condition
+    last = (F.size("h") - SHINGLE + 1) * BLOCKS - 1
+    d = d.select("doc", "h", F.explode_outer(F.when(last >= 0, F.sequence(F.lit(0), last))).alias("k"))
+    d = d.select("doc", "h", F.floor(F.col("k") / BLOCKS).cast("int").alias("i"), F.pmod("k", F.lit(BLOCKS)).alias("block"))
+    d = d.select("doc", "h", "i", "block", fingerprint(_window(F.col("i"))).alias("f")).withColumn("key", block_key(F.col("f"), F.col("block")))
     out = []
     for part in range(parts):
         own = F.pmod("row", F.lit(parts)) == part
-        some = probes.where(own).select("row", "probes", F.explode("probes").alias("s"))
-        met = d.join(F.broadcast(some), "s")
-        # once for each text and item
-        met = met.where(F.col("s") == F.get(F.array_intersect("probes", there), F.lit(0))).select("doc", "row", "there")
-        met = met.join(F.broadcast(items.where(own)), "row")
-        met = met.select("doc", "item", "shingles", "whole", F.array_intersect(F.transform("shingles", lambda x: x["s"]), there).alias("both"))
-        weight = F.aggregate(F.filter("shingles", lambda x: F.array_contains(F.col("both"), x["s"])), F.lit(0.0), lambda a, x: a + x["w"])
-        met = met.select("doc", "item", (weight / F.col("whole")).alias("similarity"))
+        some = probes.where(own).select("row", "n", "back", "s_back", F.col("f").alias("g"), F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("on"))
+        some = some.select("row", "n", "back", "s_back", "g", block_key(F.col("g"), F.col("on")).alias("own_key"))
+        near = (F.bit_count(F.col("f").bitwiseXOR(F.col("g"))) <= RADIUS) & (first_common_block(F.col("f"), F.col("g")) == F.col("block"))
+        # of a run of windows that follow each other as in the item, the first stands for all
+        follows = (F.col("i") >= F.col("back")) & (F.xxhash64(*_window(F.col("i") - F.col("back"))) == F.col("s_back"))
+        met = d.join(F.broadcast(some), (F.col("key") == F.col("own_key")) & near & ~F.coalesce(follows, F.lit(False)))
+        start = F.greatest(F.col("i") - REACH * F.col("n"), F.lit(0))
+        met = met.select("doc", "row", F.slice("h", start + 1, F.col("i") - start + REACH * F.col("n") + SHINGLE).alias("around"))
+        met = met.join(F.broadcast(classes.where(own)), "row")
+        met = met.select("doc", "item", "whole", "classes", shingle_hashes(F.col("around")).alias("there"))
+        found = F.aggregate("classes", F.lit(0.0), lambda a, x: a + x["w"] * F.size(F.array_intersect(x["of"], F.col("there"))))
+        # the second use of the array keeps Spark from computing it for each class
+        met = met.select("doc", "item", (F.when(F.size("there") > 0, found) / F.col("whole")).alias("similarity"))
         out.append(met.where(F.round("similarity", 9) >= SIMILARITY))  # sums of logarithms end in rounding errors
     pairs = reduce(DataFrame.unionByName, out).groupBy("doc", "item").agg(F.max("similarity").alias("similarity"))
     return pairs.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), F.round("similarity", 6).alias("similarity"))

@@ -84,14 +84,42 @@ def test_planted_passages(spark, planted):
 
 def test_simhash_is_a_majority(spark):
     rng = random.Random(1)
-    h = [rng.getrandbits(64) - 2**63 for _ in range(70)]
-    r = spark.createDataFrame([(h,)], "h array<long>").transform(D._with_prints).first()
-    for size in D.SIZES:
-        got = [x for x in r[f"f{size}"] if x is not None]
-        assert len(got) == (64 - size) // 8 + 1
-        for b, fp in enumerate(got):
-            own = [x % 2**64 for x in h[8 * b : 8 * b + size]]
-            assert fp % 2**64 == sum(1 << k for k in range(64) if 2 * sum(x >> k & 1 for x in own) > size)
+    rows = [tuple(rng.getrandbits(64) - 2**63 for _ in range(5)) for _ in range(300)]
+    df = spark.createDataFrame(rows, "a long, b long, c long, d long, e long")
+    got = df.select(*df.columns, D.fingerprint([F.col(c) for c in df.columns]).alias("f")).collect()
+    for *own, fp in got:
+        assert fp % 2**64 == sum(1 << k for k in range(64) if sum(x % 2**64 >> k & 1 for x in own) >= 3)
+
+
+def test_blocks_find_all_within_the_radius_once(spark):
+    rng = random.Random(3)
+    pairs = []
+    for n in range(200):
+        f = rng.getrandbits(64)
+        g = f
+        for k in rng.sample(range(64), n % (D.RADIUS + 1)):
+            g ^= 1 << k
+        pairs.append((n, f - 2**64 if f >> 63 else f, g - 2**64 if g >> 63 else g))
+    df = spark.createDataFrame(pairs, "n long, f long, g long").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(D.BLOCKS - 1))))
+    met = df.where(D.block_key(F.col("f"), F.col("block")) == D.block_key(F.col("g"), F.col("block")))
+    once = met.where(D.first_common_block(F.col("f"), F.col("g")) == F.col("block"))
+    assert sorted(r.n for r in once.collect()) == list(range(200))
+
+
+def test_shingles_far_apart_are_no_passage(spark):
+    rng = random.Random(4)
+    item = numbered(rng, 40)
+    filler = lambda: numbered(rng, 400)
+    cut = [item[i : i + 20] for i in (0, 16, 20)]
+    docs = [(1, " ".join(cut[0] + filler() + cut[1] + filler() + cut[2])), (2, " ".join(filler() + item + filler()))]
+    assert [(r.doc_id, r.item_id) for r in run(spark, docs, [(9, " ".join(item))])] == [(2, 9)]
+
+
+def test_long_items_and_texts(spark):
+    rng = random.Random(11)
+    item = " ".join(numbered(rng, 8000))
+    docs = [(1, " ".join(numbered(rng, 30_000)) + " " + item), (2, " ".join(numbered(rng, 30_000)))]
+    assert [(r.doc_id, r.item_id, r.similarity) for r in run(spark, docs, [(3, item)])] == [(1, 3, 1.0)]
 
 
 def test_quarters_meet_within_the_radius():
