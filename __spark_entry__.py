@@ -34,6 +34,7 @@ from saltkv.plans.job import load_batch, load_rows
 from saltkv.session import scratch_path
 from saltkv.sources import delimited as D
 from saltkv.sources import merged as MG
+from saltkv.sources import sketches as SK
 from saltkv.sources import store as ST
 from saltkv.sources.spec import CHECK_FIELDS, OPINION_FIELDS
 
@@ -479,6 +480,32 @@ def q_load_counts(spark, sf_dir):
     return t.agg(F.count(F.lit(1)).alias("n_read")).select("n_read", F.lit(m["loaded"]).cast("long").alias("n_loaded"), F.lit(m["rejected"]).cast("long").alias("n_rejected"))
 
 
+def bloom_loads(spark, sf_dir):
+    """The check table in three loads with Bloom filters, the last without a sketch: every 3rd order, the others, every 5th again."""
+    k = F.col("id").cast("long") % 15
+    rows, root = FX.check_rows(spark, sf_dir), scratch_path(spark, "store-bloom")
+    load_rows(spark, FX.CHECK, rows.where(k % 3 == 0), root, load_ts=1, bloom_filter=True, files_per_bucket=1)
+    load_rows(spark, FX.CHECK, rows.where(k % 3 != 0), root, load_ts=2, bloom_filter=True)
+    return load_rows(spark, FX.CHECK, rows.where(k % 5 == 0).withColumn("rule_desc", F.lit("again")), root, load_ts=3).table_dir
+
+
+def q_sketched_prefixes(spark, sf_dir):
+    """For each salt the rows and distinct prefixes of a table of three loads, and whether the loads' merged sketches
+    estimate the prefixes to a tenth."""
+    d = bloom_loads(spark, sf_dir)
+    exact = ST.read_loads(spark, d, []).groupBy("salt").agg(F.count_distinct("prefix").alias("n_prefixes"))
+    est = SK.table_sketches(spark, d).select("salt", "n_rows", F.col("n_prefixes").alias("est"))
+    near = F.abs(F.col("est") - F.col("n_prefixes")) * 10 <= F.col("n_prefixes")
+    return exact.join(est, "salt").select("salt", "n_rows", "n_prefixes", near.alias("near"))
+
+
+def q_merged_bloom_rows(spark, sf_dir):
+    """The merged copy of the same loads, written with Bloom filters sized by their sketches."""
+    d = bloom_loads(spark, sf_dir)
+    MG.upsert_loads(spark, FX.CHECK, d, bloom_filter=True)
+    return MG.merged(spark, d, FX.CHECK.cols)
+
+
 def q_lookup_response(spark, sf_dir):
     """The answers to three single requests: the busiest customer, one that has no rows, and no key."""
     top = _top_key(FX.check_rows(spark, sf_dir), ["check_id"])["check_id"]
@@ -695,6 +722,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_range": q_sql_range,
     "described_job": q_described_job,
     "load_counts": q_load_counts,
+    "sketched_prefixes": q_sketched_prefixes,
+    "merged_bloom_rows": q_merged_bloom_rows,
     "lookup_response": q_lookup_response,
     "list_tables_by_priority": q_list_tables_by_priority,
 }
@@ -1008,6 +1037,15 @@ ORACLE: dict[str, str] = {
         "SELECT count(*) FILTER (WHERE o_orderkey % 7 <> 0) AS n_read, count(*) FILTER (WHERE o_orderkey % 7 <> 0) AS n_loaded, "
         "count(*) FILTER (WHERE o_orderkey % 7 = 0) AS n_rejected FROM orders"
     ),
+    "sketched_prefixes": (
+        "SELECT salt, sum(CASE WHEN CAST(id AS BIGINT) % 5 = 0 THEN 2 ELSE 1 END)::BIGINT AS n_rows, "
+        f"count(DISTINCT prefix) AS n_prefixes, true AS near FROM ({_check_keyed(3)}) GROUP BY salt"
+    ),
+    "merged_bloom_rows": (
+        "SELECT salt, prefix, row_key, id, check_id, rule_no, rule_type, "
+        "CASE WHEN CAST(id AS BIGINT) % 5 = 0 THEN 'again' ELSE rule_desc END AS rule_desc, CASE WHEN CAST(id AS BIGINT) % 5 = 0 THEN 3 "
+        f"WHEN CAST(id AS BIGINT) % 3 = 0 THEN 1 ELSE 2 END::BIGINT AS load_ts FROM ({_check_keyed(3)})"
+    ),
     "lookup_response": (
         f"WITH k AS ({_check_keyed(3)}) SELECT 'top' AS req_id, {_envelope_sql('false')}, row_number() OVER (ORDER BY row_key) AS pos, "
         f"{_fields(CHECK_FIELDS, CHECK_COLS)} FROM k WHERE check_id = ({_TOP_CHECK}) UNION ALL "

@@ -38,6 +38,7 @@ from ..sources.store import (
     registered_at, stage_load, staging_dir, table_location, write_manifest,
 )
 from ..sources.merged import upsert_loads
+from ..sources.sketches import attach_sketches, expected_keys, stage_sketches
 
 log = logging.getLogger("saltkv.job")
 
@@ -77,7 +78,8 @@ def load_rows(
     value when the table is read.  ``dedup=False`` trusts the unique column and
     saves one shuffle.  ``load_ts`` defaults to the wall clock in milliseconds when the load is published.
     ``rejected`` records are stored inside the load; loaded and rejected rows are counted by the writes
-    (``Observation``) and noted in its manifest.  ``upsert`` folds the load into the table's merged copy.
+    (``Observation``) and noted in its manifest.  ``bloom_filter`` sizes each file's filter by sketches of the load's prefixes, which are
+    stored in it (``sources.sketches``; one more pass over the key columns).  ``upsert`` folds the load into the table's merged copy.
     ``spread`` round-robins an input with fewer partitions than cores before
     the key work (a shuffle follows anyway); it has to plan the input to know, so only
     the load job, whose input is files, asks for it.
@@ -95,7 +97,12 @@ def load_rows(
     else:
         stage_dir = staging_dir(table_dir, f"load-{load_ts or 'new'}")
     loaded, aside = Observation(), Observation()
-    stage_load(laid.observe(loaded, F.count(F.lit(1)).alias("n")), stage_dir, bloom_filter)
+    ndv = None
+    if bloom_filter:
+        ndv = expected_keys(stage_sketches(spark, keyed.select("salt", "prefix"), stage_dir), spec.pre_regions * (files_per_bucket or 0))
+    stage_load(laid.observe(loaded, F.count(F.lit(1)).alias("n")), stage_dir, bloom_filter, ndv)
+    if bloom_filter:
+        attach_sketches(spark, stage_dir)
     n_loaded, n_rejected = loaded.get["n"], 0
     if rejected is not None:
         rejected.select("value", "n_fields").observe(aside, F.count(F.lit(1)).alias("n")).write.parquet(f"{stage_dir}/{REJECTED}")
@@ -108,7 +115,7 @@ def load_rows(
     if registered_at(spark, spec, table_dir):
         refresh_table(spark, spec, table_dir)  # catalog readers see the new load and its columns at once
     if upsert:
-        upsert_loads(spark, spec, table_dir, [ts])
+        upsert_loads(spark, spec, table_dir, [ts], bloom_filter=bloom_filter)
     return LoadResult(table_dir, ts, load_dir, n_rejected=n_rejected, n_loaded=n_loaded)
 
 

@@ -24,6 +24,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions.keys import salt_width
 from ..operators.layout import KEY_COLS, cluster_for_write, files_per_bucket_for
+from .sketches import expected_keys, table_sketches
 from .spec import TableSpec
 from .store import VERSION, _fs, input_bytes, list_loads, read_loads, table_columns, write_options
 
@@ -73,8 +74,10 @@ def upsert_loads(
     loads: list[int] | None = None,
     slice_digits: int = 0,
     rebuild: bool = False,
+    bloom_filter: bool = False,
 ) -> list[str]:
     """Fold published loads (default: all) into the merged copy; returns the partitions it wrote.
+    ``bloom_filter`` writes filters on ``prefix``, sized by the merged sketches of all the table's loads.
     ``slice_digits`` must stay the same for a table; ``rebuild`` ignores what the copy holds."""
     loads = list_loads(spark, table_dir) if loads is None or rebuild else sorted(loads)
     path, cols = merged_dir(table_dir), table_columns(spark, table_dir, spec.cols)
@@ -89,8 +92,11 @@ def upsert_loads(
     old = _read(spark, path, sorted(there & set(touched)), cols)
     merged = _folded(old.unionByName(new), cols)
     size = sum(input_bytes(spark, f"{table_dir.rstrip('/')}/{VERSION}={t}") for t in loads) + sum(input_bytes(spark, f"{path}/{p}") for p in there & set(touched))
-    laid = cluster_for_write(merged, spec.pre_regions, files_per_bucket_for(spark, spec.pre_regions, size))
-    w = laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**write_options())
+    per_salt = files_per_bucket_for(spark, spec.pre_regions, size)
+    laid = cluster_for_write(merged, spec.pre_regions, per_salt)
+    # rows of repeated loads are folded together, so the number of files bounds nothing here: the largest slice does
+    ndv = expected_keys(table_sketches(spark, table_dir), slices=16**slice_digits) if bloom_filter else None
+    w = laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**write_options(bloom_filter, ndv))
     w.partitionBy("salt", SLICE).parquet(path)
     return sorted(touched)
 

@@ -3,6 +3,7 @@
 ::
 
     <table>/load_ts=<millis>/salt=<i>/part-*.parquet            (files sorted by row_key)
+    <table>/load_ts=<millis>/_sketch/part-*.parquet             (loads with Bloom filters; sources.sketches)
 
 A load is first written to a staging directory, outside the table, then
 renamed into the table in one file-system call (atomic on HDFS), so a reader
@@ -31,6 +32,8 @@ from .spec import TableSpec
 KEY_FIELDS = ("prefix", "row_key")
 VERSION = "load_ts"
 MANIFEST = "_manifest.json"
+#: The largest Bloom filter of a row group, 32 MB (25 million keys at the default rate).
+MOST_BLOOM_BYTES = 1 << 25
 
 
 def table_location(spec: TableSpec, store_root: str | None = None) -> str:
@@ -159,12 +162,15 @@ def input_bytes(spark: SparkSession, path: str) -> int:
 def write_options(bloom_filter: bool = False, expected_keys: int | None = None) -> dict[str, str]:
     """Snappy pages, dictionary encoding (Parquet default), and optionally a
     Bloom filter on ``prefix`` for point lookups.  A Bloom filter without a
-    key-count hint is sized at its maximum (about 1 MB per file)."""
+    key-count hint is sized at its maximum (about 1 MB per file); ``sketches.expected_keys`` gives the hint."""
     opts = {"compression": "snappy"}
     if bloom_filter:
         opts["parquet.bloom.filter.enabled#prefix"] = "true"
         if expected_keys:
             opts["parquet.bloom.filter.expected.ndv#prefix"] = str(int(expected_keys))
+            # about 10 bits a key, in a power of two; the default limit serves 800,000 keys
+            want = 1 << (2 * int(expected_keys)).bit_length()
+            opts["parquet.bloom.filter.max.bytes"] = str(min(MOST_BLOOM_BYTES, max(1 << 20, want)))
     return opts
 
 
