@@ -7,7 +7,7 @@
    weight of all its shingles.
 3. An item's rarest shingles that together weigh more than ``1 - SIMILARITY`` of it are its probes: a document
    that holds none of them can't reach ``SIMILARITY``.  An equality join of all document shingles with the probes therefore
-   finds every pair, and each pair is verified once, at the first probe of the item that the document holds.
+   finds every pair.  A pair is verified at each probe whose next heavier one the document lacks, so a whole passage is verified once.
 
 This replaced the search by SimHash windows of 8, 16 and 32 words at every 8th word, which lost changed passages;
 the fingerprints stay below as functions but propose nothing.
@@ -15,9 +15,10 @@ the fingerprints stay below as functions but propose nothing.
 Scale.  Documents are read once and only shingles that meet a probe leave their task;
 nothing is shuffled but verified pairs.  The probes are broadcast in parts of about
 ``BROADCAST_ROWS`` rows, so a benchmark of any size is a
-number of passes, not a larger broadcast.
+number of passes, not a larger broadcast.  Weights of an item are summed in a window over its own shingles, and
+compared as a few sets: verifying is linear in item and document.
 
-Defined cases.  Null and empty texts have no shingles.  Words are runs of letters and digits in lower
+Defined cases.  Null and empty texts have no shingles.  Very long texts are searched whole.  Words are runs of letters and digits in lower
 case; in scripts written without spaces each character is a word.  Items of fewer than ``SHINGLE`` words have no shingle, so their similarity isn't
 defined and they aren't found.  Items under ``SHORT`` words weigh their shingles among themselves.
 Repeated rows and ids give one row for each (doc_id, item_id); a null id is a value like any other.  Empty tables give
@@ -28,10 +29,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import id_text
+from .common import id_text, written
 
 BLOCK, SHINGLE, RADIUS, SIMILARITY = 8, 5, 3, 0.8
 SIZES = (8, 16, 32)
@@ -103,34 +104,38 @@ def shingle_hashes(h: Column) -> Column:
     return F.transform(at, lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(SHINGLE)]))
 
 
-def item_table(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``row, item, shingles`` (weight and hash of each distinct shingle, heaviest first) and ``whole`` (their weight)."""
+def item_shingles(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """``row, item, s, w, before, whole, prev``: each distinct shingle of each item with its weight, the weight of the item's heavier ones and of
+    all, and the next heavier one."""
     b = id_text(benchmark, id_col, text_col).select(F.col("__id").alias("item"), word_hashes(F.col("__text")).alias("h"))
     b = b.where(F.size("h") >= SHINGLE).withColumn("row", F.xxhash64("item", "h")).dropDuplicates(["row"])
     b = b.withColumn("short", F.size("h") < SHORT)
-    s = b.select("row", "short", F.explode(F.array_distinct(shingle_hashes(F.col("h")))).alias("s"))
+    s = b.select("row", "item", "short", F.explode(F.array_distinct(shingle_hashes(F.col("h")))).alias("s"))
     df = s.groupBy("short", "s").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(b.groupBy("short").agg(F.count(F.lit(1)).alias("all"))), "short")
     df = df.select("short", "s", F.log(1 + F.col("all") / F.col("df")).alias("w"))
-    s = s.join(df, ["short", "s"]).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("w", "s")), asc=False).alias("shingles"))
-    return b.join(s, "row").select("row", "item", "shingles", F.aggregate("shingles", F.lit(0.0), lambda a, x: a + x["w"]).alias("whole"))
+    heavy = Window.partitionBy("row").orderBy(F.desc("w"), "s")  # one item's shingles
+    s = s.join(df, ["short", "s"]).withColumn("prev", F.lag("s").over(heavy))
+    s = s.withColumn("before", F.coalesce(F.sum("w").over(heavy.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
+    return s.withColumn("whole", F.sum("w").over(heavy.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).drop("short")
 
 
-def item_probes(items: DataFrame) -> DataFrame:
-    """``row, probes``: hashes of the fewest heaviest shingles that weigh more than ``1 - SIMILARITY`` of the item."""
-    def before(i):
-        return F.aggregate(F.slice("shingles", F.lit(1), i), F.lit(0.0), lambda a, x: a + x["w"])
+def item_table(shingles: DataFrame) -> DataFrame:
+    """``row, item, whole, classes``: an item's shingles by weight, so that their sum is a few set operations."""
+    c = shingles.groupBy("row", "item", "whole", "w").agg(F.collect_list("s").alias("of"))
+    return c.groupBy("row", "item", "whole").agg(F.sort_array(F.collect_list(F.struct("w", "of"))).alias("classes"))
 
+
+def item_probes(shingles: DataFrame) -> DataFrame:
+    """``row, s, prev``: the fewest heaviest shingles that weigh more than ``1 - SIMILARITY`` of the item."""
     # one in a thousand more than needed, for rounding errors of sums
-    few = F.filter("shingles", lambda x, i: before(i) <= (1 - SIMILARITY + 0.001) * F.col("whole"))
-    return items.select("row", F.transform(few, lambda x: x["s"]).alias("probes"))
+    return shingles.where(F.col("before") <= (1 - SIMILARITY + 0.001) * F.col("whole")).select("row", "s", "prev")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, item_id, similarity`` of each item found."""
-    items = item_table(benchmark)
-    probes = item_probes(items)
-    count = probes.agg(F.sum(F.size("probes"))).first()[0] or 0
-    parts = max(1, -(-count // BROADCAST_ROWS))
+    shingles = written(item_shingles(benchmark), "decontam-shingles")
+    items, probes = item_table(shingles), item_probes(shingles)
+    parts = max(1, -(-probes.count() // BROADCAST_ROWS))
     d = id_text(docs, id_col, text_col).select(F.col("__id").alias("doc"), word_hashes(F.col("__text")).alias("h"))
     d = d.select("doc", F.array_distinct(shingle_hashes(F.col("h"))).alias("there"))
     # an outer generator: of others Spark infers a filter on the array, which it would compute anew below
@@ -139,14 +144,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     out = []
     for part in range(parts):
         own = F.pmod("row", F.lit(parts)) == part
-        some = probes.where(own).select("row", "probes", F.explode("probes").alias("s"))
-        met = d.join(F.broadcast(some), "s")
-        # once for each text and item
-        met = met.where(F.col("s") == F.get(F.array_intersect("probes", there), F.lit(0))).select("doc", "row", "there")
+        met = d.join(F.broadcast(probes.where(own)), "s")
+        # of probes that the text holds one after another in order of weight, the first stands for all
+        met = met.where(~F.coalesce(F.array_contains(there, F.col("prev")), F.lit(False))).select("doc", "row", "there")
         met = met.join(F.broadcast(items.where(own)), "row")
-        met = met.select("doc", "item", "shingles", "whole", F.array_intersect(F.transform("shingles", lambda x: x["s"]), there).alias("both"))
-        weight = F.aggregate(F.filter("shingles", lambda x: F.array_contains(F.col("both"), x["s"])), F.lit(0.0), lambda a, x: a + x["w"])
-        met = met.select("doc", "item", (weight / F.col("whole")).alias("similarity"))
+        both = F.array_intersect(F.flatten(F.transform("classes", lambda x: x["of"])), there)
+        met = met.select("doc", "item", "whole", "classes", both.alias("both"))
+        found = F.aggregate("classes", F.lit(0.0), lambda a, x: a + x["w"] * F.size(F.array_intersect(x["of"], F.col("both"))))
+        # the second use of the array keeps Spark from computing it for each class
+        met = met.select("doc", "item", (F.when(F.size("both") > 0, found) / F.col("whole")).alias("similarity"))
         out.append(met.where(F.round("similarity", 9) >= SIMILARITY))  # sums of logarithms end in rounding errors
     pairs = reduce(DataFrame.unionByName, out).groupBy("doc", "item").agg(F.max("similarity").alias("similarity"))
     return pairs.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), F.round("similarity", 6).alias("similarity"))

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -193,3 +194,28 @@ def test_short_items_and_unspaced_scripts_are_found(spark):
     assert {(r.doc_id, r.item_id) for r in run(spark, docs, short)} == {(n, n) for n, _ in short}
     han = "天地玄黄宇宙洪荒日月盈昃辰宿列张"
     assert [(r.doc_id, r.item_id) for r in run(spark, [(1, "前文" + han + "后文"), (2, "寒来暑往秋收冬藏")], [(7, han)])] == [(1, 7)]
+
+
+def test_long_items(spark):
+    """8,000 words, copied whole, in part and not at all."""
+    rng = random.Random(11)
+    item = numbered(rng, 8000)
+    docs = [(1, " ".join(numbered(rng, 20_000) + item)), (2, " ".join(item[:7000])), (3, " ".join(item[:5000])), (4, " ".join(numbered(rng, 20_000)))]
+    items = [(3, " ".join(item)), (4, " ".join(numbered(rng, 20)))]
+    began = time.time()
+    got = {(r.doc_id, r.item_id): r.similarity for r in run(spark, docs, items)}
+    assert set(got) == whole(docs, items) == {(1, 3), (2, 3)} and got[1, 3] == 1.0
+    assert time.time() - began < 60
+
+
+def test_rows_are_verified_once_or_at_gaps(spark):
+    """Probes that a text lacks break the order of weights: the pair is verified again and comes once."""
+    rng = random.Random(12)
+    items = [(i, " ".join(numbered(rng, 60))) for i in range(6)] + [(9, "")]
+    docs = []
+    for i, (_, t) in enumerate(items[:6]):
+        w = t.split()
+        w[i + 3] = w[40] = "changed"
+        docs += [(i, " ".join(w)), (i, " ".join(w)), (10 + i, t + " " + t)]
+    got = [(r.doc_id, r.item_id) for r in run(spark, docs, items)]
+    assert len(got) == len(set(got)) and set(got) == whole(docs, items)
