@@ -71,22 +71,34 @@ def _codes(words: list[str]) -> np.ndarray:
     return out
 
 
-def subsequence_kernel(s: np.ndarray, t: np.ndarray) -> np.ndarray:
-    """Unnormalised kernel of each column of ``s`` with the same (or the only) column of ``t``."""
+def prefix_kernels(s: np.ndarray, t: np.ndarray, sizes: set[int]) -> dict[int, np.ndarray]:
+    """By size, the unnormalised kernel of the first ``size`` letters of each column of ``s`` with the same (or the only)
+    column of ``t``.  What stands before a letter doesn't depend on those behind it, so all sizes share one table."""
     n, m, w = len(s), len(t), s.shape[1]
+    match = [[((s[a] == t[b]) & (s[a] != 0)) * np.float32(DECAY**2) for b in range(m)] for a in range(n)]
     below = np.ones((n + 1, m + 1, w), np.float32)
-    for i in range(P):
-        match = [[((s[a] == t[b]) & (s[a] != 0)) * np.float32(DECAY**2) for b in range(m)] for a in range(n)]
-        if i == P - 1:
-            return sum((match[a][b] * below[a, b] for a in range(n) for b in range(m)), np.zeros(w, np.float32))
+    for _ in range(P - 1):
         here = np.zeros((n + 1, m + 1, w), np.float32)
         for a in range(1, n + 1):
             run = np.zeros(w, np.float32)
             for b in range(1, m + 1):
-                run = DECAY * run + match[a - 1][b - 1] * below[a - 1, b - 1]
-                here[a, b] = DECAY * here[a - 1, b] + run
+                run *= DECAY
+                run += match[a - 1][b - 1] * below[a - 1, b - 1]
+                np.multiply(here[a - 1, b], DECAY, out=here[a, b])
+                here[a, b] += run
         below = here
-    raise AssertionError
+    total, out = np.zeros(w, np.float32), {}
+    for a in range(n):
+        for b in range(m):
+            total += match[a][b] * below[a, b]
+        if a + 1 in sizes:
+            out[a + 1] = total.copy()
+    return out
+
+
+def subsequence_kernel(s: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Unnormalised kernel of each column of ``s`` with the same (or the only) column of ``t``."""
+    return prefix_kernels(s, t, {len(s)})[len(s)]
 
 
 def _pair_bits(codes: np.ndarray, gaps: int) -> np.ndarray:
@@ -137,11 +149,11 @@ class WordKernel:
                 k = np.flatnonzero(near[some, j])
                 if len(k):
                     best = np.zeros(len(k))
-                    for size in self.heads[j]:
-                        head = s[:size]
-                        if len(head) not in norms:
-                            norms[len(head)] = np.maximum(subsequence_kernel(head, head), 1e-9)
-                        best = np.maximum(best, subsequence_kernel(head[:, k], t) / np.sqrt(norms[len(head)][k] * self.own[j]))
+                    sizes = {min(size, len(s)) for size in self.heads[j]}
+                    for size, value in prefix_kernels(s[: max(sizes), k], t, sizes).items():
+                        if size not in norms:
+                            norms[size] = np.maximum(subsequence_kernel(s[:size], s[:size]), 1e-9)
+                        best = np.maximum(best, value / np.sqrt(norms[size][k] * self.own[j]))
                     out[np.array(at)[some[k]], j] = np.minimum(best, 1.0) ** POWER
         return out
 

@@ -117,3 +117,12 @@ def test_passages_are_runs_of_whole_sentences(monkeypatch):
     monkeypatch.setattr(T, "PASSAGE", 5)
     got = T.with_passages(np.array([[1.0], [2.0], [4.0], [8.0]]), [2, 3, 9, 1])
     assert got[:, 0].tolist() == [1, 2, 4, 8, 1, 3, 4, 8]
+
+
+def test_beginnings_share_one_table():
+    words = ["subsequence", "sub", "sequel", "xx", "kernel"]
+    s, t = T._codes(words), T._codes(["seque"])
+    got = T.prefix_kernels(s, t, {3, 5, len(s)})
+    assert set(got) == {3, 5, len(s)}
+    for size, value in got.items():
+        assert (value == T.subsequence_kernel(s[:size], t)).all()
