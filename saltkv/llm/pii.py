@@ -7,11 +7,13 @@ numbers, grouped digit runs ...) is scored by gradient-boosted trees on its form
 and context, and taken where its score passes a threshold calibrated on
 held-out candidates for precision.
 
-The trees are trained on the driver from labelled candidates: spans that a base
-rule accepts (1) or checked and refused (0) in a bounded sample of documents
-(``TRAIN_DOCS``), and spans made up by format rules (``made_up``), with layouts the base rules
-miss.  The features hold format and context, never a base rule's verdict.  Documents are scored batch by batch in
-``mapInArrow``: no shuffle, and memory of one batch.
+The trees are trained from labelled candidates: spans that a base
+rule accepts (1) or checked and refused (0) in every document, and spans made up by format rules (``made_up``), with layouts the base rules
+miss.  The features hold format and context, never a base rule's verdict.  Executors find the candidates and count equal ones; bins are
+percentiles of all training candidates, and a tree is grown from sums over all of them (``histogram``: whole numbers, so no order
+of addition changes a tree).  Equal binned candidates are one row with a count: up to ``LOCAL_ROWS`` such rows are summed on the driver,
+more by a Spark job for each level of a tree, with the same result.  Thresholds are calibrated on all candidates of a third of the
+texts, by a hash of the text.  Documents are scored batch by batch in ``mapInArrow``: no shuffle, and memory of one batch.
 
 Defined cases.  A null text is empty and has no spans.  Every scan is linear in the text, so very
 long texts and long digit or address runs cost no more than their length.
@@ -23,17 +25,23 @@ from __future__ import annotations
 
 import random
 import re
+import zlib
+from bisect import bisect_right
+from collections import Counter
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hash_sample, id_text
+from .common import id_text, written
 from .spans import Span, span_text
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents (the first by hash of id) whose candidates train the trees.
-TRAIN_DOCS = 2000
+#: Distinct binned candidates (27 bytes each) whose sums are taken on the driver.
+LOCAL_ROWS = 100_000
+#: Gradients are summed in whole units of this; thresholds stand on a grid.
+_UNIT, _GRID = 1 << 20, np.arange(10_001) / 10_000
 #: Share of accepted held-out candidates that must be labelled positive.
 PRECISION = 0.99
 
@@ -129,6 +137,31 @@ def features(text: str, span: Span) -> list[float]:
 # ------------------------------------------------------------ boosted trees
 
 
+def _margin(codes: np.ndarray, trees: list[tuple], bias: float) -> np.ndarray:
+    score = np.full(len(codes), bias)
+    for f, k, fl, kl, l0, l1, fr, kr, r0, r1 in trees:
+        left = np.where(codes[:, fl] <= kl, l0, l1)
+        right = np.where(codes[:, fr] <= kr, r0, r1)
+        score += np.where(codes[:, f] <= k, left, right)
+    return score
+
+
+def histogram(codes: np.ndarray, y: np.ndarray, n: np.ndarray, bins: int, trees: list[tuple], bias: float, split: tuple | None) -> np.ndarray:
+    """``node, feature, bin``: sums of gradients and second derivatives (in whole ``_UNIT``-ths) and of rows, for the whole
+    (``split`` ``None``) or for the two sides of a split.  Sums of parts add up to the whole's exactly."""
+    p = 1 / (1 + np.exp(-_margin(codes, trees, bias)))
+    sums = [np.rint((y - p) * _UNIT) * n, np.rint(p * (1 - p) * _UNIT) * n, n]
+    every = np.ones(len(codes), bool)
+    sides = [every] if split is None else [codes[:, split[0]] <= split[1], codes[:, split[0]] > split[1]]
+    out = np.zeros((len(sides), codes.shape[1], bins + 1, 3))
+    for i, rows in enumerate(sides):
+        for f in range(codes.shape[1]):
+            c = codes[rows, f]
+            for j, w in enumerate(sums):
+                out[i, f, :, j] = np.bincount(c, w[rows], bins + 1)
+    return out
+
+
 class BoostedTrees:
     """Logistic gradient boosting of depth-2 trees on binned features."""
 
@@ -137,51 +170,52 @@ class BoostedTrees:
         self.trees: list[tuple] = []
         self.bias = 0.0
 
-    def _split(self, codes, g, h, rows):
-        """The best (gain, feature, bin) over ``rows``; rows with a code <= bin go left."""
+    def _split(self, h: np.ndarray) -> tuple:
+        """The best ``(gain, feature, bin)`` of one node's histogram; rows with a code <= bin go left."""
         best = (1e-6, 0, -1)
-        gs, hs = g[rows].sum(), h[rows].sum()
-        for f in range(codes.shape[1]):
-            c = codes[rows, f]
-            gl, hl = (np.cumsum(np.bincount(c, w[rows], self.bins + 1)) for w in (g, h))
-            n = np.cumsum(np.bincount(c, minlength=self.bins + 1))
+        for f in range(len(h)):
+            gl, hl, n = np.cumsum(h[f], axis=0).T / np.array([[_UNIT], [_UNIT], [1]])
+            gs, hs = gl[-1], hl[-1]
             gain = gl**2 / (hl + 1) + (gs - gl) ** 2 / (hs - hl + 1) - gs**2 / (hs + 1)
-            gain[(n < self.least) | (len(rows) - n < self.least)] = 0
+            gain[(n < self.least) | (n[-1] - n < self.least)] = 0
             k = int(gain.argmax())
             if gain[k] > best[0]:
                 best = (float(gain[k]), f, k)
         return best
 
+    def cut(self, x: np.ndarray) -> list[np.ndarray]:
+        return [np.unique(np.quantile(x[:, f], np.linspace(0, 1, self.bins)[1:-1])) for f in range(x.shape[1])]
+
+    def encode(self, x: np.ndarray) -> np.ndarray:
+        return np.stack([np.searchsorted(c, x[:, f], "left") for f, c in enumerate(self.cuts)], axis=1).astype(np.uint8)
+
     def fit(self, x: np.ndarray, y: np.ndarray) -> BoostedTrees:
-        self.cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, self.bins)[1:-1])) for f in range(x.shape[1])]
-        codes = np.stack([np.searchsorted(c, x[:, f], "left") for f, c in enumerate(self.cuts)], axis=1)
-        p = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+        self.cuts = self.cut(x)
+        codes, n = self.encode(x), np.ones(len(y))
+        return self.grow(lambda *at: histogram(codes, y, n, self.bins, *at), y.mean())
+
+    def grow(self, sums, share: float) -> BoostedTrees:
+        """Trees from ``sums(trees, bias, split)``, the ``histogram`` of all training rows, of which ``share`` are positive."""
+        p = np.clip(share, 1e-3, 1 - 1e-3)
         self.bias = float(np.log(p / (1 - p)))
-        score, every = np.full(len(y), self.bias), np.arange(len(y))
         for _ in range(self.rounds):
-            p = 1 / (1 + np.exp(-score))
-            g, h = y - p, p * (1 - p)
-            _, f, k = self._split(codes, g, h, every)
+            _, f, k = self._split(sums(self.trees, self.bias, None)[0])
             if k < 0:
                 break
             tree = [f, k]
-            for side in (every[codes[:, f] <= k], every[codes[:, f] > k]):
-                _, f2, k2 = self._split(codes, g, h, side)
-                low = codes[side, f2] <= k2 if k2 >= 0 else np.ones(len(side), bool)
-                leaf = [self.rate * g[r].sum() / (h[r].sum() + 1) for r in (side[low], side[~low])]
-                score[side] += np.where(low, leaf[0], leaf[1])
-                tree += [f2, k2 if k2 >= 0 else self.bins + 1, *leaf]
+            for h in sums(self.trees, self.bias, (f, k)):
+                _, f2, k2 = self._split(h)
+                k2 = k2 if k2 >= 0 else self.bins + 1
+                g, d = h[f2, :, 0] / _UNIT, h[f2, :, 1] / _UNIT
+                tree += [f2, k2, *(float(self.rate * g[r].sum() / (d[r].sum() + 1)) for r in (slice(0, k2 + 1), slice(k2 + 1, None)))]
             self.trees.append(tuple(tree))
         return self
 
+    def predict_codes(self, codes: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-_margin(codes, self.trees, self.bias)))
+
     def predict(self, x: np.ndarray) -> np.ndarray:
-        codes = np.stack([np.searchsorted(c, x[:, f], "left") for f, c in enumerate(self.cuts)], axis=1)
-        score = np.full(len(x), self.bias)
-        for f, k, fl, kl, l0, l1, fr, kr, r0, r1 in self.trees:
-            left = np.where(codes[:, fl] <= kl, l0, l1)
-            right = np.where(codes[:, fr] <= kr, r0, r1)
-            score += np.where(codes[:, f] <= k, left, right)
-        return 1 / (1 + np.exp(-score))
+        return self.predict_codes(self.encode(x))
 
 
 class PiiModel:
@@ -253,35 +287,158 @@ def made_up(n: int, seed: int = 4) -> list[tuple[str, Span, int]]:
     return out
 
 
-def train(texts: list[str], precision: float = PRECISION, n_made_up: int = 2000) -> PiiModel:
-    """Fit on two thirds of the labelled candidates, calibrate on the rest."""
-    rows = made_up(n_made_up)
+def labelled(text: str) -> list[tuple[Span, int]]:
+    """Spans that a base rule accepts (1), and those refused (0) that don't lie inside an accepted one."""
+    ok, bad = base_spans(text)
+    by_start = sorted(ok)
+    starts, reach = [s[0] for s in by_start], list(accumulate((s[1] for s in by_start), max))
+    out = [(s, 1) for s in ok]
+    for s in bad:
+        i = bisect_right(starts, s[0])
+        if not i or reach[i - 1] < s[1]:
+            out.append((s, 0))
+    return out
+
+
+def calibrates(text: str) -> bool:
+    """Does the text belong to the third that calibrates thresholds?"""
+    return zlib.crc32(text.encode("utf-8", "surrogatepass")) % 3 == 2
+
+
+def candidate_counts(texts) -> Counter:
+    """How often each ``(features, label, calibrates)`` occurs."""
+    seen: Counter = Counter()
     for t in texts:
-        ok, bad = base_spans(t)
-        rows += [(t, s, 1) for s in ok]
-        rows += [(t, s, 0) for s in bad if not any(a <= s[0] and s[1] <= b for a, b, _ in ok)]
-    x = np.array([features(t, s) for t, s, _ in rows], float)
-    y, kind = np.array([r[2] for r in rows], float), np.array([r[1][2] for r in rows])
-    part = np.arange(len(y)) // 2 % 3 == 2
-    trees = BoostedTrees().fit(x[~part], y[~part])
-    thresholds = {}
-    for k in KINDS:
-        own = part & (kind == k)
-        p, lab = trees.predict(x[own]), y[own]
-        order = np.argsort(-p, kind="stable")
-        good = np.cumsum(lab[order]) / np.arange(1, len(order) + 1) >= precision
+        held = calibrates(t)
+        for s, y in labelled(t):
+            seen[tuple(map(float, features(t, s))), y, held] += 1
+    return seen
+
+
+def made_up_counts(n: int) -> Counter:
+    return Counter((tuple(map(float, features(t, s))), y, i // 2 % 3 == 2) for i, (t, s, y) in enumerate(made_up(n)))
+
+
+def score_counts(trees: BoostedTrees, codes: np.ndarray, kind: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``kind, place of the score on the grid``: candidates and positive ones."""
+    out = np.zeros((len(KINDS), len(_GRID), 2))
+    at = np.searchsorted(_GRID, trees.predict_codes(codes), "right") - 1
+    np.add.at(out, (kind, at), np.stack((n, n * y), axis=1))
+    return out
+
+
+def thresholds(counts: np.ndarray, precision: float = PRECISION) -> dict[str, float]:
+    """By kind the least score on the grid (0.5 at least) from which so many candidates are positive."""
+    out = {}
+    for k, c in zip(KINDS, counts):
+        n, good = np.cumsum(c[::-1], axis=0).T
+        at = np.flatnonzero((c[::-1, 0] > 0) & (good >= precision * n))
         # a kind without a threshold of that precision adds nothing
-        thresholds[k] = max(0.5, float(p[order][np.flatnonzero(good).max()])) if good.any() else 2.0
-    return PiiModel(trees, thresholds)
+        out[k] = max(0.5, float(_GRID[::-1][at.max()])) if len(at) else 2.0
+    return out
+
+
+def _arrays(counts: Counter):
+    x, y, held = zip(*counts)
+    return np.array(x, float), np.array(y, float), np.array(held, bool), np.array(list(counts.values()), float)
+
+
+def train(texts: list[str], precision: float = PRECISION, n_made_up: int = 2000) -> PiiModel:
+    """Fit on two thirds of the labelled candidates, calibrate on the rest."""
+    x, y, held, n = _arrays(made_up_counts(n_made_up) + candidate_counts(texts))
+    trees, fit = BoostedTrees(), ~held
+    trees.cuts = trees.cut(np.repeat(x[fit], n[fit].astype(int), axis=0))
+    codes = trees.encode(x)
+    trees.grow(lambda *at: histogram(codes[fit], y[fit], n[fit], trees.bins, *at), (y * n)[fit].sum() / n[fit].sum())
+    return PiiModel(trees, thresholds(score_counts(trees, codes[held], x[held, 0].astype(int), y[held], n[held]), precision))
 
 
 # ------------------------------------------------------------ Spark
 
 
-def train_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_docs: int = TRAIN_DOCS) -> PiiModel:
-    """A model from the ``n_docs`` documents with the smallest hash of their id."""
-    d = id_text(docs, id_col, text_col).where(F.col("__text").rlike("[0-9@]"))
-    return train([r["__text"] for r in hash_sample(d, "__id", n_docs, ["__id", "__text"]).collect()])
+def _batch_arrays(batch):
+    codes = np.frombuffer(b"".join(batch.column("c").to_pylist()), np.uint8)
+    k, y, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("k", "y", "n"))
+    return codes.reshape(batch.num_rows, -1), k, y.astype(float), n.astype(float)
+
+
+def _summed(rows: DataFrame, sums) -> np.ndarray:
+    """The sum of ``sums(codes, kind, y, n)`` over all rows; every task sends one array of the same size."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        out = None
+        for batch in batches:
+            if batch.num_rows:
+                own = sums(*_batch_arrays(batch))
+                out = own if out is None else out + own
+        if out is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary()), pa.array([list(out.shape)], pa.list_(pa.int64()))], ["s", "shape"])
+
+    parts = rows.mapInArrow(run, "s binary, shape array<long>").collect()
+    return sum(np.frombuffer(r["s"], np.float64).reshape(r["shape"]) for r in parts)
+
+
+def train_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", local_rows: int = LOCAL_ROWS) -> PiiModel:
+    """A model from the labelled candidates of every document; up to ``local_rows`` distinct ones (binned) come to the driver."""
+    d = id_text(docs, id_col, text_col).where(F.col("__text").rlike("[0-9@]")).select("__text")
+    schema = "x array<double>, y int, held boolean, n long"
+
+    def found(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            seen = candidate_counts(batch.column(0).to_pylist())
+            x, y, held = ([k[i] for k in seen] for i in range(3))
+            cols = [pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.int32()), pa.array(held, pa.bool_()), pa.array(list(seen.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, ["x", "y", "held", "n"])
+
+    more = docs.sparkSession.createDataFrame([(list(x), y, held, n) for (x, y, held), n in made_up_counts(2000).items()], schema)
+    rows = d.mapInArrow(found, schema).unionByName(more).groupBy("x", "y", "held").agg(F.sum("n").alias("n"))
+    rows = written(rows, "pii-candidates")
+
+    trees, size = BoostedTrees(), len(more.first()["x"])
+    places = np.linspace(0, 1, trees.bins)[1:-1].tolist()
+    fit = rows.where(~F.col("held"))
+    at = fit.agg(*[F.percentile(F.col("x")[f], places, F.col("n")).alias(f"x{f}") for f in range(size)], (F.sum(F.col("n") * F.col("y")) / F.sum("n")).alias("share")).first()
+    trees.cuts = [np.unique(at[f"x{f}"]) for f in range(size)]
+
+    def coded(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            x = batch.column("x").flatten().to_numpy().reshape(-1, size)
+            c = pa.array([r.tobytes() for r in trees.encode(x)], pa.binary())
+            cols = [c, pa.array(x[:, 0].astype(np.int32)), batch.column("y"), batch.column("held"), batch.column("n")]
+            yield pa.RecordBatch.from_arrays(cols, ["c", "k", "y", "held", "n"])
+
+    codes = rows.mapInArrow(coded, "c binary, k int, y int, held boolean, n long").groupBy("c", "k", "y", "held").agg(F.sum("n").alias("n"))
+    codes = written(codes, "pii-codes")
+    if codes.count() <= local_rows:
+        own = codes.toArrow().combine_chunks().to_batches()[0]
+        held = own.column("held")
+        parts = {h: _batch_arrays(own.filter(held if h else _negated(held))) for h in (True, False)}
+
+        def summed(h, sums):
+            return sums(*parts[h])
+    else:
+
+        def summed(h, sums):
+            return _summed(codes.where(F.col("held") == h), sums)
+
+    def histograms(grown, bias, split):
+        bins = trees.bins
+        return summed(False, lambda c, k, y, n: histogram(c, y, n, bins, grown, bias, split))
+
+    trees.grow(histograms, at["share"])
+    return PiiModel(trees, thresholds(summed(True, lambda c, k, y, n: score_counts(trees, c, k, y, n))))
+
+
+def _negated(mask):
+    import pyarrow.compute as pc
+
+    return pc.invert(mask)
 
 
 _FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_spans string, spans string"

@@ -134,3 +134,22 @@ def test_the_documents_table(spark):
 def test_redact_keeps_all_columns(spark, model):
     df = spark.createDataFrame([(1, "x a@b.cd", "en"), (2, None, None)], "doc_id long, text string, lang string")
     assert [tuple(r) for r in pii.redact_documents(df, model).orderBy("doc_id").collect()] == [(1, "x [EMAIL]", "en"), (2, None, None)]
+
+
+def test_every_document_trains_the_model(spark):
+    docs = spark.range(6000).selectExpr("id as doc_id", "concat('call +1 212 555 0', 100 + id % 800, ' or v', id, '.900.1.', id % 300) as text")
+    rows = [r.text for r in docs.collect()]
+    local, spread = pii.train_pii(docs), pii.train_pii(docs, local_rows=0)
+    want = pii.train(rows)
+    assert local.trees.trees == spread.trees.trees and local.thresholds == spread.thresholds
+    assert local.trees.trees == want.trees.trees and local.thresholds == want.thresholds
+    few = pii.train(rows[:2000])
+    assert few.trees.trees != want.trees.trees  # the others count
+
+
+def test_labelled_spans_are_those_of_a_pairwise_comparison():
+    rng = random.Random(8)
+    for _ in range(300):
+        t = "".join(rng.choice("19.+-() @ab") for _ in range(rng.randint(0, 60)))
+        ok, bad = pii.base_spans(t)
+        assert pii.labelled(t) == [(s, 1) for s in ok] + [(s, 0) for s in bad if not any(a <= s[0] and s[1] <= b for a, b, _ in ok)]
