@@ -162,7 +162,9 @@ def train_text_model(docs: DataFrame, per_label: int = TRAIN_DOCS, id_col="doc_i
     at = {lang: k for k, lang in enumerate(langs)}
     counts = np.zeros((len(langs), _BUCKETS))
     got = rows.mapInArrow(counted, "l string, b int, n long").groupBy("l", "b").agg(F.sum("n").alias("n")).toArrow()
-    counts[[at[x] for x in got.column("l").to_pylist()], got.column("b").to_numpy()] = got.column("n").to_numpy()
+    label = got.column("l").combine_chunks().dictionary_encode()
+    rank = np.array([at[x] for x in label.dictionary.to_pylist()], np.int64)
+    counts[rank[label.indices.to_numpy()], got.column("b").to_numpy()] = got.column("n").to_numpy()
     logp = np.log((counts + 0.1) / (counts.sum(axis=1, keepdims=True) + 0.1 * _BUCKETS)).astype(np.float32).T
     logp = np.ascontiguousarray(logp)
     shared = spark.sparkContext.broadcast((at, logp))
@@ -218,11 +220,16 @@ def text_evidence(rows: DataFrame, model: TextModel) -> DataFrame:
     return rows.mapInArrow(run, out.schema)
 
 
-def _softmax(logs: list[Column]) -> list[Column]:
-    top = F.greatest(*logs)
-    exps = [F.exp(x - top) for x in logs]
-    total = sum(exps[1:], exps[0])
-    return [e / total for e in exps]
+def with_softmax(df: DataFrame, logs: str, name: str) -> DataFrame:
+    """``df`` with the softmax of the array ``logs``.  Languages are elements of arrays, not columns: a plan with an expression for
+    each pair of them takes hundreds of MB on the driver."""
+    df = df.withColumn("__exps", F.transform(logs, lambda x: F.exp(x - F.array_max(logs))))
+    total = F.aggregate("__exps", F.lit(0.0), lambda a, x: a + x)
+    return df.withColumn(name, F.transform("__exps", lambda x: x / total)).drop("__exps")
+
+
+def _literals(values) -> Column:
+    return F.array(*[F.lit(float(x)) for x in values])
 
 
 def identify(rows: DataFrame, model: TextModel) -> DataFrame:
@@ -239,12 +246,11 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
     e = text_evidence(rows, model)
     e = e.withColumns({"domain": host_domain(F.col("host")), "suffix": host_suffix(F.col("host"))})
     scale = F.when(F.col("n") > 0, F.least("n", F.lit(TEXT_WEIGHT)) / F.col("n")).otherwise(0.0)
-    text = [F.col("ll")[i] * scale for i in range(len(model.langs))]
+    text = F.transform("ll", lambda x: x * scale)
     # no counted trigram: every language as likely as any other
-    text.append(F.when(F.col("n") > 0, F.lit(model.und) * F.least("n", F.lit(TEXT_WEIGHT))).otherwise(0.0))
-    e = e.withColumn("text_log", F.array(*text))
-    soft = _softmax([F.col("text_log")[i] for i in range(len(names))])
-    e = written(e.withColumn("soft", F.array(*[F.round(p * _UNIT).cast("long") for p in soft])).drop("ll"), "language-evidence")
+    und = F.when(F.col("n") > 0, F.lit(model.und) * F.least("n", F.lit(TEXT_WEIGHT))).otherwise(0.0)
+    e = with_softmax(e.withColumn("text_log", F.concat(text, F.array(und))), "text_log", "soft")
+    e = written(e.withColumn("soft", F.transform("soft", lambda p: F.round(p * _UNIT).cast("long"))).drop("ll"), "language-evidence")
 
     sums = [F.sum(F.col("soft")[i]).alias(f"c{i}") for i in range(len(names))]
     add = [F.sum(f"c{i}").alias(f"c{i}") for i in range(len(names))]
@@ -274,17 +280,15 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
     e = e.withColumn("salt", F.pmod(F.xxhash64("id", "n"), F.lit(SALTS)))
     e = e.join(prior.select("host", "prior", salts), ["host", "salt"], "left").join(by_suffix, ["suffix", "salt"], "left")
     seen = sum(confusion.values(), np.zeros(len(names)))
-    logs = []
-    for i, name in enumerate(names):
-        log = F.col("text_log")[i] + F.log(F.coalesce(F.col("prior")[i], F.lit(float(base[i])))) + F.coalesce(F.col("at_suffix")[i], F.lit(0.0))
-        for d in (*model.langs, "other"):
-            # one made-up row that agrees (or, for "other", is spread) for each language
-            one = 0.9 if d == name else 0.1 / len(names)
-            p = (confusion.get(d, np.zeros(len(names)))[i] + _UNIT * one) / (seen[i] + _UNIT)
-            log = log + F.when(F.col("declared") == d, float(np.log(p))).otherwise(0.0)
-        logs.append(log)
-    e = e.withColumn("posterior", F.array(*logs))
-    e = e.withColumn("posterior", F.array(*_softmax([F.col("posterior")[i] for i in range(len(names))])))
+    said = _literals([0.0] * len(names))
+    for d in (*model.langs, "other"):
+        own = confusion.get(d, np.zeros(len(names)))
+        # one made-up row that agrees (or, for "other", is spread) for each language
+        one = [0.9 if d == name else 0.1 / len(names) for name in names]
+        said = F.when(F.col("declared") == d, _literals(np.log((own[i] + _UNIT * one[i]) / (seen[i] + _UNIT)) for i in range(len(names)))).otherwise(said)
+    logs = F.zip_with("text_log", F.coalesce("prior", _literals(base)), lambda t, p: t + F.log(p))
+    logs = F.zip_with(logs, F.coalesce("at_suffix", _literals([0.0] * len(names))), lambda t, x: t + x)
+    e = with_softmax(e.withColumn("logs", F.zip_with(logs, said, lambda t, x: t + x)), "logs", "posterior")
     label = F.array(*[F.lit(x) for x in names])
 
     def best(a):  # array_position finds the first of equals
