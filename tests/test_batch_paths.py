@@ -160,3 +160,11 @@ def test_salted_join_equals_a_join(spark):
     want = rows(a.join(b, "k").select("k", "x", "y"))
     for hot in (10, 10_000):
         assert rows(salted_join(a, b, ["k"], "x", "y", 5, hot).select("k", "x", "y")) == want
+
+
+def test_prefilter_names_a_prefix_few_times(spark):
+    rows = add_row_keys(FX.check_rows(spark, SF_SMALL), ("check_id",), "id", 3).drop("salt", "row_key")
+    keys = rows.select("prefix").limit(20).localCheckpoint()
+    plan = P.prefilter(rows, keys, 20)._jdf.queryExecution().optimizedPlan().toString()
+    at = next(line for line in plan.splitlines() if "Filter" in line)
+    assert 1 <= at.count("md5(") <= 4
