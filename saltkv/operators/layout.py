@@ -96,9 +96,11 @@ def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> Data
     return df.repartition(target)
 
 
-# Input bytes per written file when the input size is known (text compresses
-# several-fold into Parquet, so files come out well below this).
-TARGET_INPUT_BYTES_PER_FILE = 512 * 1024 * 1024
+# Input bytes per written file when the input size is known.  A task sorts what it
+# writes, and keyed rows take about eight times their text in memory.
+TARGET_INPUT_BYTES_PER_FILE = 64 * 1024 * 1024
+# Rows of a written file, where a load's sketches count them.
+MOST_ROWS_PER_FILE = 1_500_000
 
 
 def files_per_bucket_for(spark, n: int, input_bytes: int | None = None) -> int:
@@ -142,7 +144,15 @@ def dedup_in_load(df: DataFrame, value_cols, keys=KEY_COLS) -> DataFrame:
     """
     value_cols = [c for c in value_cols if c not in keys]
     w = F.max(F.struct(*[F.col(c) for c in value_cols])).alias("__w")
-    return df.groupBy(*keys).agg(w).select(*keys, *[F.col("__w")[c].alias(c) for c in value_cols])
+    out = [F.col("__w")[c].alias(c) for c in value_cols]
+    if tuple(keys) != KEY_COLS:
+        return df.groupBy(*keys).agg(w).select(*keys, *out)
+    # a row key begins with its prefix: only what follows moves, and (salt, prefix, rest) stands for the three
+    led = F.coalesce(F.col("row_key").startswith(F.col("prefix")), F.lit(False))
+    rest = F.when(led, F.expr("substring(row_key, length(prefix) + 1)")).otherwise(F.col("row_key"))
+    moved = df.select("salt", "prefix", led.alias("__led"), rest.alias("__rest"), *value_cols).groupBy("salt", "prefix", "__led", "__rest").agg(w)
+    row_key = F.when(F.col("__led"), F.concat("prefix", "__rest")).otherwise(F.col("__rest"))
+    return moved.select("salt", "prefix", row_key.alias("row_key"), *out)
 
 
 def rank_within_salt(df: DataFrame, n: int, files_per_bucket: int | None = None, name: str = "rank_in_salt") -> DataFrame:

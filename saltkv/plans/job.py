@@ -38,7 +38,7 @@ from ..sources.store import (
     registered_at, stage_load, staging_dir, table_location, write_manifest,
 )
 from ..sources.merged import upsert_loads
-from ..sources.sketches import attach_sketches, expected_keys, stage_sketches
+from ..sources.sketches import attach_sketches, expected_keys, files_for_rows, stage_sketches
 
 log = logging.getLogger("saltkv.job")
 
@@ -79,7 +79,8 @@ def load_rows(
     saves one shuffle.  ``load_ts`` defaults to the wall clock in milliseconds when the load is published.
     ``rejected`` records are stored inside the load; loaded and rejected rows are counted by the writes
     (``Observation``) and noted in its manifest.  ``bloom_filter`` sizes each file's filter by sketches of the load's prefixes, which are
-    stored in it (``sources.sketches``; one more pass over the key columns).  ``upsert`` folds the load into the table's merged copy.
+    stored in it (``sources.sketches``; one more pass over the key columns); they also raise ``files_per_bucket``, if given, so that
+    no file exceeds ``MOST_ROWS_PER_FILE``.  ``upsert`` folds the load into the table's merged copy.
     ``spread`` round-robins an input with fewer partitions than cores before
     the key work (a shuffle follows anyway); it has to plan the input to know, so only
     the load job, whose input is files, asks for it.
@@ -91,7 +92,6 @@ def load_rows(
     keyed = add_row_keys(rows, spec.query_key, spec.uniq_col, spec.pre_regions, hash_method)
     if dedup:
         keyed = dedup_in_load(keyed, value_cols)
-    laid = layout_for_write(keyed, spec, files_per_bucket, exact_partitioner)
     if spec.hfile_path_prefix and store_root is None:
         stage_dir = f"{spec.hfile_path_prefix.rstrip('/')}/{load_ts or new_load_ts()}"
     else:
@@ -99,7 +99,11 @@ def load_rows(
     loaded, aside = Observation(), Observation()
     ndv = None
     if bloom_filter:
-        ndv = expected_keys(stage_sketches(spark, keyed.select("salt", "prefix"), stage_dir), spec.pre_regions * (files_per_bucket or 0))
+        sketches = stage_sketches(spark, keyed.select("salt", "prefix"), stage_dir)
+        if files_per_bucket:  # the sketches count the rows: no task sorts more than it should
+            files_per_bucket = max(files_per_bucket, files_for_rows(sketches, spec.pre_regions))
+        ndv = expected_keys(sketches, spec.pre_regions * (files_per_bucket or 0))
+    laid = layout_for_write(keyed, spec, files_per_bucket, exact_partitioner)
     stage_load(laid.observe(loaded, F.count(F.lit(1)).alias("n")), stage_dir, bloom_filter, ndv)
     if bloom_filter:
         attach_sketches(spark, stage_dir)

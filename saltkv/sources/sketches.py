@@ -22,6 +22,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.layout import MOST_ROWS_PER_FILE
 from .store import VERSION, _fs, list_loads, read_loads, rename
 
 SKETCH = "_sketch"
@@ -68,6 +69,11 @@ def table_sketches(spark: SparkSession, table_dir: str, loads: list[int] | None
     return merged.withColumn("n_prefixes", F.hll_sketch_estimate("sketch"))
 
 
+def files_for_rows(sketches: DataFrame, n: int) -> int:
+    """Files of each salt that keep a file of the load at ``MOST_ROWS_PER_FILE`` rows."""
+    return max(1, math.ceil((sketches.agg(F.sum("n_rows")).first()[0] or 0) / n / MOST_ROWS_PER_FILE))
+
+
 def expected_keys(sketches: DataFrame, n_files: int | None = None, slices: int = 1) -> int:
     """Distinct prefixes to expect in one file: no more than the largest salt (or slice of it) has, and, where the rows are dealt over
     ``n_files`` ranges, no more than the rows of one.  A wrong guess costs space or false positives, never a row."""

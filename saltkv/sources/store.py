@@ -21,11 +21,11 @@ import json
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from ..operators.layout import cluster_for_write, files_per_bucket_for, partition_by_salt, sort_within
+from ..operators.layout import KEY_COLS, cluster_for_write, files_per_bucket_for, partition_by_salt, sort_within
 from ..operators.merge import latest_row_wins, latest_wins
 from .spec import TableSpec
 
@@ -277,11 +277,35 @@ def current(spark: SparkSession, table_dir: str, value_cols=None, as_of: int | N
     dirs = _load_dirs(table_dir, loads)
     if len(dirs) <= 1 and _unique_keys(spark, dirs):
         return df.select("salt", *KEY_FIELDS, *cols, VERSION)
+    if len(dirs) == 1:  # one version: the larger value of each column, without a version beside each
+        g = df.groupBy(*KEY_COLS).agg(*[F.max(c).alias(c) for c in cols], F.max(VERSION).alias(VERSION))
+        return g.select(*KEY_COLS, *cols, VERSION)
     if whole_rows(spark, dirs, cols):
         return latest_row_wins(df).select("salt", *KEY_FIELDS, *cols, VERSION)
     return latest_wins(df, cols)
 
 
+def _nth_key(raw: DataFrame, n: int, copies: int, rounds: int = 4) -> str | None:
+    """The ``n``-th distinct row key in order, or ``None`` if there are fewer.  A top-n in each task of ``copies`` rows for each key
+    wanted holds all copies of its keys but the last's; the next round goes on behind that.  Keys with far more copies than
+    that leave the rest to a distinct after some rounds."""
+    found = 0
+    for _ in range(rounds):
+        most = max(1, (n - found) * copies)
+        keys = raw.orderBy("row_key").limit(most).groupBy("row_key").agg(F.count(F.lit(1)).alias("n")).orderBy("row_key")
+        place = F.row_number().over(Window.orderBy("row_key"))  # of at most ``most`` keys
+        got = keys.select("row_key", "n", place.alias("k")).where(F.col("k") == n - found).first()
+        if got is not None:
+            return got["row_key"]
+        end = keys.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("keys"), F.max("row_key").alias("last")).first()
+        if (end["rows"] or 0) < most:
+            return None
+        found += end["keys"]
+        raw = raw.where(F.col("row_key") > F.lit(end["last"]))
+    top = raw.distinct().orderBy("row_key").limit(n - found).agg(F.count(F.lit(1)).alias("keys"), F.max("row_key").alias("last")).first()
+    return top["last"] if top["keys"] == n - found else None
+
+
 def first_rows(spark: SparkSession, table_dir: str, n: int, value_cols=None) -> DataFrame:
     """The first ``n`` rows of the newest-wins table in row-key order (a
     top-n scan) without merging the whole table.
@@ -290,7 +314,8 @@ def first_rows(spark: SparkSession, table_dir: str, n: int, value_cols=None) ->
     ``n`` keys of the merged table are among the first ``n * loads`` rows of
     the raw loads.  Those rows are taken with a per-task top-n (no
     full shuffle) and semi-joined below the merge, so only their keys are
-    merged.  Where a load may repeat keys, the first ``n`` distinct keys are taken instead.
+    merged.  Where a load may repeat keys, the ``n``-th distinct key is found first
+    (``_nth_key``), and only rows up to it are merged.
     """
     cur = current(spark, table_dir, value_cols)
     loads = list_loads(spark, table_dir)
@@ -300,8 +325,9 @@ def first_rows(spark: SparkSession, table_dir: str, n: int, value_cols=None) ->
         return cur.orderBy("row_key").limit(n)
     raw = read_loads(spark, table_dir, [], loads).select("row_key")
     if not unique:
-        raw = raw.distinct()
-    candidates = raw.orderBy("row_key").limit(n * len(dirs) if unique else n)
+        last = _nth_key(raw, n, 4 * len(dirs))
+        return (cur if last is None else cur.where(F.col("row_key") <= F.lit(last))).orderBy("row_key").limit(n)
+    candidates = raw.orderBy("row_key").limit(n * len(dirs))
     top = cur.join(candidates, "row_key", "left_semi").select(*cur.columns)
     return top.orderBy("row_key").limit(n)
 

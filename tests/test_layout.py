@@ -107,3 +107,12 @@ def test_sub_partitioned_salts(spark):
     assert all(r.p // 4 == r.salt for r in rows)
     hot_parts = {r.p for r in rows if r.check_id == "HOT"}
     assert len(hot_parts) == 4  # the hot key's rows spread over all of its salt's partitions
+
+
+def test_dedup_moves_a_prefix_once(spark):
+    rows = [(0, "0ab", "0abx", "1"), (0, "0ab", "0abx", "2"), (0, "0ab", "zzz", "3"), (0, None, "0abx", "4"), (0, "0ab", "0ab", "5"), (None, "0ab", "0abx", "6"), (0, "0ab", None, "7")]
+    df = spark.createDataFrame(rows, "salt int, prefix string, row_key string, v string")
+    got = {tuple(r) for r in L.dedup_in_load(df, ["v"]).select("salt", "prefix", "row_key", "v").collect()}
+    assert got == {r for r in rows if r[3] != "1"}
+    plan = L.dedup_in_load(df, ["v"])._jdf.queryExecution().executedPlan().toString()
+    assert "row_key" not in next(line for line in plan.splitlines() if "Exchange" in line)

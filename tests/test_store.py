@@ -416,3 +416,28 @@ def test_a_table_registered_elsewhere_is_registered_anew(spark, tmp):
     ST.create_current_view(spark, spec)
     load_rows(spark, spec, _rows(spark, ("9", "a", "x", "new"), cols=("id", "check_id", "rule_no", "remarks")), root, load_ts=2)
     assert {r.remarks for r in spark.sql("SELECT remarks FROM keyspace_moved.t_current").collect()} == {None, "new"}
+
+
+def test_nth_key_beyond_many_copies(spark):
+    raw = spark.createDataFrame([("a",)] * 50 + [("b",)] * 3 + [("c",)] * 40 + [("d",)], "row_key string")
+    for copies in (1, 4, 100):
+        assert [ST._nth_key(raw, n, copies, 2) for n in (1, 2, 3, 4, 5)] == ["a", "b", "c", "d", None]
+
+
+def test_a_load_of_many_rows_gets_more_files_than_asked(spark, tmp, monkeypatch):
+    from saltkv.plans.job import load_rows
+    from saltkv.sources import sketches as SK
+
+    monkeypatch.setattr(SK, "MOST_ROWS_PER_FILE", 100)
+    rows = FX.check_rows(spark, "/root/testdata/sf0.001")
+    root = tmp("many")
+    res = load_rows(spark, FX.CHECK, rows, root, load_ts=1, bloom_filter=True, files_per_bucket=1)
+    d = res.load_dir.removeprefix("file:")
+    files = [f for _, _, fs in os.walk(d) for f in fs if f.endswith(".parquet")]
+    assert len(files) - 1 > 2 * FX.CHECK.pre_regions  # and the sketches' file
+
+
+def test_a_task_of_the_load_job_gets_little_text(spark):
+    from saltkv.operators.layout import files_per_bucket_for
+
+    assert 3 * files_per_bucket_for(spark, 3, 3 << 30) >= 36  # keyed rows take several times their text in memory
