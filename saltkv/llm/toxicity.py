@@ -45,6 +45,7 @@ TRAIN_DOCS, ROUNDS, C = 4000, 3, 5.0
 POSITIVE = 3.0
 WINDOW = 24
 CHUNK = 4096  # words compared at once
+LANES = 512  # of those, words whose tables are held at once
 #: Words of a run of sentences that score together.
 PASSAGE = 200
 #: Share of a word's sentences in documents marked 1 from which it tells alone.
@@ -53,6 +54,7 @@ CACHE_WORDS = 1 << 19
 _SPACED = re.compile(r"(?<!\S)[^\W\d_](?:[ .*_-]{1,2}[^\W\d_]){2,}(?!\w)")
 _OTHER = re.compile(r"[\W\d_]+")
 _END = re.compile(r"[.!?]+[\"')\]]*$")
+_LAST = frozenset(".!?\"')]")  # what such a word ends with
 
 
 def letters(word: str) -> str:
@@ -74,25 +76,29 @@ def _codes(words: list[str]) -> np.ndarray:
 def prefix_kernels(s: np.ndarray, t: np.ndarray, sizes: set[int]) -> dict[int, np.ndarray]:
     """By size, the unnormalised kernel of the first ``size`` letters of each column of ``s`` with the same (or the only)
     column of ``t``.  What stands before a letter doesn't depend on those behind it, so all sizes share one table."""
-    n, m, w = len(s), len(t), s.shape[1]
-    match = [[((s[a] == t[b]) & (s[a] != 0)) * np.float32(DECAY**2) for b in range(m)] for a in range(n)]
-    below = np.ones((n + 1, m + 1, w), np.float32)
-    for _ in range(P - 1):
-        here = np.zeros((n + 1, m + 1, w), np.float32)
-        for a in range(1, n + 1):
-            run = np.zeros(w, np.float32)
-            for b in range(1, m + 1):
+    n, m = len(s), len(t)
+    out = {size: np.empty(s.shape[1], np.float32) for size in sizes if 0 < size <= n}
+    for k in range(0, s.shape[1], LANES):
+        own, with_ = s[:, k : k + LANES], t if t.shape[1] == 1 else t[:, k : k + LANES]
+        match = ((own[:, None] == with_[None]) & (own != 0)[:, None]) * np.float32(DECAY**2)
+        below = None  # ones
+        for _ in range(P - 1):
+            here = np.zeros((n + 1, m + 1, own.shape[1]), np.float32)
+            run = np.zeros_like(own, np.float32)
+            for b in range(m):  # all letters of ``s`` at once
                 run *= DECAY
-                run += match[a - 1][b - 1] * below[a - 1, b - 1]
-                np.multiply(here[a - 1, b], DECAY, out=here[a, b])
-                here[a, b] += run
-        below = here
-    total, out = np.zeros(w, np.float32), {}
-    for a in range(n):
-        for b in range(m):
-            total += match[a][b] * below[a, b]
-        if a + 1 in sizes:
-            out[a + 1] = total.copy()
+                run += match[:, b] if below is None else match[:, b] * below[:-1, b]
+                here[1:, b + 1] = run
+            for a in range(1, n):
+                here[a + 1, 1:] += here[a, 1:] * np.float32(DECAY)
+            below = here
+        match *= below[:-1, :-1]
+        total = np.zeros(own.shape[1], np.float32)
+        for a in range(n):
+            match[a, 0] += total
+            total = np.add.accumulate(match[a], axis=0)[-1]  # one after another, however few lanes
+            if a + 1 in out:
+                out[a + 1][k : k + LANES] = total
     return out
 
 
@@ -174,7 +180,7 @@ def sentences(text: str) -> list[list[str]]:
         own: list[str] = []
         for w in line.split():
             own.append(w)
-            if _END.search(w):
+            if w[-1] in _LAST and _END.search(w):
                 out.append(own)
                 own = []
         if own:
@@ -229,7 +235,7 @@ class ToxicModel:
         for t, words, extra in zip(texts, lists, spaced):
             if any(map(get, words)) or extra:
                 own = sentences(t)
-                sums = np.array([[sum(map(get, s))] for s in own]).reshape(-1, 1)
+                sums = np.array([sum(map(get, s)) for s in own], float).reshape(-1, 1)
                 out.append(self.bias + with_passages(sums, [len(s) for s in own]).max(initial=-np.inf if own else 0.0))
             else:
                 out.append(self.bias)

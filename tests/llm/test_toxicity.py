@@ -126,3 +126,27 @@ def test_beginnings_share_one_table():
     assert set(got) == {3, 5, len(s)}
     for size, value in got.items():
         assert (value == T.subsequence_kernel(s[:size], t)).all()
+
+
+def test_a_table_takes_steps_for_letters_not_for_pairs_of_letters(monkeypatch):
+    import sys
+
+    words = ["abcdefghijklmnopqrstuvwx", "xwvutsrqponmlkjihgfedcba", "abcabcabcabcabcabcabcabc"]
+    s, steps = T._codes(words), 0
+
+    def trace(frame, event, _):
+        nonlocal steps
+        if frame.f_code is T.prefix_kernels.__code__:
+            steps += event == "line"
+            return trace
+
+    before = sys.gettrace()
+    sys.settrace(trace)
+    try:
+        got = T.prefix_kernels(s, s, {24})[24]
+    finally:
+        sys.settrace(before)
+    assert steps < 24 * 24
+    assert got.tolist() == pytest.approx([plain_kernel(w, w) for w in words], rel=1e-4)
+    monkeypatch.setattr(T, "LANES", 2)  # in parts it is the same
+    assert (T.prefix_kernels(s, s, {24})[24] == got).all()
