@@ -314,13 +314,17 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n_words: in
         sent: set[int] = set()
         for batch in batches:
             batch = batch.filter(pa.array(_in_bloom(sent_bits.value, batch.column(1).to_numpy())))
-            own, raw = [], []
+            own, raw, size = [], [], 0
             for _, x in shingle_sets(*text_bytes(batch.column(0)), n_words):
                 key = _key(x)
                 if key not in sent:
                     sent.add(key)
                     own.append(key)
                     raw.append(x.tobytes())
+                    size += len(raw[-1])
+                if size > _CHUNK:
+                    yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(raw, pa.binary())], ["key", "shingles"])
+                    own, raw, size = [], [], 0
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(raw, pa.binary())], ["key", "shingles"])
 
     def check(batches):
@@ -329,8 +333,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n_words: in
         for batch in batches:
             a, b = batch.column(0), batch.column(1)
             ok = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(batch.column(2), batch.column(3)):  # no copies of a batch's sets
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 if len(x) > len(y):
                     x, y = y, x
                 at = np.searchsorted(y, x)

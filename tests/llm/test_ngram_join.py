@@ -133,3 +133,20 @@ def test_components(spark):
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in root}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_hashing_a_long_text_table_takes_little_memory():
+    import tracemalloc
+
+    from saltkv.llm import shingles as S
+
+    data = np.frombuffer(b"some words of a text that goes on. " * 120_000, np.uint8)  # 4 MB in 1,000 texts
+    offsets = np.linspace(0, len(data), 1001).astype(np.int64)
+    S._POWERS.clear()
+    tracemalloc.start()
+    try:
+        n = sum(len(x) > 0 for _, x in shingle_sets(data, offsets))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == 1000 and peak < 30_000_000
