@@ -18,17 +18,21 @@ finished; if the driver is lost in between, the same ``upsert_loads`` is run aga
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions.keys import salt_width
-from ..operators.layout import KEY_COLS, cluster_for_write, files_per_bucket_for
+from ..operators.layout import KEY_COLS, files_per_bucket_for
 from .sketches import expected_keys, table_sketches
 from .spec import TableSpec
-from .store import VERSION, _fs, input_bytes, list_loads, read_loads, table_columns, write_options
+from .store import VERSION, _fs, _load_dirs, _unique_keys, input_bytes, list_loads, read_loads, table_columns, write_options
 
 SLICE = "slice"
+#: Stored bytes for which a file of its own is worth a task.
+LEAST_BYTES = 8 << 20
 _V = "__v"
 
 
@@ -63,10 +67,15 @@ def _read(spark: SparkSession, path: str, parts: list[str], cols) -> DataFrame:
 def _folded(rows: DataFrame, cols) -> DataFrame:
     """Per key and column the newest (version, value) pair: combinable, in any order, any number of times."""
     best = [F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(f"{c}{_V}").alias("v"), F.col(c).alias("x")))).alias(c) for c in cols]
-    g = rows.groupBy(*KEY_COLS, SLICE).agg(*best, F.max(VERSION).alias(VERSION))
+    g = rows.groupBy("salt", SLICE, "row_key", "prefix").agg(*best, F.max(VERSION).alias(VERSION))
     return g.select(*[F.col(c)["x"].alias(c) for c in cols], *[F.col(c)["v"].alias(f"{c}{_V}") for c in cols], "prefix", "row_key", VERSION, "salt", SLICE)
 
 
+def folded_in_ranges(rows: DataFrame, cols, n: int) -> DataFrame:
+    """``_folded`` rows in ``n`` ranges of keys, each in key order: rows move once and are folded where they are written."""
+    return _folded(rows.repartitionByRange(n, "salt", "row_key"), cols).sortWithinPartitions("salt", SLICE, "row_key")
+
+
 def upsert_loads(
     spark: SparkSession,
     spec: TableSpec,
@@ -90,10 +99,14 @@ def upsert_loads(
     touched = [f"salt={r.salt}/{SLICE}={r[SLICE]}" for r in new.select("salt", SLICE).distinct().collect()]
     there = set() if rebuild else set(_partitions(spark, path))
     old = _read(spark, path, sorted(there & set(touched)), cols)
-    merged = _folded(old.unionByName(new), cols)
     size = sum(input_bytes(spark, f"{table_dir.rstrip('/')}/{VERSION}={t}") for t in loads) + sum(input_bytes(spark, f"{path}/{p}") for p in there & set(touched))
+    # while there are fewer files than cores, smaller ones
     per_salt = files_per_bucket_for(spark, spec.pre_regions, size)
-    laid = cluster_for_write(merged, spec.pre_regions, per_salt)
+    per_salt = max(per_salt, math.ceil(min(spark.sparkContext.defaultParallelism, size / LEAST_BYTES) / spec.pre_regions))
+    both = old.unionByName(new)
+    if not _unique_keys(spark, _load_dirs(table_dir, loads)):
+        both = _folded(both, cols)  # a key may have any number of rows: fewer move
+    laid = folded_in_ranges(both, cols, spec.pre_regions * per_salt)
     # rows of repeated loads are folded together, so the number of files bounds nothing here: the largest slice does
     ndv = expected_keys(table_sketches(spark, table_dir), slices=16**slice_digits) if bloom_filter else None
     w = laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**write_options(bloom_filter, ndv))

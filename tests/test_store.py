@@ -441,3 +441,19 @@ def test_a_task_of_the_load_job_gets_little_text(spark):
     from saltkv.operators.layout import files_per_bucket_for
 
     assert 3 * files_per_bucket_for(spark, 3, 3 << 30) >= 36  # keyed rows take several times their text in memory
+
+
+def test_an_upsert_moves_rows_once(spark):
+    from saltkv.sources.merged import folded_in_ranges
+
+    rows = [("a", 1, "0p", "0pk1", 1), (None, None, "0p", "0pk1", 2), ("b", 2, "0p", "0pk1", 2), ("c", 1, "0q", "0qk2", 1), ("d", 1, None, "1x", 1)]
+    df = spark.createDataFrame(rows * 3, "c string, c__v long, prefix string, row_key string, load_ts long")
+    df = df.withColumn("salt", F.substring("row_key", 1, 1).cast("int")).withColumn("slice", F.lit("h"))
+    laid = folded_in_ranges(df, ["c"], 4)
+    assert laid._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    own = laid.withColumn("part", F.spark_partition_id()).collect()
+    assert sorted((r.c, r.c__v, r.prefix, r.row_key, r.load_ts) for r in own if r.prefix) == [("b", 2, "0p", "0pk1", 2), ("c", 1, "0q", "0qk2", 1)]
+    assert len(own) == 3
+    for part in {r.part for r in own}:
+        keys = [(r.salt, r.row_key) for r in own if r.part == part]
+        assert keys == sorted(keys)
