@@ -1,19 +1,20 @@
-"""Operator 7: benchmark decontamination by rare shingles, exactly (DataFrame functions only).
+"""Operator 7: benchmark decontamination by SimHash windows (DataFrame functions only).
 
-1. Words are hashed, and all runs of five words of a text are its shingles.  A shingle of an
+1. Words are hashed.  At every word of every text stand windows of ``SHINGLE`` and of ``SIZES`` words; a window's fingerprint holds the
+   bits set in most of its words' hashes.  All runs of five words of a text are its shingles.  A shingle of an
    item weighs the logarithm of the inverse share of items that hold it.
-2. An item is contained in a document if the item's shingles that stand in the document (anywhere in
-   it, so that inserted words cost only the shingles they break) reach ``SIMILARITY`` of the
-   weight of all its shingles.
-3. An item's rarest shingles that together weigh more than ``1 - SIMILARITY`` of it are its probes: a document
-   that holds none of them can't reach ``SIMILARITY``.  An equality join of all document shingles with the probes therefore
-   finds every pair.  A pair is verified at each probe whose next heavier one the document lacks, so a whole passage is verified once.
-
-This replaced the search by SimHash windows of 8, 16 and 32 words at every 8th word, which lost changed passages;
-the fingerprints stay below as functions but propose nothing.
-
-Scale.  Documents are read once and only shingles that meet a probe leave their task;
-nothing is shuffled but verified pairs.  The probes are broadcast in parts of about
+2. Windows of the item's own size (the largest of ``SIZES`` that it holds), half a window apart and one at its end, propose it, and so do its
+   heaviest windows of ``SHINGLE`` words that together weigh more than ``1 - SIMILARITY`` of it: a text that holds none of
+   these can't reach ``SIMILARITY``, so no changed or broken passage is lost, however few bits a longer window keeps.
+3. Fingerprints are cut into ``RADIUS + 1`` blocks.  Two within ``RADIUS`` bits agree in a block, so an equality join on (size, block, its
+   bits) finds all of them; a pair counts at its first common block.  Of matches that follow each other as in the item, the first
+   stands for all, so an unbroken passage is verified once.  Windows of ``SHINGLE`` words, where three equal words outvote the others, also have to
+   agree in their words.
+4. A proposed item is contained in a document if its shingles that stand in the document (anywhere in
+   it, so that inserted words cost only the shingles they break) reach ``SIMILARITY`` of the weight of all its shingles.
+
+Scale.  Documents are read once; a word's fingerprints are some 200 bit operations in generated code, and only words that match a window leave
+their task; nothing is shuffled but verified pairs.  The windows of items are broadcast in parts of about
 ``BROADCAST_ROWS`` rows, so a benchmark of any size is a
 number of passes, not a larger broadcast.  Weights of an item are summed in a window over its own shingles, and
 compared as a few sets: verifying is linear in item and document.
@@ -125,29 +126,152 @@ def item_table(shingles: DataFrame) -> DataFrame:
     return c.groupBy("row", "item", "whole").agg(F.sort_array(F.collect_list(F.struct("w", "of"))).alias("classes"))
 
 
-def item_probes(shingles: DataFrame) -> DataFrame:
-    """``row, s, prev``: the fewest heaviest shingles that weigh more than ``1 - SIMILARITY`` of the item."""
+def _add3(x: Column, y: Column, z: Column) -> tuple[Column, Column]:
+    """Three bits of each of 64 places added at once: their sums and carries."""
+    return x.bitwiseXOR(y).bitwiseXOR(z), x.bitwiseAND(y).bitwiseOR(x.bitwiseXOR(y).bitwiseAND(z))
+
+
+def _add2(x: Column, y: Column) -> tuple[Column, Column]:
+    return x.bitwiseXOR(y), x.bitwiseAND(y)
+
+
+def _over_half(planes: list[Column]) -> Column:
+    """Places whose count, in binary digits from the lowest, exceeds half of the ``2 ** (len(planes) - 1)`` counted."""
+    *low, half, full = planes
+    return full.bitwiseOR(half.bitwiseAND(reduce(Column.bitwiseOR, low)))
+
+
+def with_prints_at(df: DataFrame, at: str = "i") -> DataFrame:
+    """``df`` with the fingerprints ``f5``, ``f8``, ``f16``, ``f32`` of the windows of ``h`` that begin at word ``at`` (words
+    beyond the end are 0).  Bits are counted in planes of binary digits, all 64 places at once; each step's
+    planes are columns of their own, so that they are computed once."""
+    c, kept = F.col, df.columns
+
+    def step(df, drop, **made):
+        return df.select(*[x for x in df.columns if x not in drop], *[v.alias(k) for k, v in made.items()])
+
+    def pairs(**sums):  # name=(digit, carry) columns, named by their first and second target
+        out = {}
+        for names, (digit, carry) in sums.items():
+            low, high = names.split("__")
+            out[low], out[high] = digit, carry
+        return out
+
+    df = step(df, (), **{f"_w{k}": F.coalesce(F.get("h", c(at) + k), F.lit(0).cast("long")) for k in range(SIZES[-1])})
+    a0, a1 = _add3(c("_w0"), c("_w1"), c("_w2"))
+    df = step(df, (), _s0=a0, _s1=a1)
+    df = step(df, ("_s0",), **pairs(_t0___t1=_add3(c("_s0"), c("_w3"), c("_w4"))))
+    df = step(df, ("_s1", "_t0", "_t1"), f5=_majority_of_five(c("_t0"), c("_s1"), c("_t1")))
+    eights = range(SIZES[-1] // 8)
+    one, two, three, four = {}, {}, {}, {}
+    for g in eights:
+        w = [c(f"_w{8 * g + k}") for k in range(8)]
+        one |= pairs(**{f"_a{g}___x{g}": _add3(*w[:3]), f"_b{g}___y{g}": _add3(*w[3:6]), f"_c{g}___z{g}": _add2(*w[6:])})
+        two |= pairs(**{f"_p0{g}___d{g}": _add3(c(f"_a{g}"), c(f"_b{g}"), c(f"_c{g}")), f"_e{g}___u{g}": _add3(c(f"_x{g}"), c(f"_y{g}"), c(f"_z{g}"))})
+        three |= pairs(**{f"_p1{g}___v{g}": _add2(c(f"_e{g}"), c(f"_d{g}"))})
+        four |= pairs(**{f"_p2{g}___p3{g}": _add2(c(f"_u{g}"), c(f"_v{g}"))})
+    df = step(df, [f"_w{k}" for k in range(SIZES[-1])], **one)
+    df = step(df, [f"_{x}{g}" for x in "abcxyz" for g in eights], **two)
+    df = step(df, [f"_{x}{g}" for x in "ed" for g in eights], **three)
+    df = step(df, [f"_{x}{g}" for x in "uv" for g in eights], **four)
+    parts = [[f"_p{k}{g}" for k in range(4)] for g in eights]
+    df = step(df, (), f8=_over_half([c(x) for x in parts[0]]))
+    for size in SIZES[1:]:  # counts of neighbours added digit by digit
+        sums = [[f"_n{size}_{g}_{k}" for k in range(len(parts[0]) + 1)] for g in range(len(parts) // 2)]
+        carry = None
+        for k in range(len(parts[0])):
+            made = {}
+            for g, names in enumerate(sums):
+                x, y = c(parts[2 * g][k]), c(parts[2 * g + 1][k])
+                last = names[-1] if k == len(parts[0]) - 1 else f"_r{size}_{g}_{k}"
+                made[names[k]], made[last] = _add2(x, y) if k == 0 else _add3(x, y, c(carry[g]))
+            gone = [p[k] for p in parts] + (carry or [])
+            df = step(df, gone, **made)
+            carry = [f"_r{size}_{g}_{k}" for g in range(len(sums))]
+        parts = sums
+        df = step(df, (), **{f"f{size}": _over_half([c(x) for x in parts[0]])})
+    return df.select(*kept, *[f"f{m}" for m in (SHINGLE, *SIZES)])
+
+
+def _majority_of_five(ones: Column, twos: Column, more: Column) -> Column:
+    return twos.bitwiseAND(more).bitwiseOR(twos.bitwiseXOR(more).bitwiseAND(ones))
+
+
+def _block(f: Column, k: int) -> Column:
+    return F.shiftrightunsigned(f, 16 * k).bitwiseAND(F.lit(0xFFFF).cast("long"))
+
+
+def block_keys(f: Column, size: int) -> list[Column]:
+    """The four blocks of a fingerprint, with its size and their numbers."""
+    first = (SHINGLE, *SIZES).index(size) * (RADIUS + 1)
+    return [_block(f, k) + F.lit((first + k) << 16).cast("long") for k in range(RADIUS + 1)]
+
+
+def _own_print() -> Column:
+    """The fingerprint of size ``m``."""
+    return reduce(lambda out, m: F.when(F.col("m") == m, F.col(f"f{m}")).otherwise(out), SIZES, F.col(f"f{SHINGLE}"))
+
+
+def item_windows(benchmark: DataFrame, shingles: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """``row, m, at, g, back, size_back, s_back, prev, s``: the windows that propose each item (``shingles``: its ``item_shingles``), with their
+    size, place and fingerprint; the distance, size and hash of another that stands for it, if the text has that there too (the one of its size
+    before, or the one of the item's size around a shingle); and of a shingle the next heavier one and the hash."""
+    b = id_text(benchmark, id_col, text_col).select(F.col("__id").alias("item"), word_hashes(F.col("__text")).alias("h"))
+    b = b.where(F.size("h") >= SHINGLE).withColumn("row", F.xxhash64("item", "h")).dropDuplicates(["row"]).withColumn("n", F.size("h"))
+    b = b.withColumn("own", reduce(lambda out, m: F.when(F.col("n") >= m, m).otherwise(out), SIZES, F.lit(None).cast("int")))
+    at = b.select("row", "h", "n", "own", F.explode(F.sequence(F.lit(0), F.col("n") - SHINGLE)).alias("i"))
+    at = at.withColumn("s", F.xxhash64(*[F.get("h", F.col("i") + k) for k in range(SHINGLE)]))
     # one in a thousand more than needed, for rounding errors of sums
-    return shingles.where(F.col("before") <= (1 - SIMILARITY + 0.001) * F.col("whole")).select("row", "s", "prev")
+    heavy = shingles.where(F.col("before") <= (1 - SIMILARITY + 0.001) * F.col("whole")).select("row", "s", "prev", F.lit(True).alias("heavy"))
+    at = at.join(heavy, ["row", "s"], "left").withColumn("nth", F.row_number().over(Window.partitionBy("row", "s").orderBy("i")))  # one item's words
+    step, last = F.floor(F.col("own") / 2).cast("int"), F.col("n") - F.col("own")
+    probe = F.col("heavy") & (F.col("nth") == 1)
+    sized = (F.col("i") <= last) & ((F.col("i") % step == 0) | (F.col("i") == last))
+    # the last window of the item's size that begins at or before the shingle; behind the last one's start, that one
+    around = F.least(F.col("i") - F.col("i") % step, last)
+    at = at.select("row", "h", "i", "own", "prev", F.explode(F.filter(F.array(
+        F.when(probe, F.struct(F.lit(SHINGLE).alias("m"), around.alias("other"))),
+        F.when(sized, F.struct(F.col("own").alias("m"), F.when(F.col("i") == last, F.floor((last - 1) / step).cast("int") * step).otherwise(F.col("i") - step).alias("other"))),
+    ), lambda x: x.isNotNull())).alias("x"))
+    at = with_prints_at(at.select("row", "h", "i", "own", "prev", F.col("x.m").alias("m"), F.col("x.other").alias("other")))
+    other = F.when(F.col("other") >= 0, F.xxhash64(F.slice("h", F.col("other") + 1, F.col("own"))))
+    prev = F.when(F.col("m") == SHINGLE, F.col("prev"))
+    return at.select("row", "m", F.col("i").alias("at"), _own_print().alias("g"), (F.col("i") - F.col("other")).alias("back"), F.col("own").alias("size_back"), other.alias("s_back"), prev.alias("prev"), F.when(F.col("m") == SHINGLE, F.xxhash64(F.slice("h", F.col("i") + 1, F.lit(SHINGLE)))).alias("s"))
+
+
+def proposed(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """``docs`` (word hashes ``h``, shingles ``there`` and other columns) with the ``row`` of each item that one of its windows proposes."""
+    # an outer generator: of others Spark infers a filter on the array, which it would compute anew below
+    last = F.size("h") - SHINGLE
+    d = docs.select("*", F.explode_outer(F.when(last >= 0, F.sequence(F.lit(0), last))).alias("i"))
+    keys = [k for m in (SHINGLE, *SIZES) for k in block_keys(F.col(f"f{m}"), m)]
+    d = with_prints_at(d).select("*", F.explode_outer(F.array(*keys)).alias("key"))
+    own = reduce(lambda out, m: F.when(F.col("m") == m, F.array(*block_keys(F.col("g"), m))).otherwise(out), SIZES, F.array(*block_keys(F.col("g"), SHINGLE)))
+    some = windows.select("*", F.posexplode(own).alias("on", "own_key"))
+    differ = _own_print().bitwiseXOR(F.col("g"))
+    first = reduce(lambda a, k: a & ((F.col("on") <= k) | (_block(differ, k) != 0)), range(RADIUS), F.lit(True))
+    # of windows that stand for each other the text's first is enough
+    follows = F.when(F.col("i") >= F.col("back"), F.xxhash64(F.slice("h", F.col("i") - F.col("back") + 1, F.col("size_back"))) == F.col("s_back"))
+    lighter = F.array_contains(F.coalesce("there", F.array().cast("array<bigint>")), F.col("prev"))  # or Spark infers such a filter from the condition
+    # few bits tell the shortest windows apart (three equal words outvote the others): there the words have to agree
+    same = F.col("s").isNull() | (F.xxhash64(F.slice("h", F.col("i") + 1, F.lit(SHINGLE))) == F.col("s"))
+    near = (F.bit_count(differ) <= RADIUS) & first & same & ~F.coalesce(lighter, F.lit(False)) & ~F.coalesce(follows, F.lit(False))
+    return d.join(F.broadcast(some), (F.col("key") == F.col("own_key")) & near).select(*docs.columns, "row")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, item_id, similarity`` of each item found."""
     shingles = written(item_shingles(benchmark), "decontam-shingles")
-    items, probes = item_table(shingles), item_probes(shingles)
-    parts = max(1, -(-probes.count() // BROADCAST_ROWS))
+    windows = written(item_windows(benchmark, shingles), "decontam-windows")
+    items = item_table(shingles)
+    parts = max(1, -(-windows.count() * (RADIUS + 1) // BROADCAST_ROWS))
     d = id_text(docs, id_col, text_col).select(F.col("__id").alias("doc"), word_hashes(F.col("__text")).alias("h"))
-    d = d.select("doc", F.array_distinct(shingle_hashes(F.col("h"))).alias("there"))
-    # an outer generator: of others Spark infers a filter on the array, which it would compute anew below
-    d = d.select("doc", "there", F.explode_outer("there").alias("s"))
-    there = F.coalesce("there", F.array().cast("array<bigint>"))  # or Spark infers such a filter from the condition
+    d = d.select("doc", "h", F.array_distinct(shingle_hashes(F.col("h"))).alias("there"))
+    there = F.coalesce("there", F.array().cast("array<bigint>"))
     out = []
     for part in range(parts):
         own = F.pmod("row", F.lit(parts)) == part
-        met = d.join(F.broadcast(probes.where(own)), "s")
-        # of probes that the text holds one after another in order of weight, the first stands for all
-        met = met.where(~F.coalesce(F.array_contains(there, F.col("prev")), F.lit(False))).select("doc", "row", "there")
-        met = met.join(F.broadcast(items.where(own)), "row")
+        met = proposed(d, windows.where(own)).drop("h").join(F.broadcast(items.where(own)), "row")
         both = F.array_intersect(F.flatten(F.transform("classes", lambda x: x["of"])), there)
         met = met.select("doc", "item", "whole", "classes", both.alias("both"))
         found = F.aggregate("classes", F.lit(0.0), lambda a, x: a + x["w"] * F.size(F.array_intersect(x["of"], F.col("both"))))

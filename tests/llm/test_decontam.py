@@ -219,3 +219,50 @@ def test_rows_are_verified_once_or_at_gaps(spark):
         docs += [(i, " ".join(w)), (i, " ".join(w)), (10 + i, t + " " + t)]
     got = [(r.doc_id, r.item_id) for r in run(spark, docs, items)]
     assert len(got) == len(set(got)) and set(got) == whole(docs, items)
+
+
+def majority(own):
+    return sum(1 << k for k in range(64) if 2 * sum(x >> k & 1 for x in own) > len(own))
+
+
+def test_fingerprints_stand_at_every_word(spark):
+    rng = random.Random(13)
+    h = [rng.getrandbits(64) - 2**63 for _ in range(50)] + [7, 7, 7]
+    rows = spark.createDataFrame([(h, i) for i in range(len(h))], "h array<long>, i int").transform(D.with_prints_at).collect()
+    assert len(rows) == len(h)
+    for r in rows:
+        for m in (5, 8, 16, 32):
+            own = [x % 2**64 for x in (h + [0] * m)[r.i : r.i + m]]
+            assert r[f"f{m}"] % 2**64 == majority(own)
+
+
+def test_windows_of_the_items_size_propose_within_the_radius(spark):
+    """Every window of 32 words has a changed word: those within three bits propose the item, as all pairs in plain Python do."""
+    rng = random.Random(14)
+    items = [(i, " ".join(numbered(rng, 34))) for i in range(60)] + [(60, " ".join(numbered(rng, 60))), (61, " ".join(numbered(rng, 6)))]
+    docs = []
+    for i, t in items:
+        w = t.split()
+        w[1] = w[-2] = "changed"
+        docs.append((i, " ".join(numbered(rng, i % 9) + w + numbered(rng, 5))))
+    b = spark.createDataFrame(items, "item_id long, text string")
+    windows = D.item_windows(b, D.item_shingles(b)).cache()
+    sizes = {}
+    for r in windows.collect():
+        sizes.setdefault((r.row, r.m), set()).add(r.at)
+    by_size = [m for _, m in sizes]
+    assert by_size.count(32) == 61 and by_size.count(5) == 62 and {0, 16, 28} in sizes.values() and {0, 2} in sizes.values()
+    h = spark.createDataFrame(docs, "doc long, text string").select("doc", D.word_hashes(F.col("text")).alias("h"))
+    h = h.withColumn("there", F.array_distinct(D.shingle_hashes(F.col("h")))).cache()
+    long = windows.where("m > 5")
+    want, far = set(), 0
+    own = long.collect()
+    for d in h.collect():
+        padded = [x % 2**64 for x in d.h] + [0] * 32
+        prints = {m: [majority(padded[i : i + m]) for i in range(len(d.h) - 4)] for m in {r.m for r in own}}
+        for r in own:
+            apart = min((f ^ r.g % 2**64).bit_count() for f in prints[r.m])
+            if apart <= 3:
+                want.add((d.doc, r.row))
+                far += apart > 0
+    assert far > 5 and {(r.doc, r.row) for r in D.proposed(h, long).collect()} == want
