@@ -43,7 +43,7 @@ HOST_KAPPA, DOMAIN_KAPPA = 20.0, 20.0
 SALTS = 16
 _UNIT = 1_000_000
 _BUCKETS = 1 << 16
-_PIECE = 1 << 21  # bytes scored at once
+_PIECE = 1 << 18  # bytes scored at once: their tables take about 100 times that
 
 
 # ------------------------------------------------------------ byte trigrams
