@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ship_package, table, written
+from .common import lean, ship_package, table, written
 
 UND = "und"
 #: Labelled texts of each label (the first by hash) that train the text model.
@@ -161,7 +161,7 @@ def train_text_model(docs: DataFrame, per_label: int = TRAIN_DOCS, id_col="doc_i
     langs = sorted(r.l for r in rows.select("l").distinct().collect())
     at = {lang: k for k, lang in enumerate(langs)}
     counts = np.zeros((len(langs), _BUCKETS))
-    got = rows.mapInArrow(counted, "l string, b int, n long").groupBy("l", "b").agg(F.sum("n").alias("n")).toArrow()
+    got = rows.mapInArrow(lean(counted), "l string, b int, n long").groupBy("l", "b").agg(F.sum("n").alias("n")).toArrow()
     label = got.column("l").combine_chunks().dictionary_encode()
     rank = np.array([at[x] for x in label.dictionary.to_pylist()], np.int64)
     counts[rank[label.indices.to_numpy()], got.column("b").to_numpy()] = got.column("n").to_numpy()
@@ -182,7 +182,7 @@ def train_text_model(docs: DataFrame, per_label: int = TRAIN_DOCS, id_col="doc_i
                     own.append(float(logp[h[ok], at[lang]].mean()))
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.float64())], ["x"])
 
-    own = rows.mapInArrow(levels, "x double").toArrow().column("x").to_numpy() if langs else np.empty(0)
+    own = rows.mapInArrow(lean(levels), "x double").toArrow().column("x").to_numpy() if langs else np.empty(0)
     shared.destroy()
     # "none of them" lies one unit a trigram below what the least likely labelled texts reach
     return TextModel(langs, logp, float(np.quantile(own, 0.005)) - 1.0 if len(own) else 0.0)
@@ -217,7 +217,7 @@ def text_evidence(rows: DataFrame, model: TextModel) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array(n), flat], [*(batch.schema.names[i] for i in keep), "n", "ll"])
 
     out = rows.drop("text").withColumn("n", F.lit(0).cast("long")).withColumn("ll", F.array(F.lit(0.0)))
-    return rows.mapInArrow(run, out.schema)
+    return rows.mapInArrow(lean(run), out.schema)
 
 
 def with_softmax(df: DataFrame, logs: str, name: str) -> DataFrame:

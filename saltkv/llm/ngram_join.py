@@ -44,7 +44,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_text, written
+from .common import id_text, lean, written
 from .components import components
 from .langid import text_bytes
 from .shingles import WORDS, mix, shingle_sets
@@ -169,9 +169,9 @@ def _count_common(docs: DataFrame, common: np.ndarray, n_words: int, buckets: in
             df = np.add.reduceat(c.astype(np.int64), start)
             yield pa.RecordBatch.from_arrays([pa.array(t[start][df > LONG].view(np.int64)), pa.array(df[df > LONG])], ["token", "df"])
 
-    rows = docs.select("__text").mapInArrow(count, "bucket int, tokens binary, counts binary")
+    rows = docs.select("__text").mapInArrow(lean(count), "bucket int, tokens binary, counts binary")
     rows = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return rows.mapInArrow(total, "token long, df long")
+    return rows.mapInArrow(lean(total), "token long, df long")
 
 
 def common_shingles(docs: DataFrame, n_words: int) -> np.ndarray:
@@ -267,9 +267,9 @@ def _pairs_of_lists(docs: DataFrame, reps: np.ndarray, sent, n_words: int, bucke
             yield rows(1, t[long].view(np.int64), g[long], n[long])
 
     rows = docs.select("__text", F.xxhash64("__id").alias("h"))
-    spreaded = rows.mapInArrow(spread, "bucket int, tokens binary, gids binary, sizes binary")
+    spreaded = rows.mapInArrow(lean(spread), "bucket int, tokens binary, gids binary, sizes binary")
     spreaded = spreaded.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return spreaded.mapInArrow(propose, "kind int, a long, b long, n long")
+    return spreaded.mapInArrow(lean(propose), "kind int, a long, b long, n long")
 
 
 def _bloom(hashes: DataFrame) -> np.ndarray:
@@ -302,7 +302,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n_words: in
             # linking sets of n and m differ in (n + m) / 9 shingles at most
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(9 * differ <= total))
 
-    pairs = pairs.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(close, "a long, b long")
+    pairs = pairs.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(lean(close), "a long, b long")
     pairs = written(pairs, "close-pairs")
     keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     bits = _bloom(keys.join(classes.select("key", "doc"), "key").select(F.xxhash64("doc").alias("h")))
@@ -343,11 +343,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n_words: in
             ok = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(ok), b.filter(ok)], ["a", "b"])
 
-    s = docs.select("__text", F.xxhash64("__id").alias("h")).mapInArrow(sets, "key long, shingles binary")
+    s = docs.select("__text", F.xxhash64("__id").alias("h")).mapInArrow(lean(sets), "key long, shingles binary")
     s = written(s, "shingle-sets")  # the bloom map let through few others; the joins drop them
     both = pairs.join(s.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a")
     both = both.join(s.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
-    return both.mapInArrow(check, "a long, b long").distinct()  # a repeated row may have given its set twice
+    return both.mapInArrow(lean(check), "a long, b long").distinct()  # a repeated row may have given its set twice
 
 
 def _apart_in_lists(batches):
@@ -408,7 +408,7 @@ def _unresolved(groups: DataFrame, members: DataFrame, proposed: DataFrame, long
     left = entry.select("token", F.col("chunk").alias("i"), F.explode(F.sequence(F.col("chunk"), F.col("k") - 1)).alias("j"), F.lit(0).alias("side"), *value)
     right = entry.select("token", F.explode(F.sequence(F.lit(0), F.col("chunk"))).alias("i"), F.col("chunk").alias("j"), F.lit(1).alias("side"), *value)
     block = left.unionByName(right).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    rest = block.mapInArrow(_apart_in_lists, "a long, b long")
+    rest = block.mapInArrow(lean(_apart_in_lists), "a long, b long")
     return _ordered(inside.unionByName(across).unionByName(rest)).join(tried, ["a", "b"], "left_anti")
 
 
@@ -437,7 +437,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             )
 
     kind = d.schema["__id"].dataType.simpleString()
-    rows = written(d.mapInArrow(describe, f"doc {kind}, n long, key long, gid long, bits binary"), "sets")
+    rows = written(d.mapInArrow(lean(describe), f"doc {kind}, n long, key long, gid long, bits binary"), "sets")
     classes = written(rows.where("n > 0").groupBy("key").agg(F.min("doc").alias("doc"), F.min("n").alias("n"), F.min("gid").alias("gid"), F.min("bits").alias("bits")), "classes")
     groups = written(classes.groupBy("gid").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("m")), "groups")
     reps = _bloom(groups.join(classes.select(F.col("key").alias("rep"), "doc"), "rep").select(F.xxhash64("doc").alias("h")))

@@ -34,7 +34,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_text, written
+from .common import id_text, lean, written
 from .spans import Span, span_text
 
 KINDS = ("email", "ip", "card", "phone")
@@ -376,7 +376,7 @@ def _summed(rows: DataFrame, sums) -> np.ndarray:
         if out is not None:
             yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary()), pa.array([list(out.shape)], pa.list_(pa.int64()))], ["s", "shape"])
 
-    parts = rows.mapInArrow(run, "s binary, shape array<long>").collect()
+    parts = rows.mapInArrow(lean(run), "s binary, shape array<long>").collect()
     return sum(np.frombuffer(r["s"], np.float64).reshape(r["shape"]) for r in parts)
 
 
@@ -395,7 +395,7 @@ def train_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
             yield pa.RecordBatch.from_arrays(cols, ["x", "y", "held", "n"])
 
     more = docs.sparkSession.createDataFrame([(list(x), y, held, n) for (x, y, held), n in made_up_counts(2000).items()], schema)
-    rows = d.mapInArrow(found, schema).unionByName(more).groupBy("x", "y", "held").agg(F.sum("n").alias("n"))
+    rows = d.mapInArrow(lean(found), schema).unionByName(more).groupBy("x", "y", "held").agg(F.sum("n").alias("n"))
     rows = written(rows, "pii-candidates")
 
     trees, size = BoostedTrees(), len(more.first()["x"])
@@ -413,7 +413,7 @@ def train_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
             cols = [c, pa.array(x[:, 0].astype(np.int32)), batch.column("y"), batch.column("held"), batch.column("n")]
             yield pa.RecordBatch.from_arrays(cols, ["c", "k", "y", "held", "n"])
 
-    codes = rows.mapInArrow(coded, "c binary, k int, y int, held boolean, n long").groupBy("c", "k", "y", "held").agg(F.sum("n").alias("n"))
+    codes = rows.mapInArrow(lean(coded), "c binary, k int, y int, held boolean, n long").groupBy("c", "k", "y", "held").agg(F.sum("n").alias("n"))
     codes = written(codes, "pii-codes")
     if codes.count() <= local_rows:
         own = codes.toArrow().combine_chunks().to_batches()[0]
@@ -469,7 +469,7 @@ def find_pii(docs: DataFrame, model: PiiModel, id_col: str = "doc_id", text_col:
             )
 
     d = id_text(docs, id_col, text_col)
-    return d.mapInArrow(run, f"doc_id {d.schema['__id'].dataType.simpleString()}, {_FOUND}")
+    return d.mapInArrow(lean(run), f"doc_id {d.schema['__id'].dataType.simpleString()}, {_FOUND}")
 
 
 def redact(text: str | None, spans: list[Span]) -> str | None:
@@ -499,7 +499,7 @@ def redact_documents(docs: DataFrame, model: PiiModel, text_col: str = "text") -
             texts = [redact(t, sum(scan(t, model), [])) for t in batch.column(at).to_pylist()]
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def op4_pii(spark: SparkSession, docs: DataFrame) -> DataFrame:

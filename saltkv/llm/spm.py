@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import KnownWords, id_text
+from .common import KnownWords, id_text, kept, lean
 
 MARK = "▁"  # U+2581
 #: Fixed values of the model format: piece types and model types.
@@ -257,7 +257,7 @@ class PieceCodec:
         return out
 
 
-_CODECS: dict[tuple, PieceCodec] = {}
+_CODECS: dict[tuple, PieceCodec] = kept("spm")
 
 
 def codec(path: str, verify: bool = True) -> PieceCodec:
@@ -284,7 +284,7 @@ def encode_pieces(docs: DataFrame, model: str, text_col: str = "text", out_col:
             yield batch.append_column(out_col, pa.array([None if t is None else next(got) for t in texts], pa.binary()))
 
     schema = docs.withColumn(out_col, F.lit(None).cast("binary")).schema
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run, "spm"), schema)
 
 
 def decode_pieces(docs: DataFrame, model: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -301,7 +301,7 @@ def decode_pieces(docs: DataFrame, model: str, ids_col: str = "ids", out_col: st
             yield batch.append_column(out_col, pa.array([None if x is None else next(got) for x in ids], pa.string()))
 
     schema = docs.withColumn(out_col, F.lit(None).cast("string")).schema
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run, "spm"), schema)
 
 
 def op5_sentencepiece(spark: SparkSession, docs: DataFrame, model: str, with_ids: bool = False) -> DataFrame:
@@ -330,4 +330,4 @@ def op5_sentencepiece(spark: SparkSession, docs: DataFrame, model: str, with_ids
 
     kind = d.schema["__id"].dataType.simpleString()
     ids = "ids binary, " if with_ids else ""
-    return d.mapInArrow(run, f"{ids}doc_id {kind}, n_tokens long, ids_crc32 long, decoded_chars long, round_trip boolean")
+    return d.mapInArrow(lean(run, "spm"), f"{ids}doc_id {kind}, n_tokens long, ids_crc32 long, decoded_chars long, round_trip boolean")

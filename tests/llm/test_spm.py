@@ -117,3 +117,29 @@ def test_the_documents_table(spark, sp):
         ids = sp.encode(rows[r.doc_id])
         assert (r.n_tokens, r.ids_crc32, r.decoded_chars) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), len(rows[r.doc_id]))
         assert r.round_trip
+
+
+def test_other_operators_let_go(spark):
+    """A reused worker drops the codec and its units before a task of another operator."""
+    from pyspark.sql import functions as F
+
+    from saltkv.llm import ngram_join
+    from saltkv.llm.common import lean
+
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.concat(F.lit("some words of text "), "id").alias("text"))
+
+    def codecs(batches):
+        import pyarrow as pa
+
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(spm._CODECS)])], ["n"])
+
+    def most(owner):
+        return docs.coalesce(1).mapInArrow(lean(codecs, owner), "n long").agg(F.max("n")).first()[0]
+
+    assert spm.op5_sentencepiece(spark, docs.coalesce(1), PATH).where("round_trip").count() == 40
+    spm.codec(PATH)
+    assert list(lean(lambda b: (len(spm._CODECS) for _ in b), "spm")(range(1))) == [1]
+    assert list(lean(lambda b: (len(spm._CODECS) for _ in b))(range(1))) == [0]
+    assert most(None) == 0
+    assert ngram_join.keep_first_of_component(docs).count() == 40
