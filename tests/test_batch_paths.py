@@ -11,7 +11,7 @@ from saltkv.operators import bucketed as B
 from saltkv.operators import lookup as LK
 from saltkv.operators import prefilter as P
 from saltkv.operators import ranges as R
-from saltkv.operators.skew import salted_join
+from saltkv.operators.skew import hot_keys, salted_join
 from saltkv.plans import fixtures as FX
 from saltkv.plans.inspect import plan_text
 from saltkv.session import scratch_path
@@ -168,3 +168,75 @@ def test_prefilter_names_a_prefix_few_times(spark):
     plan = P.prefilter(rows, keys, 20)._jdf.queryExecution().optimizedPlan().toString()
     at = next(line for line in plan.splitlines() if "Filter" in line)
     assert 1 <= at.count("md5(") <= 4
+
+
+# ------------------------------------------------------------ ranges whose result is far larger than both sides
+
+
+def joined_rows(df):
+    """Rows that the joins of a collected query returned, from the plan's own metrics."""
+    found, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        p = todo.pop()
+        name = p.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(p.executedPlan())
+            continue
+        if name.endswith("QueryStage"):
+            todo.append(p.plan())
+            continue
+        if "Join" in name:
+            found += p.metrics().apply("numOutputRows").value()
+        todo += [p.children().apply(i) for i in range(p.children().size())]
+    return found
+
+
+@pytest.mark.parametrize("hot", [100_000, 20])
+def test_equal_requests_meet_a_row_once(spark, check, hot, no_broadcast):
+    ranges = spark.range(600).select(F.concat(F.lit("r"), "id").alias("req_id"), F.lit("08").alias("start"), F.lit("0b55").alias("stop"))
+    got = R.scan_ranges(check, FX.CHECK, ranges, columns=["f:id"], hot_rows=hot, fan=4)
+    n = len(got.collect())
+    keys = check.where("row_key >= '08' and row_key < '0b55'").count()
+    assert n == 600 * keys and keys > 20
+    assert keys <= joined_rows(got) <= 10 * keys  # before: a joined row for each row of the result
+
+
+@pytest.mark.parametrize("length", [2, 3, 5])
+def test_bounds_divide_only_their_own_bin(spark, length):
+    bounds = ["", "0", "1a", "1g", "1G", "1:", "1 ", "2é", "0\x00", "G", "~", " ", "1c01", "08f", "08f3", "08f31", "08f31a2", "0ff", "ffg", "fffff", "fffffffG", "a~a", "0/9", "9`"]
+    rows = spark.createDataFrame([(b,) for b in bounds], "b string").select("b", *[c.alias(x) for c, x in zip(R.bound_bin(F.col("b"), length), ("at", "cut"), strict=True)])
+    keys = [f"{k:0{length}x}{tail}" for k in range(16**min(length, 3)) for tail in ("000", "31a2", "fff")]
+    assert len(found := rows.collect()) == len(bounds)
+    for r in found:
+        assert r.cut == (len(r.b) > length and all(c in "0123456789abcdef" for c in r.b[:length]))
+        for k in keys:
+            own = int(k[:length], 16)
+            if own != r.at or not r.cut:
+                assert (k >= r.b) == (own >= r.at), (r, k)
+
+
+def test_arrays_of_requests_are_bounded_and_whole(spark):
+    reqs = [(f"r{i % 40}", 7, None, None) for i in range(100)] + [(None, 7, None, None)] * 5 + [("x", 7, "07a1", None), ("y", 8, None, None)]
+    groups = R.request_groups(spark.createDataFrame(reqs, "__req string, __bin long, start string, stop string"), 10).collect()
+    assert sorted(((q, g["__bin"], g.start, g.stop) for g in groups for q in g["__reqs"]), key=str) == sorted(reqs, key=str)
+    assert all(len(g["__reqs"]) == g["__n"] <= 10 for g in groups) and len(groups) == 13
+    assert len({(g["__bin"], g["__id"]) for g in groups}) == len(groups)
+
+
+def test_the_join_of_ranges_has_tasks_for_its_result(spark, check, monkeypatch, no_broadcast):
+    ranges = spark.createDataFrame(RANGES, "req_id string, start string, stop string")
+    want = rows(R.scan_ranges(check, FX.CHECK, ranges, columns=["f:id"]))
+    assert R.join_tasks(R.TASK_ROWS) is None and R.join_tasks(3 * R.TASK_ROWS + 1) == 4 and R.join_tasks(1e15) == R.MOST_TASKS
+    monkeypatch.setattr(R, "join_tasks", lambda n_out: 11 if 1000 < n_out < 100_000 else 0)
+    for hot in (100_000, 20):
+        got = R.scan_ranges(check, FX.CHECK, ranges, columns=["f:id"], hot_rows=hot)
+        assert got.rdd.getNumPartitions() == 11 and rows(got) == want
+
+
+def test_salted_join_with_weights_equals_a_join(spark):
+    a = spark.range(1000).selectExpr("id as x", "if(id % 3 = 0, 0, id % 50) as k")
+    b = spark.range(300).selectExpr("id as y", "if(id % 4 = 0, 7, id % 60) as k", "if(id % 60 = 9, 500, 1) as n")
+    want = rows(a.join(b, "k").select("k", "x", "y"))
+    for hot, tasks in ((10, None), (10, 5), (10_000, 5), (900, 5)):
+        assert rows(salted_join(a, b, ["k"], "x", "y", 5, hot, weight="n", tasks=tasks).select("k", "x", "y")) == want
+    assert [r.k for r in hot_keys(a, b, ["k"], 900, "n").collect()] == [9] and hot_keys(a, b, ["k"], 900) is None
